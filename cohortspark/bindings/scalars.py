@@ -176,11 +176,10 @@ def _redact(t):
 _NOISE_SQL = r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:[.,]\d+)?(?:Z|[+-]\d{2}:?\d{2})?)?|\d{1,2}:\d{2}(?::\d{2})?|\d+[.,]\d+"
 
 
-@query("b19_mask_numeric_noise", f"""SELECT doc_id, sha256(regexp_replace(text || ' 2026-07-18T23:30:42+00:00 at 9:41, ' || n_chars / 8.0::DOUBLE, '{_NOISE_SQL}', ' ', 'g')) AS masked
-FROM documents WHERE n_chars < 5000000""")
+@query("b19_mask_numeric_noise", f"""SELECT doc_id, sha256(regexp_replace(text || ' 2026-07-18T23:30:42+00:00 at 9:41, ' || n_chars / 8.0::DOUBLE, '{_NOISE_SQL}', ' ', 'g')) AS masked FROM documents""")
 def _noise(t):
     c = F.concat("text", F.lit(" 2026-07-18T23:30:42+00:00 at 9:41, "), (F.col("n_chars") / 8.0).cast("string"))
-    return t.documents.where("n_chars < 5000000").select("doc_id", F.sha2(X.mask_numeric_noise(c), 256).alias("masked"))
+    return t.documents.select("doc_id", F.sha2(X.mask_numeric_noise(c), 256).alias("masked"))
 
 
 _VOCAB = ("automobile", "building", "control", "email", "the", "und")
@@ -189,7 +188,7 @@ _VOCAB = ("automobile", "building", "control", "email", "the", "und")
 @query("b20_vocabulary_hits", f"""WITH m AS (SELECT doc_id, replace(lower(regexp_replace(text || CASE WHEN doc_id % 4 = 0 THEN ' has_negative_control'
   WHEN doc_id % 4 = 1 THEN ' Extra Control, BUILDING' ELSE '' END,
   '(?i)(?:\\bno[_\\- ]?|\\bhas[_\\- ]?)?(?:negative|positive|neg|pos)[_\\- ]?controls?\\b', ' ', 'g')), '_', ' ') AS x FROM documents)
-SELECT doc_id, array_to_string(list_filter([{', '.join(f"CASE WHEN regexp_matches(x, '(^|[^a-z]){w}($|[^a-z])') THEN '{w}' END" for w in _VOCAB)}], v -> v IS NOT NULL), ',') AS terms FROM m""")
+SELECT doc_id, array_to_string(list_filter([{', '.join(f"CASE WHEN regexp_matches(x, '(^|[^a-z]){w}($|[^a-z])') THEN '{w}' END" for w in _VOCAB)}], lambda v: v IS NOT NULL), ',') AS terms FROM m""")
 def _vocab(t):
     k = F.col("doc_id")
     c = F.concat("text", F.when(k % 4 == 0, " has_negative_control").when(k % 4 == 1, " Extra Control, BUILDING").otherwise(""))

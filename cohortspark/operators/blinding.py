@@ -139,7 +139,7 @@ def replicate_index(df: DataFrame, keys: Sequence[str], name: str = "replicate",
     copies = copies.withColumn("_u", hash_number(F.col("_h")))
     ranked = ordered(copies, keys, "_u", {"_before": ("sum", F.col("_copies"), "before")}, ties=["_h", *rest], limit=limit)
     chunk = 10_000
-    starts = ranked.withColumn("_start", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk))))
+    starts = ranked.withColumn("_start", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk)))).repartition("_h", "_start")
     each = starts.withColumn("_i", F.explode(F.sequence(F.col("_start"), F.least(F.col("_start") + chunk, F.col("_copies")) - 1)))
     return each.select(*df.columns, (F.col("_before") + F.col("_i") + 1).cast("bigint").alias(name))
 
