@@ -112,8 +112,8 @@ def validate_record(df: DataFrame, key: str, *, header: Sequence[str] | None = N
     header is the only problem reported, since nothing after it means anything.
     """
     if header is not None and list(header) != list(df.columns):
-        return df.limit(0).select().withColumn("rule", F.lit("")).unionByName(df.limit(1).select(F.lit("header").alias("rule"))).where(
-            F.col("rule") != "").select("rule", F.lit("ERROR").alias("severity"), F.lit("").alias("key"), F.lit(",".join(df.columns)).alias("message"))
+        return df.sparkSession.createDataFrame(
+            [("header", "ERROR", "", ",".join(df.columns))], "rule string, severity string, key string, message string")
     k = F.col(key)
     text = F.coalesce(k.cast("string"), F.lit(""))
     rules: list[Rule] = [("key_range", "ERROR", k.isNull() | ~k.between(*key_range), text)]

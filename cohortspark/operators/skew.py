@@ -64,18 +64,20 @@ def ordered(
     ``upto``/``onward`` (including rows with the same ``x``; needs ``ties`` empty).
     An empty ``by`` orders the whole table. Running sums start at 0, others at NULL.
     """
-    keys = list(by)
+    keys, kept = list(by), df.columns
     if not keys:
         df = df.withColumn("_all", F.lit(0))
         keys = ["_all"]
     tagged, large = _cells(df, keys, x, limit, ranges)
     order = [F.col(x), *[F.col(t) for t in ties]]
     w = W.partitionBy(*keys, "_cell").orderBy(*order)
+    # Frames that look ahead run backwards: a growing frame is linear, a shrinking one is not.
+    back = W.partitionBy(*keys, "_cell").orderBy(*[o.desc() for o in order])
     frames = {
         "before": w.rowsBetween(W.unboundedPreceding, -1),
-        "after": w.rowsBetween(1, W.unboundedFollowing),
+        "after": back.rowsBetween(W.unboundedPreceding, -1),
         "upto": w.rangeBetween(W.unboundedPreceding, W.currentRow),
-        "onward": w.rangeBetween(W.currentRow, W.unboundedFollowing),
+        "onward": back.rangeBetween(W.unboundedPreceding, W.currentRow),
     }
     cell_w = W.partitionBy(*keys).orderBy("_cell")
     carry_frames = {
@@ -110,19 +112,24 @@ def ordered(
         else:
             v = F.when(i.isNull() | (c < i), c).otherwise(i)
         out.append(v.alias(n))
-    return joined.select(*[F.col(c) for c in df.columns if c != "_all"], *out)
+    return joined.select(*kept, *out)
 
 
-def value_counts(df: DataFrame, by: Sequence[str], x: str, name: str = "_cnt") -> DataFrame:
+def value_counts(df: DataFrame, by: Sequence[str], x: str, name: str = "_cnt", ties: Sequence[str] = ()) -> DataFrame:
     """One row per distinct value, so copies of a value never reach a sort."""
-    return df.where(F.col(x).isNotNull()).groupBy(*by, x).agg(F.count(F.lit(1)).alias(name))
+    return df.where(F.col(x).isNotNull()).groupBy(*by, x, *ties).agg(F.count(F.lit(1)).alias(name))
 
 
-def mid_ranks(df: DataFrame, by: Sequence[str], x: str, *, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Average rank of every distinct ``x`` per group: columns ``by, x, _cnt, mid_rank``."""
-    counts = value_counts(df, by, x)
-    before = ordered(counts, by, x, {"_before": ("sum", F.col("_cnt"), "before")}, limit=limit)
-    return before.select(*by, x, "_cnt", (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias("mid_rank"))
+def text_number(c: Column) -> Column:
+    """Number whose order follows the first six bytes of a text; the text breaks ties."""
+    return F.conv(F.rpad(F.substring(F.hex(c), 1, 12), 12, "0"), 16, 10).cast("double")
+
+
+def mid_ranks(df: DataFrame, by: Sequence[str], x: str, *, ties: Sequence[str] = (), limit: int = GROUP_LIMIT) -> DataFrame:
+    """Average rank of every distinct ``x`` (then ``ties``): ``by, x, ties, _cnt, mid_rank``."""
+    counts = value_counts(df, by, x, ties=ties)
+    before = ordered(counts, by, x, {"_before": ("sum", F.col("_cnt"), "before")}, ties=ties, limit=limit)
+    return before.select(*by, x, *ties, "_cnt", (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias("mid_rank"))
 
 
 def percentiles(
