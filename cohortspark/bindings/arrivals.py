@@ -1 +1,37 @@
+"""Streaming arrivals replay the events table in batches, with every third row twice."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming import arrivals as A
+from .records import _folder
+from .registry import query, rnd
+
+
+def _fold(t):
+    """Write the events as arriving files (with copies), fold them, and run it again."""
+    source, inventory, state = (_folder(t, n) for n in ("incoming", "inventory", "state"))
+    e = t.events
+    e.unionByName(e.where("event_id % 3 = 0")).repartition(4, "event_type").write.parquet(source)
+    for _ in range(2):
+        stream = t.spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        A.fold_arrivals(stream, "event_id", "ts", inventory, state, late="3650 days").awaitTermination()
+    return t.spark.read.parquet(inventory)
+
+
+@query("m01_incremental_inventory", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def _inventory(t):
+    return _fold(t).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 2).alias("total"))
+
+
+@query("m01_arrival_counts", "SELECT user_id, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY 1")
+def _counts(t):
+    d = A.inventory_counts(_fold(t), ["user_id"], "ts")
+    return d.withColumns({c: F.substring(F.col(c).cast("string"), 1, 19) for c in ("first_seen", "last_seen")})
+
+
+@query("m01_windowed_arrivals", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _windowed(t):
+    d = A.windowed_counts(t.events, "ts", ["event_type"])
+    return d.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
