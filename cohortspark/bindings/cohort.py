@@ -64,8 +64,8 @@ def _dim(t):
     return d.withColumns({"dim_median": rnd(F.col("dim_median"), 4), "bright_median": rnd(F.col("bright_median"), 4), "spread": rnd(F.col("spread"), 4), "dim_bright_ratio": rnd(F.col("dim_bright_ratio"))})
 
 
-@query("l03_stratified_split", """WITH p AS (SELECT c_custkey, c_mktsegment, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('split:' || c_custkey)) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY c_mktsegment) AS at FROM customer)
-SELECT c_custkey, c_mktsegment, CASE WHEN at < 0.5::DOUBLE THEN 'development' WHEN at < 0.8::DOUBLE THEN 'validation' ELSE 'reserve' END AS split FROM p""")
+@query("l03_stratified_split", """WITH p AS (SELECT c_custkey, c_mktsegment, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('split:' || c_custkey)) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY c_mktsegment) AS place FROM customer)
+SELECT c_custkey, c_mktsegment, CASE WHEN place < 0.5::DOUBLE THEN 'development' WHEN place < 0.8::DOUBLE THEN 'validation' ELSE 'reserve' END AS split FROM p""")
 def _split(t):
     return C.stratified_split(t.customer, "c_custkey", "c_mktsegment", {"development": 0.5, "validation": 0.3, "reserve": 0.2}, "split")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,19 +10,14 @@ from ..operators.skew import hash_key
 from ..sources import records as R
 from ..sources import sinks as S
 from ..sources.regions import parse_regions
+from ..session import new_folder
 from ..sources.tiles import decode_tile_index
 from .registry import query, rnd
 from .shapes import SCANS, scans
 
 
 def _folder(t, name: str) -> str:
-    """A new folder: beside the checkpoints on a cluster, temporary in local mode."""
-    base = t.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base:
-        import uuid
-
-        return f"{base}/{name}-{uuid.uuid4().hex}"
-    return f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/{name}"
+    return new_folder(t.spark, name)
 
 
 @query("a01_read_record", "SELECT o_orderkey AS tube_id, o_orderstatus AS box, o_orderpriority AS note FROM orders")

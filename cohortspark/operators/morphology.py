@@ -146,7 +146,8 @@ def fill_holes(runs: DataFrame, frame: DataFrame, by: Sequence[str]) -> DataFram
 def tissue_mask(px: DataFrame, frame: DataFrame, by: Sequence[str], *, closing: int = 7, fraction: float = 0.02) -> DataFrame:
     """Pixels of the cleaned mask: close, fill, keep large pieces, then drop every pixel
     that was never acquired. ``px``: ``by, x, y, value, tissue``."""
-    runs = fill_holes(close_mask(mask_runs(px.where("tissue"), by), frame, by, closing), frame, by)
+    closed = checkpoint(close_mask(mask_runs(px.where("tissue"), by), frame, by, closing))
+    runs = fill_holes(closed, frame, by)
     kept = run_pixels(keep_large(components(runs, by), by, fraction).select(*by, "y", "x0", "x1"))
     return kept.join(px.where(F.col("value").isNotNull()).select(*by, "x", "y"), [*by, "x", "y"], "left_semi")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.conditions import derive_condition, enrich
 from ..operators.matching import assign_sides, gap_split
-from ..operators.summarise import entity_flag, slide_summary
+from ..operators.summarise import attach, slide_summary
 
 
 def section_conditions(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
@@ -23,6 +23,9 @@ def section_conditions(sections: DataFrame, record: DataFrame, **split) -> DataF
 
 def slide_report(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
     """One row per slide: section labels per condition, control flag and reason."""
-    flagged = entity_flag(section_conditions(sections, record, **split), "animal")
-    per_slide = slide_summary(flagged, ["slide", "animal", "positive_box", "has_negative_control", "reason"])
-    return per_slide
+    slides = slide_summary(section_conditions(sections, record, **split), ["slide", "animal", "positive_box", "reason"])
+    # The flag needs only one row per slide, so sections are aggregated once.
+    resolved, negative = F.col("n_unresolved") < F.col("n_sections"), F.col("negative_labels") != ""
+    flags = slides.where(F.col("animal").isNotNull()).groupBy("animal").agg(
+        F.when(F.bool_or(resolved), F.bool_or(negative)).alias("has_negative_control"))
+    return attach(slides, flags, ["animal"])

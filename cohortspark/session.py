@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +23,32 @@ def local_session(cpus: str | int = "*", app: str = "cohortspark") -> SparkSessi
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local-mode session without that setting gets a temporary folder of its own.
+    """
+    name = "spark.checkpoint.dir"
+    folder = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {name} to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set(name, folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused folder name below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iterative job with a checkpoint that survives executor loss.
+    """Cut the lineage by writing a table to the shared folder and reading it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting gets a temporary folder of its own.
+    The rows are computed once, survive the loss of executors, and come back with file
+    sizes that later joins can plan with.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = new_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
