@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import arrivals as A
+from .checks import _limbs
 from .records import _folder
 from .registry import query, rnd
 
@@ -35,3 +36,9 @@ def _counts(t):
 def _windowed(t):
     d = A.windowed_counts(t.events, "ts", ["event_type"])
     return d.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("m01_inventory_fingerprint", f"""WITH h AS (SELECT DISTINCT sha256(CAST(event_id AS VARCHAR)) AS h FROM events)
+SELECT 'inventory' AS source, count(*) AS n_items, sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {_limbs('h')})) AS digest FROM h""")
+def _fingerprint(t):
+    return A.inventory_fingerprint(_fold(t), "event_id")

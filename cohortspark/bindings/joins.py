@@ -8,7 +8,7 @@ from ..functions.text import display_key
 from ..operators import conditions as C
 from ..operators import matching as M
 from ..operators.summarise import attach
-from ..plans.manifest import section_conditions, slide_report
+from ..plans.manifest import build_manifest, section_conditions, slide_report
 from .registry import query, rnd
 from .shapes import RECORD, SCANS, SECTIONS, SIDES, gap_sql, record, scans, sections, split_sql
 
@@ -194,8 +194,7 @@ def _patches(t):
     return C.apply_patches(_manifest(t), _notes(t)).select(*_PATCHED)
 
 
-PREFER = f"""{MANIFEST}, {NOTES},
-pin AS (SELECT tube_id, arg_min(scan, scan || section_label) AS pinned FROM pat WHERE bench_action = 'prefer_scan' GROUP BY 1),
+_PREFER_TAIL = """pin AS (SELECT tube_id, arg_min(scan, scan || section_label) AS pinned FROM pat WHERE bench_action = 'prefer_scan' GROUP BY 1),
 rk AS (SELECT pat.*, condition IN ('positive', 'negative') AND analysis_include AS usable, row_number() OVER (
   PARTITION BY tube_id, physical_section_label ORDER BY CASE WHEN scan = pinned THEN 0
     WHEN condition IN ('positive', 'negative') AND analysis_include AND scan = 'rescan' THEN 1
@@ -203,6 +202,7 @@ rk AS (SELECT pat.*, condition IN ('positive', 'negative') AND analysis_include
   FROM pat LEFT JOIN pin USING (tube_id)),
 pref AS (SELECT tube_id, scan, section_label, physical_section_label, condition, analysis_include, rn = 1 AS scan_is_preferred,
   rn = 1 AND usable AS use_for_measurement FROM rk)"""
+PREFER = f"{MANIFEST}, {NOTES}, {_PREFER_TAIL}"
 
 
 @query("e02_preferred_row", f"WITH {PREFER} SELECT * FROM pref")
@@ -254,3 +254,22 @@ SELECT o_custkey, count(*) AS n, count(*) >= 3 AND coalesce(bool_and(d > 0) FILT
   count(*) >= 3 AND coalesce(bool_and(d < 0) FILTER (d IS NOT NULL), true) AS falling FROM o GROUP BY 1""")
 def _monotone(t):
     return M.is_monotone(t.orders, ["o_custkey"], "o_orderkey", "o_totalprice", 3)
+
+
+@query("manifest_build", f"""WITH {MATCH}, {split_sql()}, {RECORD},
+ob AS (SELECT l.slide AS tube_id, 'original' AS scan, section_label, section_label AS phys, CASE WHEN status = 'ok' THEN CASE WHEN x <= split_lo THEN 'near_label' ELSE 'far_label' END END AS box, status = 'ok' AS has_box FROM l JOIN spl USING (slide)),
+rb AS (SELECT m.slide AS tube_id, 'rescan' AS scan, m.section_label, CASE WHEN match_reason IS NOT NULL THEN m.section_label WHEN hit THEN ll ELSE 'new' || m.section_label END AS phys,
+  CASE WHEN match_reason IS NOT NULL OR coalesce(spl.status, '') <> 'ok' THEN NULL WHEN hit THEN ob.box ELSE side END AS box FROM m LEFT JOIN spl USING (slide) LEFT JOIN ob ON ob.tube_id = m.slide AND ob.section_label = ll),
+al AS (SELECT * FROM ob UNION ALL SELECT *, bool_or(box IS NOT NULL) OVER (PARTITION BY tube_id) FROM rb),
+cd AS (SELECT al.*, CASE WHEN r.slide IS NULL OR needs_confirmation <> '' OR coalesce(positive_box, '') NOT IN ('near_label', 'far_label', 'both') THEN 'unresolved' WHEN positive_box = 'both' THEN 'positive'
+  WHEN NOT has_box OR box IS NULL THEN 'unresolved' WHEN box = positive_box THEN 'positive' ELSE 'negative' END AS condition FROM al LEFT JOIN rec r ON r.slide = al.tube_id),
+man AS (SELECT tube_id, scan, section_label, phys AS physical_section_label, condition, condition <> 'unresolved' AS analysis_include, false AS scan_is_preferred FROM cd),
+{NOTES}, {_PREFER_TAIL},
+fl AS (SELECT tube_id, CASE WHEN bool_or(condition <> 'unresolved') THEN bool_or(condition = 'negative') END AS has_negative_control FROM cd GROUP BY 1)
+SELECT 'section' AS row_kind, pref.*, box, has_negative_control FROM pref JOIN fl USING (tube_id) JOIN cd USING (tube_id, scan, section_label)
+UNION ALL SELECT 'record_only', slide, 'original', '', '', 'unresolved', false, true, false, NULL, NULL FROM rec WHERE slide NOT IN (SELECT slide FROM scn)""".replace("SELECT 'section' AS row_kind, pref.*, box", "SELECT 'section' AS row_kind, pref.*, cd.box"))
+def _build(t):
+    s = scans(t).withColumnRenamed("slide", "tube_id").select("tube_id", "scan", "section_label", "x")
+    m = build_manifest(s.where("scan = 'original'"), s.where("scan = 'rescan'"), record(t).withColumnRenamed("slide", "tube_id"), _notes(t))
+    return m.select("row_kind", "tube_id", "scan", "section_label", "physical_section_label", "condition", "analysis_include", "scan_is_preferred",
+                    "use_for_measurement", "box", "has_negative_control")

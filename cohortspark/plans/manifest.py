@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.conditions import derive_condition, enrich
-from ..operators.matching import assign_sides, gap_split
-from ..operators.summarise import attach, slide_summary
+from ..operators.conditions import apply_patches, bookkeeping_rows, derive_condition, enrich, prefer
+from ..operators.matching import assign_sides, gap_split, nearest_match
+from ..operators.sets import union_scans
+from ..operators.summarise import attach, entity_flag, slide_summary
+from ..session import checkpoint
 
 
 def section_conditions(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
@@ -29,3 +31,36 @@ def slide_report(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
     flags = slides.where(F.col("animal").isNotNull()).groupBy("animal").agg(
         F.when(F.bool_or(resolved), F.bool_or(negative)).alias("has_negative_control"))
     return attach(slides, flags, ["animal"])
+
+
+def build_manifest(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, **split) -> DataFrame:
+    """One row per section per scan, plus one per record without data.
+
+    ``originals`` and ``rescans``: ``tube_id, section_label, x`` and any other columns;
+    ``record``: ``tube_id, positive_box, needs_confirmation``; ``notes`` as in
+    ``apply_patches``. A rescan takes its box from the original it matches, or from its
+    side of the gap when it is new. Write the result before checking it: the rules read
+    it several times.
+    """
+    slide = ["tube_id"]
+    # Each stage is read several times by the next one, so stages are written once.
+    splits = checkpoint(gap_split(originals, slide, "x", **split))
+    first = assign_sides(originals, splits, slide, "x").withColumns({
+        "scan": F.lit("original"), "physical_section_label": F.col("section_label"), "slide_has_box": F.col("split_status") == "ok"})
+
+    match = checkpoint(nearest_match(originals, rescans, slide, "x", "section_label").drop("x"))
+    again = attach(rescans, match, ["tube_id", "section_label"])
+    again = attach(again, first.select("tube_id", F.col("section_label").alias("matched_label"), F.col("box").alias("_box")), ["tube_id", "matched_label"])
+    again = attach(again, splits.select("tube_id", F.col("status").alias("split_status"), "gap_ratio"), slide)
+    box = F.when(F.col("split_status") == "ok", F.when(F.col("match_status") == "matched", F.col("_box")).when(F.col("match_status") == "new", F.col("side")))
+    again = again.withColumns({"box": box, "scan": F.lit("rescan"), "physical_section_label": F.coalesce("matched_label", "section_label")}).drop("_box", "side")
+    again = checkpoint(again)
+    again = attach(again, again.groupBy("tube_id").agg(F.bool_or(F.col("box").isNotNull()).alias("slide_has_box")), slide)
+
+    both = derive_condition(enrich(union_scans(first, again), record, "tube_id"))
+    both = both.withColumns({"analysis_include": F.col("condition") != "unresolved", "scan_is_preferred": F.col("scan") == "rescan"})
+    flagged = checkpoint(entity_flag(checkpoint(both), "tube_id"))
+    # Records without data join after the flag, which only sections decide.
+    rows = bookkeeping_rows(flagged, record, "tube_id").fillna(
+        {"scan": "original", "section_label": "", "physical_section_label": "", "condition": "unresolved", "analysis_include": False, "scan_is_preferred": False})
+    return prefer(checkpoint(apply_patches(rows, notes)))

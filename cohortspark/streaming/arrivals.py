@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.skew import set_digest
 
 
-def fold_arrivals(stream: DataFrame, key: str, ts: str, inventory: str, checkpoint: str, *, late: str = "1 day", spread: int = 1) -> StreamingQuery:
+def fold_arrivals(stream: DataFrame, key: str, ts: str, inventory: str, checkpoint: str, *, late: str = "1 day") -> StreamingQuery:
     """Append rows not seen before to the ``inventory`` folder, one sub-folder per batch.
 
     Copies that arrive within ``late`` of the newest event are dropped by the streaming
@@ -21,7 +21,7 @@ def fold_arrivals(stream: DataFrame, key: str, ts: str, inventory: str, checkpoi
     seen = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", late).dropDuplicatesWithinWatermark([key])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.drop("_event_time").repartition(spread).write.mode("overwrite").parquet(f"{inventory}/batch={batch_id}")
+        batch.drop("_event_time").write.mode("overwrite").parquet(f"{inventory}/batch={batch_id}")
 
     return seen.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -92,3 +92,32 @@ def test_grid_fits(spark):
     d = spark.createDataFrame([(10, 5000), (11, 5000), (8, 5000)], "cols int, w int")
     got = [r[0] for r in d.select(grid_fits(F.col("cols"), F.lit(1), F.lit(512), F.lit(512), F.col("w"), F.lit(600))).collect()]
     assert got == [True, False, True]
+
+
+def test_verify_plan(spark):
+    from cohortspark.plans.verify import verify_containers
+
+    def grid(skip=()):
+        return [((c, r, ch, 0), 200, 10) for c in range(3) for r in range(3) for ch in range(3) if (c, r, ch) not in skip]
+
+    files = spark.createDataFrame([
+        ("good", container(grid())), ("hole", container(grid({(1, 1, 2)}))), ("cut", container(grid(), cut=4)), ("far", container([*grid(), ((0, 0, 0, 0), 10**9, 9)])),
+        ("none", container([]))], "path string, content binary")
+    meta = files.select("path", F.lit("d").alias("directory"), F.lit(1500).alias("true_w"), F.lit(1490).alias("true_h"))
+    problems, status = verify_containers(files, meta)
+    assert {(r.key, r.rule) for r in problems.collect()} == {("hole", "channel_support"), ("cut", "unreadable"), ("far", "past_end"), ("none", "no_tiles")}
+    r = status.first()
+    assert (r.n_total, r.n_passed, r.n_failed, r.ok) == (5, 1, 4, False)
+
+
+def test_blind_plan(spark, tmp_path):
+    from cohortspark.plans.blind import blind
+    rows = [(t, ("alpha", "beta", "gamma")[t % 3], f"0{s}", "positive" if s < 3 else "negative", True) for t in range(100, 124) for s in (1, 2, 3)]
+    d = spark.createDataFrame(rows, "tube_id int, group string, section_label string, condition string, scan_is_preferred boolean")
+    groups = d.select("tube_id", "group").distinct()
+    found = blind(d.drop("group"), groups, "orchid-7-basalt-19", str(tmp_path / "p"), str(tmp_path / "b"), n_perm=20)
+    assert found.where("severity = 'LEAK'").count() == 0
+    out = spark.read.parquet(str(tmp_path / "b" / "blinded"))
+    assert out.count() == len(rows) and "tube_id" not in out.columns and spark.read.parquet(str(tmp_path / "p" / "provenance")).count() == len(rows)
+    with pytest.raises(ValueError):
+        blind(d.withColumn("condition", F.lit("pending")), groups, "orchid-7-basalt-19", str(tmp_path / "p2"), str(tmp_path / "b2"))
