@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from .skew import GROUP_LIMIT, ordered, top_k
 from .summarise import attach
 
@@ -136,6 +137,7 @@ def nearest_match(
     d = d.select(
         *by, label, "_x", "_left_label", off.alias("_off"), enough.alias("_enough"),
         F.coalesce(hit, F.lit(False)).alias("_hit"), side.alias("_side"))
+    d = checkpoint(d)  # read three times below
     claims = d.where("_hit").groupBy(*by, "_left_label").agg(F.count(F.lit(1)).alias("_k"))
     clash = claims.groupBy(*by).agg((F.max("_k") > 1).alias("_clash"))
     lost = d.groupBy(*by).agg(F.bool_or(~F.col("_hit") & F.col("_side").isNull()).alias("_lost"))
