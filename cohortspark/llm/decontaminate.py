@@ -17,6 +17,7 @@ whatever their names, unless a name equals a result's, which then raises ``Value
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,15 +147,15 @@ class Automaton:
                 hits.append((start, at + 1, longest))
 
 
-#: The automaton this worker has built last, by the broadcast it came from.
-_BUILT: dict[int, Automaton] = {}
+#: The automaton this worker has built last, by the name its broadcast was given.
+_BUILT: dict[str, Automaton] = {}
 
 
-def _automaton(sent, window: int) -> Automaton:
-    if sent.id not in _BUILT:
+def _automaton(name: str, sent, window: int) -> Automaton:
+    if name not in _BUILT:
         _BUILT.clear()
-        _BUILT[sent.id] = Automaton(sent.value, window)
-    return _BUILT[sent.id]
+        _BUILT[name] = Automaton(sent.value, window)
+    return _BUILT[name]
 
 
 def _merged(spans: list[tuple[int, int, int]]) -> list[dict[str, int]]:
@@ -182,13 +183,14 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
     if taken := {"n_words", "hit", "items"} & set(docs.columns):
         raise ValueError(f"columns {sorted(taken)} are results")
     found = docs.withColumns({"n_words": F.lit(-1).cast("bigint"), "hit": F.lit(None).cast("array<struct<start: bigint, stop: bigint, longest: bigint>>"), "items": F.lit(None).cast("array<bigint>")})
-    at, first = docs.columns.index(text_col), len(docs.columns)
+    given = docs.columns
+    at, first = given.index(text_col), len(given)
     lists = list(shards(benchmark, item_col, item_text_col, shard_bytes)) or [[]]
     for k, items in enumerate(lists):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        sent, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[dict]:
-            automaton = _automaton(sent, window)
+        def scan(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[dict]:
+            automaton = _automaton(name, sent, window)
             for b in batches:
                 n, hit, owners = [], [], []
                 for text, old, seen in zip(*(b.column(i).to_pylist() for i in (at, first + 1, first + 2)), strict=True):
@@ -197,7 +199,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
                     n.append(len(words))
                     hit.append(_merged([*((x["start"], x["stop"], x["longest"]) for x in old or ()), *spans]))
                     owners.append(sorted({*(seen or ()), *items}))
-                yield {c: b.column(i) for i, c in enumerate(docs.columns)} | {"n_words": n, "hit": hit, "items": owners}
+                yield {c: b.column(i) for i, c in enumerate(given)} | {"n_words": n, "hit": hit, "items": owners}
 
         found = map_batches(found, scan, found.schema)
         if k + 1 < len(lists):  # one automaton at a time in a worker's memory
@@ -225,13 +227,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     if taken := {"clean_text", "drop"} & set(docs.columns):
         raise ValueError(f"columns {sorted(taken)} are results")
     found = find_matches(docs, benchmark, text_col=text_col, window=window, **named)
-    at, spans = found.columns.index(text_col), found.columns.index("hit")
+    given = found.columns
+    at, spans = given.index(text_col), given.index("hit")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             long = [[(x["start"], x["stop"]) for x in h if x["stop"] - x["start"] > max_span] for h in b.column(spans).to_pylist()]
             texts = [cut_text(t, s) if s else t for t, s in zip(b.column(at).to_pylist(), long, strict=True)]
-            yield {c: b.column(i) for i, c in enumerate(found.columns)} | {"clean_text": texts}
+            yield {c: b.column(i) for i, c in enumerate(given)} | {"clean_text": texts}
 
     hit = F.aggregate("hit", F.lit(0).cast("bigint"), lambda n, x: n + x["stop"] - x["start"])
     return map_batches(found, cut, found.select("*", F.lit("").alias("clean_text")).schema).withColumn("drop", hit > max_coverage * F.col("n_words"))
