@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -25,7 +26,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
 def pieces(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``most_bytes`` of a text column each, one row at least."""
     start, size = 0, 0
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     for i, n in enumerate(lengths):
         if size and size + n > most_bytes:
             yield batch.slice(start, i - start)
