@@ -1,6 +1,6 @@
 """Imports every query module of the subpackage, which registers its queries."""
 
-from . import decontaminate_queries, language_id_queries, media_queries, recompression_queries, secrets_queries, simhash_queries, warc_queries  # noqa: F401
+from . import decontaminate_queries, language_id_queries, line_chunks_queries, media_queries, recompression_queries, secrets_queries, simhash_queries, warc_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
