@@ -11,7 +11,7 @@ Nothing is shuffled.
 Defined cases: a null text has no words and no hits. An item without words or without an id is
 no item. Repeated items count once; repeated rows are judged row by row. Empty tables give
 empty results, an empty benchmark gives no hits. Columns beside the named ones pass untouched,
-whatever their names, unless a name equals a result's, which then raises ``ValueError``.
+whatever their names; one that is named as a result gives way to it.
 """
 
 from __future__ import annotations
@@ -180,8 +180,7 @@ def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -
 def find_matches(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                  window: int = 10, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, the merged ``hit`` spans of words and the ``items`` found."""
-    if taken := {"n_words", "hit", "items"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(taken)} are results")
+    docs = docs.drop("n_words", "hit", "items")
     found = docs.withColumns({"n_words": F.lit(-1).cast("bigint"), "hit": F.lit(None).cast("array<struct<start: bigint, stop: bigint, longest: bigint>>"), "items": F.lit(None).cast("array<bigint>")})
     given = docs.columns
     at, first = given.index(text_col), len(given)
@@ -224,9 +223,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     Spans of more than ``max_span`` hit words are cut out of the text; a document with more than
     ``max_coverage`` of its words hit is to be dropped.
     """
-    if taken := {"clean_text", "drop"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(taken)} are results")
-    found = find_matches(docs, benchmark, text_col=text_col, window=window, **named)
+    found = find_matches(docs.drop("clean_text", "drop"), benchmark, text_col=text_col, window=window, **named)
     given = found.columns
     at, spans = given.index(text_col), given.index("hit")
 

@@ -12,7 +12,7 @@ pairs of languages.
 Defined cases: a text that is null or has no letter is ``und`` with score 0. Without training rows
 every text is ``und``; with one language every text with a letter has it, with score 1. A language
 without a family in ``FAMILIES`` is a family of its own. Repeated rows are judged alike. Other
-columns pass untouched; result names that are taken raise ``ValueError``.
+columns pass untouched; those named as results give way to them.
 """
 
 from __future__ import annotations
@@ -172,9 +172,8 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
 
 def identify(docs: DataFrame, models: Hierarchy, *, text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     """``docs`` with ``lang_pred``, ``family_pred`` and ``score``."""
+    docs = docs.drop("lang_pred", "family_pred", "score")
     given = docs.columns
-    if taken := {"lang_pred", "family_pred", "score"} & set(given):
-        raise ValueError(f"columns {sorted(taken)} are results")
     at = given.index(text_col)
     sent = docs.sparkSession.sparkContext.broadcast(models)
 

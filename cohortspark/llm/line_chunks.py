@@ -13,8 +13,8 @@ documents share counts once a block.
 Defined cases: a null text stays null and has no lines; an empty text is one empty line. A document
 of one line keeps it. Chunks without a sign beyond blanks are kept. A null id counts as larger than
 all others. Rows that repeat an id are one document: what is first in one of them stays in all.
-Empty tables give empty results; other columns pass untouched, result names that are taken raise
-``ValueError``.
+Empty tables give empty results; other columns pass untouched, those named as results give way to
+them.
 """
 
 from __future__ import annotations
@@ -85,8 +85,7 @@ def _columns(rows: pa.StructArray, id_at: int, text_at: int) -> BlockChunks:
 
 def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, digest_bytes: int = 16) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_removed`` and ``clean_text`` without the chunks that stand before."""
-    if taken := set(RESULTS) & set(docs.columns):
-        raise ValueError(f"columns {sorted(taken)} are results")
+    docs = docs.drop(*RESULTS)
     given = docs.columns
     id_at, text_at = given.index(id_col), given.index(text_col)
     blocks = gather_blocks(docs, text_col, block_bytes)

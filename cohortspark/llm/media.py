@@ -10,7 +10,7 @@ a small multiple of its payload.
 
 Defined cases: a null or empty text is one block of zeros. Equal texts give equal media, tensors
 and features, however rows are dealt. Empty tables give empty results. Columns beside the named ones
-pass untouched; result names that are taken raise ``ValueError``.
+pass untouched; those named as results give way to them.
 """
 
 from __future__ import annotations
@@ -72,14 +72,9 @@ def describe(tensor: np.ndarray) -> str:
     return f"{t.shape[1]}x{t.shape[0]};{';'.join(map(str, sums))};{int(np.abs(np.diff(t, axis=1)).sum(dtype=np.int64))};{int(np.abs(np.diff(t, axis=0)).sum(dtype=np.int64))}"
 
 
-def _free(df: DataFrame, *names: str) -> None:
-    if taken := set(names) & set(df.columns):
-        raise ValueError(f"columns {sorted(taken)} are results")
-
-
 def store_texts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes`` (without padding) and the image ``media`` of each text."""
-    _free(docs, "n_bytes", "media")
+    docs = docs.drop("n_bytes", "media")
     given = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -95,7 +90,7 @@ def store_texts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 def load_media(df: DataFrame, *, media_col: str = "media", tensors: bool = True) -> DataFrame:
     """``df`` with the stored ``payload``, the ``feature`` of its image and, unless ``tensors`` is off, the ``tensor``: ``height, width, rgb``."""
     names = ("payload", "feature", *(["tensor"] if tensors else []))
-    _free(df, *names)
+    df = df.drop(*names)
     given = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

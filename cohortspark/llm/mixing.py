@@ -17,8 +17,8 @@ Defined cases: a null text has no words, hence no tokens; its posteriors are tho
 an empty text. Labels without an id, a domain or a document don't train. Without any usable label
 every document has equal posteriors over the targets' domains. Domains that no label has get the
 posterior 0 and can't be reached; a target's weight must not be negative. Repeated rows are rated
-alike. Empty tables give empty results; other columns pass untouched, result names that are taken
-raise ``ValueError``.
+alike. Empty tables give empty results; other columns pass untouched, those named as results give
+way to them.
 """
 
 from __future__ import annotations
@@ -217,8 +217,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], *, id_
     ``budget`` tokens are wanted in all, by default as many as there are. ``copies`` is the rate,
     rounded up or down by a hash of the document.
     """
-    if taken := set(RESULTS) & set(docs.columns):
-        raise ValueError(f"columns {sorted(taken)} are results")
+    docs = docs.drop(*RESULTS)
     if not targets or min(targets.values()) < 0 or not sum(targets.values()):
         raise ValueError("targets are nonnegative weights, one above 0 at least")
     domains = list(targets)

@@ -10,8 +10,8 @@ a base span holds already.
 Sums of count x log2(count) are whole billionths, so that adding and taking off is exact.
 
 Defined cases: a null text is empty and has no secrets; empty tables give empty results; repeated
-rows are scanned row by row. Other columns pass untouched; a column named ``secrets`` raises
-``ValueError``. Positions count code points, the end is exclusive.
+rows are scanned row by row. Other columns pass untouched; one named ``secrets`` gives way to the
+result. Positions count code points, the end is exclusive.
 """
 
 from __future__ import annotations
@@ -118,8 +118,7 @@ def entropy_spans(candidate: Column, classes: Sequence[CharacterClass] = CLASSES
 def find_secrets(docs: DataFrame, *, text_col: str = "text", classes: Sequence[CharacterClass] = CLASSES, window: int = WINDOW,
                  allowed: Sequence[str] = ALLOWED, allowed_strings: Sequence[str] = ()) -> DataFrame:
     """``docs`` with ``secrets``: ``kind, start, stop, value`` ordered by start, then kind as listed, entropy last."""
-    if "secrets" in docs.columns:
-        raise ValueError("a column secrets is a result")
+    docs = docs.drop("secrets")
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = lambda spans, k, kind: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["stop"].alias("stop"), F.lit(kind).alias("kind")))
     base = F.flatten(F.array(*(named(matches(text, pattern, group, least), k, kind) for k, (kind, pattern, group, least) in enumerate(BASE))))

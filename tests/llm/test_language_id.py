@@ -3,7 +3,6 @@
 import zlib
 
 import numpy as np
-import pytest
 
 from cohortspark.llm.language_id import PairwiseModel, features, held_out, identify, sample, train, train_svm
 from cohortspark.llm.load import QUERIES
@@ -30,8 +29,7 @@ def test_defined_cases(spark, make_docs):
     assert out[3].lang_pred == "en" and out[4].lang_pred == "en" and out[5].lang_pred != "und" and out[6].lang_pred != "und"
     assert (out[7].lang_pred, out[7].score) == (out[8].lang_pred, out[8].score)
     assert identify(make_docs([]), models).count() == 0
-    with pytest.raises(ValueError):
-        identify(make_docs([]).withColumnRenamed("source", "score"), models)
+    assert identify(make_docs(texts).withColumnRenamed("source", "score"), models).where("score > 1").count() == 0
 
 
 def test_few_languages(make_docs):

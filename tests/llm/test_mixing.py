@@ -59,8 +59,7 @@ def test_defined_cases(spark, make_docs):
     for bad in ({}, {"a": -1.0}, {"a": 0.0}):
         with pytest.raises(ValueError):
             mix(docs, labels, bad)
-    with pytest.raises(ValueError):
-        mix(docs.withColumnRenamed("row", "rate"), labels, {"good": 1.0})
+    assert mix(docs.withColumnRenamed("row", "rate"), labels, {"good": 1.0}).where("rate IS NULL").count() == 0
 
 
 def test_without_labels(spark, make_docs):
