@@ -11,13 +11,17 @@ from .registry import query, rnd
 
 
 def _fold(t):
-    """Write the events as arriving files (with copies), fold them, and run it again."""
+    """Fold the later half of the events as arriving files (with copies), then the earlier half and the copies again."""
     source, inventory, state = (_folder(t, n) for n in ("incoming", "inventory", "state"))
     e = t.events
-    e.unionByName(e.where("event_id % 3 = 0")).repartition(4, "event_type").write.parquet(source)
-    for _ in range(2):
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    middle = e.select(F.percentile_approx(seconds, 0.5)).first()[0]
+    late = F.coalesce(seconds < middle, F.lit(False))
+    copies = e.where("event_id % 3 = 0")
+    for part in (e.where(~late).unionByName(copies.where(~late)), e.where(late).unionByName(copies)):
+        part.repartition(4, "event_type").write.mode("append").parquet(source)
         stream = t.spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(source)
-        A.fold_arrivals(stream, "event_id", "ts", inventory, state, late="3650 days").awaitTermination()
+        A.fold_arrivals(stream, "event_id", inventory, state).awaitTermination()
     return t.spark.read.parquet(inventory)
 
 

@@ -71,11 +71,11 @@ ROWS = """rws AS (SELECT o_custkey AS tube_id, 'section' AS row_kind, '0' || (o_
   10002 + 3 * (o_orderkey % 4) AS stack_id, CASE WHEN o_orderstatus = 'O' THEN 'near_label' ELSE 'far_label' END AS box, round(0.325::DOUBLE + (o_orderkey % 100) / 1e7, 4) AS pixel_size_um,
   o_orderkey % 3 <> 0 AS preferred, o_orderkey % 50 = 0 AS flagged, o_orderpriority AS channel FROM orders)"""
 BLINDED = f"""{CODES}, {ROWS}, bl AS (SELECT code, row_kind, section_label, condition, stack_id, box, pixel_size_um, channel, row_number() OVER (PARTITION BY code, section_label
-  ORDER BY sha256(row_kind || '|' || condition || '|' || stack_id || '|' || box || '|' || pixel_size_um || '|' || channel)) AS replicate FROM rws JOIN codes USING (tube_id) WHERE preferred)"""
+  ORDER BY sha256(row_kind || '|' || condition || '|' || stack_id || '|' || box || '|' || pixel_size_um || '|' || channel)) AS replicate FROM rws JOIN codes USING (tube_id) WHERE preferred AND NOT flagged)"""
 
 
 def _blinded(t):
-    return B.split_private_blinded(_rows(t), _codes(t).select("tube_id", "code"), "tube_id", preferred_only=True)[1]
+    return B.split_private_blinded(_rows(t).where("needs_confirmation = ''"), _codes(t).select("tube_id", "code"), "tube_id", preferred_only=True)[1]
 
 
 @query("h03_private_blinded_split", f"WITH {BLINDED} SELECT * FROM bl")
@@ -195,7 +195,7 @@ def _columns(t):
 
 
 @query("h11_audit_duplicates", """SELECT 'RISK' AS severity, 'duplicates_unaddressable' AS "check", 'section_label' AS "column", CAST(count(DISTINCT o_custkey) AS VARCHAR) AS detail
-FROM (SELECT o_custkey FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey, o_orderkey % 4 HAVING count(*) > 1)""")
+FROM (SELECT o_custkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 50 <> 0 GROUP BY o_custkey, o_orderkey % 4 HAVING count(*) > 1)""")
 def _duplicates(t):
     return A.audit_duplicates(_blinded(t).drop("replicate"))
 
@@ -221,4 +221,4 @@ def _audit_codes(t):
 
 @query("blind_audit_report")
 def _report(t):
-    return A.audit_blinded(_blinded(t), _codes(t), "tube_id", "group", n_perm=50)
+    return A.audit_blinded(_blinded(t), _codes(t), "tube_id", "group", n_perm=N_PERM)

@@ -116,7 +116,7 @@ def _notes(t):
 def _natural(t):
     from ..operators.skew import ordered
     d = t.part.select("p_brand").distinct().withColumn("key", X.natural_key(F.col("p_brand")))
-    # The padded digits of the key give a numeric order for the ranking.
+    # The key's digits (their number, then they) order as one number does.
     d = d.withColumn("num", F.regexp_extract("key", r"(\d+)", 1).cast("double"))
     return ordered(d, [], "num", {"before": ("sum", F.lit(1), "before")}, ties=["key"]).select("p_brand", (F.col("before") + 1).alias("place"))
 

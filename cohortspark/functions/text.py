@@ -125,12 +125,16 @@ def join_notes(*notes: Column) -> Column:
     return F.array_join(F.filter(F.array(*notes), lambda n: n.isNotNull() & (n != "")), "; ")
 
 
-def natural_key(c: Column, width: int = 20) -> Column:
-    """Sort key where digit runs compare as numbers: each run is padded to ``width``."""
+def natural_key(c: Column) -> Column:
+    """Sort key where digit runs compare as numbers, however long: each run without leading
+    zeros is preceded by its number of digits."""
     pieces = F.regexp_extract_all(c, F.lit(r"(\d+|\D+)"), 1)
-    return F.array_join(
-        F.transform(pieces, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, width, "0")).otherwise(p)), ""
-    )
+
+    def number(p: Column) -> Column:
+        digits = F.ltrim(p, F.lit("0"))
+        return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"^\d"), number(p)).otherwise(p)), "")
 
 
 def tokens(c: Column, pattern: str) -> Column:

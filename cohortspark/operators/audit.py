@@ -19,12 +19,13 @@ from .summarise import attach
 # Fixed values.
 PATH_LIKE = (
     r"(?i)(?:^|[\s,;=])(?:/|~/|\.\./|\./)|[A-Za-z]:[\\/]|\\\\[A-Za-z0-9._-]+\\"
-    r"|\.(?:tif|tiff|ome|czi|ndpi|svs|png|jpe?g|json|csv|xlsx?)\b|\bImage_\d+\b|\b_Image_\d+_\b"
+    r"|\.(?:vsi|ets|tif|tiff|ome|czi|ndpi|svs|png|jpe?g|json|csv|xlsx?|qpproj|qpdata)\b|\bImage_\d+\b|\b_Image_\d+_\b"
 )
 TREATMENT_WORDS = ("rapamycin", "sirolimus", "vehicle", "saline", "placebo", "untreated", "diet", "chow", "intraperitoneal")
 CODE_PATTERN = r"^[A-Za-z][A-Za-z0-9]{1,15}$"
 MAX_RHO, COLUMN_RHO = 0.5, 0.9
 LEAK_P, RISK_P = 0.01, 0.05
+N_PERM = 20_000
 RARE = 2
 PREFIX_VALUES = 16
 
@@ -41,12 +42,13 @@ def _fixed(spark: SparkSession, rows: Sequence[tuple[str, str, str, str]]) -> Da
 
 
 def audit_structure(blinded: DataFrame, codes: DataFrame, code: str = "code", deny: Sequence[str] = DENIED) -> DataFrame:
-    """Codes without a key entry, a key that is not one-to-one, denied column names."""
+    """Rows without a code, codes without a key entry, a key that is not one-to-one, denied column names."""
+    missing = blinded.where(F.col(code).isNull()).agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(*_finding("LEAK", "missing_code", code, F.col("n")))
     unknown = blinded.select(code).where(F.col(code).isNotNull()).distinct().join(codes.select(code), code, "left_anti")
     unknown = unknown.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(*_finding("LEAK", "unknown_code", code, F.col("n")))
     shared = codes.groupBy(code).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     names = [("LEAK", "denied_name", c, denied_token(c, deny)) for c in blinded.columns if denied_token(c, deny)]
-    return unknown.unionByName(shared.select(*_finding("LEAK", "shared_code", code, F.col("n")))).unionByName(_fixed(blinded.sparkSession, names))
+    return missing.unionByName(unknown).unionByName(shared.select(*_finding("LEAK", "shared_code", code, F.col("n")))).unionByName(_fixed(blinded.sparkSession, names))
 
 
 def audit_ids(blinded: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -106,13 +108,16 @@ def audit_terms(blinded: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
         paths.select(*_finding("LEAK", "path", F.col("column"), F.col("n"))))
 
 
-def order_statistics(codes: DataFrame, key: str, code: str, group: str, *, n_perm: int = 200, seed: str = "audit", limit: int = GROUP_LIMIT) -> DataFrame:
+def order_statistics(codes: DataFrame, key: str, code: str, group: str, *, n_perm: int = N_PERM, seed: str = "audit", limit: int = GROUP_LIMIT) -> DataFrame:
     """Is the code order the id order, and does it keep groups together?
 
     One row with Spearman's rho and the adjacent-same-group count, each with its
     permutation p-values. Replicate ``r`` orders the ids by a hash keyed with ``r``; both
-    statistics come from the same replicates. The work is ids times ``n_perm``.
+    statistics come from the same replicates. The work is ids times ``n_perm``; too few to
+    reach ``LEAK_P`` are refused.
     """
+    if 1 / (n_perm + 1) > LEAK_P:
+        raise ValueError(f"{n_perm} permutations cannot give a p-value of {LEAK_P}")
     d = codes.select(F.col(key).alias("_id"), F.col(code).alias("_code"), F.col(group).alias("_g"), F.col(key).cast("double").alias("_x"), text_number(F.col(code)).alias("_c"))
     placed = ordered(d, [], "_x", {"_rid": ("sum", F.lit(1), "before")}, limit=limit)
     placed = ordered(placed, [], "_c", {"_rcode": ("sum", F.lit(1), "before")}, ties=["_code"], limit=limit)
@@ -257,7 +262,7 @@ def audit_codes(codes: DataFrame, key: str, code: str, roster: DataFrame, *, lim
     return counts.unionByName(order).select(*_finding(F.col("severity"), F.col("check"), code, F.col("n")))
 
 
-def audit_blinded(blinded: DataFrame, codes: DataFrame, key: str, group: str, *, arm: str | None = None, n_perm: int = 200) -> DataFrame:
+def audit_blinded(blinded: DataFrame, codes: DataFrame, key: str, group: str, *, arm: str | None = None, n_perm: int = N_PERM) -> DataFrame:
     """All attacks; leaks first. ``codes``: ``key, code, group`` of every entity."""
     vocabulary = group_vocabulary(codes, [group, *([arm] if arm else [])])
     parts = [

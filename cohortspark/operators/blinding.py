@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -25,7 +26,9 @@ DENIED = (
     "exposure_ms", "exposure_dapi", "exposure_fitc", "exposure_cy3", "exposure_us", "sha", "checksum", "hash", "md5",
     "label_image", "seed", "code_seed", "depth_index", "rescan", "needs_confirmation", "annotation", "warning",
 )
-UNRESOLVED = ("", "unresolved", "unknown", "pending", "nan", "none", "tbd", "needs_confirmation", "?")
+UNRESOLVED = ("", "unresolved", "unknown", "pending", "pending_pi_decision", "nan", "none", "tbd", "needs_confirmation", "?")
+DATE = r"(19|20)\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])"
+NUMERIC_DIGITS, TEXT_LENGTH, TEXT_DISTINCT = 12, 16, 8
 POOL_HEADROOM = 4
 LETTERS = 26
 
@@ -61,9 +64,10 @@ def check_seed(seed) -> str:
 
 
 def reject_weak_seed(seed: str) -> None:
-    """Refuse dates, short numbers and short words as the secret seed."""
-    if len(seed) < 12 or (seed.isdigit() and len(set(seed)) < 6):
-        raise ValueError("the seed is too easy to guess: use 12 or more varied characters")
+    """Refuse seeds that can be found by trying: dates, numbers below twelve digits, and text below
+    sixteen characters or eight distinct ones."""
+    if re.fullmatch(DATE, seed) or (len(seed) < NUMERIC_DIGITS if seed.isdigit() else len(seed) < TEXT_LENGTH or len(set(seed)) < TEXT_DISTINCT):
+        raise ValueError("the seed is too easy to guess: draw 128 random bits")
 
 
 def _pool(n: int, width: int | None) -> tuple[int, int]:
@@ -168,8 +172,14 @@ def split_private_blinded(df: DataFrame, codes: DataFrame, entity: str, *, extra
                           exposure: Sequence[str] = (), preferred_only: bool = False):
     """Private table (all columns and the code) and blinded table (policy columns only).
 
-    The caller checks ``unresolved_rows`` and the missing ids first; both must be empty.
+    Unresolved rows and rows without a code stop it: hidden behind a code nobody would find them.
     """
+    stopped = unresolved_rows(df).select(entity).limit(5).collect()
+    if stopped:
+        raise ValueError(f"unresolved rows, e.g. of {[r[0] for r in stopped]}")
+    nameless = df.select(entity).join(codes.where(F.col("code").isNotNull()).select(entity), entity, "left_anti").limit(5).collect()
+    if nameless:
+        raise ValueError(f"rows without a code, e.g. of {[r[0] for r in nameless]}")
     work = standard_flag(df, exposure) if exposure and "exposure_is_standard" not in df.columns else df
     private = attach(work, codes, [entity])
     chosen = private.where(truthy(F.col("scan_is_preferred"))) if preferred_only else private

@@ -21,12 +21,13 @@ def enrich(sections: DataFrame, record: DataFrame, key: str) -> DataFrame:
 def derive_condition(df: DataFrame) -> DataFrame:
     """Three-state condition with its reason.
 
-    Needs ``in_record, needs_confirmation, positive_box, box, slide_has_box``.
+    Needs ``in_record, needs_confirmation, positive_box, box, slide_has_box``. Any text in
+    ``needs_confirmation`` but a written "nan" leaves the row unresolved, even "no".
     """
     pb = F.coalesce("positive_box", F.lit(""))
     reason = (
         F.when(~F.col("in_record"), "no record")
-        .when(is_flag(F.col("needs_confirmation")), F.concat(F.lit("needs confirmation: "), F.col("needs_confirmation")))
+        .when(~F.lower(F.trim(F.coalesce(F.col("needs_confirmation").cast("string"), F.lit("")))).isin("", "nan"), F.concat(F.lit("needs confirmation: "), F.col("needs_confirmation")))
         .when(~pb.isin("near_label", "far_label", "both"), F.concat(F.lit("positive box is "), pb))
         .when((pb != "both") & ~F.coalesce("slide_has_box", F.lit(False)), "no box could be derived")
         .otherwise("")

@@ -16,16 +16,15 @@ MAX_OVERESTIMATE = 0.15
 
 
 def positions(tiles: DataFrame, container: str) -> DataFrame:
-    """One row per tile position and level with its channels as a bit mask."""
-    return tiles.groupBy(container, "level", "col", "row").agg(
-        F.count(F.lit(1)).alias("n_tiles"), F.bit_or(F.expr("shiftleft(1L, cast(channel as int))")).alias("channels"))
+    """The distinct channels of every tile position and level, one row each."""
+    return tiles.select(container, "level", "col", "row", "channel").distinct()
 
 
 def tile_summary(tiles: DataFrame, container: str) -> DataFrame:
     """Levels, contiguity and, at the base level, grid extent, occupancy and sparsity."""
     per_level = positions(tiles, container).groupBy(container, "level").agg(
         F.min("col").alias("min_col"), F.min("row").alias("min_row"), (F.max("col") + 1).alias("grid_cols"),
-        (F.max("row") + 1).alias("grid_rows"), F.count(F.lit(1)).alias("tiles_present"), F.bit_count(F.bit_or("channels")).alias("n_channels"))
+        (F.max("row") + 1).alias("grid_rows"), F.count_distinct("col", "row").alias("tiles_present"), F.count_distinct("channel").alias("n_channels"))
     base = F.min(F.struct("level", "min_col", "min_row", "grid_cols", "grid_rows", "tiles_present", "n_channels"))
     g = per_level.groupBy(container).agg(base.alias("b"), F.max("level").alias("max_level"), F.count(F.lit(1)).alias("n_levels"))
     return g.select(
@@ -40,16 +39,16 @@ def tile_summary(tiles: DataFrame, container: str) -> DataFrame:
 def support_mismatch(tiles: DataFrame, container: str) -> DataFrame:
     """Channels that do not cover the positions of the first channel at the base level."""
     pos = positions(tiles, container)
-    whole = pos.groupBy(container, "level").agg(F.bit_or("channels").alias("all"))
-    base = whole.groupBy(container).agg(F.min(F.struct("level", "all")).alias("b")).select(
-        container, F.col("b.level").alias("base"), F.col("b.all").alias("all"))
+    base = pos.groupBy(container).agg(F.min(F.struct("level", "channel")).alias("b")).select(container, F.col("b.level").alias("base"), F.col("b.channel").alias("first"))
     d = attach(pos, base, [container]).where(F.col("level") == F.col("base"))
-    first = F.col("all").bitwiseAND(-F.col("all"))
-    has_first = F.col("channels").bitwiseAND(first) != 0
-    wrong = F.when(has_first, F.bitwise_not("channels")).otherwise(F.col("channels")).bitwiseAND(F.col("all"))
-    g = d.groupBy(container).agg(F.bit_or(wrong).alias("w"), F.count_if(wrong != 0).alias("n_positions"))
-    bits = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda i: F.call_function("shiftright", F.col("w"), i).bitwiseAND(F.lit(1)) != 0)
-    return g.select(container, F.array_join(bits.cast("array<string>"), ",").alias("mismatched"), "n_positions")
+    spots = d.groupBy(container, "col", "row").agg(F.max(F.col("channel") == F.col("first")).alias("has_first"), F.count(F.lit(1)).alias("n"))
+    both = attach(d, spots, [container, "col", "row"]).groupBy(container, "channel").agg(F.count_if("has_first").alias("inside"), F.count_if(~F.col("has_first")).alias("outside"))
+    whole = spots.groupBy(container).agg(F.count_if("has_first").alias("first_spots"))
+    each = attach(both, whole, [container])
+    wrong = F.when((F.col("inside") < F.col("first_spots")) | (F.col("outside") > 0), F.col("channel"))
+    g = each.groupBy(container).agg(F.array_join(F.array_sort(F.collect_list(wrong)).cast("array<string>"), ",").alias("mismatched"), F.count(F.lit(1)).alias("all"))
+    n = attach(spots, g.select(container, "all"), [container]).groupBy(container).agg(F.count_if(~F.col("has_first") | (F.col("n") < F.col("all"))).alias("n_positions"))
+    return attach(g.drop("all"), n, [container]).select(container, "mismatched", "n_positions")
 
 
 def tile_bounds(tiles: DataFrame, container: str) -> DataFrame:

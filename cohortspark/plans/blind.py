@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.audit import audit_blinded
+from ..operators.audit import N_PERM, audit_blinded
 from ..operators.blinding import assign_codes, extend_codes, split_private_blinded, unresolved_rows
 from ..session import checkpoint
 from ..sources.sinks import write_blinded
 
 
 def blind(manifest: DataFrame, groups: DataFrame, seed, private_dir: str, blinded_dir: str, *, entity: str = "tube_id", group: str = "group",
-          existing: DataFrame | None = None, width: int | None = None, exposure: Sequence[str] = (), preferred_only: bool = True, n_perm: int = 200) -> DataFrame:
+          existing: DataFrame | None = None, width: int | None = None, exposure: Sequence[str] = (), preferred_only: bool = True, n_perm: int = N_PERM) -> DataFrame:
     """Blind a resolved manifest; returns the findings. ``groups``: ``entity, group``.
 
     Refuses rows without a condition, and writes nothing if any finding is a leak.

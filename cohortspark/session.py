@@ -43,6 +43,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, in whatever store its name says."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back.
 

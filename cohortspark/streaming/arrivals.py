@@ -9,21 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.skew import set_digest
+from ..session import exists
 
 
-def fold_arrivals(stream: DataFrame, key: str, ts: str, inventory: str, checkpoint: str, *, late: str = "1 day") -> StreamingQuery:
-    """Append rows not seen before to the ``inventory`` folder, one sub-folder per batch.
+def fold_arrivals(stream: DataFrame, key: str, inventory: str, checkpoint: str, *, buckets: int = 8) -> StreamingQuery:
+    """Append rows whose key is new to the ``inventory`` folder, however late they come.
 
-    Copies that arrive within ``late`` of the newest event are dropped by the streaming
-    state, which the watermark bounds. A replayed batch overwrites its own sub-folder, so
-    replays change nothing. ``late`` must cover the time within which copies can arrive.
+    A batch is made distinct by key and held against what other batches have brought. The
+    inventory lies in ``batch=/bucket=`` folders by a hash of the key, so only buckets the batch
+    touches are read. A replayed batch overwrites its own folder, so replays change nothing.
     """
-    seen = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", late).dropDuplicatesWithinWatermark([key])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.drop("_event_time").write.mode("overwrite").parquet(f"{inventory}/batch={batch_id}")
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        if exists(spark, inventory):
+            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+            known = spark.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, batch bigint, bucket int").parquet(inventory)
+            known = known.where((F.col("batch") != batch_id) & F.col("bucket").isin(touched)).select(key)
+            fresh = fresh.join(known, key, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{inventory}/batch={batch_id}")
 
-    return seen.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def inventory_counts(inventory: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
@@ -36,7 +43,8 @@ def inventory_fingerprint(inventory: DataFrame, key: str) -> DataFrame:
 
 
 def windowed_counts(stream: DataFrame, ts: str, by: Sequence[str], window: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Arrivals per time window with a watermark for late rows (batch or stream)."""
+    """Arrivals per time window, of a batch or a stream. A stream gives up rows later than ``late``;
+    counts of the inventory lose none."""
     d = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
     d = d.withWatermark("_event_time", late) if d.isStreaming else d
     return d.groupBy(F.window("_event_time", window), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("window_start"), *by, "n")

@@ -41,7 +41,7 @@ def test_codes(roster, codes, spark):
     assert weak(42) == weak("42")
 
 
-@pytest.mark.parametrize("seed", [None, "", "PENDING_PI_DECISION", 20260807, 19991231, 42, 12345, "password", "abc123"])
+@pytest.mark.parametrize("seed", [None, "", "PENDING_PI_DECISION", 20260807, 19991231, 42, 12345, "password", "abc123", "aaaaaaaaaaaa", "password1234", "passwordpassword", "abcabcabcabc", 12345678901])
 def test_weak_seeds_are_refused(roster, seed):
     with pytest.raises(ValueError):
         B.assign_codes(roster, "tube_id", seed)
@@ -113,3 +113,15 @@ def test_split(codes, spark):
     assert B.unresolved_rows(d.withColumn("condition", F.lit("TBD"))).count() == len(TUBES)
     with pytest.raises(ValueError):
         B.split_columns(d, extra=["scan_day"])
+    for bad in (d.withColumn("condition", F.lit("PENDING_PI_DECISION")), d.withColumn("needs_confirmation", F.lit("maybe")), d.withColumn("tube_id", F.col("tube_id") + 1000)):
+        with pytest.raises(ValueError):
+            B.split_private_blinded(bad, codes.select("tube_id", "code"), "tube_id")
+
+
+def test_gaps_in_the_audit_are_closed(codes, spark):
+    nameless = rows(codes).withColumn("code", F.when(F.col("section_label") != "01", F.col("code")))
+    assert ("LEAK", "missing_code") in checks(A.audit_structure(nameless, codes))
+    raw = rows(codes, a=F.lit("slide_29.vsi"), b=F.lit("frame_t.ets"))
+    assert {r.column for r in A.audit_terms(raw, []).collect() if r.check == "path"} == {"a", "b"}
+    with pytest.raises(ValueError):
+        A.order_statistics(codes, "tube_id", "code", "group", n_perm=50)

@@ -11,11 +11,13 @@ def test_three_states(spark):
     rows = [
         (1, True, "", "far_label", "far_label", True), (2, True, "", "far_label", "near_label", True), (3, True, "", "both", None, False),
         (4, True, "ask", "both", "far_label", True), (5, False, None, None, "far_label", True), (6, True, "", "left", "far_label", True),
-        (7, True, "", "near_label", None, False), (8, True, "nan", "near_label", "near_label", True), (9, True, "", "near_label", None, True)]
+        (7, True, "", "near_label", None, False), (8, True, "nan", "near_label", "near_label", True), (9, True, "", "near_label", None, True),
+        (10, True, "no", "far_label", "far_label", True), (11, True, "0", "both", None, True)]
     d = spark.createDataFrame(rows, "id int, in_record boolean, needs_confirmation string, positive_box string, box string, slide_has_box boolean")
     got = {r.id: (r.condition, bool(r.reason)) for r in C.derive_condition(d).collect()}
     assert got == {1: ("positive", False), 2: ("negative", False), 3: ("positive", False), 4: ("unresolved", True), 5: ("unresolved", True),
-                   6: ("unresolved", True), 7: ("unresolved", True), 8: ("positive", False), 9: ("unresolved", False)}
+                   6: ("unresolved", True), 7: ("unresolved", True), 8: ("positive", False), 9: ("unresolved", False),
+                   10: ("unresolved", True), 11: ("unresolved", True)}
 
 
 def sections(spark):

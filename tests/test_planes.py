@@ -188,3 +188,20 @@ def test_percent_area_states(spark):
     r = {x.s: x for x in P.percent_area(d, BY, "class", "roi", 2.0).collect()}
     assert [r[i].qc_status for i in range(3)] == ["OK", "COLLAPSED", "LOW_COVERAGE"]
     assert r[0].pct_of_roi == pytest.approx(30) and r[0].pct_of_nonignored == pytest.approx(100 / 3) and r[1].pct_of_nonignored is None and r[0].ignore_in_um2 == 20
+
+
+def test_more_channels_than_bits(spark):
+    from cohortspark.operators.tiles import support_mismatch, tile_summary
+    tiles = spark.createDataFrame([(1, 0, c, 0, ch) for c in range(3) for ch in (0, 63, 64) if (c, ch) != (2, 63)], "file int, level int, col int, row int, channel int")
+    assert tile_summary(tiles, "file").first().n_channels == 3
+    r = support_mismatch(tiles, "file").first()
+    assert (r.mismatched, r.n_positions) == ("63", 1)
+
+
+def test_long_digit_runs_have_different_keys(spark):
+    from pyspark.sql import functions as F
+
+    from cohortspark.functions.text import natural_key
+    names = ["a9", "a10", "a" + "1" * 25 + "2", "a" + "1" * 25 + "3", "a007", "b1"]
+    d = spark.createDataFrame([(n,) for n in names], "n string").withColumn("k", natural_key(F.col("n")))
+    assert [r.n for r in d.orderBy("k").collect()] == ["a007", "a9", "a10", "a" + "1" * 25 + "2", "a" + "1" * 25 + "3", "b1"]

@@ -67,6 +67,19 @@ def test_gate_refuses(spark, tmp_path):
     S.write_blinded(d, d, d, leak.where("severity = 'RISK'"), a, b)
     with pytest.raises(Exception):
         S.write_blinded(d, d, d, leak.where("severity = 'RISK'"), a, b)
+    other = str(tmp_path / "other")
+    with pytest.raises(ValueError):
+        S.write_blinded(d, d, d, leak.where("severity = 'RISK'"), other, b)
+    assert not (tmp_path / "other").exists()  # nothing is left behind
+
+
+def test_late_rows_are_kept(spark, tmp_path):
+    src, inv, state = (str(tmp_path / n) for n in ("src", "inv", "state"))
+    e = spark.createDataFrame([(1, "2026-03-10 00:00:00"), (2, "2026-03-01 00:00:00")], "id int, ts string")
+    for k in (1, 2):
+        e.where(f"id = {k}").write.mode("append").parquet(src)
+        A.fold_arrivals(spark.readStream.schema(e.schema).parquet(src), "id", inv, state).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(inv).collect()) == [1, 2]
 
 
 def test_arrivals_are_folded_once(spark, tmp_path):
@@ -74,7 +87,7 @@ def test_arrivals_are_folded_once(spark, tmp_path):
     e = spark.range(50).select(F.col("id"), F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("ts"))
 
     def fold():
-        A.fold_arrivals(spark.readStream.schema(e.schema).parquet(src), "id", "ts", inv, state).awaitTermination()
+        A.fold_arrivals(spark.readStream.schema(e.schema).parquet(src), "id", inv, state).awaitTermination()
         return spark.read.parquet(inv)
 
     e.where("id < 30").write.parquet(src)
@@ -115,7 +128,7 @@ def test_blind_plan(spark, tmp_path):
     rows = [(t, ("alpha", "beta", "gamma")[t % 3], f"0{s}", "positive" if s < 3 else "negative", True) for t in range(100, 124) for s in (1, 2, 3)]
     d = spark.createDataFrame(rows, "tube_id int, group string, section_label string, condition string, scan_is_preferred boolean")
     groups = d.select("tube_id", "group").distinct()
-    found = blind(d.drop("group"), groups, "orchid-7-basalt-19", str(tmp_path / "p"), str(tmp_path / "b"), n_perm=20)
+    found = blind(d.drop("group"), groups, "orchid-7-basalt-19", str(tmp_path / "p"), str(tmp_path / "b"), n_perm=199)
     assert found.where("severity = 'LEAK'").count() == 0
     out = spark.read.parquet(str(tmp_path / "b" / "blinded"))
     assert out.count() == len(rows) and "tube_id" not in out.columns and spark.read.parquet(str(tmp_path / "p" / "provenance")).count() == len(rows)
