@@ -234,4 +234,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
             yield {c: b.column(i) for i, c in enumerate(given)} | {"clean_text": texts}
 
     hit = F.aggregate("hit", F.lit(0).cast("bigint"), lambda n, x: n + x["stop"] - x["start"])
-    return map_batches(found, cut, found.select("*", F.lit("").alias("clean_text")).schema).withColumn("drop", hit > max_coverage * F.col("n_words"))
+    return map_batches(found, cut, found.select("*", F.lit(None).cast("string").alias("clean_text")).schema).withColumn("drop", hit > max_coverage * F.col("n_words"))
