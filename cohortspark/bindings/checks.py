@@ -288,9 +288,5 @@ def _tally(t):
 @query("d21_describe_by", """SELECT o_orderpriority, count(*) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS median, min(o_totalprice) AS low, max(o_totalprice) AS high,
   round(avg(CASE WHEN o_orderstatus <> 'P' THEN 1.0::DOUBLE ELSE 0 END), 6) AS kept FROM orders GROUP BY 1""")
 def _describe(t):
-    from ..operators.skew import percentiles
-    med = percentiles(t.orders, ["o_orderpriority"], "o_totalprice", {"median": 0.5})
-    agg = t.orders.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"),
-        rnd(F.avg(F.when(F.col("o_orderstatus") != "P", 1.0).otherwise(0.0))).alias("kept"))
-    return agg.join(med.select("o_orderpriority", rnd(F.col("median"), 4).alias("median")), "o_orderpriority")
+    d = S.describe(t.orders, ["o_orderpriority"], "o_totalprice", F.col("o_orderstatus") != "P")
+    return d.withColumns({"kept": rnd(F.col("kept")), "median": rnd(F.col("median"), 4)})

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, new_folder, remove
 from .summarise import attach
 
 
@@ -99,9 +99,11 @@ def connected(edges: DataFrame, by: Sequence[str], max_rounds: int = 50) -> Data
 
     Each round hangs neighbours below the smallest one they know, so the rounds grow with
     the logarithm of the graph. Neighbourhood minima are combinable aggregates; state
-    between rounds is a reliable checkpoint.
+    between rounds is a reliable checkpoint; once a round is written the one before is removed.
     """
-    e = checkpoint(edges.where(F.col("u") != F.col("v")))
+    spark = edges.sparkSession
+    folder = new_folder(spark, "round")
+    e = checkpoint(edges.where(F.col("u") != F.col("v")), folder)
     mark = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
@@ -110,7 +112,9 @@ def connected(edges: DataFrame, by: Sequence[str], max_rounds: int = 50) -> Data
         least = big.groupBy(*by, "u").agg(F.min("v").alias("m"))
         small = attach(big, least, [*by, "u"])
         nxt = small.select(*by, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select(*by, "u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = checkpoint(nxt)
+        before, folder = folder, new_folder(spark, "round")
+        e = checkpoint(nxt, folder)
+        remove(spark, before)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*by, "u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             return e.select(*by, F.col("u").alias("node"), F.col("v").alias("root"))

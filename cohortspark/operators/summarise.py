@@ -83,6 +83,14 @@ def tally(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
+def describe(df: DataFrame, by: Sequence[str], value: str, kept: Column) -> DataFrame:
+    """Rows, median, extremes and the share of kept rows per group."""
+    from .skew import percentiles
+
+    agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(F.when(kept, 1.0).otherwise(0.0)).alias("kept"))
+    return attach(agg, percentiles(df, by, value, {"median": 0.5}).select(*by, "median"), by)
+
+
 def area_weighted(df: DataFrame, by: Sequence[str], numerator: str, denominator: str, failed: Column | None = None) -> DataFrame:
     """Ratio of sums (primary) and mean of ratios (sensitivity) per entity."""
     d = df.where(~F.coalesce(failed, F.lit(False))) if failed is not None else df

@@ -54,12 +54,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back.
 
     The rows are computed once, survive the loss of executors, and come back with file
     sizes that later joins can plan with.
     """
-    folder = new_folder(df.sparkSession, "table")
+    folder = folder or new_folder(df.sparkSession, "table")
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
