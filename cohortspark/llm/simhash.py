@@ -9,7 +9,7 @@ meet by bands (``band_keys``), which find a pair with a chance that grows with i
 Within a table rows are sorted by key and stored as bit planes, one plane a bit position, one
 lane a row. A shift by s lanes compares every row with its s-th follower at once: differing
 planes go through carry-save adders into vertical counters, and words whose lanes all exceed the
-radius, or belong to different keys, leave the comparison. Only links that join two parts of a
+radius, or belong to different keys or hang together already, leave the comparison. Only links that join two parts of a
 bucket are kept, so a bucket gives fewer links than rows. Buckets beyond ``BUCKET`` rows are dealt
 into parts that are compared pair by pair, so no task holds an unbounded bucket.
 
@@ -189,9 +189,12 @@ def bucket_links(sizes: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[
         rows = np.repeat(starts[chosen], some) + inner
         left = np.repeat(some, some) - inner
         planes, root = Planes(fps[rows]), np.arange(len(rows))
+        place, parts = np.arange(len(rows)), len(rows)
         for shift in range(1, int(some.max())):
-            a = planes.close(shift, left > shift, radius)
-            a = a[root[a] != root[a + shift]]
+            if parts == len(some):  # every bucket hangs together
+                break
+            apart = (left > shift) & (root != root[np.minimum(place + shift, len(rows) - 1)])
+            a = planes.close(shift, apart, radius) if apart.any() else []
             if not len(a):
                 continue
             for x in a.tolist():
@@ -203,6 +206,7 @@ def bucket_links(sizes: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[
                 if u != v:
                     root[max(u, v)] = min(u, v)
                     links.append((int(rows[x]), int(rows[x + shift])))
+                    parts -= 1
             while (root[root] != root).any():
                 root = root[root]
     return links
