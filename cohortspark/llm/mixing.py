@@ -211,10 +211,12 @@ def fit_rates(cells: DataFrame, weights: Sequence[float], budget: float, *, step
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain",
-        budget: float | None = None, per_domain: int = PER_DOMAIN, steps: int = STEPS) -> DataFrame:
+        budget: float | None = None, per_domain: int = PER_DOMAIN, steps: int = STEPS, pull: float = PULL) -> DataFrame:
     """``docs`` with ``n_tokens``, ``posterior`` (shares in the targets' order), ``domain`` (the likeliest), ``rate`` and ``copies``.
 
-    ``budget`` tokens are wanted in all, by default as many as there are. ``copies`` is the rate,
+    ``budget`` tokens are wanted in all, by default as many as there are. A small ``pull`` meets the targets
+    closely, if need be by rates far from 1; a larger one keeps rates near 1 where posteriors say little.
+    ``copies`` is the rate,
     rounded up or down by a hash of the document.
     """
     docs = docs.drop(*RESULTS)
@@ -226,7 +228,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], *, id_
     scored = checkpoint(posteriors(keyed, model, domains, text_col="text", steps=steps).drop("text"))
     cells = checkpoint(scored.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")))
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    rate, _ = fit_rates(cells, [targets[d] for d in domains], float(total if budget is None else budget), steps=steps)
+    rate, _ = fit_rates(cells, [targets[d] for d in domains], float(total if budget is None else budget), steps=steps, pull=pull)
     rates = checkpoint(cells.select("posterior", rate.alias("rate")))
     if math.comb(steps + len(domains) - 1, len(domains) - 1) <= 200_000:  # so many cells at most
         rates = F.broadcast(rates)
