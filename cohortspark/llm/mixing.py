@@ -24,9 +24,6 @@ way to them.
 from __future__ import annotations
 
 import math
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -35,7 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .arrow import map_batches
+from .arrow import map_batches, pieces
+from .recompression import LETTERS as BYTE_VALUES
+from .recompression import hash_mix, powers
 
 WORDS = 1 << 16
 #: Bytes of the beginnings.
@@ -43,32 +42,74 @@ PREFIXES = (3, 6)
 SURFACE, BINS = 5, 10
 PER_DOMAIN = 1500
 STEPS = 100
+#: Bytes of text that are worked on together.
+LOT = 1_000_000
 #: Weight of the pull to rate 1, and when the steps end.
 PULL, CLOSE, MOST_STEPS = 1e-3, 1e-3, 300
 
 RESULTS = ("n_tokens", "posterior", "domain", "rate", "copies")
 
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
-UPPER = re.compile(rb"[A-Z]")
-LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
-SIGN = re.compile(rb"[^A-Za-z0-9\x80-\xff\x00-\x20.,]")
+#: Bytes that are no capital letters, no letters, no signs (signs are what is neither letter nor digit, blank, full stop or comma).
+NO_UPPER = bytes(c for c in range(256) if not 65 <= c <= 90)
+NO_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
+NO_SIGNS = bytes(c for c in range(256) if c <= 32 or c >= 128 or chr(c).isalnum() or c in b".,")
+
+
+def _groups(doc: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, name) pairs and how often they stand."""
+    both = hash_mix(name + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(both)
+    first = np.flatnonzero(_changes(both[order]))
+    at = order[first]
+    return doc[at], name[at], np.diff(np.append(first, len(both)))
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    out = np.ones(len(x), bool)
+    out[1:] = x[1:] != x[:-1]
+    return out
+
+
+def features_of(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Which features texts have: their distinct words and their beginnings, hashed, and bins of surface measures.
+
+    One array for all texts, where each one's begin in it, and their numbers of tokens.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join(x.translate(LETTERS) for x in raw), np.uint8)
+    at = np.cumsum([0, *(len(x) + 1 for x in raw)])
+    inside = np.concatenate(([False], data != 32, [False]))
+    start, stop = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    doc = np.searchsorted(at, start, "right") - 1
+    up, down = powers(len(data))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * up[:-1])))
+    of, words, _ = _groups(doc, (sums[stop] - sums[start]) * down[start])
+    width = 2 * WORDS
+    key = lambda of, name: of * width + (name & np.uint64(WORDS - 1)).astype(np.int64)
+    found = [key(of, hash_mix(words))]
+    distinct = np.bincount(of, minlength=len(raw))
+    for size in PREFIXES:
+        of, begun, n = _groups(doc, (sums[np.minimum(stop, start + size)] - sums[start]) * down[start])
+        for k in range(int(n.max(initial=0)).bit_length()):  # about how often they stand
+            some = n >> k > 0
+            found.append(key(of[some], hash_mix(begun[some] + np.uint64(16 * size + k + 1))))
+    tokens, surface = [], []
+    for i, (x, words, kinds) in enumerate(zip(raw, np.bincount(doc, minlength=len(raw)).tolist(), distinct.tolist(), strict=True)):
+        tokens.append(len(x.split()))
+        letters = len(x.translate(None, NO_LETTERS)) or 1
+        shares = (len(x.translate(None, NO_UPPER)) / letters, min(1.0, 4 * len(x.translate(None, NO_SIGNS)) / (len(x) or 1)), kinds / (words or 1),
+                  min(1.0, letters / (words or 1) / 20), min(1.0, math.log1p(tokens[-1]) / 12))
+        surface += [i * width + WORDS + k * BINS + min(BINS - 1, int(s * BINS)) for k, s in enumerate(shares)]
+    keys = np.sort(np.concatenate([*found, np.array(surface, np.int64)]))
+    keys = keys[_changes(keys)]
+    return keys % width, np.searchsorted(keys // width, np.arange(len(raw))), tokens
 
 
 def features(text: str | None) -> tuple[np.ndarray, int]:
-    """Which features a text has: its distinct words and their beginnings, hashed, and bins of surface measures; and its number of tokens."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    words = raw.translate(LETTERS).split()
-    distinct = {zlib.crc32(w) & (WORDS - 1) for w in set(words)}
-    for size in PREFIXES:  # beginnings of words, and about how often they stand
-        for w, n in Counter([w[:size] for w in words]).items():
-            for k in range(n.bit_length()):
-                distinct.add(WORDS - 1 & zlib.crc32(w, 16 * size + k + 1))
-    tokens = len(raw.split())
-    letters = len(LETTER.findall(raw)) or 1
-    shares = (len(UPPER.findall(raw)) / letters, min(1.0, 4 * len(SIGN.findall(raw)) / (len(raw) or 1)), len(set(words)) / (len(words) or 1),
-              min(1.0, letters / (len(words) or 1) / 20), min(1.0, math.log1p(tokens) / 12))
-    surface = [WORDS + k * BINS + min(BINS - 1, int(s * BINS)) for k, s in enumerate(shares)]
-    return np.array(sorted(distinct) + surface, np.int64), tokens
+    x, _, tokens = features_of([text])
+    return x, tokens[0]
 
 
 class Softmax:
@@ -99,8 +140,11 @@ class Softmax:
         e = np.exp(z - z.max())
         return e / e.sum()
 
-    def posterior(self, x: np.ndarray) -> np.ndarray:
-        return self._share(self.weights[x].sum(0, dtype=np.float64) + self.prior)
+    def posteriors(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Of texts whose features stand one after another; each has some."""
+        z = np.add.reduceat(self.weights[x], begin, axis=0, dtype=np.float64) + self.prior
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain",
@@ -140,21 +184,18 @@ def posteriors(docs: DataFrame, model: Softmax | None, domains: Sequence[str], *
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         own = sent.value
         place = [names.index(d) if d in names else None for d in own.domains] if own else []
-        for b in batches:
-            tokens, cells = [], []
-            for text in b.column(at).to_pylist():
-                x, n = features(text)
-                p = np.zeros(len(names))
-                if own:
-                    for k, s in zip(place, own.posterior(x), strict=True):
-                        if k is not None:
-                            p[k] += s
-                p = p / p.sum() if p.sum() > 0 else np.full(len(names), 1 / len(names))
-                edge = np.floor(np.cumsum(p) * steps + 0.5).astype(np.int64)
-                edge[-1] = steps
-                tokens.append(n)
-                cells.append(np.diff(edge, prepend=0).tolist())
-            yield {c: b.column(i) for i, c in enumerate(given)} | {"n_tokens": tokens, "posterior": cells}
+        for batch in batches:
+            for b in pieces(batch, text_col, LOT):
+                x, begin, tokens = features_of(b.column(at).to_pylist())
+                p = np.zeros((b.num_rows, len(names)))
+                for k, d in enumerate(own.posteriors(x, begin).T if own else ()):
+                    if place[k] is not None:
+                        p[:, place[k]] += d
+                total = p.sum(1, keepdims=True)
+                p = np.where(total > 0, p / np.where(total > 0, total, 1), 1 / len(names))
+                edge = np.floor(np.cumsum(p, axis=1) * steps + 0.5).astype(np.int64)
+                edge[:, -1] = steps
+                yield {c: b.column(i) for i, c in enumerate(given)} | {"n_tokens": tokens, "posterior": np.diff(edge, axis=1, prepend=0).tolist()}
 
     return map_batches(docs, run, docs.select("*", F.lit(None).cast("bigint").alias("n_tokens"), F.lit(None).cast("array<int>").alias("posterior")).schema)
 

@@ -50,13 +50,13 @@ PRIME = 0x9E3779B97F4A7C15 | 1
 LETTERS = np.random.default_rng(20240229).integers(1, 2**64, 256, np.uint64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def hash_mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of PRIME and of its inverse modulo 2**64."""
     out = []
     for base in (PRIME, pow(PRIME, -1, 2**64)):
@@ -90,9 +90,9 @@ class Words:
 
     def names(self) -> np.ndarray:
         """A hash of each word."""
-        up, down = _powers(len(self.data))
+        up, down = powers(len(self.data))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(LETTERS[self.data] * up[:-1])))
-        return _mix((sums[self.stop] - sums[self.start]) * down[self.start] + (self.stop - self.start).astype(np.uint64))
+        return hash_mix((sums[self.stop] - sums[self.start]) * down[self.start] + (self.stop - self.start).astype(np.uint64))
 
     def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All words, each with a space behind it, and where they start and stop in that."""
@@ -116,13 +116,13 @@ def parse(names: np.ndarray, doc: np.ndarray, levels: int = LEVELS) -> tuple[np.
     start = np.flatnonzero(fresh)
     count = np.diff(np.append(start, n))
     name, d = names[start], doc[start]
-    name = np.where(count > 1, _mix(name + count.astype(np.uint64) * np.uint64(PRIME)), name)
+    name = np.where(count > 1, hash_mix(name + count.astype(np.uint64) * np.uint64(PRIME)), name)
     other = np.ones(len(d) + 1, bool)
     other[1:-1] = d[1:] != d[:-1]
     low = np.where(other[:-1], -FAR, start - 1)
     high = np.where(other[1:], FAR, start + count + 1)
     for level in range(1, levels + 1):
-        left = (_mix(name ^ np.uint64(level * 0xD1B54A32D192ED03 % 2**64)) >> np.uint64(17)) & np.uint64(1) == 1
+        left = (hash_mix(name ^ np.uint64(level * 0xD1B54A32D192ED03 % 2**64)) >> np.uint64(17)) & np.uint64(1) == 1
         other = np.ones(len(d) + 1, bool)
         other[1:-1] = d[1:] != d[:-1]
         pair = np.zeros(len(name) + 1, bool)  # the symbol before and this one join
@@ -133,7 +133,7 @@ def parse(names: np.ndarray, doc: np.ndarray, levels: int = LEVELS) -> tuple[np.
         high = np.where(left, np.where(other[1:], FAR, np.maximum(high, after)), high)
         low = np.where(~left & ~pair[:-1], np.where(other[:-1], -FAR, np.minimum(low, before)), low)
         behind = np.append(name[1:], np.uint64(0))
-        name = np.where(heads, _mix(name * np.uint64(PRIME) + behind + np.uint64(level)), name)
+        name = np.where(heads, hash_mix(name * np.uint64(PRIME) + behind + np.uint64(level)), name)
         keep = ~pair[:-1]
         name, d, low, high = name[keep], d[keep], low[keep], high[keep]
     return name, d, low, high
