@@ -13,6 +13,12 @@ radius, or belong to different keys or hang together already, leave the comparis
 bucket are kept, so a bucket gives fewer links than rows. Buckets beyond ``BUCKET`` rows are dealt
 into parts that are compared pair by pair, so no task holds an unbounded bucket.
 
+``similar_documents`` takes such links only as candidates: a link holds if the exact Jaccard similarity of
+both distinct shingle sets is high enough. Sets travel to blocks of a candidate component, each
+once a block. One link a class is tried first, then all found between parts that are still apart; where a
+candidate component falls apart even so, all its pairs within the radius that meet in a table are tried. So the
+result is that of checking every candidate pair, though few are.
+
 Defined cases: a null text counts as empty; a text without words has the fingerprint zero, which
 links like any other. Repeated rows share a fingerprint. A component's id is its smallest
 document id; null ids are passed over, and a component of null ids alone has the id null. An
@@ -21,6 +27,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
@@ -38,6 +45,8 @@ from .arrow import map_batches
 BUCKET = 4096
 #: Rows that are turned into bit planes together.
 LANES = 1 << 15
+#: Classes of a candidate component whose shingle sets are held in one place.
+SIDE = 64
 #: Shingle hashes whose bits are counted at a time.
 COUNTED = 1 << 16
 
@@ -213,42 +222,80 @@ def bucket_links(sizes: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[
 
 
 def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[dict]:
-    """Rows come sorted by bucket; a bucket may run on into the next batch."""
+    """Rows come sorted by bucket; a bucket may run on into the next batch. With a root as fourth column all pairs of unlike roots are given."""
 
-    def settle(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray) -> dict:
+    def settle(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, *roots: np.ndarray) -> Iterator[dict]:
         edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        found = np.array(bucket_links(np.diff(np.append(edge, len(keys))), fps, radius), np.int64).reshape(-1, 2)
-        return {"u": nodes[found[:, 0]], "v": nodes[found[:, 1]]}
+        sizes = np.diff(np.append(edge, len(keys)))
+        if not roots:
+            found = np.array(bucket_links(sizes, fps, radius), np.int64).reshape(-1, 2)
+            yield {"u": nodes[found[:, 0]], "v": nodes[found[:, 1]]}
+            return
+        held, n = [], 0
+        for pair in bucket_pairs(sizes, fps, radius, *roots):
+            held.append(pair)
+            n += len(pair[0])
+            if n >= LANES:
+                yield {c: nodes[np.concatenate(x)] for c, x in zip("uv", zip(*held, strict=True), strict=True)}
+                held, n = [], 0
+        if held:
+            yield {c: nodes[np.concatenate(x)] for c, x in zip("uv", zip(*held, strict=True), strict=True)}
 
     rest = None
     for b in batches:
         if not b.num_rows:
             continue
-        rows = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)]
-        keys, nodes, fps = rows if rest is None else (np.concatenate(x) for x in zip(rest, rows, strict=True))
+        rows = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1),
+                *(c.to_numpy() for c in b.columns[3:])]
+        rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows, strict=True)]
+        keys = rows[0]
         last = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
         edge = np.append(np.flatnonzero(np.concatenate((np.ones(min(last, 1), bool), keys[1:last] != keys[: max(last - 1, 0)]))), last)
         at = 0
         while at < last:
             stop = int(edge[max(np.searchsorted(edge, at + LANES, "right") - 1, np.searchsorted(edge, at) + 1)])
-            yield settle(keys[at:stop], nodes[at:stop], fps[at:stop])
+            yield from settle(*(x[at:stop] for x in rows))
             at = stop
-        rest = [x[last:].copy() for x in (keys, nodes, fps)]
+        rest = [x[last:].copy() for x in rows]
     if rest is not None:
-        yield settle(*rest)
+        yield from settle(*rest)
+
+
+def bucket_pairs(sizes: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same bucket within ``radius`` whose roots differ, some at a time."""
+    starts, bound = np.cumsum(sizes) - sizes, 2
+    while (sizes >= bound).any():
+        chosen = np.flatnonzero((sizes >= bound) & (sizes < 4 * bound))
+        bound *= 4
+        if not chosen.size:
+            continue
+        some = sizes[chosen]
+        inner = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+        rows = np.repeat(starts[chosen], some) + inner
+        left = np.repeat(some, some) - inner
+        planes, of, place = Planes(fps[rows]), root[rows], np.arange(len(rows))
+        for shift in range(1, int(some.max())):
+            apart = (left > shift) & (of != of[np.minimum(place + shift, len(rows) - 1)])
+            a = planes.close(shift, apart, radius) if apart.any() else ()
+            if len(a):
+                yield rows[a], rows[a + shift]
 
 
 def links(classes: DataFrame, tables: list[list[tuple[int, int, int]]], radius: int, bucket: int = BUCKET) -> DataFrame:
-    """Links ``u, v`` between classes (``node, fp``) within ``radius`` that share a table's key; enough to join what is joined."""
+    """Links ``u, v`` between classes (``node, fp``) within ``radius`` that share a table's key; enough to join what is joined.
+
+    Where ``classes`` have a ``root``, all such pairs of unlike roots instead.
+    """
+    root = [c for c in classes.columns if c == "root"]
     keys = F.array(*(_key(F.col("fp"), i, t) for i, t in enumerate(tables)))
-    rows = classes.select("node", "fp", F.explode(keys).alias("key"))
+    rows = classes.select("node", "fp", *root, F.explode(keys).alias("key"))
     large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket)
     marked = rows.join(large, "key", "left")
     parts = F.ceil(F.col("n") / bucket).cast("int")
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
     pairs = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
         F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.least(mine, j).cast("bigint") * 1_000_000 + F.greatest(mine, j)))
-    dealt = marked.select("key", F.explode(pairs).alias("pair"), "node", "fp").select(F.xxhash64("key", "pair").alias("deal"), "node", "fp")
+    dealt = marked.select("key", F.explode(pairs).alias("pair"), "node", "fp", *root).select(F.xxhash64("key", "pair").alias("deal"), "node", "fp", *root)
     # Two buckets of one hash are compared as one, which only adds true links.
     spread = dealt.repartition("deal").sortWithinPartitions("deal", "node")
     return map_batches(spread, lambda b: _compare(b, radius), "u bigint, v bigint").distinct()
@@ -271,3 +318,107 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     low = rooted.groupBy("root").agg(F.min("low").alias("component"))
     named = rooted.join(low, "root").select("fp", "component")
     return marked.join(named, "fp").select("doc", "fp", "component")
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(shingle_hashes(text, words))
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.md5(shingles.tobytes(), usedforsecurity=False).digest()
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of sets as sorted arrays; empty sets are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _check(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[dict]:
+    """Rows ``key, u, v, shingles`` sorted by key: the sets of its nodes (in u) first, then its pairs."""
+    now, sets = None, {}
+    for b in batches:
+        good = []
+        for key, u, v, shingles in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if key != now:
+                now, sets = key, {}
+            if v is None:
+                sets[u] = np.frombuffer(shingles, np.uint64)
+                continue
+            small, large = sorted((len(sets[u]), len(sets[v])))
+            if small >= least * large - 1e-9 and jaccard(sets[u], sets[v]) >= least - 1e-12:
+                good.append((u, v))
+        yield {"u": [u for u, _ in good], "v": [v for _, v in good]}
+
+
+def _holding(pairs: DataFrame, placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The ``pairs`` whose sets have a similarity of ``least``; ``placed``: ``node, group, part`` of all nodes, and pairs lie within groups."""
+    at = lambda n: placed.select(F.col("node").alias(n), *([F.col("group")] if n == "u" else []), F.col("part").alias(f"part_{n}"))
+    dealt = pairs.join(at("u"), "u").join(at("v"), "v").select(
+        F.xxhash64("group", F.least("part_u", "part_v"), F.greatest("part_u", "part_v")).alias("key"), "u", "v")
+    dealt = checkpoint(dealt)
+    needed = dealt.select("key", F.col("u").alias("node")).unionByName(dealt.select("key", F.col("v").alias("node"))).distinct()
+    held = needed.join(sets, "node").select("key", F.col("node").alias("u"), F.lit(None).cast("bigint").alias("v"), "shingles")
+    rows = held.unionByName(dealt.withColumn("shingles", F.lit(None).cast("binary")))
+    spread = rows.repartition("key").sortWithinPartitions(F.col("key"), F.col("v").asc_nulls_first())
+    return checkpoint(map_batches(spread, lambda b: _check(b, least), "u bigint, v bigint"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose nodes do not hang together yet."""
+    of = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
+    d = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    return d.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+
+def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, width: int = 4, radius: int = 55, least: float = 0.8,
+                      tables: list[list[tuple[int, int, int]]] | None = None, bucket: int = BUCKET, side: int = SIDE) -> DataFrame:
+    """``doc``, ``text_hash`` (xxhash64) and ``component`` of every row, by links of a Jaccard similarity of ``least`` or more.
+
+    ``component`` is the smallest document id reachable by such links; candidates are the pairs within ``radius``
+    that meet in ``tables``. Fingerprints and similarities are those of the distinct shingles.
+    """
+    tables = band_keys(width, strides=(1, 5, 11)) if tables is None else tables
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
+            yield {"doc": b.column(0), "text_hash": b.column(2), "digest": [_digest(x) for x in found], "fp": [fingerprint(x, width) for x in found]}
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            found = [shingle_set(t, words) for t in b.column(2).to_pylist()]
+            kept = [(n, x.tobytes()) for n, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), found, strict=True) if _digest(x) == d]
+            yield {"node": [n for n, _ in kept], "shingles": [x for _, x in kept]}
+
+    marked = checkpoint(map_batches(texts, run, "doc bigint, text_hash bigint, digest binary, fp array<bigint>"))
+    low = marked.groupBy("digest").agg(F.min("doc").alias("low"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
+    classes = checkpoint(low.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "text_hash", "fp"))
+
+    found = checkpoint(links(classes.select("node", "fp"), tables, radius, bucket).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct())
+    groups = connected(found, ())
+    groups = checkpoint(groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group"))).distinct())
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    placed = checkpoint(groups.join(sizes, "group").select("node", "group", "n", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / side)).alias("part")))
+    wanted = classes.join(placed, "node").select("node", "digest", "text_hash")
+    # Texts of one hash but other shingles are told apart by the digest.
+    held = texts.select("text", "text_hash").join(wanted, "text_hash").select("node", "digest", "text").distinct()
+    sets = checkpoint(map_batches(held, unfold, "node bigint, shingles binary"))
+
+    first = found.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    good = _holding(first, placed, sets, least)
+    roots = connected(good, ())
+    more = _holding(_apart(found.join(first, ["u", "v"], "left_anti"), roots), placed, sets, least)
+    good = good.unionByName(more)
+    roots = connected(good, ())
+    now = placed.where("n > 2").join(roots, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+    broken = now.groupBy("group").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("group")
+    doubtful = checkpoint(classes.select("node", "fp").join(now.join(broken, "group", "left_semi"), "node").select("node", "fp", "root"))
+    rest = links(doubtful, tables, radius, bucket).join(found, ["u", "v"], "left_anti")
+    good = good.unionByName(_holding(rest, placed, sets, least))
+    rooted = classes.join(connected(good, ()), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("digest", "component")
+    return marked.join(named, "digest").select("doc", "text_hash", "component")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from cohortspark.llm.simhash import Planes, band_keys, block_keys, bucket_links, fingerprint, links, near_duplicates, shingle_hashes
+from cohortspark.llm.simhash import Planes, band_keys, block_keys, bucket_links, fingerprint, jaccard, links, near_duplicates, shingle_hashes, shingle_set, similar_documents
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -119,3 +119,56 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     mine = sorted(((r.doc_id, int(r.fingerprint, 16), r.component_id) for r in QUERIES["op8_simhash"](spark, FOLDER).collect()), key=str)
     assert mine == plain_components(rows)
+
+
+def by_similarity(rows, least=0.8, words=5):
+    sets = [set(shingle_set(t, words).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[find(i)] = min(low.get(find(i), d), d)
+    return sorted(((d, low.get(find(i))) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def alike(rng, n, similarity):
+    """Two texts of ``n`` shingles each, all distinct, that have about ``similarity`` of them in common."""
+    words = [f"w{rng.randrange(10**9)}" for _ in range(n + 4)]
+    own = round(n * (1 - similarity) / (1 + similarity))
+    return " ".join(words), " ".join(words[:-own] + [f"x{rng.randrange(10**9)}" for _ in range(own)])
+
+
+def test_links_hold_by_exact_similarity(make_docs):
+    rng = random.Random(8)
+    rows = [(2 * k + side, t) for k in range(120) for side, t in enumerate(alike(rng, 300, (0.7, 0.75, 0.79, 0.82, 0.9)[k % 5]))]
+    out = {r.doc: r.component for r in similar_documents(make_docs(rows)).collect()}
+    for k in range(120):
+        assert (out[2 * k + 1] == 2 * k) == (jaccard(*(shingle_set(t, 5) for _, t in rows[2 * k : 2 * k + 2])) >= 0.8)
+
+
+@pytest.mark.parametrize(("bucket", "side"), [(4096, 64), (16, 2)])
+def test_further_links_where_the_first_fail(make_docs, bucket, side):
+    rng = random.Random(9)
+    rows = [(None, None), (900, ""), (901, "one two"), (902, "One  two"), (None, "one two"), (903, "a b c d e " * 400 + "x y z q r"), (904, "a b c d e " * 400 + "k l m n o p")]
+    for k in range(4):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+        for j in range(12):
+            cut = rng.randrange(0, 75)
+            rows.append((100 * k + j, " ".join(base[: 300 - cut] + [f"y{rng.randrange(10**9)}" for _ in range(cut)])))
+    rng.shuffle(rows)
+    out = similar_documents(make_docs(rows), tables=[[]], radius=110, bucket=bucket, side=side)
+    assert sorted(((r.doc, r.component) for r in out.collect()), key=str) == by_similarity(rows)
+
+
+def test_similar_documents_of_an_empty_table(make_docs):
+    assert similar_documents(make_docs([])).count() == 0
