@@ -251,25 +251,32 @@ def fit_rates(cells: DataFrame, weights: Sequence[float], budget: float, *, step
     return _folded(history, steps, pull)["rate"], (got * total / budget).tolist()
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain",
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float | None], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain",
         budget: float | None = None, per_domain: int = PER_DOMAIN, steps: int = STEPS, pull: float = PULL) -> DataFrame:
     """``docs`` with ``n_tokens``, ``posterior`` (shares in the targets' order), ``domain`` (the likeliest), ``rate`` and ``copies``.
 
-    ``budget`` tokens are wanted in all, by default as many as there are. A small ``pull`` meets the targets
+    A weight of None is the domain's share of the expected tokens as they stand. If all others are 0, what has no part in those
+    is thus taken once or more. ``budget`` tokens are wanted in all, by default as many as there are. A small ``pull`` meets the targets
     closely, if need be by rates far from 1; a larger one keeps rates near 1 where posteriors say little.
     ``copies`` is the rate,
     rounded up or down by a hash of the document.
     """
     docs = docs.drop(*RESULTS)
-    if not targets or min(targets.values()) < 0 or not sum(targets.values()):
+    given = [w for w in targets.values() if w is not None]
+    if not targets or min(given, default=0) < 0 or (len(given) == len(targets) and not sum(given)):
         raise ValueError("targets are nonnegative weights, one above 0 at least")
     domains = list(targets)
     model = train(docs, labels, id_col=id_col, text_col=text_col, domain_col=domain_col, per_domain=per_domain)
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
     scored = checkpoint(posteriors(keyed, model, domains, text_col="text", steps=steps).drop("text"))
     cells = checkpoint(scored.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")))
-    total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    rate, _ = fit_rates(cells, [targets[d] for d in domains], float(total if budget is None else budget), steps=steps, pull=pull)
+    stand = [F.sum(F.col("tokens") * F.get("posterior", F.lit(k)) / steps) for k in range(len(domains))]
+    total, *shares = (x or 0 for x in cells.agg(F.sum("tokens"), *stand).first())
+    weights = [x / (total or 1) if targets[d] is None else targets[d] for d, x in zip(domains, shares, strict=True)]
+    if total and not sum(weights):  # nothing that is wanted is there
+        rate = F.lit(0.0)
+    else:
+        rate, _ = fit_rates(cells, weights if sum(weights) else [1.0] * len(weights), float(total if budget is None else budget), steps=steps, pull=pull)
     rates = checkpoint(cells.select("posterior", rate.alias("rate")))
     if math.comb(steps + len(domains) - 1, len(domains) - 1) <= 200_000:  # so many cells at most
         rates = F.broadcast(rates)

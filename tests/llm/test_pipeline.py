@@ -112,3 +112,14 @@ def test_rows_without_an_id_and_repeated_ids(spark, make_docs):
     rows = [(1, text), (1, text), (None, text), (None, text), (None, "other words altogether"), (2, text + " more")]
     out = pipeline.keep_one_of_near_duplicates(spark, make_docs(rows), FOLDER)
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, text), (None, text), (None, "other words altogether")], key=str)
+
+
+@pytest.mark.parametrize("parts", [(180, 16, 4), (120, 70, 10)])
+def test_mixing_at_any_composition(spark, make_docs, tmp_path, parts):
+    rng = random.Random(sum(parts[1:]))
+    kinds = [k for k, n in zip(("good", "poor", "toxic"), parts, strict=True) for _ in range(n)]
+    docs = make_docs([" ".join(rng.choice("abcdefghij") + k + rng.choice("klmnopqrst") for _ in range(80)) for k in kinds])
+    spark.createDataFrame([(i, int(k == "good"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = {r.doc_id: r for r in pipeline.mix_domains(spark, docs, str(tmp_path)).collect()}
+    assert sorted(out) == [i for i, k in enumerate(kinds) if k != "toxic"]
+    assert min(r.rate for r in out.values()) >= 0.99
