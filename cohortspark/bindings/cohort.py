@@ -77,11 +77,11 @@ def _agreement(t):
     return d.withColumns({c: rnd(F.col(c)) for c in ("bias", "mae", "limit_low", "limit_high")})
 
 
-FEATURES = ["gauss_s1", "std_s1", "laplace_s1", "gradient_s1"]
+FEATURES = [f"{kind}_s{s}" for s in (1, 2, 4) for kind in ("gauss", "std", "laplace", "gradient")]
 
 
 def _samples(t):
-    f = P.features(pixels(t), ["vec_id"], "value", (1.0,))
+    f = P.features(pixels(t), ["vec_id"], "value")
     return f.withColumn("class", F.when(F.col("value") > 0.1, 1).when(F.col("value").isNotNull(), 0))
 
 
@@ -94,6 +94,6 @@ def _pooled(t):
 @query("i15_trained_classifier")
 def _forest(t):
     s = _samples(t)
-    train = C.pool_samples(s.where("vec_id % 4 = 0 AND class IS NOT NULL"), s.where("vec_id % 4 = 1 AND class IS NOT NULL"))
+    train = C.pool_samples(s.where("vec_id % 2 = 0 AND class IS NOT NULL"), s.where("vec_id % 2 <> 0 AND class IS NOT NULL"))
     model = C.train_forest(train, FEATURES, "class", trees=50, depth=5)
     return C.apply_forest(model, s).groupBy("class", "prediction").agg(F.count(F.lit(1)).alias("n"))
