@@ -123,3 +123,9 @@ def test_mixing_at_any_composition(spark, make_docs, tmp_path, parts):
     out = {r.doc_id: r for r in pipeline.mix_domains(spark, docs, str(tmp_path)).collect()}
     assert sorted(out) == [i for i, k in enumerate(kinds) if k != "toxic"]
     assert min(r.rate for r in out.values()) >= 0.99
+
+
+def test_repeated_ids_with_unlike_texts(spark, make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    out = pipeline.keep_one_of_near_duplicates(spark, make_docs([(3, a), (5, a), (5, b), (7, b)]), FOLDER)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(3, a), (5, b)]
