@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import arrivals as A
+from ..streaming.inventory import Inventory
 from .checks import _limbs
 from .records import _folder
-from .registry import query, rnd
+from .registry import SQL, query, rnd
+
+#: Rows of a bucket, so that the inventory splits while it takes in these small tables.
+LOAD = 500
 
 
 def _fold(t):
@@ -21,18 +25,20 @@ def _fold(t):
     for part in (e.where(~late).unionByName(copies.where(~late)), e.where(late).unionByName(copies)):
         part.repartition(4, "event_type").write.mode("append").parquet(source)
         stream = t.spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(source)
-        A.fold_arrivals(stream, "event_id", inventory, state).awaitTermination()
-    return t.spark.read.parquet(inventory)
+        A.fold_arrivals(stream, "event_id", inventory, state, load=LOAD, most_folders=3).awaitTermination()
+    return Inventory(t.spark, inventory, "event_id"), e.schema
 
 
 @query("m01_incremental_inventory", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def _inventory(t):
-    return _fold(t).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 2).alias("total"))
+    inventory, schema = _fold(t)
+    return inventory.read(schema).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 2).alias("total"))
 
 
 @query("m01_arrival_counts", "SELECT user_id, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM events GROUP BY 1")
 def _counts(t):
-    d = A.inventory_counts(_fold(t), ["user_id"], "ts")
+    inventory, schema = _fold(t)
+    d = A.inventory_counts(inventory.read(schema), ["user_id"], "ts")
     return d.withColumns({c: F.substring(F.col(c).cast("string"), 1, 19) for c in ("first_seen", "last_seen")})
 
 
@@ -45,4 +51,10 @@ def _windowed(t):
 @query("m01_inventory_fingerprint", f"""WITH h AS (SELECT DISTINCT sha256(CAST(event_id AS VARCHAR)) AS h FROM events)
 SELECT 'inventory' AS source, count(*) AS n_items, sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {_limbs('h')})) AS digest FROM h""")
 def _fingerprint(t):
-    return A.inventory_fingerprint(_fold(t), "event_id")
+    inventory, schema = _fold(t)
+    return A.inventory_fingerprint(inventory.read(schema), "event_id")
+
+
+@query("m01_fingerprint_by_deltas", SQL["m01_inventory_fingerprint"])
+def _fingerprint_by_deltas(t):
+    return _fold(t)[0].fingerprint()

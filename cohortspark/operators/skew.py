@@ -202,7 +202,15 @@ def set_digest(df: DataFrame, by: Sequence[str], text: Column, name: str = "dige
     d = df.select(*by, F.sha2(text, 256).alias("_h"))
     if distinct:
         d = d.distinct()
-    limbs = [F.sum(F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).alias(f"_l{i}") for i in range(4)]
-    agg = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n_items"), *limbs)
-    parts = [F.coalesce(F.col(f"_l{i}").cast("string"), F.lit("0")) for i in range(4)]
-    return agg.select(*by, "n_items", F.sha2(F.concat_ws("|", F.col("n_items").cast("string"), *parts), 256).alias(name))
+    names = [f"_l{i}" for i in range(4)]
+    agg = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n_items"), *digest_limbs(F.col("_h"), names))
+    return agg.select(*by, "n_items", digest_of_limbs(F.col("n_items"), [F.col(n) for n in names]).alias(name))
+
+
+def digest_limbs(h: Column, names: Sequence[str]) -> list[Column]:
+    """Aggregates: sums of the limbs of SHA-256 texts, which add up over parts of a set."""
+    return [F.sum(F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).alias(n) for i, n in enumerate(names)]
+
+
+def digest_of_limbs(n: Column, limbs: Sequence[Column]) -> Column:
+    return F.sha2(F.concat_ws("|", n.cast("string"), *[F.coalesce(x.cast("string"), F.lit("0")) for x in limbs]), 256)

@@ -9,26 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.skew import set_digest
-from ..session import exists
+from .inventory import LOAD, MOST_FOLDERS, Inventory
 
 
-def fold_arrivals(stream: DataFrame, key: str, inventory: str, checkpoint: str, *, buckets: int = 8) -> StreamingQuery:
-    """Append rows whose key is new to the ``inventory`` folder, however late they come.
+def fold_arrivals(stream: DataFrame, key: str, inventory: str, checkpoint: str, *, load: int = LOAD, most_folders: int = MOST_FOLDERS) -> StreamingQuery:
+    """Add rows whose key is new to the ``inventory`` folder (see ``Inventory``), however late they come.
 
-    A batch is made distinct by key and held against what other batches have brought. The
-    inventory lies in ``batch=/bucket=`` folders by a hash of the key, so only buckets the batch
-    touches are read. A replayed batch overwrites its own folder, so replays change nothing.
+    A batch is made distinct by key, a NULL key included, and held against those buckets alone that its keys fall
+    into. Replayed batches change nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        if exists(spark, inventory):
-            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
-            known = spark.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, batch bigint, bucket int").parquet(inventory)
-            known = known.where((F.col("batch") != batch_id) & F.col("bucket").isin(touched)).select(key)
-            fresh = fresh.join(known, key, "left_anti")
-        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{inventory}/batch={batch_id}")
+        Inventory(batch.sparkSession, inventory, key, load=load, most_folders=most_folders).fold(batch, checkpoint, batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
