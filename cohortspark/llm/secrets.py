@@ -9,15 +9,19 @@ a base span holds already.
 
 Sums of count x log2(count) are whole billionths, so that adding and taking off is exact.
 
+Every step is linear in the text: arrays are worked in short pieces, so that no list grows by copying itself, and
+no pattern repeats a group without bound, which would cost stack. Very long texts and texts dense with
+secrets take time in proportion.
+
 Defined cases: a null text is empty and has no secrets; empty tables give empty results; repeated
 rows are scanned row by row. Other columns pass untouched; one named ``secrets`` gives way to the
-result. Positions count code points, the end is exclusive.
+result. Positions count code points, the end is exclusive. Spans of equal start stand in the order of their kinds.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,13 +55,19 @@ CLASSES = (CharacterClass("hex", "^[0-9a-fA-F]+$", 3.05), CharacterClass("alnum"
 #: Candidates with one of these are no secrets: words, words joined by signs, UUIDs, examples and plain sequences.
 ALLOWED = (
     r"^[A-Za-z]+$",
-    r"^[A-Za-z]*([/_-]+[A-Za-z]+|[/_-]+[0-9]{1,4})+[/_-]*$",
+    # Letters, or up to four digits, between signs, letters first: stated by what may not stand there.
+    r"^(?![0-9])(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z]|[0-9]{5}|[^A-Za-z0-9/_-])).*[/_-][A-Za-z0-9]",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"[eE][xX][aA][mM][pP][lL][eE]",
     r"0123456789|1234567890|abcdefghij|ABCDEFGHIJ",
 )
 
 SPAN = "array<struct<start: int, stop: int>>"
+TEXT_SPAN = "array<struct<start: int, stop: int, value: string>>"
+#: Elements of an array, and windows of a candidate, that one fold walks.
+PIECE = 128
+#: Counts of five bits in a long.
+PACKED = 12
 
 
 def weights(window: int = WINDOW) -> list[int]:
@@ -70,49 +80,96 @@ def largest_sum(bits: float, window: int = WINDOW) -> int:
     return math.floor(window * (math.log2(window) - bits) * BILLION)
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def _offsets(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+
+
+def running(values: Column, zero: Column, joined: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array, each with its own value: within pieces, and of the pieces' totals."""
+
+    def grow(some: Column, start: Column) -> Column:
+        return F.aggregate(some, F.array(start), lambda acc, v: F.concat(acc, F.array(joined(F.element_at(acc, -1), v))))
+
+    def of(pieces: Column) -> Column:
+        before = grow(F.transform(pieces, lambda p: F.aggregate(p, zero, joined)), zero)
+        inside = F.zip_with(pieces, F.slice(before, 1, F.size(pieces)), lambda p, start: F.slice(grow(p, start), 2, PIECE))
+        return F.flatten(inside)
+
+    return let(values, lambda v: let(F.transform(_offsets(F.size(v)), lambda i: F.slice(v, i + 1, PIECE)), of))
+
+
 def matches(text: Column, pattern: str, group: int, least: int) -> Column:
     """Leftmost non-overlapping matches as spans; those whose group is shorter than ``least`` are dropped after matching."""
-    whole, gaps, part = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    pieces = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), part.alias("part"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    whole, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+    def spans(found: Column) -> Column:
+        lengths = F.zip_with(gaps, found, lambda g, w: F.length(g) + F.coalesce(F.length(w), F.lit(0)))
+        part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+        each = F.arrays_zip(running(lengths, F.lit(0), lambda a, b: a + b).alias("stop"), found.alias("value"), part.alias("part"))
+        long = F.filter(each, lambda x: F.length(x["part"]) >= least)
+        return F.transform(long, lambda x: F.struct((x["stop"] - F.length(x["value"])).alias("start"), x["stop"].alias("stop"), x["value"].alias("value")))
+
+    return F.when(text.rlike(pattern), let(whole, spans)).otherwise(F.array().cast(TEXT_SPAN))
+
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.coalesce(F.length(x["whole"]), F.lit(0))
-        found = F.array(F.struct(start.alias("start"), stop.alias("stop")))
-        return F.struct(stop.alias("at"), F.when(F.length(x["part"]) >= least, F.concat(acc["spans"], found)).otherwise(acc["spans"]).alias("spans"))
+def _bytes(text: Column, start: Column, length: Column | int) -> Column:
+    """Part of a text of one byte a sign, found without reading what stands before."""
+    return F.substring(text.cast("binary"), start + 1, F.lit(length) if isinstance(length, int) else length).cast("string")
 
-    return F.when(text.rlike(pattern), F.aggregate(pieces, empty, step, lambda acc: acc["spans"])).otherwise(F.array().cast(SPAN))
+
+def _merged(spans: Column) -> Column:
+    """Spans in order, those that touch as one."""
+    goes_on = lambda a, b: F.coalesce(b["start"] <= a["stop"], F.lit(False))
+    first = F.filter(spans, lambda s, i: ~goes_on(F.get(spans, i - 1), s))
+    last = F.filter(spans, lambda s, i: ~goes_on(s, F.get(spans, i + 1)))
+    return F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b["stop"].alias("stop")))
 
 
 def entropy_spans(candidate: Column, classes: Sequence[CharacterClass] = CLASSES, window: int = WINDOW) -> Column:
     """Spans of the candidate whose windows reach their class's entropy."""
+    if window > 31:
+        raise ValueError("windows have 31 signs at most")
     weight = F.array(*(F.lit(w).cast("bigint") for w in weights(window)))
+    slots = F.array(*(F.lit(i // PACKED) for i in range(len(ALPHABET))))
+    shifts = F.array(*(F.lit(5 * (i % PACKED)) for i in range(len(ALPHABET))))
     limit = F.lit(-1).cast("bigint")
     for c in reversed(classes):
         limit = F.when(candidate.rlike(c.pattern), F.lit(largest_sum(c.bits, window)).cast("bigint")).otherwise(limit)
-    letters = F.transform(F.split(candidate, ""), lambda x: F.instr(F.lit(ALPHABET), x) - 1)
-    # The window slides by pairs of the entering and the leaving letter; -1 leaves nothing.
-    leaving = F.concat(F.array_repeat(F.lit(-1), window), letters)
-    moves = F.slice(F.arrays_zip(letters.alias("enter"), leaving.alias("leave")), 1, F.length(candidate))
-    empty = F.struct(
-        F.lit(0).alias("at"), F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("bigint").alias("sum"), limit.alias("limit"), F.array().cast(SPAN).alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        enter, leave = x["enter"], x["leave"]
-        more, less = F.get(acc["counts"], enter), F.get(acc["counts"], leave)
-        counts = F.transform(acc["counts"], lambda n, i: n + F.when(i == enter, 1).otherwise(0) - F.when(i == leave, 1).otherwise(0))
-        change = F.when(enter == leave, F.lit(0).cast("bigint")).otherwise(
-            F.get(weight, more + 1) - F.get(weight, more) + F.when(leave >= 0, F.get(weight, less - 1) - F.get(weight, less)).otherwise(F.lit(0).cast("bigint")))
-        at, total = acc["at"] + 1, acc["sum"] + change
-        last = F.get(acc["spans"], F.size(acc["spans"]) - 1)
-        grown = F.slice(acc["spans"], 1, F.size(acc["spans"]) - 1)
-        joined = F.concat(grown, F.array(F.struct(last["start"].alias("start"), at.alias("stop"))))
-        added = F.concat(acc["spans"], F.array(F.struct((at - window).alias("start"), at.alias("stop"))))
-        spans = F.when((at < window) | (total > acc["limit"]), acc["spans"]).when(last["stop"] >= at - window, joined).otherwise(added)
-        return F.struct(at.alias("at"), counts.alias("counts"), total.alias("sum"), acc["limit"].alias("limit"), spans.alias("spans"))
-
-    return F.aggregate(moves, empty, step, lambda acc: acc["spans"])
+
+    def fold(letters: Column, most: Column, offset: Column) -> Column:
+        """Windows of a piece. The window slides by pairs of the entering and the leaving letter; -1 leaves nothing."""
+        leaving = F.concat(F.array_repeat(F.lit(-1), window), letters)
+        moves = F.slice(F.arrays_zip(letters.alias("enter"), leaving.alias("leave")), 1, F.size(letters))
+        empty = F.struct(F.lit(0).alias("at"), F.array_repeat(F.lit(0).cast("bigint"), -(-len(ALPHABET) // PACKED)).alias("counts"), F.lit(0).cast("bigint").alias("sum"), F.array().cast(SPAN).alias("spans"))
+
+        def step(acc: Column, x: Column) -> Column:
+            enter, leave = x["enter"], x["leave"]
+            count = lambda c: F.call_function("shiftright", F.get(acc["counts"], F.get(slots, c)), F.get(shifts, c)).bitwiseAND(F.lit(31)).cast("int")
+            one = lambda c, i: F.when(i == F.get(slots, c), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.get(shifts, c))).otherwise(F.lit(0).cast("bigint"))
+            counts = F.transform(acc["counts"], lambda n, i: n + one(enter, i) - one(leave, i))
+            gain = let(count(enter), lambda n: F.get(weight, n + 1) - F.get(weight, n))
+            loss = F.when(leave >= 0, let(count(leave), lambda n: F.get(weight, n - 1) - F.get(weight, n))).otherwise(F.lit(0).cast("bigint"))
+            change = F.when(enter == leave, F.lit(0).cast("bigint")).otherwise(gain + loss)
+            return let(acc["sum"] + change, lambda total: F.struct((acc["at"] + 1).alias("at"), counts.alias("counts"), total.alias("sum"), grown(acc["spans"], acc["at"] + 1, total).alias("spans")))
+
+        def grown(spans: Column, at: Column, total: Column) -> Column:
+            last = F.get(spans, F.size(spans) - 1)
+            joined = F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(F.struct(last["start"].alias("start"), (offset + at).alias("stop"))))
+            added = F.concat(spans, F.array(F.struct((offset + at - window).alias("start"), (offset + at).alias("stop"))))
+            return F.when((at < window) | (total > most), spans).when(last["stop"] >= offset + at - window, joined).otherwise(added)
+
+        return F.aggregate(moves, empty, step, lambda acc: acc["spans"])
+
+    def piece(offset: Column, most: Column) -> Column:
+        signs = F.split(_bytes(candidate, offset, PIECE + window - 1), "")
+        return let(F.transform(signs, lambda x: F.instr(F.lit(ALPHABET), x) - 1), lambda letters: fold(letters, most, offset))
+
+    return let(limit, lambda most: let(F.flatten(F.transform(_offsets(F.length(candidate) - (window - 1)), lambda o: piece(o, most))), _merged))
 
 
 def find_secrets(docs: DataFrame, *, text_col: str = "text", classes: Sequence[CharacterClass] = CLASSES, window: int = WINDOW,
@@ -120,23 +177,31 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", classes: Sequence[C
     """``docs`` with ``secrets``: ``kind, start, stop, value`` ordered by start, then kind as listed, entropy last."""
     docs = docs.drop("secrets")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = lambda spans, k, kind: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["stop"].alias("stop"), F.lit(kind).alias("kind")))
+
+    def span(rank: int, kind: str, start: Column, stop: Column, value: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"), value.alias("value"))
+
+    named = lambda spans, rank, kind: F.transform(spans, lambda s: span(rank, kind, s["start"], s["stop"], s["value"]))
     base = F.flatten(F.array(*(named(matches(text, pattern, group, least), k, kind) for k, (kind, pattern, group, least) in enumerate(BASE))))
-    d = docs.withColumn("secrets", F.struct(base.alias("base"), matches(text, CANDIDATE, 0, 1).alias("candidates")))
 
     def of_candidate(c: Column) -> Column:
-        value = F.substring(text, c["start"] + 1, c["stop"] - c["start"])
+        value = c["value"]
         fine = value.isin(*allowed_strings) if allowed_strings else F.lit(False)
         for pattern in allowed:
             fine = fine | value.rlike(pattern)
-        inside = F.transform(entropy_spans(value, classes, window), lambda s: F.struct((c["start"] + s["start"]).alias("start"), (c["start"] + s["stop"]).alias("stop")))
-        return F.when(fine, F.array().cast(SPAN)).otherwise(inside)
-
-    fresh = F.filter(F.flatten(F.transform(F.col("secrets.candidates"), of_candidate)),
-                     lambda s: ~F.exists(F.col("secrets.base"), lambda b: (b["start"] <= s["start"]) & (s["stop"] <= b["stop"])))
-    every = F.array_sort(F.concat(F.col("secrets.base"), named(fresh, len(BASE), "entropy")))
-    return d.withColumn("secrets", F.transform(every, lambda s: F.struct(
-        s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("value"))))
+        inside = F.transform(entropy_spans(value, classes, window), lambda s: span(
+            len(BASE), "entropy", c["start"] + s["start"], c["start"] + s["stop"], _bytes(value, s["start"], s["stop"] - s["start"])))
+        return F.when(~fine, inside)
+
+    fresh = F.flatten(F.filter(F.transform(matches(text, CANDIDATE, 0, 1), of_candidate), lambda x: x.isNotNull()))
+
+    def apart(every: Column) -> Column:
+        """Without entropy spans that lie in a base span: one that begins no later and ends no earlier."""
+        stops = F.transform(every, lambda s: F.when(s["rank"] < len(BASE), s["stop"]).otherwise(0))
+        return let(running(stops, F.lit(0), lambda a, b: F.greatest(a, b)), lambda most: F.filter(every, lambda s, i: (s["rank"] < len(BASE)) | (F.get(most, i) < s["stop"])))
+
+    d = docs.withColumn("secrets", let(F.array_sort(F.concat(base, fresh)), apart))
+    return d.withColumn("secrets", F.transform("secrets", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"))))
 
 
 def written(spans: Column) -> Column:

@@ -11,6 +11,14 @@ from .registry import query, table
 
 #: The base patterns with the lengths apart.
 BASE = (("assign", s.ASSIGN, 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16))
+#: The allow list.
+ALLOWED = (
+    r"^[A-Za-z]+$",
+    r"^[A-Za-z]*([/_-]+[A-Za-z]+|[/_-]+[0-9]{1,4})+[/_-]*$",
+    r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
+    r"[eE][xX][aA][mM][pP][lL][eE]",
+    r"0123456789|1234567890|abcdefghij|ABCDEFGHIJ",
+)
 
 
 def _quoted(text: str) -> str:
@@ -27,7 +35,7 @@ def _found(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
 
 def _sql() -> str:
     limit = "CASE " + " ".join(f"WHEN regexp_matches(v, {_quoted(c.pattern)}) THEN {s.largest_sum(c.bits)}" for c in s.CLASSES) + " END"
-    allowed = " OR ".join(f"regexp_matches(v, {_quoted(p)})" for p in s.ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(v, {_quoted(p)})" for p in ALLOWED)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({' UNION ALL '.join(_found(kind, k, *rest) for k, (kind, *rest) in enumerate(BASE))}),

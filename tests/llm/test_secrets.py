@@ -76,3 +76,36 @@ def test_no_python_in_the_plan(make_docs):
 
 def test_weights_are_exact():
     assert s.weights()[:3] == [0, 0, 2_000_000_000]
+
+
+@pytest.mark.parametrize("text", [
+    "ab-" * 200_000, "a/1_" * 100_000, "password" + " " * 1_000_000 + "=abcdefghijklmnop", "AKIA" + "A1" * 500_000, "0f" * 500_000, "12345678-1234-" * 70_000, "x" * 1_000_000,
+    "-" * 1_000_000, "example" * 150_000], ids=lambda t: t[:9])
+def test_patterns_on_a_megabyte(make_docs, text):
+    n = len(text)
+    want = {"p": [("assign", 0, n)], "A": [("access", 0, n)], "0": [("hex", 0, n)]}.get(text[0], [])
+    assert [x[:3] for x in got(s.find_secrets(make_docs([text])))[0][1]] == want
+
+
+def test_texts_dense_with_secrets(make_docs):
+    import hashlib
+    import time
+
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(16_000)]
+    texts = [" ".join(keys), " ".join(f"Zk3xQ9vT7bLm2Rw8YpN4sD6f{k[:6]}" for k in keys[:2000])]
+    begun = time.time()
+    found = got(s.find_secrets(make_docs(texts)))
+    assert time.time() - begun < 60  # quadratic work would take minutes
+    assert found[0][1] == [("hex", 33 * i, 33 * i + 32, k) for i, k in enumerate(keys)]
+    assert found[1][1] == plain(texts[1])
+
+
+def test_words_between_signs_are_allowed():
+    flat, nested = s.ALLOWED[1], r"^[A-Za-z]*([/_-]+[A-Za-z]+|[/_-]+[0-9]{1,4})+[/_-]*$"
+    rng = random.Random(11)
+    seen = set()
+    for _ in range(20_000):
+        value = "".join(rng.choice("aB1/_-+" if rng.random() < 0.9 else "1111") for _ in range(rng.randrange(1, 9)))
+        seen.add(bool(re.search(flat, value)))
+        assert bool(re.search(flat, value)) == bool(re.search(nested, value))
+    assert seen == {True, False}
