@@ -4,7 +4,10 @@ A fingerprint takes each bit by majority over the hashes of a text's word shingl
 fingerprints fall together first. Distinct ones meet in tables keyed by some of their bits: with
 ``blocks`` blocks of bits and at most ``radius`` differences, ``blocks - radius`` blocks agree in
 full, so tables keyed by every such choice lose no link (``block_keys``). Wider fingerprints
-meet by bands (``band_keys``), which find a pair with a chance that grows with its similarity.
+meet by bands of bits (``band_keys``), which find a pair with a chance that grows with its similarity. Texts that are to share
+most of their shingles meet by bands of minimum hashes of their shingle sets instead (``band_hashes``): two sets of
+similarity s meet with the chance 1 - (1 - s ** rows) ** bands, which hardly any unlike pair
+does, so that the work grows with the texts and their links alone.
 
 Within a table rows are sorted by key and stored as bit planes, one plane a bit position, one
 lane a row. A shift by s lanes compares every row with its s-th follower at once: differing
@@ -15,14 +18,15 @@ into parts that are compared pair by pair, so no task holds an unbounded bucket.
 
 ``similar_documents`` takes such links only as candidates: a link holds if the exact Jaccard similarity of
 both distinct shingle sets is high enough. Sets travel to blocks of a candidate component, each
-once a block. One link a class is tried first, then all found between parts that are still apart; where a
-candidate component falls apart even so, all its pairs within the radius that meet in a table are tried. So the
-result is that of checking every candidate pair, though few are.
+once a block. The links of a bucket's spanning forest are tried first. Where rows of one bucket are still apart
+after that, all their pairs within the radius are tried, so the result is that of checking every candidate pair, though
+few are. A bucket beyond ``BUCKET`` rows is cut into parts that share ``PIVOTS`` rows, so its size costs
+once; only rows that hang on none of them are held against all.
 
 Defined cases: a null text counts as empty; a text without words has the fingerprint zero, which
 links like any other. Repeated rows share a fingerprint. A component's id is its smallest
-document id; null ids are passed over, and a component of null ids alone has the id null. An
-empty table gives an empty result.
+document id; null ids are passed over, and a component of null ids alone has the id null. Very long texts are hashed
+and counted some shingles at a time. An empty table gives an empty result; columns beside id and text are ignored.
 """
 
 from __future__ import annotations
@@ -35,11 +39,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.morphology import connected
 from ..session import checkpoint
 from .arrow import map_batches
+from .bitmap import maybe_in
 
 #: Rows of one bucket that are compared in one place.
 BUCKET = 4096
@@ -47,8 +53,12 @@ BUCKET = 4096
 LANES = 1 << 15
 #: Classes of a candidate component whose shingle sets are held in one place.
 SIDE = 64
-#: Shingle hashes whose bits are counted at a time.
-COUNTED = 1 << 16
+#: Shingle hashes whose bits are counted, and that are hashed for minima, at a time.
+COUNTED, HASHED = 1 << 16, 1 << 12
+#: Rows that all parts of a large bucket share.
+PIVOTS = 64
+#: Bands of minimum hashes and rows of a band: pairs of similarity 0.8 meet with a chance of 0.9993.
+BANDS, ROWS = 24, 6
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -113,6 +123,22 @@ def band_keys(width: int, bits: int = 12, strides: tuple[int, ...] = (1, 5)) ->
     return [[(p // 16, p % 16 * 4, 4) for p in table] for table in pieces]
 
 
+def band_hashes(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key a band: the minima of ``rows`` hashes of the set, hashed; none of an empty set."""
+    if not len(shingles):
+        return np.empty(0, np.uint64)
+    n = bands * rows
+    odd = _spread(np.arange(1, n + 1, dtype=np.uint64), 1) | np.uint64(1)
+    low = np.full(n, np.uint64(2**64 - 1))
+    for i in range(0, len(shingles), HASHED):
+        some = shingles[i : i + HASHED]
+        low = np.minimum(low, ((some ^ (some >> np.uint64(29)))[:, None] * odd[None, :]).min(0))
+    key = np.arange(bands, dtype=np.uint64)
+    for column in low.reshape(bands, rows).T:
+        key = _spread(key * np.uint64(0x9E3779B97F4A7C15) ^ column, 1)
+    return key
+
+
 def _key(fp: Column, table: int, parts: list[tuple[int, int, int]]) -> Column:
     key = F.lit(table).cast("bigint")
     for word, first, bits in parts:
@@ -281,24 +307,64 @@ def bucket_pairs(sizes: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarr
                 yield rows[a], rows[a + shift]
 
 
-def links(classes: DataFrame, tables: list[list[tuple[int, int, int]]], radius: int, bucket: int = BUCKET) -> DataFrame:
-    """Links ``u, v`` between classes (``node, fp``) within ``radius`` that share a table's key; enough to join what is joined.
+def _dealt(rows: DataFrame, radius: int) -> DataFrame:
+    """Links of rows ``deal, node, fp``, and ``root`` where all pairs of unlike roots are wanted."""
+    spread = rows.repartition("deal").sortWithinPartitions("deal", "node")
+    return map_batches(spread, lambda b: _compare(b, radius), "u bigint, v bigint").distinct()
 
-    Where ``classes`` have a ``root``, all such pairs of unlike roots instead.
-    """
-    root = [c for c in classes.columns if c == "root"]
+
+def links(classes: DataFrame, tables: list[list[tuple[int, int, int]]], radius: int, bucket: int = BUCKET) -> DataFrame:
+    """Links ``u, v`` between classes (``node, fp``) within ``radius`` that share a table's key; enough to join what is joined."""
     keys = F.array(*(_key(F.col("fp"), i, t) for i, t in enumerate(tables)))
-    rows = classes.select("node", "fp", *root, F.explode(keys).alias("key"))
+    rows = classes.select("node", "fp", F.explode(keys).alias("key"))
     large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket)
     marked = rows.join(large, "key", "left")
     parts = F.ceil(F.col("n") / bucket).cast("int")
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
     pairs = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
         F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.least(mine, j).cast("bigint") * 1_000_000 + F.greatest(mine, j)))
-    dealt = marked.select("key", F.explode(pairs).alias("pair"), "node", "fp", *root).select(F.xxhash64("key", "pair").alias("deal"), "node", "fp", *root)
+    dealt = marked.select("key", F.explode(pairs).alias("pair"), "node", "fp")
     # Two buckets of one hash are compared as one, which only adds true links.
-    spread = dealt.repartition("deal").sortWithinPartitions("deal", "node")
-    return map_batches(spread, lambda b: _compare(b, radius), "u bigint, v bigint").distinct()
+    return _dealt(dealt.select(F.xxhash64("key", "pair").alias("deal"), "node", "fp"), radius)
+
+
+def shared_keys(classes: DataFrame) -> DataFrame:
+    """``key, node, n``: the keys (of ``node, keys``) that ``n`` nodes have, two at least."""
+    rows = classes.select("node", F.explode("keys").alias("key"))
+    return rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key").select("key", "node", "n")
+
+
+def forest_links(shared: DataFrame, classes: DataFrame, radius: int, bucket: int = BUCKET, pivots: int = PIVOTS) -> DataFrame:
+    """Links ``u, v`` within ``radius`` between nodes that share a key: a spanning forest of each part of a bucket."""
+    parts = F.ceil(F.col("n") / bucket)
+    own = shared.select("key", "node", F.pmod(F.xxhash64("node"), parts).alias("part"))
+    # In every part of a large bucket its first nodes; the limit a key is taken before the shuffle.
+    first = shared.where(F.col("n") > bucket).withColumn("at", F.row_number().over(W.partitionBy("key").orderBy("node"))).where(F.col("at") <= pivots)
+    more = first.select("key", "node", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    dealt = own.unionByName(more).distinct().join(classes.select("node", "fp"), "node")
+    return _dealt(dealt.select(F.xxhash64("key", "part").alias("deal"), "node", "fp"), radius)
+
+
+def pairs_apart(shared: DataFrame, classes: DataFrame, roots: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
+    """All pairs ``u, v`` within ``radius`` that share a key and do not hang together by ``roots`` (``node, root``).
+
+    In a large bucket the rows of its most frequent root need not meet each other: only the others are held against
+    all.
+    """
+    now = shared.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    per = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
+    mixed = now.join(per.where("roots > 1"), "key")
+    size = bucket // 2
+    many, few = F.ceil(F.col("most") / size).cast("int"), F.ceil((F.col("n") - F.col("most")) / size).cast("int")
+    main = F.col("root") == F.col("main")
+    mine = F.pmod(F.xxhash64("node"), F.when(main, many).otherwise(few)).cast("int")
+    # Parts of other rows meet the parts of the main root's and each other.
+    met = F.when(main, F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct(mine.alias("a"), j.alias("b")))).otherwise(F.concat(
+        F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(j.alias("a"), mine.alias("b"))),
+        F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct((-1 - F.least(mine, j)).alias("a"), F.greatest(mine, j).alias("b")))))
+    whole = F.when(F.col("n") <= bucket, F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(met)
+    dealt = mixed.select("key", "node", "root", F.explode(whole).alias("met")).join(classes.select("node", "fp"), "node")
+    return _dealt(dealt.select(F.xxhash64("key", "met").alias("deal"), "node", "fp", "root"), radius)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, width: int = 1, radius: int = 4,
@@ -365,60 +431,54 @@ def _holding(pairs: DataFrame, placed: DataFrame, sets: DataFrame, least: float)
     return checkpoint(map_batches(spread, lambda b: _check(b, least), "u bigint, v bigint"))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose nodes do not hang together yet."""
-    of = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
-    d = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
-    return d.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-
-
 def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, width: int = 4, radius: int = 55, least: float = 0.8,
-                      tables: list[list[tuple[int, int, int]]] | None = None, bucket: int = BUCKET, side: int = SIDE) -> DataFrame:
+                      bands: int = BANDS, rows: int = ROWS, bucket: int = BUCKET, side: int = SIDE) -> DataFrame:
     """``doc``, ``text_hash`` (xxhash64) and ``component`` of every row, by links of a Jaccard similarity of ``least`` or more.
 
-    ``component`` is the smallest document id reachable by such links; candidates are the pairs within ``radius``
-    that meet in ``tables``. Fingerprints and similarities are those of the distinct shingles.
+    ``component`` is the smallest document id reachable by such links; candidates are the pairs whose fingerprints are within
+    ``radius`` and whose sets meet in a band. Fingerprints and similarities are those of the distinct shingles.
     """
-    tables = band_keys(width, strides=(1, 5, 11)) if tables is None else tables
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
-            yield {"doc": b.column(0), "text_hash": b.column(2), "digest": [_digest(x) for x in found], "fp": [fingerprint(x, width) for x in found]}
+            yield {"doc": b.column(0), "text_hash": b.column(2), "text_key": b.column(3), "digest": [_digest(x) for x in found], "fp": [fingerprint(x, width) for x in found],
+                   "keys": [band_hashes(x, bands, rows).view(np.int64) for x in found]}
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
-            found = [shingle_set(t, words) for t in b.column(2).to_pylist()]
-            kept = [(n, x.tobytes()) for n, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), found, strict=True) if _digest(x) == d]
-            yield {"node": [n for n, _ in kept], "shingles": [x for _, x in kept]}
+            yield {"node": b.column(0), "shingles": [shingle_set(t, words).tobytes() for t in b.column(1).to_pylist()]}
 
-    marked = checkpoint(map_batches(texts, run, "doc bigint, text_hash bigint, digest binary, fp array<bigint>"))
-    low = marked.groupBy("digest").agg(F.min("doc").alias("low"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
-    classes = checkpoint(low.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "text_hash", "fp"))
+    marked = checkpoint(map_batches(texts.select("doc", "text", F.xxhash64("text").alias("text_hash"), "text_key"), run,
+                                    "doc bigint, text_hash bigint, text_key binary, digest binary, fp array<bigint>, keys array<bigint>"))
+    low = marked.groupBy("digest").agg(F.min("doc").alias("low"), F.min("text_key").alias("text_key"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    classes = checkpoint(low.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "text_key", "fp", "keys"))
 
-    found = checkpoint(links(classes.select("node", "fp"), tables, radius, bucket).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct())
+    shared = checkpoint(shared_keys(classes.select("node", "keys")))
+    ordered = lambda d: d.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+    found = checkpoint(ordered(forest_links(shared, classes, radius, bucket)))
     groups = connected(found, ())
-    groups = checkpoint(groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group"))).distinct())
+    groups = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group"))).distinct()
+    # Parts of a large bucket may have links that no forest of a part shows.
+    alone = shared.where(F.col("n") > bucket).select("node").distinct().join(groups, "node", "left_anti").select("node", F.col("node").alias("group"))
+    groups = checkpoint(groups.unionByName(alone))
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    placed = checkpoint(groups.join(sizes, "group").select("node", "group", "n", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / side)).alias("part")))
-    wanted = classes.join(placed, "node").select("node", "digest", "text_hash")
-    # Texts of one hash but other shingles are told apart by the digest.
-    held = texts.select("text", "text_hash").join(wanted, "text_hash").select("node", "digest", "text").distinct()
-    sets = checkpoint(map_batches(held, unfold, "node bigint, shingles binary"))
-
-    first = found.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    good = _holding(first, placed, sets, least)
-    roots = connected(good, ())
-    more = _holding(_apart(found.join(first, ["u", "v"], "left_anti"), roots), placed, sets, least)
-    good = good.unionByName(more)
-    roots = connected(good, ())
-    now = placed.where("n > 2").join(roots, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
-    broken = now.groupBy("group").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("group")
-    doubtful = checkpoint(classes.select("node", "fp").join(now.join(broken, "group", "left_semi"), "node").select("node", "fp", "root"))
-    rest = links(doubtful, tables, radius, bucket).join(found, ["u", "v"], "left_anti")
-    good = good.unionByName(_holding(rest, placed, sets, least))
-    rooted = classes.join(connected(good, ()), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = checkpoint(groups.join(sizes, "group").select("node", "group", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / side)).alias("part")))
+    wanted = checkpoint(classes.join(placed, "node").select("text_key", "node"))
+    # One row a text, of the texts that have a candidate; a class is known by one of its texts.
+    once = maybe_in(texts, F.col("text_key"), wanted).groupBy("text_key").agg(F.first("text").alias("text"))
+    sets = checkpoint(map_batches(once.join(wanted, "text_key").select("node", "text"), unfold, "node bigint, shingles binary"))
+
+    roots = checkpoint(connected(_holding(found, placed, sets, least), ()))
+    more = checkpoint(ordered(pairs_apart(shared, classes, roots, radius, bucket)).join(found, ["u", "v"], "left_anti"))
+    more = _holding(more, placed, sets, least)
+    if not more.isEmpty():  # what hangs together is one node by now
+        of = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
+        joined = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v"))
+        above = connected(ordered(joined), ()).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        every = roots.unionByName(above.select(F.col("root").alias("node"), F.col("top").alias("root"))).join(above, "root", "left")
+        roots = checkpoint(every.select("node", F.coalesce("top", "root").alias("root")).distinct())
+    rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("digest", "component")
     return marked.join(named, "digest").select("doc", "text_hash", "component")

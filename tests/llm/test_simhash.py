@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from cohortspark.llm.simhash import Planes, band_keys, block_keys, bucket_links, fingerprint, jaccard, links, near_duplicates, shingle_hashes, shingle_set, similar_documents
+from cohortspark.llm.simhash import Planes, band_hashes, band_keys, block_keys, bucket_links, fingerprint, jaccard, links, near_duplicates, shingle_hashes, shingle_set, similar_documents
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -166,9 +166,33 @@ def test_further_links_where_the_first_fail(make_docs, bucket, side):
             cut = rng.randrange(0, 75)
             rows.append((100 * k + j, " ".join(base[: 300 - cut] + [f"y{rng.randrange(10**9)}" for _ in range(cut)])))
     rng.shuffle(rows)
-    out = similar_documents(make_docs(rows), tables=[[]], radius=110, bucket=bucket, side=side)
+    out = similar_documents(make_docs(rows), bands=64, rows=1, radius=110, bucket=bucket, side=side)
     assert sorted(((r.doc, r.component) for r in out.collect()), key=str) == by_similarity(rows)
 
 
 def test_similar_documents_of_an_empty_table(make_docs):
     assert similar_documents(make_docs([])).count() == 0
+
+
+def test_bands_meet_by_similarity():
+    rng = random.Random(4)
+    for similarity, low, high in ((0.8, 0.98, 1), (0.3, 0, 0.08), (0.05, 0, 0)):
+        met = [bool(set(band_hashes(a, 24, 6).tolist()) & set(band_hashes(b, 24, 6).tolist()))
+               for a, b in ((shingle_set(x, 5), shingle_set(y, 5)) for x, y in (alike(rng, 200, similarity) for _ in range(150)))]
+        assert low <= sum(met) / len(met) <= high
+    assert len(band_hashes(shingle_set("", 5), 24, 6)) == 0
+
+
+def test_a_large_bucket_loses_no_link(make_docs):
+    """Chains of texts, each only like its neighbours, that all meet in the same bands; parts of five rows."""
+    rng = random.Random(12)
+    common = [f"c{rng.randrange(10**9)}" for _ in range(300)]
+    rows = []
+    for chain in range(4):
+        text = common[:150] + [f"d{rng.randrange(10**9)}" for _ in range(150)]
+        for j in range(10):
+            rows.append((100 * chain + j, " ".join(text)))
+            text[150 + 14 * j : 164 + 14 * j] = [f"e{rng.randrange(10**9)}" for _ in range(14)]
+    rng.shuffle(rows)
+    out = similar_documents(make_docs(rows), bands=64, rows=1, radius=120, bucket=5)
+    assert sorted(((r.doc, r.component) for r in out.collect()), key=str) == by_similarity(rows)
