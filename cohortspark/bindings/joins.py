@@ -158,7 +158,7 @@ def _notes(t):
     """Bench notes from orders: the priority picks the action, the key the wildcards."""
     k = F.col("o_orderkey")
     p = F.substring("o_orderpriority", 1, 1)
-    return t.orders.where("o_totalprice > 100000").select(
+    return t.orders.select(
         k.alias("ord"), F.floor(k / 2).alias("tube_id"),
         F.when((k % 3 == 0) & (p != "5"), "").when(k % 2 == 0, "original").otherwise("rescan").alias("scan"),
         F.when((k % 5 < 3) & (p != "5"), F.lpad((k % 7 + 1).cast("string"), 2, "0")).otherwise("").alias("section_label"),
@@ -171,7 +171,7 @@ NOTES = """nts AS (SELECT o_orderkey AS ord, o_orderkey // 2 AS tube_id,
   CASE WHEN o_orderkey % 3 = 0 AND p <> '5' THEN '' WHEN o_orderkey % 2 = 0 THEN 'original' ELSE 'rescan' END AS scan,
   CASE WHEN o_orderkey % 5 < 3 AND p <> '5' THEN lpad(CAST(o_orderkey % 7 + 1 AS VARCHAR), 2, '0') ELSE '' END AS section_label,
   CASE p WHEN '1' THEN 'exclude_section' WHEN '2' THEN 'flag_artefact' WHEN '3' THEN 'flag_quality' WHEN '4' THEN 'prefer_section' ELSE 'prefer_scan' END AS action,
-  'note ' || o_orderkey AS note FROM (SELECT *, substr(o_orderpriority, 1, 1) AS p FROM orders WHERE o_totalprice > 100000)),
+  'note ' || o_orderkey AS note FROM (SELECT *, substr(o_orderpriority, 1, 1) AS p FROM orders)),
 hit AS (SELECT man.tube_id, man.scan, man.section_label, n.ord, n.action, n.note, n.scan AS nscan
   FROM man JOIN nts n ON n.tube_id = man.tube_id AND (n.action = 'prefer_scan'
     OR ((n.scan = '' OR n.scan = man.scan) AND (n.section_label = '' OR n.section_label = man.section_label)))),

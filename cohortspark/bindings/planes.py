@@ -190,6 +190,16 @@ def _close(t):
     return _px(M.close_mask(M.mask_runs(mask(t), BY), frame(t), BY, 3))
 
 
+def _square_sql(name: str, r: int) -> str:
+    return f"{name} AS (SELECT a.d AS dx, b.d AS dy FROM range({-r}, {r + 1}) a(d), range({-r}, {r + 1}) b(d))"
+
+
+@query("i05_closing_7", f"""WITH {MASK}, {_square_sql('o7', 3)}, dil AS (SELECT DISTINCT vec_id, x + dx AS x, y + dy AS y FROM m, o7 WHERE x + dx BETWEEN 0 AND 7 AND y + dy BETWEEN 0 AND 7)
+SELECT vec_id, CAST(d.x + dx AS INTEGER) AS x, CAST(d.y + dy AS INTEGER) AS y FROM dil d, o7 GROUP BY ALL HAVING count(*) = 49""")
+def _close_7(t):
+    return _px(M.close_mask(M.mask_runs(mask(t), BY), frame(t), BY))
+
+
 def _comp_sql(source: str, eight: bool = False) -> str:
     near = "abs(p.x - q.x) <= 1 AND abs(p.y - q.y) <= 1" if eight else FOUR
     return f"""WITH RECURSIVE {MASK}, {CLOSED}, {{extra}}
@@ -263,18 +273,29 @@ def _norm(t):
     return a.join(b, ["vec_id", "x", "y"])
 
 
-W7 = ", ".join(f"({o}, {math.exp(-o * o / 2.0)!r}::DOUBLE)" for o in range(-3, 4))
+@query("i09_zscore", f"WITH {PX}, {BOX} SELECT vec_id, x, y, round((value - mu) / nullif(sd, 0), 5) + 0.0::DOUBLE AS zscore FROM bx")
+def _zscore(t):
+    return P.local_norm(pixels(t), BY, "value", 1, "zscore").select("vec_id", "x", "y", rnd(F.col("normalised"), 5).alias("zscore"))
+
+
+SIGMAS = (1, 2, 4)
+
+
+def _scale_sql(k: int) -> str:
+    """One scale: blurred along x, then y, then the differences to the four neighbours."""
+    w = ", ".join(f"({o}, {math.exp(-o * o / (2.0 * k * k))!r}::DOUBLE)" for o in range(-3 * k, 3 * k + 1))
+    return f"""w{k}(o, w) AS (VALUES {w}),
+gx{k} AS (SELECT p.vec_id, p.x, p.y, sum(q.value * w) / sum(w) FILTER (q.value IS NOT NULL) AS g, sum(q.value * q.value * w) / sum(w) FILTER (q.value IS NOT NULL) AS s FROM px p, w{k} JOIN px q ON q.vec_id = p.vec_id AND q.y = p.y AND q.x = p.x + o GROUP BY ALL),
+gg{k} AS (SELECT p.vec_id, p.x, p.y, sum(q.g * w) / sum(w) FILTER (q.g IS NOT NULL) AS g, sum(q.s * w) / sum(w) FILTER (q.s IS NOT NULL) AS s FROM gx{k} p, w{k} JOIN gx{k} q ON q.vec_id = p.vec_id AND q.x = p.x AND q.y = p.y + o GROUP BY ALL),
+nb{k} AS (SELECT c.*, coalesce(l.g, c.g) AS l, coalesce(r.g, c.g) AS r, coalesce(u.g, c.g) AS u, coalesce(b.g, c.g) AS b FROM gg{k} c LEFT JOIN gg{k} l ON l.vec_id = c.vec_id AND l.y = c.y AND l.x = c.x - 1 LEFT JOIN gg{k} r ON r.vec_id = c.vec_id AND r.y = c.y AND r.x = c.x + 1
+  LEFT JOIN gg{k} u ON u.vec_id = c.vec_id AND u.x = c.x AND u.y = c.y - 1 LEFT JOIN gg{k} b ON b.vec_id = c.vec_id AND b.x = c.x AND b.y = c.y + 1),
+f{k} AS (SELECT vec_id, x, y, round(g, 6) + 0.0::DOUBLE AS gauss_s{k}, round(sqrt(greatest(s - g * g, 0)), 5) AS std_s{k}, round(l + r + u + b - 4 * g, 6) + 0.0::DOUBLE AS laplace_s{k}, round(sqrt((r - l) * (r - l) / 4 + (b - u) * (b - u) / 4), 6) AS gradient_s{k} FROM nb{k})"""
 
 
-@query("i10_multiscale_features", f"""WITH {PX}, w(o, w) AS (VALUES {W7}),
-gx AS (SELECT p.vec_id, p.x, p.y, sum(q.value * w) / sum(w) FILTER (q.value IS NOT NULL) AS g, sum(q.value * q.value * w) / sum(w) FILTER (q.value IS NOT NULL) AS s FROM px p, w JOIN px q ON q.vec_id = p.vec_id AND q.y = p.y AND q.x = p.x + o GROUP BY ALL),
-gg AS (SELECT p.vec_id, p.x, p.y, sum(q.g * w) / sum(w) FILTER (q.g IS NOT NULL) AS g, sum(q.s * w) / sum(w) FILTER (q.s IS NOT NULL) AS s FROM gx p, w JOIN gx q ON q.vec_id = p.vec_id AND q.x = p.x AND q.y = p.y + o GROUP BY ALL),
-nb AS (SELECT c.*, coalesce(l.g, c.g) AS l, coalesce(r.g, c.g) AS r, coalesce(u.g, c.g) AS u, coalesce(b.g, c.g) AS b FROM gg c LEFT JOIN gg l ON l.vec_id = c.vec_id AND l.y = c.y AND l.x = c.x - 1 LEFT JOIN gg r ON r.vec_id = c.vec_id AND r.y = c.y AND r.x = c.x + 1
-  LEFT JOIN gg u ON u.vec_id = c.vec_id AND u.x = c.x AND u.y = c.y - 1 LEFT JOIN gg b ON b.vec_id = c.vec_id AND b.x = c.x AND b.y = c.y + 1)
-SELECT vec_id, x, y, round(g, 6) + 0.0::DOUBLE AS gauss_s1, round(sqrt(greatest(s - g * g, 0)), 5) AS std_s1, round(l + r + u + b - 4 * g, 6) + 0.0::DOUBLE AS laplace_s1, round(sqrt((r - l) * (r - l) / 4 + (b - u) * (b - u) / 4), 6) AS gradient_s1 FROM nb""")
+@query("i10_multiscale_features", f"WITH {PX}, {', '.join(map(_scale_sql, SIGMAS))} SELECT * FROM f1 JOIN f2 USING (vec_id, x, y) JOIN f4 USING (vec_id, x, y)")
 def _features(t):
-    f = P.features(pixels(t), BY, "value", (1.0,))
-    return f.select("vec_id", "x", "y", *[rnd(F.col(c), 5 if c.startswith("std") else 6).alias(c) for c in ("gauss_s1", "std_s1", "laplace_s1", "gradient_s1")])
+    f = P.features(pixels(t), BY, "value")
+    return f.select("vec_id", "x", "y", *[rnd(F.col(f"{c}_s{k}"), 5 if c == "std" else 6).alias(f"{c}_s{k}") for k in SIGMAS for c in ("gauss", "std", "laplace", "gradient")])
 
 
 SEEDS = f"{PX}, m AS (SELECT vec_id, x, y FROM px WHERE value > 0.25::DOUBLE), ds AS (SELECT p.vec_id, p.x, p.y, p.value, min(sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2)) AS dist FROM px p LEFT JOIN m ON p.vec_id = m.vec_id AND (p.x - m.x) ** 2 + (p.y - m.y) ** 2 <= 9 GROUP BY ALL)"

@@ -38,11 +38,39 @@ def _resolve(t):
     return R.resolve_regions(_features(t), "image", F.lit(160.0)).select("image", "feature_no", "region", rnd(F.col("area_mm2")).alias("area_mm2"))
 
 
-@query("j02_region_areas", f"WITH {FEATURES} SELECT image, region, round(sum(area), 6) AS area_mm2, count(*) AS n_parts, CASE WHEN sum(area) < 4 THEN 'degenerate' ELSE '' END AS reason FROM rs WHERE region IS NOT NULL GROUP BY 1, 2")
+#: Parts of a region share a corner, so the largest holds the others; a hole stays if every part has it.
+@query("j02_region_areas", f"""WITH {FEATURES}, un AS (SELECT image, region, ((max(p_size) + 5) * (max(p_size) + 3) - CASE WHEN bool_and(p_size % 2 = 0) THEN 4 ELSE 0 END) * 160.0::DOUBLE * 160.0::DOUBLE / 1e6 AS a, count(*) AS n_parts
+  FROM rs JOIN part ON p_partkey = image * 5 + feature_no WHERE region IS NOT NULL GROUP BY 1, 2)
+SELECT image, region, round(a, 6) AS area_mm2, n_parts, CASE WHEN a < 4 THEN 'degenerate' ELSE '' END AS reason FROM un""")
 def _areas(t):
     return R.region_areas(R.resolve_regions(_features(t), "image", F.lit(160.0)), ["image"], 4.0).withColumn("area_mm2", rnd(F.col("area_mm2")))
 
 
+def _overlapping(t):
+    """Two squares of side 10 a supplier, the second moved to the right and down, with a hole of its own."""
+    k = F.col("s_suppkey")
+    dx, dy = (k % 13).cast("double"), (k % 9).cast("double")
+    one = F.array(_rect(F.lit(0), F.lit(0), F.lit(10), F.lit(10)))
+    two = F.array(_rect(dx, dy, dx + 10, dy + 10), _rect(dx + 7, dy + 7, dx + 9, dy + 9))
+    return t.supplier.select("s_suppkey", F.explode(F.array(one, two)).alias("rings"))
+
+
+#: A cell is of one kind throughout, so cells count as area and as pixels.
+OVERLAP = """px AS (SELECT s_suppkey, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, x < 10 AND y < 10 AS one,
+  x - s_suppkey % 13 BETWEEN 0 AND 9 AND y - s_suppkey % 9 BETWEEN 0 AND 9 AND NOT (x - s_suppkey % 13 BETWEEN 7 AND 8 AND y - s_suppkey % 9 BETWEEN 7 AND 8) AS two
+  FROM supplier, range(23) a(x), range(19) b(y))"""
+
+
+@query("j02_union_area", f"WITH {OVERLAP} SELECT s_suppkey, round(count(*), 6)::DOUBLE AS area FROM px WHERE one OR two GROUP BY 1")
+def _union_area(t):
+    return R.union_area(_overlapping(t), ["s_suppkey"]).select("s_suppkey", rnd(F.col("area")).alias("area"))
+
+
+@query("j03_union_pixels", f"WITH {OVERLAP} SELECT s_suppkey, x, y FROM px WHERE one OR two")
+def _union_pixels(t):
+    return M.run_pixels(R.rasterise(_overlapping(t), ["s_suppkey"])).select("s_suppkey", "x", "y")
+
+
 def _triangles(t):
     """Supplier polygons: a triangle with a triangular hole, corners off the pixel grid."""
     k = F.col("s_suppkey")

@@ -69,37 +69,38 @@ def apply_patches(df: DataFrame, notes: DataFrame) -> DataFrame:
 
     ``df``: ``tube_id, scan, section_label, scan_is_preferred, analysis_include``;
     ``notes``: ``ord, tube_id, scan, section_label, action, note``. Notes are reduced to
-    one row per key before each join, so no join multiplies rows.
+    one row per key, wildcards as they stand; a section probes that table with its four keys.
     """
     n = notes.select("ord", "tube_id", F.coalesce(F.trim("scan"), F.lit("")).alias("scan"),
                      F.coalesce(F.trim("section_label"), F.lit("")).alias("section_label"), "action", "note")
-    plain, pin = n.where(F.col("action") != "prefer_scan"), n.where(F.col("action") == "prefer_scan")
-    out, said, done, art, low, cut = df, [], [], [], [], []
-    for i, (has_scan, has_label) in enumerate(((False, False), (True, False), (False, True), (True, True))):
-        keys = ["tube_id", *(["scan"] if has_scan else []), *(["section_label"] if has_label else [])]
-        level = plain.where((F.col("scan") != "") if has_scan else (F.col("scan") == "")).where(
-            (F.col("section_label") != "") if has_label else (F.col("section_label") == ""))
-        agg = level.groupBy(*keys).agg(
-            F.max(F.struct("ord", "note")).alias(f"_n{i}"), F.max(F.struct("ord", "action")).alias(f"_a{i}"),
-            F.bool_or(F.col("action") == "flag_artefact").alias(f"_f{i}"),
-            F.bool_or(F.col("action") == "flag_quality").alias(f"_q{i}"),
-            F.bool_or(F.col("action") == "exclude_section").alias(f"_x{i}"))
-        out = attach(out, agg, keys)
-        said.append(f"_n{i}"), done.append(f"_a{i}"), art.append(f"_f{i}"), low.append(f"_q{i}"), cut.append(f"_x{i}")
-    out = attach(out, pin.groupBy("tube_id").agg(
-        F.max(F.struct("ord", "note")).alias("_n4"), F.max(F.struct("ord", "scan")).alias("_pin")), ["tube_id"])
-    out = attach(out, pin.groupBy("tube_id", "scan").agg(F.max(F.struct("ord", "action")).alias("_a4")), ["tube_id", "scan"])
-    said.append("_n4"), done.append("_a4")
-    any_of = lambda names: F.coalesce(F.greatest(*[F.coalesce(c, F.lit(False)) for c in names]), F.lit(False))
-    out = out.withColumns({
-        "bench_note": F.coalesce(F.greatest(*said)["note"], F.lit("")),
-        "bench_action": F.coalesce(F.greatest(*done)["action"], F.lit("")),
-        "has_flagged_artefact": any_of(art),
-        "flagged_lower_quality": any_of(low),
-        "analysis_include": F.col("analysis_include") & ~any_of(cut),
-        "scan_is_preferred": F.when(F.col("_pin").isNotNull(), F.col("scan") == F.col("_pin")["scan"]).otherwise(F.col("scan_is_preferred")),
-    })
-    return out.drop(*said, *done, *art, *low, *cut, "_pin")
+    # A note speaks at one point of the lattice of wildcards; a pinned scan speaks to the whole tube, and acts on its scan.
+    point = lambda scan, label, note, action, pin: F.struct(scan.alias("scan"), label.alias("section_label"), note.alias("says"), action.alias("acts"), pin.alias("pins"))
+    yes, no, blank = F.lit(True), F.lit(False), F.lit("")
+    spots = F.when(F.col("action") == "prefer_scan", F.array(point(blank, blank, yes, no, yes), point(F.col("scan"), blank, no, yes, no))).otherwise(
+        F.array(point(F.col("scan"), F.col("section_label"), yes, yes, no)))
+    each = n.select("ord", "tube_id", "action", "note", F.col("scan").alias("pinned"), F.explode(spots).alias("p")).select("*", "p.*").drop("p")
+    last = lambda c, when: F.max(F.when(when, F.struct("ord", c)))
+    flag = lambda action: F.bool_or(F.col("acts") & (F.col("action") == action))
+    spoken = each.groupBy("tube_id", "scan", "section_label").agg(
+        last("note", F.col("says")).alias("_note"), last("action", F.col("acts")).alias("_action"), last("pinned", F.col("pins")).alias("_pin"),
+        flag("flag_artefact").alias("_art"), flag("flag_quality").alias("_low"), flag("exclude_section").alias("_cut"))
+    # A section listens at its four points.
+    own = ["tube_id", "scan", "section_label"]
+    heard = F.array_distinct(F.array(*[F.struct(s.alias("s"), la.alias("l")) for s in (F.col("scan"), blank) for la in (F.col("section_label"), blank)]))
+    asked = df.select(*own).distinct().withColumn("p", F.explode(heard)).select(*own, F.col("p.s").alias("_s"), F.col("p.l").alias("_l"))
+    spoken = spoken.withColumnsRenamed({"tube_id": "_t", "scan": "_ps", "section_label": "_pl"})
+    met = asked.join(spoken, (F.col("_s") == F.col("_ps")) & (F.col("_l") == F.col("_pl")) & F.col("tube_id").eqNullSafe(F.col("_t")))
+    found = met.groupBy(*own).agg(*[F.max(c).alias(c) for c in ("_note", "_action", "_pin")], *[F.bool_or(c).alias(c) for c in ("_art", "_low", "_cut")])
+    out = attach(df, found, own)
+    sure = lambda c: F.coalesce(F.col(c), no)
+    return out.withColumns({
+        "bench_note": F.coalesce(F.col("_note")["note"], blank),
+        "bench_action": F.coalesce(F.col("_action")["action"], blank),
+        "has_flagged_artefact": sure("_art"),
+        "flagged_lower_quality": sure("_low"),
+        "analysis_include": F.col("analysis_include") & ~sure("_cut"),
+        "scan_is_preferred": F.when(F.col("_pin").isNotNull(), F.col("scan") == F.col("_pin")["pinned"]).otherwise(F.col("scan_is_preferred")),
+    }).drop("_note", "_action", "_pin", "_art", "_low", "_cut")
 
 
 def prefer(df: DataFrame, entity: str = "tube_id", section: str = "physical_section_label") -> DataFrame:

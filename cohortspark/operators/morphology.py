@@ -8,13 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..session import checkpoint, new_folder, remove
+from .halo import lower_envelope
 from .summarise import attach
 
+#: Rows of a plane that are labelled in one place (three at least), and columns whose distances are swept in one.
+STRIP, COLUMNS = 256, 16
+
 
 def mask_runs(px: DataFrame, by: Sequence[str]) -> DataFrame:
     """Foreground pixels to maximal runs."""
@@ -77,15 +85,15 @@ def _node(y: Column, x: Column) -> Column:
     return F.call_function("shiftleft", y.cast("bigint"), F.lit(32)) + x
 
 
-def run_edges(runs: DataFrame, by: Sequence[str], connectivity: int = 4) -> DataFrame:
-    """Pairs of touching runs in neighbouring rows; their number is linear in the runs.
+def run_edges(runs: DataFrame, by: Sequence[str], connectivity: int = 4, node: Column | None = None) -> DataFrame:
+    """Pairs of touching runs (or of their ``node`` names) in neighbouring rows; their number is linear in the runs.
 
     Runs of a row are disjoint, so a run only meets the latest run of the other row that
     starts no later than it does.
     """
     grow = 1 if connectivity == 8 else 0
     side = lambda t, dy: runs.select(*by, (F.col("y") + dy).alias("_pair"), F.lit(t).alias("_t"), (2 * F.col("x0") - grow).alias("_s"),
-                                     (2 * F.col("x1") + grow).alias("_e"), _node(F.col("y"), F.col("x0")).alias("_id"))
+                                     (2 * F.col("x1") + grow).alias("_e"), (_node(F.col("y"), F.col("x0")) if node is None else node).alias("_id"))
     d = side(0, 0).unionByName(side(1, -1))
     w = W.partitionBy(*by, "_pair").orderBy("_s").rangeBetween(W.unboundedPreceding, W.currentRow)
     me = F.struct("_s", "_e", "_id")
@@ -122,12 +130,55 @@ def connected(edges: DataFrame, by: Sequence[str], max_rounds: int = 50) -> Data
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def components(runs: DataFrame, by: Sequence[str], connectivity: int = 4) -> DataFrame:
-    """Runs with the ``root`` node of their component."""
-    runs = checkpoint(runs)
-    roots = connected(run_edges(runs, by, connectivity), by)
-    d = runs.withColumn("node", _node(F.col("y"), F.col("x0")))
-    return attach(d, roots, [*by, "node"]).withColumn("root", F.coalesce("root", "node")).drop("node")
+def touching(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, grow: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of runs of neighbouring rows that touch; runs are sorted by row and column."""
+    wide = int(x1.max() - min(0, x0.min())) + 4
+    row, below = y * wide, (y + 1) * wide
+    first = np.searchsorted(row + x1, below + x0 - grow)
+    last = np.searchsorted(row + x0, below + x1 + grow, side="right")
+    n = np.maximum(last - first, 0)
+    u = np.repeat(np.arange(len(y)), n)
+    return u, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[u]
+
+
+def joined(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least member of each one's component."""
+    root = np.arange(n)
+    while (apart := root[u] != root[v]).any():
+        a, b = root[u[apart]], root[v[apart]]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
+def _label_strips(runs: DataFrame, by: Sequence[str], connectivity: int, strip: int) -> DataFrame:
+    """Runs with the smallest node of their component within a strip of rows, which is of bounded size."""
+    shape = StructType([*runs.schema.fields, StructField("root", LongType())])
+    arrow = to_arrow_schema(shape)
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.drop_columns(["_strip"]).sort_by([("y", "ascending"), ("x0", "ascending")])
+        y, x0, x1 = (t[c].to_numpy().astype(np.int64) for c in ("y", "x0", "x1"))
+        u, v = touching(y, x0, x1, connectivity == 8)
+        return t.append_column("root", pa.array(((y << 32) + x0)[joined(len(y), u, v)])).cast(arrow)
+
+    return runs.withColumn("_strip", F.floor(F.col("y") / strip)).groupBy(*by, "_strip").applyInArrow(run, shape)
+
+
+def components(runs: DataFrame, by: Sequence[str], connectivity: int = 4, strip: int = STRIP) -> DataFrame:
+    """Runs with the ``root`` node of their component.
+
+    Strips of rows are labelled in place; only labels that touch across a strip's edge form a graph, so a section no
+    higher than a strip needs none, and a higher one has a graph of its strips' edge rows.
+    """
+    local = checkpoint(_label_strips(runs, by, connectivity, strip))
+    row = F.pmod("y", F.lit(strip))
+    edges = checkpoint(run_edges(local.where((row == 0) | (row == strip - 1)), by, connectivity, F.col("root")).where("u <> v"))
+    if edges.isEmpty():
+        return local
+    top = connected(edges, by).withColumnRenamed("root", "_top").withColumnRenamed("node", "root")
+    return attach(local, top, [*by, "root"]).withColumn("root", F.coalesce("_top", "root")).drop("_top")
 
 
 def keep_large(labelled: DataFrame, by: Sequence[str], fraction: float = 0.02) -> DataFrame:
@@ -176,22 +227,36 @@ def objects(mask: DataFrame, frame: DataFrame, by: Sequence[str], min_px: int =
         F.bool_or(edge).alias("touches_edge")).where(F.col("n_px") >= min_px).withColumn("in_size_summary", ~F.col("touches_edge"))
 
 
-def nearest_distance(mask: DataFrame, px: DataFrame, by: Sequence[str], radius: int) -> DataFrame:
-    """Distance in pixels to the nearest mask pixel, NULL beyond ``radius``.
+def nearest_distance(mask: DataFrame, px: DataFrame, by: Sequence[str], radius: float | None = None) -> DataFrame:
+    """Exact distance in pixels to the nearest mask pixel, NULL beyond ``radius`` (if given) or without one.
 
-    Along each row the neighbours come from running extremes; across rows a pixel looks
-    at ``2 * radius + 1`` rows, so the work per pixel is bounded by the radius.
+    Squared distances along each row come from running extremes; down each column the lowest of the parabolas that stand
+    on them is found in one sweep. So the work is linear in the pixels, whatever the radius; a row or column is
+    as long as the image at most. ``px`` holds every pixel of its frame once, acquired or not.
     """
-    flag = mask.select(*by, "y", "x").withColumn("_m", F.lit(True))
-    d = px.select(*by, "y", "x").join(flag, [*by, "y", "x"], "left")
+    flag = mask.select(*by, "y", "x").distinct().withColumn("_m", F.lit(True))
+    d = px.join(flag, [*by, "y", "x"], "left")
     w = W.partitionBy(*by, "y").orderBy("x")
     hit = F.when(F.col("_m"), F.col("x"))
     left, right = F.col("x") - F.max(hit).over(w.rowsBetween(W.unboundedPreceding, 0)), F.max(-hit).over(W.partitionBy(*by, "y").orderBy(F.desc("x")).rowsBetween(W.unboundedPreceding, 0))
-    d = d.withColumn("_row", F.least(left, -right - F.col("x"))).where(F.col("_row") <= radius)
-    spread = d.select(*by, "x", F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("_dy"), "y", "_row")
-    far = spread.select(*by, "x", (F.col("y") + F.col("_dy")).alias("y"), (F.col("_row") * F.col("_row") + F.col("_dy") * F.col("_dy")).alias("_d2"))
-    best = far.where(F.col("_d2") <= radius * radius).groupBy(*by, "y", "x").agg(F.sqrt(F.min("_d2")).alias("distance"))
-    return attach(px, best, [*by, "y", "x"])
+    d = d.select(*px.columns, F.least(left, -right - F.col("x")).cast("double").alias("_row"))
+    given, shape = px.columns, StructType([*px.schema.fields, StructField("distance", DoubleType())])
+    arrow = to_arrow_schema(shape)
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("x")
+        x, y, row = t["x"].to_numpy(), t["y"].to_numpy(), t["_row"].to_numpy(zero_copy_only=False)
+        height, far = np.where(np.isnan(row), np.inf, row * row), np.empty(len(y))
+        edges = [*np.flatnonzero(np.diff(x, prepend=x[0] - 1)).tolist(), len(x)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            low = y[a:b].min()
+            column = np.full(int(y[a:b].max() - low) + 1, np.inf)
+            column[y[a:b] - low] = height[a:b]
+            far[a:b] = np.sqrt(lower_envelope(column)[y[a:b] - low])
+        far[~np.isfinite(far) | (far > (np.inf if radius is None else radius))] = np.nan
+        return pa.Table.from_arrays([*t.select(given).columns, pa.array(far, from_pandas=True)], names=[*given, "distance"]).cast(arrow)
+
+    return d.withColumn("_strip", F.floor(F.col("x") / COLUMNS)).groupBy(*by, "_strip").applyInArrow(run, shape)
 
 
 def distance_bands(px: DataFrame, by: Sequence[str], positive: Column, edges: Sequence[float], min_px: int = 1) -> DataFrame:

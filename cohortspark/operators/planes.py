@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .skew import GROUP_LIMIT, percentiles
+from ..session import checkpoint
+from .halo import by_tiles, local_moments, multiscale
+from .skew import GROUP_LIMIT, percentiles, value_counts, weighted_percentiles
 from .summarise import attach
 
 # Fixed values.
@@ -37,15 +39,19 @@ def assemble(tiles: DataFrame, meta: DataFrame, key: str, tile_w: int, tile_h: i
 def otsu(px: DataFrame, by: Sequence[str], value: str, *, clip: float = CLIP, bins: int = BINS, limit: int = GROUP_LIMIT) -> DataFrame:
     """Threshold with the largest between-class variance on the clipped histogram.
 
-    After the exact clip value, a section is at most ``bins`` rows. Columns: ``by,
-    threshold``.
+    Pixels are read once, to a table of distinct values with counts; after the exact clip value, a section is at most
+    ``bins`` rows. Columns: ``by, threshold``.
     """
-    d = px.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    top = percentiles(d, by, "_v", {"_top": clip}, limit=limit).drop("n_values")
-    low = d.groupBy(*by).agg(F.min("_v").alias("_low"))
-    c = attach(attach(d, top, by), low, by).withColumn("_span", F.col("_top") - F.col("_low"))
+    return otsu_of_counts(checkpoint(value_counts(px.select(*by, F.col(value).cast("double").alias("_v")), by, "_v", "_c")), by, clip=clip, bins=bins, limit=limit)
+
+
+def otsu_of_counts(counts: DataFrame, by: Sequence[str], *, clip: float = CLIP, bins: int = BINS, limit: int = GROUP_LIMIT) -> DataFrame:
+    """The same of distinct values ``_v`` with counts ``_c``."""
+    top = weighted_percentiles(counts, by, "_v", {"_top": ("_c", clip)}, limit=limit)
+    low = counts.groupBy(*by).agg(F.min("_v").alias("_low"))
+    c = attach(counts, attach(top, low, by), by).withColumn("_span", F.col("_top") - F.col("_low"))
     b = F.least(F.floor(F.try_divide(F.least("_v", "_top") - F.col("_low"), F.col("_span")) * bins), F.lit(bins - 1))
-    h = c.groupBy(*by, "_low", "_span", F.coalesce(b, F.lit(0)).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+    h = c.groupBy(*by, "_low", "_span", F.coalesce(b, F.lit(0)).alias("_b")).agg(F.sum("_c").alias("_c"))
     w = W.partitionBy(*by)
     up = w.orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     h = h.withColumn("_m", F.col("_low") + (F.col("_b") + 0.5) * F.col("_span") / bins)
@@ -69,26 +75,39 @@ def masked_percentiles(px: DataFrame, by: Sequence[str], value: str, probs: Mapp
     return percentiles(px.where(mask) if mask is not None else px, by, value, probs, limit=limit)
 
 
-def geo_threshold(px: DataFrame, by: Sequence[str], value: str, min_px: int = MIN_TISSUE_PX, *, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Geometric midpoint of p25 and p99.9, with a note where there are too few pixels."""
-    p = percentiles(px, by, value, {"_lo": 0.25, "_hi": 0.999}, limit=limit)
+def _geo(p: DataFrame, by: Sequence[str], min_px: int, *more: str) -> DataFrame:
     t = F.sqrt(F.greatest("_lo", F.lit(1.0)) * F.greatest("_hi", F.lit(2.0)))
     few = F.col("n_values") < min_px
     return p.select(*by, F.col("n_values").alias("n_support_px"), F.when(~few, t).alias("threshold"),
-                    F.when(few, "too few acquired pixels").otherwise("").alias("note"))
+                    F.when(few, "too few acquired pixels").otherwise("").alias("note"), *more)
+
+
+def geo_threshold(px: DataFrame, by: Sequence[str], value: str, min_px: int = MIN_TISSUE_PX, *, limit: int = GROUP_LIMIT) -> DataFrame:
+    """Geometric midpoint of p25 and p99.9, with a note where there are too few pixels."""
+    return _geo(percentiles(px, by, value, {"_lo": 0.25, "_hi": 0.999}, limit=limit), by, min_px)
+
+
+def _long(px: DataFrame, by: Sequence[str], channels: Sequence[str], *more: str) -> DataFrame:
+    """One row a pixel and channel with a value."""
+    cell = lambda c: F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
+    return px.select(*by, *more, F.explode(F.array(*[cell(c) for c in channels])).alias("e")).select(*by, *more, "e.k", "e.v").where(F.col("v").isNotNull())
 
 
 def percentile_index(px: DataFrame, by: Sequence[str], stain: str, markers: Sequence[str], min_px: int = MIN_TISSUE_PX, *, limit: int = GROUP_LIMIT) -> DataFrame:
-    """p99.9 of each marker inside tissue over p99 of the counterstain on its support."""
-    t = geo_threshold(px, by, stain, min_px, limit=limit)
-    d = above(px, by, stain, t)
-    tissue = d.where("tissue")
-    base = percentiles(px, by, stain, {"_p99": 0.99}, limit=limit).drop("n_values")
-    long = tissue.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("k"), F.col(m).cast("double").alias("v")) for m in markers])).alias("e")).select(*by, "e.k", "e.v")
-    p = percentiles(long, [*by, "k"], "v", {"p": 0.999}, limit=limit).groupBy(*by).agg(
+    """p99.9 of each marker inside tissue over p99 of the counterstain on its support.
+
+    Pixels are read twice: for the counterstain's counts, from which threshold, base and tissue size follow, and for
+    the markers' counts inside tissue.
+    """
+    counts = checkpoint(value_counts(px.select(*by, F.col(stain).cast("double").alias("_v")), by, "_v", "_c"))
+    asked = {"_lo": 0.25, "_hi": 0.999, "_p99": 0.99}
+    p = weighted_percentiles(counts, by, "_v", {n: ("_c", q) for n, q in asked.items()}, {"n_values": "_c"}, limit=limit)
+    t = checkpoint(_geo(p, by, min_px, "_p99"))
+    n = attach(counts, t.select(*by, "threshold"), by).groupBy(*by).agg(F.sum(F.when(F.col("_v") > F.col("threshold"), F.col("_c"))).alias("n_tissue_px"))
+    tissue = above(px, by, stain, t.select(*by, "threshold")).where("tissue")
+    p = percentiles(_long(tissue, by, markers), [*by, "k"], "v", {"p": 0.999}, limit=limit).groupBy(*by).agg(
         *[F.max(F.when(F.col("k") == m, F.col("p"))).alias(f"_{m}") for m in markers])
-    n = tissue.groupBy(*by).agg(F.count(F.lit(1)).alias("n_tissue_px"))
-    out = attach(attach(attach(t, n, by), base, by), p, by).withColumn("n_tissue_px", F.coalesce("n_tissue_px", F.lit(0)))
+    out = attach(attach(t, n, by), p, by).withColumn("n_tissue_px", F.coalesce("n_tissue_px", F.lit(0).cast("bigint")))
     ok = (F.col("note") == "") & (F.col("n_tissue_px") >= min_px)
     return out.select(*by, F.round("threshold", 2).alias("threshold"), "n_support_px", "n_tissue_px",
                       *[F.when(ok, F.round(F.col(f"_{m}") / F.greatest("_p99", F.lit(1.0)), 3)).alias(f"{m}_index") for m in markers],
@@ -98,18 +117,19 @@ def percentile_index(px: DataFrame, by: Sequence[str], stain: str, markers: Sequ
 def marker_index(px: DataFrame, exposures: DataFrame, by: Sequence[str], stain: str, markers: Sequence[str], *, limit: int = GROUP_LIMIT) -> DataFrame:
     """Exposure-normalised marker signal over exposure-normalised counterstain signal.
 
-    Tissue comes from the counterstain alone. ``exposures``: ``by`` and ``<channel>_ms``.
+    Tissue comes from the counterstain alone. ``exposures``: ``by`` and ``<channel>_ms``. Pixels are read twice: for the
+    counterstain's threshold, and for one table of counts of all channels, on the plane and inside tissue, that
+    every percentile comes from.
     """
-    d = above(px, by, stain, otsu(px, by, stain, limit=limit))
     chans = [stain, *markers]
-    cell = lambda c: F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-    long = d.select(*by, "tissue", F.explode(F.array(*[cell(c) for c in chans])).alias("e")).select(*by, "tissue", "e.k", "e.v")
-    bg = percentiles(long, [*by, "k"], "v", {"_bg": BACKGROUND}, limit=limit).drop("n_values")
-    inside = percentiles(long.where("tissue"), [*by, "k"], "v", {"_mid": 0.5, "_top": MARKER}, limit=limit).drop("n_values")
-    sig = attach(bg, inside, [*by, "k"]).withColumn("_sig", F.when(F.col("k") == stain, F.col("_mid")).otherwise(F.col("_top")) - F.col("_bg"))
-    wide = sig.groupBy(*by).agg(*[F.max(F.when(F.col("k") == c, F.col("_sig"))).alias(f"_{c}") for c in chans])
-    frac = d.where(F.col(stain).isNotNull()).groupBy(*by).agg((F.count_if("tissue") / F.count(F.lit(1))).alias("tissue_fraction"))
-    out = attach(attach(wide, frac, by), exposures, by)
+    d = _long(above(px, by, stain, checkpoint(otsu(px, by, stain, limit=limit))), by, chans, "tissue")
+    counts = checkpoint(d.groupBy(*by, "k", "v").agg(F.count(F.lit(1)).alias("n_all"), F.count_if("tissue").alias("n_tissue")))
+    p = weighted_percentiles(counts, [*by, "k"], "v", {"_bg": ("n_all", BACKGROUND), "_mid": ("n_tissue", 0.5), "_top": ("n_tissue", MARKER)},
+                             {"_n": "n_all", "_in": "n_tissue"}, limit=limit)
+    own = F.col("k") == stain
+    sig = p.withColumn("_sig", F.when(own, F.col("_mid")).otherwise(F.col("_top")) - F.col("_bg"))
+    wide = sig.groupBy(*by).agg(*[F.max(F.when(F.col("k") == c, F.col("_sig"))).alias(f"_{c}") for c in chans], F.max(F.when(own, F.col("_in") / F.col("_n"))).alias("tissue_fraction"))
+    out = attach(wide, exposures, by)
     denom = F.try_divide(F.col(f"_{stain}"), F.col(f"{stain}_ms"))
     thin = F.col("tissue_fraction") < MIN_TISSUE_FRACTION
     bad = thin | F.coalesce(denom == 0, F.lit(True))
@@ -176,62 +196,13 @@ def coarsen_plane(px: DataFrame, by: Sequence[str], value: str, level: int) -> D
     return px.groupBy(*by, F.floor(F.col("x") / k).alias("x"), F.floor(F.col("y") / k).alias("y")).agg(F.avg(value).alias(value))
 
 
-def _row_col(by: Sequence[str]):
-    """Windows along one raster row and one raster column; both are bounded by the image."""
-    return W.partitionBy(*by, "y").orderBy("x"), W.partitionBy(*by, "x").orderBy("y")
-
-
 def local_norm(px: DataFrame, by: Sequence[str], value: str, radius: int, mode: str = "mean", floor: float = 0.0) -> DataFrame:
     """Subtract the local mean; ``zscore`` also divides by the local deviation, and
     ``floor`` keeps that divisor above a noise level. Missing pixels do not count."""
-    wx, wy = (w.rangeBetween(-radius, radius) for w in _row_col(by))
-    v = F.col(value)
-    d = px.select("*", F.sum(v).over(wx).alias("_s"), F.sum(v * v).over(wx).alias("_q"), F.count(v).over(wx).alias("_n"))
-    d = d.select(*px.columns, F.sum("_s").over(wy).alias("_s"), F.sum("_q").over(wy).alias("_q"), F.sum("_n").over(wy).alias("_n"))
-    mean = F.try_divide(F.col("_s"), F.col("_n").cast("double"))
-    std = F.sqrt(F.greatest(F.try_divide(F.col("_q"), F.col("_n").cast("double")) - mean * mean, F.lit(0.0)))
-    out = v - mean
-    if mode == "zscore":
-        out = F.try_divide(out, std)
-    elif mode == "floor":
-        out = F.try_divide(out, F.greatest(std, F.lit(float(floor))))
-    return d.withColumn("normalised", out).drop("_s", "_q", "_n")
-
-
-def gaussian(px: DataFrame, by: Sequence[str], cols: Mapping[str, Column], sigma: float) -> DataFrame:
-    """Separable Gaussian blur of several expressions; weights renormalise at missing pixels."""
-    import math
-
-    r = max(1, int(math.ceil(3 * sigma)))
-    d, names = px, list(cols)
-    exprs = {n: c for n, c in cols.items()}
-    for axis, w in enumerate(_row_col(by)):
-        parts = []
-        for n in names:
-            src = exprs[n] if axis == 0 else F.col(f"_g_{n}")
-            num, den = F.lit(0.0), F.lit(0.0)
-            for o in range(-r, r + 1):
-                wt = math.exp(-o * o / (2.0 * sigma * sigma))
-                at = F.first(src).over(w.rangeBetween(o, o))
-                num, den = num + F.coalesce(at * wt, F.lit(0.0)), den + F.when(at.isNotNull(), wt).otherwise(0.0)
-            parts.append(F.try_divide(num, den).alias(f"_g_{n}"))
-        d = d.select(*[c for c in d.columns if not c.startswith("_g_")], *parts)
-    return d.withColumnsRenamed({f"_g_{n}": n for n in names})
+    return by_tiles(px, by, value, radius, ["normalised"], local_moments(radius, mode, floor))
 
 
 def features(px: DataFrame, by: Sequence[str], value: str, sigmas: Sequence[float] = (1.0, 2.0, 4.0)) -> DataFrame:
-    """Gaussian, Laplacian, weighted deviation and gradient magnitude at each scale."""
-    out = px
-    for s in sigmas:
-        t = f"s{s:g}".replace(".", "_")
-        v = F.col(value)
-        out = gaussian(out, by, {f"gauss_{t}": v, "_sq": v * v}, s)
-        g = F.col(f"gauss_{t}")
-        wx, wy = _row_col(by)
-        near = lambda w, o: F.coalesce(F.first(g).over(w.rangeBetween(o, o)), g)
-        l_, r_, u, b = near(wx, -1), near(wx, 1), near(wy, -1), near(wy, 1)
-        out = out.select(*[c for c in out.columns if c != "_sq"],
-                         F.sqrt(F.greatest(F.col("_sq") - g * g, F.lit(0.0))).alias(f"std_{t}"),
-                         (l_ + r_ + u + b - 4 * g).alias(f"laplace_{t}"),
-                         F.sqrt(((r_ - l_) / 2) * ((r_ - l_) / 2) + ((b - u) / 2) * ((b - u) / 2)).alias(f"gradient_{t}"))
-    return out
+    """Gaussian, Laplacian, weighted deviation and gradient magnitude at each scale, from one shuffle of the pixels."""
+    rim, names, kernel = multiscale(sigmas)
+    return by_tiles(px, by, value, rim, names, kernel)

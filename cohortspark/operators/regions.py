@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_name
+from ..session import checkpoint
 from .summarise import attach
 
 # Fixed values.
@@ -46,35 +47,94 @@ def resolve_regions(features: DataFrame, by: str, pixel_um: Column) -> DataFrame
 
 
 def region_areas(resolved: DataFrame, by: Sequence[str], min_mm2: float = MIN_REGION_MM2) -> DataFrame:
-    """Area of same-named parts together; degenerate regions carry a reason."""
-    g = resolved.where(F.col("region").isNotNull()).groupBy(*by, "region").agg(F.sum("area_mm2").alias("area_mm2"), F.count(F.lit(1)).alias("n_parts"))
-    return g.withColumn("reason", F.when(F.col("area_mm2") < min_mm2, "degenerate").otherwise(""))
+    """Area of same-named parts together, what overlaps once; degenerate regions carry a reason."""
+    named = resolved.where(F.col("region").isNotNull())
+    keys = [*by, "region"]
+    g = named.groupBy(*keys).agg(F.sum("area_mm2").alias("_sum"), F.count(F.lit(1)).alias("n_parts"), F.max(F.try_divide("area_mm2", poly_area(F.col("rings")))).alias("_scale"))
+    several = named.join(g.where("n_parts > 1").select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]), _equal(keys, "_g"), "left_semi")
+    d = attach(g, union_area(several, keys), keys)
+    d = d.select(*keys, F.coalesce(F.col("area") * F.col("_scale"), F.col("_sum")).alias("area_mm2"), "n_parts")
+    return d.withColumn("reason", F.when(F.col("area_mm2") < min_mm2, "degenerate").otherwise(""))
+
+
+def _equal(keys: Sequence[str], prefix: str) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+    return cond
 
 
 def polygon_edges(polygons: DataFrame, by: Sequence[str], rings: str = "rings") -> DataFrame:
-    """One row per edge of every ring."""
-    r = polygons.select(*by, F.explode(rings).alias("r"))
+    """One row per edge of every ring; ``part`` tells the polygons apart."""
+    r = polygons.select(*by, rings).withColumn("part", F.monotonically_increasing_id()).select(*by, "part", F.explode(rings).alias("r"))
     nxt = F.concat(F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))), F.slice("r", 1, 1))
-    e = r.select(*by, F.explode(F.zip_with("r", nxt, lambda a, b: F.struct(a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")))).alias("e"))
-    return e.select(*by, "e.ax", "e.ay", F.col("e.bx").alias("bx"), F.col("e.by").alias("by_"))
+    e = r.select(*by, "part", F.explode(F.zip_with("r", nxt, lambda a, b: F.struct(a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")))).alias("e"))
+    return e.select(*by, "part", "e.ax", "e.ay", F.col("e.bx").alias("bx"), F.col("e.by").alias("by_"))
+
+
+def _covered(crossings: DataFrame, line: Sequence[str], x: str, *more: str) -> DataFrame:
+    """Stretches of each line inside at least one part, from ``x`` to ``_x`` (and the same of other columns).
+
+    Each part's crossings, sorted, are its entries and exits in turn; the number of parts one is in is their running
+    sum.
+    """
+    own = W.partitionBy(*line, "part").orderBy(x, *more)
+    across = W.partitionBy(*line).orderBy(F.col(x), F.col("_turn").desc())
+    d = crossings.withColumn("_turn", F.when(F.row_number().over(own) % 2 == 1, 1).otherwise(-1))
+    d = d.withColumns({"_depth": F.sum("_turn").over(across.rowsBetween(W.unboundedPreceding, 0)), **{f"_{c}": F.lead(c).over(across) for c in (x, *more)}})
+    return d.where((F.col("_depth") > 0) & F.col(f"_{x}").isNotNull()).drop("_turn", "_depth")
+
+
+def union_area(polygons: DataFrame, by: Sequence[str], rings: str = "rings") -> DataFrame:
+    """``by, area`` of the union of a group's polygons, exact, by a plane sweep.
+
+    The heights of all corners and of all crossings of edges cut the plane into slabs, in which edges keep their order from
+    left to right; what is covered there is a row of trapezoids. Edges meet only where their bands of heights do.
+    """
+    e = checkpoint(polygon_edges(polygons, by, rings).where(F.col("ay") != F.col("by_")))
+    up = F.col("ay") < F.col("by_")
+    e = e.select(*by, "part", *[F.when(up, a).otherwise(b).alias(n) for n, a, b in (("x0", F.col("ax"), F.col("bx")), ("y0", F.col("ay"), F.col("by_")), ("x1", F.col("bx"), F.col("ax")), ("y1", F.col("by_"), F.col("ay")))])
+    slope = (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))
+    e = e.withColumn("_slope", slope)
+    # Bands as high as a group's edges on average, so that an edge lies in few.
+    mean = e.groupBy(*by).agg(F.avg(F.col("y1") - F.col("y0")).alias("_band"))
+    b = attach(e, mean, by).withColumn("_at", F.explode(F.sequence(F.floor(F.col("y0") / F.col("_band")), F.floor(F.col("y1") / F.col("_band"))))).drop("_band")
+    o = b.select(*[F.col(c).alias(f"o_{c}") for c in b.columns])
+    cond = F.col("_at") == F.col("o__at")
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"o_{c}"))
+    ahead = F.struct("x0", "y0", "x1", "y1") < F.struct(*[F.col(f"o_{c}").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    y = F.try_divide(F.col("o_x0") - F.col("x0") + F.col("_slope") * F.col("y0") - F.col("o__slope") * F.col("o_y0"), F.col("_slope") - F.col("o__slope"))
+    low, high = F.greatest("y0", "o_y0"), F.least("y1", "o_y1")
+    met = b.join(o, cond & ahead & (low < high)).select(*by, y.alias("y"), low.alias("_l"), high.alias("_h")).where((F.col("y") > F.col("_l")) & (F.col("y") < F.col("_h")))
+    heights = e.select(*by, F.explode(F.array("y0", "y1")).alias("y")).unionByName(met.select(*by, "y")).distinct()
+    slabs = heights.withColumn("top", F.lead("y").over(W.partitionBy(*by).orderBy("y"))).where(F.col("top").isNotNull())
+    s = slabs.select(*[F.col(c).alias(f"o_{c}") for c in by], "y", "top")
+    inside = (F.col("y0") <= F.col("y")) & (F.col("top") <= F.col("y1"))
+    for c in by:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"o_{c}"))
+    at = lambda h: F.col("x0") + F.col("_slope") * (h - F.col("y0"))
+    spans = e.join(s, inside).select(*by, "part", "y", "top", at((F.col("y") + F.col("top")) / 2).alias("mid"), at(F.col("y")).alias("low"), at(F.col("top")).alias("high"))
+    piece = (F.col("_low") - F.col("low") + F.col("_high") - F.col("high")) / 2 * (F.col("top") - F.col("y"))
+    return _covered(spans, [*by, "y", "top"], "mid", "low", "high").groupBy(*by).agg(F.sum(piece).alias("area"))
 
 
 def rasterise(polygons: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Even-odd fill at pixel centres as runs ``by, y, x0, x1``.
+    """Pixel centres inside at least one of a group's polygons, as runs ``by, y, x0, x1``; each is filled even-odd, so holes stay.
 
-    Each edge yields one crossing per raster row it spans; the crossings of a row, sorted,
-    pair up as entry and exit. No pixel ever meets an edge that does not cross its row.
+    Each edge yields one crossing per raster row it spans. No pixel ever meets an edge that does not cross its row.
     """
     e = polygon_edges(polygons, by).where(F.col("ay") != F.col("by_"))
     lo, hi = F.least("ay", "by_"), F.greatest("ay", "by_")
     first, last = F.ceil(lo - 0.5).cast("int"), F.ceil(hi - 0.5).cast("int") - 1
     rows = e.withColumns({"_f": first, "_l": last}).where(F.col("_f") <= F.col("_l")).withColumn("y", F.explode(F.sequence("_f", "_l")))
     x = F.col("ax") + (F.col("y") + 0.5 - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by_") - F.col("ay"))
-    w = W.partitionBy(*by, "y").orderBy("x")
-    c = rows.select(*by, "y", x.alias("x")).withColumns({"_i": F.row_number().over(w), "_n": F.lead("x").over(w)})
-    runs = c.where((F.col("_i") % 2 == 1) & F.col("_n").isNotNull()).select(
-        *by, "y", F.ceil(F.col("x") - 0.5).cast("int").alias("x0"), (F.ceil(F.col("_n") - 0.5) - 1).cast("int").alias("x1"))
-    return runs.where("x0 <= x1")
+    c = _covered(rows.select(*by, "part", "y", x.alias("x")), [*by, "y"], "x")
+    runs = c.select(*by, "y", F.ceil(F.col("x") - 0.5).cast("int").alias("x0"), (F.ceil(F.col("_x") - 0.5) - 1).cast("int").alias("x1")).where("x0 <= x1")
+    # Stretches that follow each other without a gap are one run.
+    w = W.partitionBy(*by, "y").orderBy("x0")
+    fresh = runs.withColumn("_s", F.coalesce((F.lag("x1").over(w) + 1 < F.col("x0")).cast("int"), F.lit(1))).withColumn("_g", F.sum("_s").over(w))
+    return fresh.groupBy(*by, "y", "_g").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1")).drop("_g")
 
 
 def intersect_mask(region: DataFrame, tissue: DataFrame, by: Sequence[str], pixel: Sequence[str] = ("x", "y")) -> DataFrame:

@@ -1,10 +1,10 @@
 """Ordered computations inside groups that stay distributed when a group is huge.
 
-A plain ``Window.partitionBy(key)`` sorts one key in one task. Here a group with more
-than ``limit`` rows is cut into value ranges first: the window runs inside each
-``(key, range)`` cell and a small per-range summary carries the running totals across
-cells. Groups under the limit keep a single cell, so the plan costs one extra
-aggregate and a map-side join for the common case.
+A plain ``Window.partitionBy(key)`` sorts one key in one task. So groups are counted first. Where none has more
+than ``limit`` rows that is all there is to do: one window, one shuffle. Otherwise the large groups are
+cut into cells as in a sample sort: a sample of each gives splitters, rows find their cell by
+bisection, the window runs inside each ``(key, cell)``, and a small summary a cell carries the running totals
+across cells. Splitters follow the rows, not their values, so neither an outlier nor a common prefix fills one cell.
 """
 
 from __future__ import annotations
@@ -15,36 +15,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 #: Rows of one group that a single task may sort.
 GROUP_LIMIT = 2_000_000
-#: Value ranges a larger group is cut into.
-RANGES = 4096
+#: Cells of a large group at most, and sampled rows a cell.
+MOST_CELLS, SAMPLED = 1 << 14, 16
+#: Share of ranks to both sides of a percentile that is looked at exactly, and the size of the sketch that brackets it.
+BRACKET, SKETCH = 0.01, 1000
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def _cells(df: DataFrame, by: Sequence[str], x: str, limit: int, ranges: int):
-    """``df`` with ``_cell``, and the large groups. The large groups number at most
-    ``rows / limit``, which bounds the broadcast."""
-    stats = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(x).cast("double").alias("_lo"), F.max(x).cast("double").alias("_hi"))
-        .where(F.col("_n") > limit)
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], "_lo",
-                ((F.col("_hi") - F.col("_lo")) / ranges).alias("_w"))
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    cell = F.when(
-        F.col("_w") > 0,
-        F.least(F.floor((F.col(x).cast("double") - F.col("_lo")) / F.col("_w")), F.lit(ranges - 1)),
-    ).otherwise(F.lit(0)).cast("int")
-    extra = [f"_k{i}" for i in range(len(by))] + ["_lo", "_w"]
-    tagged = df.join(F.broadcast(stats), cond, "left").withColumn("_cell", cell).drop(*extra)
-    large = df.join(F.broadcast(stats), cond, "inner").withColumn("_cell", cell).drop(*extra)
-    return tagged, large
+def _same(by: Sequence[str], prefix: str = "_k") -> Column:
+    """Keys equal to their copies under other names; missing keys match each other."""
+    cond = F.lit(True)
+    for i, k in enumerate(by):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+    return cond
+
+
+def _named(df: DataFrame, by: Sequence[str], *cols: str, prefix: str = "_k") -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(by)], *cols)
+
+
+def large_groups(df: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+
+
+def cells(df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int, ranges: int = MOST_CELLS) -> DataFrame:
+    """``df`` with ``_cell``, NULL outside large groups; cells of a group are ordered as its rows are by ``order``.
+
+    A group of n rows has about ``4 n / limit`` cells, ``ranges`` at most. Rows equal in ``order`` share one.
+    """
+    sizes = large_groups(df, by, limit).withColumn("_cells", F.least(F.ceil(4 * F.col("_n") / limit), F.lit(ranges)).cast("int"))
+    key = F.struct(*order)
+    some = df.join(_named(sizes, by, "_n", "_cells"), _same(by)).where(F.rand(17) < SAMPLED * F.col("_cells") / F.col("_n"))
+    # A sample of a group has at most about SAMPLED * MOST_CELLS rows.
+    drawn = some.groupBy(*by).agg(F.sort_array(F.collect_list(key)).alias("_sample"), F.max("_cells").alias("_cells"))
+    at = lambda i: F.get(F.col("_sample"), F.floor(i * F.size("_sample") / F.col("_cells")).cast("int"))
+    splitters = checkpoint(_named(drawn.withColumn("_cuts", F.transform(F.sequence(F.lit(1), F.greatest(F.col("_cells") - 1, F.lit(1))), at)), by, "_cuts"))
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(MOST_CELLS.bit_length()))))
+    cell = F.aggregate(steps, F.lit(0), lambda pos, step: pos + F.when(F.get(F.col("_cuts"), pos + step - 1) <= key, step).otherwise(0))
+    return df.join(splitters, _same(by), "left").select(*df.columns, F.when(F.col("_cuts").isNotNull(), cell).alias("_cell"))
 
 
 def ordered(
@@ -55,64 +68,69 @@ def ordered(
     *,
     ties: Sequence[str] = (),
     limit: int = GROUP_LIMIT,
-    ranges: int = RANGES,
+    ranges: int = MOST_CELLS,
 ) -> DataFrame:
-    """Add running aggregates along numeric ``x`` (then ``ties``) inside each ``by`` group.
+    """Add running aggregates along ``x`` (then ``ties``) inside each ``by`` group.
 
     ``specs`` maps an output name to ``(agg, expression, side)``; ``agg`` is ``sum``,
-    ``max`` or ``min``; ``side`` is ``before``/``after`` (strictly, by row) or
-    ``upto``/``onward`` (including rows with the same ``x``; needs ``ties`` empty).
+    ``max`` or ``min``; ``side`` is ``before``/``after`` (strictly, by row),
+    ``upto``/``onward`` (including rows with the same ``x``; needs ``ties`` empty) or ``all``.
     An empty ``by`` orders the whole table. Running sums start at 0, others at NULL.
     """
     keys, kept = list(by), df.columns
     if not keys:
         df = df.withColumn("_all", F.lit(0))
         keys = ["_all"]
-    tagged, large = _cells(df, keys, x, limit, ranges)
-    order = [F.col(x), *[F.col(t) for t in ties]]
-    w = W.partitionBy(*keys, "_cell").orderBy(*order)
+    large = not large_groups(df, keys, limit).isEmpty()
+    if large:
+        df = checkpoint(cells(df, keys, [x, *ties], limit, ranges))
+    return _running(df, keys, [x, *ties], specs, large).select(*kept, *specs)
+
+
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Mapping[str, tuple[str, Column, str]], large: bool) -> DataFrame:
+    """The aggregates of ``ordered``; with ``large`` groups the rows have their ``_cell``."""
+    inner = [*keys, "_cell"] if large else keys
+    order = [F.col(c) for c in order]
+    w = W.partitionBy(*inner).orderBy(*order)
     # Frames that look ahead run backwards: a growing frame is linear, a shrinking one is not.
-    back = W.partitionBy(*keys, "_cell").orderBy(*[o.desc() for o in order])
+    back = W.partitionBy(*inner).orderBy(*[o.desc() for o in order])
     frames = {
         "before": w.rowsBetween(W.unboundedPreceding, -1),
         "after": back.rowsBetween(W.unboundedPreceding, -1),
         "upto": w.rangeBetween(W.unboundedPreceding, W.currentRow),
         "onward": back.rangeBetween(W.unboundedPreceding, W.currentRow),
+        "all": W.partitionBy(*inner),
     }
+    inside = df.select("*", *[_AGG[a](e).over(frames[s]).alias(f"_in_{n}") for n, (a, e, s) in specs.items()])
+    empty = {n: F.lit(0) if a == "sum" else F.lit(None) for n, (a, _, _) in specs.items()}
+    if not large:
+        return inside.select(*df.columns, *[F.coalesce(F.col(f"_in_{n}"), empty[n]).alias(n) for n in specs])
     cell_w = W.partitionBy(*keys).orderBy("_cell")
     carry_frames = {
         "before": cell_w.rowsBetween(W.unboundedPreceding, -1),
         "upto": cell_w.rowsBetween(W.unboundedPreceding, -1),
         "after": cell_w.rowsBetween(1, W.unboundedFollowing),
         "onward": cell_w.rowsBetween(1, W.unboundedFollowing),
+        "all": W.partitionBy(*keys),
     }
-    inside = tagged.select(
-        "*", *[_AGG[a](e).over(frames[s]).alias(f"_in_{n}") for n, (a, e, s) in specs.items()]
-    )
-    totals = large.groupBy(*keys, "_cell").agg(
-        *[_AGG[a](e).alias(f"_t_{n}") for n, (a, e, _) in specs.items()]
-    )
-    # At most `ranges` cells per large group.
-    carry = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_cell").alias("_kc"),
-        *[_AGG[a](F.col(f"_t_{n}")).over(carry_frames[s]).alias(f"_c_{n}") for n, (a, _, s) in specs.items()],
-    )
-    cond = F.col("_cell") == F.col("_kc")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = inside.join(carry, cond, "left")
+    # At most MOST_CELLS rows a large group.
+    totals = df.where(F.col("_cell").isNotNull()).groupBy(*keys, "_cell").agg(*[_AGG[a](e).alias(f"_t_{n}") for n, (a, e, _) in specs.items()])
+    carry = totals.select(*keys, "_cell", *[_AGG[a](F.col(f"_t_{n}")).over(carry_frames[s]).alias(f"_c_{n}") for n, (a, _, s) in specs.items()])
+    carry = _named(carry, [*keys, "_cell"], *[f"_c_{n}" for n in specs])
+    joined = inside.join(carry, _same([*keys, "_cell"]), "left")
     out = []
-    for n, (a, _, _) in specs.items():
+    for n, (a, _, side) in specs.items():
         i, c = F.col(f"_in_{n}"), F.col(f"_c_{n}")
-        if a == "sum":
+        if side == "all":
+            v = F.when(F.col("_cell").isNull(), i).otherwise(c)
+        elif a == "sum":
             v = F.coalesce(i, F.lit(0)) + F.coalesce(c, F.lit(0))
         elif a == "max":
             v = F.when(i.isNull() | (c > i), c).otherwise(i)
         else:
             v = F.when(i.isNull() | (c < i), c).otherwise(i)
-        out.append(v.alias(n))
-    return joined.select(*kept, *out)
+        out.append(F.coalesce(v, empty[n]).alias(n))
+    return joined.select(*df.columns, *out)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], x: str, name: str = "_cnt", ties: Sequence[str] = ()) -> DataFrame:
@@ -144,29 +162,86 @@ def percentiles(
 
     Columns: ``by``, one per entry of ``probs``, and ``n_values``.
     """
-    counts = value_counts(df, by, x)
-    ranked = ordered(counts, by, x, {"_before": ("sum", F.col("_cnt"), "before")}, limit=limit)
-    keys = list(by) or ["_all"]
-    if not by:
-        ranked, df = ranked.withColumn("_all", F.lit(0)), df.withColumn("_all", F.lit(0))
-    totals = (
-        df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n_values")
-    )
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    at = ranked.join(totals, cond)
+    return weighted_percentiles(value_counts(df, by, x), by, x, {n: ("_cnt", q) for n, q in probs.items()}, {"n_values": "_cnt"}, limit=limit)
+
+
+def weighted_percentiles(
+    counts: DataFrame,
+    by: Sequence[str],
+    x: str,
+    asked: Mapping[str, tuple[str, float]],
+    totals: Mapping[str, str] = {},
+    *,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Percentiles of several masks from one table of distinct values.
+
+    ``counts`` has a row for each ``by, x`` and columns that count its occurrences, one a mask. ``asked`` maps an output name
+    to ``(count column, probability)``, ``totals`` another to a count column, whose sum it gets. A group
+    without an occurrence in a mask has a NULL percentile. All ranks come from one ordered pass; groups with
+    more than ``limit`` distinct values are not ordered whole, but bracketed by sketches first.
+    """
+    counts = counts.where(F.col(x).isNotNull())
+    keys = list(by)
+    if not keys:
+        counts, keys = counts.withColumn("_all", F.lit(0)), ["_all"]
+    weights = sorted({w for w, _ in asked.values()} | set(totals.values()))
+    if not large_groups(counts, keys, limit).isEmpty():
+        return _bracketed(checkpoint(counts), keys, x, asked, totals, weights, limit).drop("_all")
+    specs = {f"_b_{w}": ("sum", F.col(w), "before") for w in weights} | {f"_n_{w}": ("sum", F.col(w), "all") for w in weights}
+    return _picked(_running(counts, keys, [x], specs, False), keys, x, asked, totals).drop("_all")
+
+
+def _picked(ranked: DataFrame, keys: Sequence[str], x: str, asked: Mapping[str, tuple[str, float]], totals: Mapping[str, str]) -> DataFrame:
+    """Percentiles of values with ``_b_<weight>`` occurrences before them and ``_n_<weight>`` in all."""
     aggs, final = [], []
-    first, last = F.col("_before"), F.col("_before") + F.col("_cnt") - 1
-    for name, q in probs.items():
-        pos = (F.col("n_values") - 1) * F.lit(float(q))
+    for name, (w, q) in asked.items():
+        n, first, last = F.col(f"_n_{w}"), F.col(f"_b_{w}"), F.col(f"_b_{w}") + F.col(w) - 1
+        pos = (n - 1) * F.lit(float(q))
         for tag, p in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
             aggs.append(F.max(F.when((first <= p) & (p <= last), F.col(x).cast("double"))).alias(f"_{tag}_{name}"))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        final.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    agg = at.groupBy(*keys).agg(*aggs, F.max("n_values").alias("n_values"))
-    return agg.select(*by, *final, "n_values")
+        lo, hi, n = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), (F.col(f"_m_{w}") - 1) * F.lit(float(q))
+        final.append((lo + (hi - lo) * (n - F.floor(n))).alias(name))
+    used = sorted({w for w, _ in asked.values()} | set(totals.values()))
+    agg = ranked.groupBy(*keys).agg(*aggs, *[F.max(f"_n_{w}").alias(f"_m_{w}") for w in used])
+    return agg.select(*keys, *final, *[F.col(f"_m_{w}").alias(name) for name, w in totals.items()])
+
+
+def _bracketed(counts: DataFrame, keys: Sequence[str], x: str, asked: Mapping[str, tuple[str, float]], totals: Mapping[str, str], weights: Sequence[str], limit: int) -> DataFrame:
+    """Ranks of groups with very many distinct values: a sketch of a mask's values brackets each, and only what lies in a bracket is ordered.
+
+    Sketches see distinct values; where copies push a rank out of its bracket (which the exact counts on both sides tell),
+    the bracket is widened.
+    """
+    n_of = counts.groupBy(*keys).agg(*[F.sum(w).alias(f"_n_{w}") for w in weights], *[
+        F.kll_sketch_agg_double(F.when(F.col(w) > 0, F.col(x).cast("double")), F.lit(SKETCH)).alias(f"_s_{w}") for w in {w for w, _ in asked.values()}])
+    n_of = checkpoint(n_of)
+    done = n_of.select(*keys, *[F.col(f"_n_{w}").alias(name) for name, w in totals.items()])
+    for name, (w, q) in asked.items():
+        left, width, found = _named(n_of.where(F.col(f"_n_{w}") > 0), keys, f"_n_{w}", f"_s_{w}"), BRACKET, None
+        while True:
+            edge = lambda r: F.kll_sketch_get_quantile_double(F.col(f"_s_{w}"), F.lit(float(r)))
+            low = edge(q - width) if q > width else F.lit(float("-inf"))
+            high = edge(q + width) if q + width < 1 else F.lit(float("inf"))
+            bounds = checkpoint(left.withColumns({"_lo": low, "_hi": high}).drop(f"_s_{w}"))
+            v = F.col(x).cast("double")
+            met = counts.where(F.col(w) > 0).join(bounds, _same(keys)).where(v <= F.col("_hi"))
+            below = met.groupBy(*keys).agg(F.sum(F.when(v < F.col("_lo"), F.col(w)).otherwise(0)).alias("_below"), F.sum(w).alias("_upto"), F.max(f"_n_{w}").alias("_n"))
+            pos = (F.col("_n") - 1) * F.lit(float(q))
+            fits = (F.col("_below") <= F.floor(pos)) & (F.ceil(pos) < F.col("_upto"))
+            below = checkpoint(below.withColumn("_fits", fits))
+            inside = met.where(v >= F.col("_lo")).select(*keys, x, w)
+            some = ordered(inside, keys, x, {"_before": ("sum", F.col(w), "before")}, limit=limit)
+            placed = some.join(_named(below.where("_fits"), keys, "_below", "_n"), _same(keys)).select(*keys, x, w, (F.col("_before") + F.col("_below")).alias(f"_b_{w}"), F.col("_n").alias(f"_n_{w}"))
+            got = _picked(placed, keys, x, {name: (w, q)}, {})
+            found = checkpoint(got) if found is None else checkpoint(found.unionByName(got))
+            rest = _named(below.where(~F.col("_fits")), keys, prefix="_m")
+            if rest.isEmpty():
+                break
+            left = left.join(rest, _same([f"_k{i}" for i in range(len(keys))], "_m"), "left_semi")
+            width *= 4
+        done = done.join(_named(found, keys, name), _same(keys), "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return done.select(*keys, *asked, *totals)
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.operators.blinding import replicate_index
-from cohortspark.operators.skew import mid_ranks, ordered, percentiles, permutation_index, set_digest, top_k
+from cohortspark.operators.skew import cells, mid_ranks, ordered, percentiles, permutation_index, set_digest, top_k, weighted_percentiles
 
 rng = random.Random(5)
 #: One key holds a third of the rows, and one value repeats often.
@@ -87,3 +87,35 @@ def test_top_k_limits_rows_before_the_shuffle(df):
     d = top_k(df, ["k"], [F.col("x")], 2)
     assert "WindowGroupLimit" in d._jdf.queryExecution().executedPlan().toString()
     assert d.count() == sum(min(2, len(v)) for v in groups().values())
+
+
+def test_cells_follow_the_rows(spark):
+    """Neither an outlier nor a common prefix fills a cell."""
+    n = 100_000
+    numbers = spark.range(n).select(F.lit("g").alias("k"), F.when(F.col("id") == 0, 1e12).otherwise(F.col("id") / 7).alias("x"))
+    codes = spark.range(n).select(F.lit("g").alias("k"), F.concat(F.lit("one-common-prefix-"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("x"))
+    for d in (numbers, codes):
+        sizes = [r.n for r in cells(d, ["k"], ["x"], 4000).groupBy("_cell").agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == n and max(sizes) < 0.05 * n
+        ends = cells(d, ["k"], ["x"], 4000).groupBy("_cell").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("_cell").collect()
+        assert all(a.hi < b.lo for a, b in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("limit", [30, 10**6])
+def test_percentiles_of_masks_from_one_table(spark, limit):
+    r = random.Random(3)
+    rows = [(r.choice("ab"), float(r.choice([5, 5, r.randrange(400)])), r.random() < 0.3) for _ in range(1500)] + [("c", 1.0, False), ("c", None, True)]
+    counts = spark.createDataFrame(rows, "k string, x double, m boolean").groupBy("k", "x").agg(F.count("*").alias("n"), F.count_if("m").alias("n_m"))
+    got = {r.k: r for r in weighted_percentiles(counts, ["k"], "x", {"a": ("n", 0.995), "b": ("n_m", 0.5), "c": ("n_m", 0.0)}, {"t": "n", "t_m": "n_m"}, limit=limit).collect()}
+    for k in "ab":
+        every, some = [x for g, x, _ in rows if g == k], [x for g, x, m in rows if g == k and m]
+        assert (got[k].t, got[k].t_m) == (len(every), len(some))
+        assert got[k].a == pytest.approx(np.percentile(every, 99.5)) and got[k].b == pytest.approx(np.percentile(some, 50)) and got[k].c == min(some)
+    assert tuple(got["c"]) == ("c", 1.0, None, None, 1, 0)
+
+
+def test_all_side(df):
+    for limit in (10, 10**6):
+        got = ordered(df.distinct(), ["k"], "x", {"n": ("sum", F.lit(1), "all"), "top": ("max", F.col("x"), "all")}, limit=limit).collect()
+        g = groups()
+        assert all((r.n, r.top) == (len(set(g[r.k])), max(g[r.k])) for r in got)
