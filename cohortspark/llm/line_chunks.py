@@ -1,29 +1,30 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines is taken at every line. A chunk ends where
-it is smaller than at both neighbours, so boundaries follow the content: lines put in or taken
-out move only the chunks around them, and chunks have two lines at least. A chunk that
-stands elsewhere before (in a smaller document id, or earlier in the same) is removed once the bytes
-of both have been compared.
-
-Texts are gathered in blocks. A block sends one digest for each distinct chunk; only chunks whose
-digest two blocks have send their bytes, and bytes are what is grouped. So a chunk that all
-documents share counts once a block.
-
-Defined cases: a null text stays null and has no lines; an empty text is one empty line. A document
-of one line keeps it. Chunks without a sign beyond blanks are kept. A null id counts as larger than
-all others. Rows that repeat an id are one document: what is first in one of them stays in all.
-Empty tables give empty results; other columns pass untouched, those named as results give way to
-them.
+A rolling hash over the hashes of two lines is taken at every line, and in every stretch of ``lines`` lines the pair
+with the smallest hash is marked. So marks follow the content: lines put in or taken out move only the marks
+around them, and two equal stretches, wherever they stand, have the same pair marked. Only marked pairs
+are exchanged; a stretch of ``lines`` lines around a marked pair that stands elsewhere is a chunk to be looked at. A line is
+removed if it lies in a chunk that stands before (in a smaller document id, or earlier in the same), once the
+bytes of both have been compared. Hence every repeated passage of ``lines`` lines or more is found whole, and nothing
+else: what is left does not depend on the marks.
+
+Texts are gathered in blocks. A block sends one number for each distinct marked pair; only chunks around a pair that stands
+twice send their bytes, and bytes are what is grouped. So a chunk that all documents share counts once a block.
+
+Defined cases: a null text stays null and has no lines; an empty text is one empty line. Documents of
+fewer lines than a chunk keep them. Chunks without a sign beyond blanks are kept. A null id counts as larger than
+all others. Rows that repeat an id are one document: what is first in one of them stays in all. Very long texts are a block
+of their own, held whole in a task. Empty tables give empty results; other columns pass untouched, those named as results give
+way to them.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,97 +32,100 @@ from ..session import checkpoint
 from .arrow import map_batches
 from .blocks import BLOCK_BYTES, block_rows, gather_blocks, with_lists
 
-#: Hex digits of a line's MD5 that make its hash, and the rolling hash's factor and prime.
-DIGITS, FACTOR, PRIME = 12, 31, 281474976710597
-WINDOW = 3
+#: Lines of the shortest passage that is removed.
+LINES = 3
+FACTOR = 0x9E3779B97F4A7C15
 LAST = (1 << 63) - 1
 
 RESULTS = ("n_lines", "n_removed", "clean_text")
 
 
-def boundaries(lines: list[bytes]) -> list[int]:
-    """First lines of the chunks, and the number of lines."""
-    n = len(lines)
-    if n < 4:
-        return [0, n]
-    h = np.array([int(hashlib.md5(x, usedforsecurity=False).hexdigest()[:DIGITS], 16) for x in lines], np.int64)
-    rolled = h.copy()
-    for k in range(1, WINDOW):
-        rolled[k:] += FACTOR**k * h[:-k]
-    rolled %= PRIME
-    ends = np.flatnonzero((rolled[1:-2] < rolled[:-3]) & (rolled[1:-2] < rolled[2:-1])) + 1
-    return [0, *(ends + 1).tolist(), n]
+def marks(lines: list[bytes], least: int, digest_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """First lines of the marked pairs, and their hashes."""
+    if len(lines) < max(2, least):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
+    rolled = h[:-1] * np.uint64(FACTOR) + h[1:]
+    rolled = ((rolled ^ (rolled >> np.uint64(31))) * np.uint64(FACTOR)) >> np.uint64(64 - digest_bits)
+    w = max(1, least - 1)
+    stretches = np.lib.stride_tricks.sliding_window_view(rolled, w)[:, ::-1]  # of equal ones the last
+    at = np.unique(np.arange(len(stretches)) + w - 1 - stretches.argmin(1))
+    return at, rolled[at].view(np.int64)
 
 
 class BlockChunks:
-    """The multi-line chunks of a block's documents, and where each distinct one stands first."""
+    """The lines of a block's documents and their marked pairs."""
 
-    def __init__(self, texts: list[str | None], ids: list[int | None]):
+    def __init__(self, texts: list[str | None], ids: list[int | None], least: int, digest_bits: int):
         self.lines = [None if t is None else t.encode("utf-8", "surrogatepass").split(b"\n") for t in texts]
-        self.ids = [LAST if i is None else i for i in ids]
-        self.first: dict[bytes, tuple[int, int, int]] = {}
-        self.chunks: list[tuple[int, int, int, bytes]] = []
-        for d, lines in enumerate(self.lines):
-            if lines is None:
+        self.ids, self.least = [LAST if i is None else i for i in ids], least
+        self.marked = [marks(x or [], least, digest_bits) for x in self.lines]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the marked pairs, and how often each stands here."""
+        return np.unique(np.concatenate([h for _, h in self.marked] or [np.empty(0, np.int64)]), return_counts=True)
+
+    def chunks(self, repeated: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+        """(document, first line, bytes) of the chunks around marked pairs that are repeated."""
+        k = self.least
+        for d, (at, h) in enumerate(self.marked):
+            some = at[np.isin(h, repeated)]
+            if not len(some):
                 continue
-            edges = boundaries(lines)
-            for a, b in zip(edges, edges[1:], strict=False):
-                if b - a < 2 or max(chunk := b"\n".join(lines[a:b])) <= 32:
-                    continue
-                self.chunks.append((d, a, b, chunk))
-                self.first[chunk] = min(self.first.get(chunk, (self.ids[d], a, d)), (self.ids[d], a, d))
-
-    def removed(self, elsewhere: set[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
-        """(document, first line, end) of the chunks to remove; ``elsewhere``: first places here of chunks that stand before in other blocks."""
-        for d, a, b, chunk in self.chunks:
-            i, start, doc = self.first[chunk]
-            if (self.ids[d], a) > (i, start) or (doc, start) in elsewhere:
-                yield d, a, b
-
-
-def _columns(rows: pa.StructArray, id_at: int, text_at: int) -> BlockChunks:
-    return BlockChunks(rows.field(text_at).to_pylist(), rows.field(id_at).to_pylist())
+            lines = self.lines[d]
+            starts = np.unique((some[:, None] - np.arange(max(1, k - 1))[None, :]).ravel())
+            for a in starts[(starts >= 0) & (starts <= len(lines) - k)].tolist():
+                if max(chunk := b"\n".join(lines[a : a + k]), default=0) > 32:
+                    yield d, a, chunk
 
 
-def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, digest_bytes: int = 16) -> DataFrame:
-    """``docs`` with ``n_lines``, ``n_removed`` and ``clean_text`` without the chunks that stand before."""
+def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES, block_bytes: int = BLOCK_BYTES, digest_bits: int = 64) -> DataFrame:
+    """``docs`` with ``n_lines``, ``n_removed`` and ``clean_text`` without the lines of chunks that stand before."""
     docs = docs.drop(*RESULTS)
     given = docs.columns
     id_at, text_at = given.index(id_col), given.index(text_col)
     blocks = gather_blocks(docs, text_col, block_bytes)
+    of = lambda rows: BlockChunks(rows.field(text_at).to_pylist(), rows.field(id_at).to_pylist(), lines, digest_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for rows, (block,) in block_rows(batch):
-                found = _columns(rows, id_at, text_at).first
-                yield {"block": [block] * len(found), "doc": [d for _, _, d in found.values()], "start": [a for _, a, _ in found.values()],
-                       "digest": [hashlib.md5(c, usedforsecurity=False).digest()[:digest_bytes] for c in found]}
+                pairs, times = of(rows).pairs()
+                yield {"block": [block] * len(pairs), "pair": pairs, "twice": times > 1}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for rows, (block, asked) in block_rows(batch):
                 if not asked:
                     continue
-                found = _columns(rows, id_at, text_at).first
-                wanted = {(x["doc"], x["start"]) for x in asked}
-                some = [(i, a, d, c) for c, (i, a, d) in found.items() if (d, a) in wanted]
-                yield {"block": [block] * len(some), "doc": [d for _, _, d, _ in some], "start": [a for _, a, _, _ in some], "id": [i for i, _, _, _ in some], "chunk": [c for *_, c in some]}
+                found = of(rows)
+                first: dict[bytes, tuple[int, int]] = {}
+                for d, a, chunk in found.chunks(np.array([x["pair"] for x in asked], np.int64)):
+                    first[chunk] = min(first.get(chunk, (LAST, LAST)), (found.ids[d], a))
+                yield {"block": [block] * len(first), "id": [i for i, _ in first.values()], "start": [a for _, a in first.values()], "chunk": list(first)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for rows, (_, before) in block_rows(batch):
-                found = _columns(rows, id_at, text_at)
-                gone = [set() for _ in found.lines]
-                for d, a, b in found.removed({(x["doc"], x["start"]) for x in before or ()}):
-                    gone[d].update(range(a, b))
+            for rows, (_, asked, before) in block_rows(batch):
+                found = of(rows)
+                gone: list[set[int]] = [set() for _ in found.lines]
+                if asked:
+                    every = list(found.chunks(np.array([x["pair"] for x in asked], np.int64)))
+                    first: dict[bytes, tuple[int, int]] = {}
+                    for d, a, chunk in every:
+                        first[chunk] = min(first.get(chunk, (LAST, LAST)), (found.ids[d], a))
+                    elsewhere = {(x["id"], x["start"]) for x in before or ()}
+                    for d, a, chunk in every:
+                        if (found.ids[d], a) > first[chunk] or first[chunk] in elsewhere:
+                            gone[d].update(range(a, a + lines))
                 kept = [None if x is None else b"\n".join(y for k, y in enumerate(x) if k not in g).decode("utf-8", "surrogatepass") for x, g in zip(found.lines, gone, strict=True)]
                 yield {c: rows.field(i) for i, c in enumerate(given)} | {"n_lines": [len(x or ()) for x in found.lines], "n_removed": [len(g) for g in gone], "clean_text": kept}
 
-    places = checkpoint(map_batches(blocks.select("rows", "block"), ask, "block bigint, doc int, start int, digest binary"))
-    twice = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    asked = checkpoint(places.join(twice, "digest", "left_semi").select("block", "doc", "start"))
-    sent = checkpoint(map_batches(with_lists(blocks, asked=asked), send, "block bigint, doc int, start int, id bigint, chunk binary"))
-    first = sent.groupBy("chunk").agg(F.min(F.struct("id", "start")).alias("first"))
-    before = checkpoint(sent.join(first, "chunk").where(F.col("first") < F.struct("id", "start")).select("block", "doc", "start"))
+    pairs = checkpoint(map_batches(blocks.select("rows", "block"), ask, "block bigint, pair bigint, twice boolean"))
+    repeated = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.bool_or("twice").alias("twice")).where("n > 1 OR twice").select("pair")
+    asked = checkpoint(pairs.join(repeated, "pair", "left_semi").select("block", "pair"))
+    sent = checkpoint(map_batches(with_lists(blocks, asked=asked), send, "block bigint, id bigint, start bigint, chunk binary"))
+    first = sent.groupBy("chunk").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    before = checkpoint(sent.join(first, "chunk").where(F.col("first") < F.struct("id", "start")).select("block", "id", "start"))
     shape = docs.select("*", F.lit(None).cast("bigint").alias("n_lines"), F.lit(None).cast("bigint").alias("n_removed"), F.lit(None).cast("string").alias("clean_text")).schema
-    return map_batches(with_lists(blocks, before=before), cut, shape)
+    return map_batches(with_lists(blocks, asked=asked, before=before), cut, shape)

@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .line_chunks import DIGITS, FACTOR, PRIME, remove_chunks
+from .line_chunks import LINES, remove_chunks
 from .registry import query, table
 
+#: All passages of so many lines, whether or not a mark chooses them.
 SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT rid, doc_id, i, ls[i] AS x, len(ls) AS n, CAST('0x' || substr(md5(ls[i]), 1, {DIGITS}) AS BIGINT) AS h FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
-r AS (SELECT *, (h + {FACTOR} * coalesce(lag(h, 1) OVER w, 0) + {FACTOR**2} * coalesce(lag(h, 2) OVER w, 0)) % {PRIME} AS r FROM l WINDOW w AS (PARTITION BY rid ORDER BY i)),
-e AS (SELECT *, CASE WHEN i > 1 AND i < n - 1 AND r < lag(r) OVER w AND r < lead(r) OVER w THEN 1 ELSE 0 END AS stop FROM r WINDOW w AS (PARTITION BY rid ORDER BY i)),
-k AS (SELECT *, coalesce(sum(stop) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM e),
-c AS (SELECT rid, k, coalesce(any_value(doc_id), 9223372036854775807) AS id, min(i) AS start, count(*) AS lines, string_agg(x, chr(10) ORDER BY i) AS t FROM k GROUP BY rid, k),
-m AS (SELECT *, first_value(id) OVER w AS id0, first_value(start) OVER w AS start0 FROM c WHERE lines > 1 AND regexp_matches(t, '[^\\x00-\\x20]') WINDOW w AS (PARTITION BY t ORDER BY id, start)),
-g AS (SELECT rid, k FROM m WHERE id > id0 OR (id = id0 AND start > start0)),
-f AS (SELECT rid, count(*) FILTER (g.k IS NOT NULL) AS gone, string_agg(x, chr(10) ORDER BY i) FILTER (g.k IS NULL) AS t FROM k LEFT JOIN g USING (rid, k) GROUP BY rid)
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT rid, id, i, ls[i] AS x, array_to_string(ls[i:i + {LINES - 1}], chr(10)) AS t, i + {LINES - 1} <= len(ls) AS whole FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+m AS (SELECT rid, id, i, first_value(id) OVER w AS id0, first_value(i) OVER w AS i0 FROM l WHERE whole AND regexp_matches(t, '[^\\x00-\\x20]') WINDOW w AS (PARTITION BY t ORDER BY id, i)),
+g AS (SELECT DISTINCT rid, i + j AS i FROM m, range({LINES}) r(j) WHERE id > id0 OR (id = id0 AND i > i0)),
+f AS (SELECT l.rid, count(*) FILTER (g.i IS NOT NULL) AS gone, string_agg(x, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS t FROM l LEFT JOIN g ON l.rid = g.rid AND l.i = g.i GROUP BY l.rid)
 SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS clean_sha256 FROM d LEFT JOIN f USING (rid)
 """
 

@@ -1,30 +1,27 @@
-"""Line dedup by chunks against brute force, with digests that collide and small blocks."""
+"""Line dedup against all repeated passages, with hashes that collide and small blocks."""
 
-import hashlib
 import random
 
 import pytest
 
-from cohortspark.llm.line_chunks import boundaries, remove_chunks
-
-
-def plain(rows):
-    cut, first = [], {}
-    for d, t in rows:
-        lines = [] if t is None else t.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:12], 16) for x in lines]
-        r = [sum(31**j * h[i - j] for j in range(3) if i >= j) % 281474976710597 for i in range(len(h))]
-        edges = [0, *(i + 1 for i in range(1, len(r) - 2) if r[i] < r[i - 1] and r[i] < r[i + 1]), len(lines)]
-        chunks = [(a, b, "\n".join(lines[a:b])) for a, b in zip(edges, edges[1:]) if b > a]
-        cut.append((d, t, lines, chunks))
-        for a, b, c in chunks:
-            if b - a > 1 and any(x > " " for x in c):
-                key = (float("inf") if d is None else d, a)
-                first[c] = min(first.get(c, key), key)
+from cohortspark.llm.line_chunks import marks, remove_chunks
+
+
+def plain(rows, k=3):
+    docs = [(d, t, [] if t is None else t.split("\n"), float("inf") if d is None else d) for d, t in rows]
+    first = {}
+    for _, _, lines, key in docs:
+        for a in range(len(lines) - k + 1):
+            c = tuple(lines[a : a + k])
+            first[c] = min(first.get(c, (key, a)), (key, a))
     out = []
-    for d, t, lines, chunks in cut:
-        kept = [(b - a, c) for a, b, c in chunks if c not in first or b - a < 2 or first[c] >= (float("inf") if d is None else d, a)]
-        out.append((d, len(lines), len(lines) - sum(n for n, _ in kept), None if t is None else "\n".join(c for _, c in kept)))
+    for d, t, lines, key in docs:
+        gone = set()
+        for a in range(len(lines) - k + 1):
+            c = tuple(lines[a : a + k])
+            if (key, a) > first[c] and any(x > " " for y in c for x in y):
+                gone.update(range(a, a + k))
+        out.append((d, len(lines), len(gone), None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)))
     return sorted(out, key=str)
 
 
@@ -45,13 +42,13 @@ def corpus(seed):
     return out
 
 
-@pytest.mark.parametrize("seed,block_bytes,digest_bytes", [(1, 400, 16), (2, 400, 1), (3, 4_000_000, 16)])
-def test_against_brute_force(make_docs, seed, block_bytes, digest_bytes):
+@pytest.mark.parametrize("seed,block_bytes,digest_bits,lines", [(1, 400, 64, 3), (2, 400, 3, 3), (3, 4_000_000, 64, 2), (4, 900, 64, 5)])
+def test_against_brute_force(make_docs, seed, block_bytes, digest_bits, lines):
     rows = corpus(seed)
     df = make_docs(rows).withColumnRenamed("lang", "block").withColumnRenamed("source", "rows").repartition(3)
-    found = remove_chunks(df, block_bytes=block_bytes, digest_bytes=digest_bytes)
-    assert got(found) == plain(rows) and found.columns[:5] == df.columns
-    assert sum(r[2] for r in plain(rows)) > 50
+    found = remove_chunks(df, block_bytes=block_bytes, digest_bits=digest_bits, lines=lines)
+    assert got(found) == plain(rows, lines) and found.columns[:5] == df.columns
+    assert sum(r[2] for r in plain(rows, lines)) > 50
 
 
 def test_defined_cases(make_docs):
@@ -63,10 +60,23 @@ def test_defined_cases(make_docs):
     assert got(remove_chunks(make_docs(rows).withColumnRenamed("lang", "n_lines"))) == plain(rows)
 
 
-def test_boundaries_follow_the_content():
+def test_marks_follow_the_content():
     rng = random.Random(4)
     lines = [f"line {rng.random()}".encode() for _ in range(300)]
-    cut = lambda x: {b"\n".join(x[a:b]) for a, b in zip(boundaries(x), boundaries(x)[1:])}
-    whole, moved = cut(lines), cut(lines[:100] + [b"new"] + lines[100:])
-    assert len(whole & moved) > len(whole) - 5
-    assert all(b - a >= 2 for a, b in zip(boundaries(lines), boundaries(lines)[1:]))
+    cut = lambda x, k: {tuple(x[a : a + 2]) for a in marks(x, k)[0]}
+    for k in (2, 3, 5, 9):
+        whole, moved = cut(lines, k), cut(lines[:100] + [b"new"] + lines[100:], k)
+        assert len(whole & moved) >= len(whole) - 3 and abs(len(whole) / 299 - 2 / k) < 0.15
+        for a in range(300 - k + 1):  # every stretch has a mark that it alone decides
+            assert any(tuple(lines[p : p + 2]) in whole for p in range(a, a + k - 1))
+
+
+def test_recall_by_length(make_docs):
+    """Planted passages between unlike lines: of three lines on all are removed, shorter ones stay."""
+    rng = random.Random(6)
+    fresh = lambda n: [f"own {rng.random()}" for _ in range(n)]
+    for n, removed in ((2, 0), (3, 3), (5, 5), (7, 7), (10, 10)):
+        passages = [fresh(n) for _ in range(20)]
+        rows = [(i, "\n".join(fresh(rng.randrange(5)) + passages[i % 20] + fresh(rng.randrange(5)))) for i in range(40)]
+        found = {r.doc_id: r.n_removed for r in remove_chunks(make_docs(rows), block_bytes=300).collect()}
+        assert found == {i: removed if i >= 20 else 0 for i in range(40)}
