@@ -16,12 +16,11 @@ radius, or belong to different keys or hang together already, leave the comparis
 bucket are kept, so a bucket gives fewer links than rows. Buckets beyond ``BUCKET`` rows are dealt
 into parts that are compared pair by pair, so no task holds an unbounded bucket.
 
-``similar_documents`` takes such links only as candidates: a link holds if the exact Jaccard similarity of
-both distinct shingle sets is high enough. Sets travel to blocks of a candidate component, each
-once a block. The links of a bucket's spanning forest are tried first. Where rows of one bucket are still apart
-after that, all their pairs within the radius are tried, so the result is that of checking every candidate pair, though
-few are. A bucket beyond ``BUCKET`` rows is cut into parts that share ``PIVOTS`` rows, so its size costs
-once; only rows that hang on none of them are held against all.
+``similar_documents`` takes such links only to form groups of candidates (the rows of a bucket too large for one place are one
+group anyway). Within a group all shingle sets meet: shingles that two sets have are columns of a 0/1 matrix, whose product
+with itself counts what any two have in common, so the exact Jaccard similarity of all pairs comes from one product, and
+what leaves is the components alone. A group beyond ``SIDE`` sets is cut into parts that share some rows, and only what
+hangs on none of them is then held against the rest, part by part; so its size costs once, and no link is lost.
 
 Defined cases: a null text counts as empty; a text without words has the fingerprint zero, which
 links like any other. Repeated rows share a fingerprint. A component's id is its smallest
@@ -42,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.morphology import connected
+from ..operators.morphology import connected, joined
 from ..session import checkpoint
 from .arrow import map_batches
 from .bitmap import maybe_in
@@ -51,12 +50,10 @@ from .bitmap import maybe_in
 BUCKET = 4096
 #: Rows that are turned into bit planes together.
 LANES = 1 << 15
-#: Classes of a candidate component whose shingle sets are held in one place.
-SIDE = 64
+#: Classes of a candidate group, and shingles, that are held in one place; shingles of a matrix.
+SIDE, HELD, COLUMNS = 512, 1 << 22, 1 << 13
 #: Shingle hashes whose bits are counted, and that are hashed for minima, at a time.
 COUNTED, HASHED = 1 << 16, 1 << 12
-#: Rows that all parts of a large bucket share.
-PIVOTS = 64
 #: Bands of minimum hashes and rows of a band: pairs of similarity 0.8 meet with a chance of 0.9993.
 BANDS, ROWS = 24, 6
 
@@ -248,31 +245,18 @@ def bucket_links(sizes: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[
 
 
 def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[dict]:
-    """Rows come sorted by bucket; a bucket may run on into the next batch. With a root as fourth column all pairs of unlike roots are given."""
+    """Rows come sorted by bucket; a bucket may run on into the next batch."""
 
-    def settle(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, *roots: np.ndarray) -> Iterator[dict]:
+    def settle(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray) -> Iterator[dict]:
         edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        sizes = np.diff(np.append(edge, len(keys)))
-        if not roots:
-            found = np.array(bucket_links(sizes, fps, radius), np.int64).reshape(-1, 2)
-            yield {"u": nodes[found[:, 0]], "v": nodes[found[:, 1]]}
-            return
-        held, n = [], 0
-        for pair in bucket_pairs(sizes, fps, radius, *roots):
-            held.append(pair)
-            n += len(pair[0])
-            if n >= LANES:
-                yield {c: nodes[np.concatenate(x)] for c, x in zip("uv", zip(*held, strict=True), strict=True)}
-                held, n = [], 0
-        if held:
-            yield {c: nodes[np.concatenate(x)] for c, x in zip("uv", zip(*held, strict=True), strict=True)}
+        found = np.array(bucket_links(np.diff(np.append(edge, len(keys))), fps, radius), np.int64).reshape(-1, 2)
+        yield {"u": nodes[found[:, 0]], "v": nodes[found[:, 1]]}
 
     rest = None
     for b in batches:
         if not b.num_rows:
             continue
-        rows = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1),
-                *(c.to_numpy() for c in b.columns[3:])]
+        rows = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)]
         rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows, strict=True)]
         keys = rows[0]
         last = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
@@ -287,28 +271,8 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[dict]:
         yield from settle(*rest)
 
 
-def bucket_pairs(sizes: np.ndarray, fps: np.ndarray, radius: int, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of the same bucket within ``radius`` whose roots differ, some at a time."""
-    starts, bound = np.cumsum(sizes) - sizes, 2
-    while (sizes >= bound).any():
-        chosen = np.flatnonzero((sizes >= bound) & (sizes < 4 * bound))
-        bound *= 4
-        if not chosen.size:
-            continue
-        some = sizes[chosen]
-        inner = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
-        rows = np.repeat(starts[chosen], some) + inner
-        left = np.repeat(some, some) - inner
-        planes, of, place = Planes(fps[rows]), root[rows], np.arange(len(rows))
-        for shift in range(1, int(some.max())):
-            apart = (left > shift) & (of != of[np.minimum(place + shift, len(rows) - 1)])
-            a = planes.close(shift, apart, radius) if apart.any() else ()
-            if len(a):
-                yield rows[a], rows[a + shift]
-
-
 def _dealt(rows: DataFrame, radius: int) -> DataFrame:
-    """Links of rows ``deal, node, fp``, and ``root`` where all pairs of unlike roots are wanted."""
+    """Links of rows ``deal, node, fp``."""
     spread = rows.repartition("deal").sortWithinPartitions("deal", "node")
     return map_batches(spread, lambda b: _compare(b, radius), "u bigint, v bigint").distinct()
 
@@ -334,37 +298,13 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key").select("key", "node", "n")
 
 
-def forest_links(shared: DataFrame, classes: DataFrame, radius: int, bucket: int = BUCKET, pivots: int = PIVOTS) -> DataFrame:
-    """Links ``u, v`` within ``radius`` between nodes that share a key: a spanning forest of each part of a bucket."""
-    parts = F.ceil(F.col("n") / bucket)
-    own = shared.select("key", "node", F.pmod(F.xxhash64("node"), parts).alias("part"))
-    # In every part of a large bucket its first nodes; the limit a key is taken before the shuffle.
-    first = shared.where(F.col("n") > bucket).withColumn("at", F.row_number().over(W.partitionBy("key").orderBy("node"))).where(F.col("at") <= pivots)
-    more = first.select("key", "node", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
-    dealt = own.unionByName(more).distinct().join(classes.select("node", "fp"), "node")
-    return _dealt(dealt.select(F.xxhash64("key", "part").alias("deal"), "node", "fp"), radius)
-
-
-def pairs_apart(shared: DataFrame, classes: DataFrame, roots: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
-    """All pairs ``u, v`` within ``radius`` that share a key and do not hang together by ``roots`` (``node, root``).
-
-    In a large bucket the rows of its most frequent root need not meet each other: only the others are held against
-    all.
-    """
-    now = shared.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    per = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
-    mixed = now.join(per.where("roots > 1"), "key")
-    size = bucket // 2
-    many, few = F.ceil(F.col("most") / size).cast("int"), F.ceil((F.col("n") - F.col("most")) / size).cast("int")
-    main = F.col("root") == F.col("main")
-    mine = F.pmod(F.xxhash64("node"), F.when(main, many).otherwise(few)).cast("int")
-    # Parts of other rows meet the parts of the main root's and each other.
-    met = F.when(main, F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct(mine.alias("a"), j.alias("b")))).otherwise(F.concat(
-        F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(j.alias("a"), mine.alias("b"))),
-        F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct((-1 - F.least(mine, j)).alias("a"), F.greatest(mine, j).alias("b")))))
-    whole = F.when(F.col("n") <= bucket, F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(met)
-    dealt = mixed.select("key", "node", "root", F.explode(whole).alias("met")).join(classes.select("node", "fp"), "node")
-    return _dealt(dealt.select(F.xxhash64("key", "met").alias("deal"), "node", "fp", "root"), radius)
+def candidate_links(shared: DataFrame, classes: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
+    """Links ``u, v`` of nodes that share a key: a spanning forest of what is within ``radius``; in a large bucket all to its first node."""
+    small = shared.where(F.col("n") <= bucket).select("key", "node").join(classes.select("node", "fp"), "node")
+    near = _dealt(small.select(F.col("key").alias("deal"), "node", "fp"), radius)
+    large = shared.where(F.col("n") > bucket)
+    star = large.join(large.groupBy("key").agg(F.min("node").alias("u")), "key").select("u", F.col("node").alias("v"))
+    return near.unionByName(star).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, width: int = 1, radius: int = 4,
@@ -401,42 +341,99 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _check(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[dict]:
-    """Rows ``key, u, v, shingles`` sorted by key: the sets of its nodes (in u) first, then its pairs."""
-    now, sets = None, {}
-    for b in batches:
-        good = []
-        for key, u, v, shingles in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if key != now:
-                now, sets = key, {}
-            if v is None:
-                sets[u] = np.frombuffer(shingles, np.uint64)
-                continue
-            small, large = sorted((len(sets[u]), len(sets[v])))
-            if small >= least * large - 1e-9 and jaccard(sets[u], sets[v]) >= least - 1e-12:
-                good.append((u, v))
-        yield {"u": [u for u, _ in good], "v": [v for _, v in good]}
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two of the sets share."""
+    n, lengths = len(sets), [len(x) for x in sets]
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    place = np.cumsum(often) - 1
+    row, kept = np.repeat(np.arange(n), lengths), often[column]
+    row, column = row[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.diag(lengths).astype(np.float32)
+    for first in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        x = np.zeros((n, min(COLUMNS, int(often.sum()) - first)), np.float32)
+        x[row[a:b], column[a:b] - first] = 1
+        out += x @ x.T
+    np.fill_diagonal(out, lengths)
+    return out
+
+
+def alike(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets with a Jaccard similarity of ``least`` or more."""
+    both = common(sets).astype(np.float64)
+    size = np.diag(both)
+    u, v = np.nonzero(np.triu(both >= least * (size[:, None] + size[None, :] - both) - 1e-6, 1))
+    return u, v
 
 
-def _holding(pairs: DataFrame, placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The ``pairs`` whose sets have a similarity of ``least``; ``placed``: ``node, group, part`` of all nodes, and pairs lie within groups."""
-    at = lambda n: placed.select(F.col("node").alias(n), *([F.col("group")] if n == "u" else []), F.col("part").alias(f"part_{n}"))
-    dealt = pairs.join(at("u"), "u").join(at("v"), "v").select(
-        F.xxhash64("group", F.least("part_u", "part_v"), F.greatest("part_u", "part_v")).alias("key"), "u", "v")
-    dealt = checkpoint(dealt)
-    needed = dealt.select("key", F.col("u").alias("node")).unionByName(dealt.select("key", F.col("v").alias("node"))).distinct()
-    held = needed.join(sets, "node").select("key", F.col("node").alias("u"), F.lit(None).cast("bigint").alias("v"), "shingles")
-    rows = held.unionByName(dealt.withColumn("shingles", F.lit(None).cast("binary")))
-    spread = rows.repartition("key").sortWithinPartitions(F.col("key"), F.col("v").asc_nulls_first())
-    return checkpoint(map_batches(spread, lambda b: _check(b, least), "u bigint, v bigint"))
+def _compare_sets(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[dict]:
+    """Rows ``deal, whole, node, root, shingles`` sorted by deal to links ``u, v`` that join its nodes to the smallest they hang on."""
+
+    def settle(rows: list[tuple]) -> dict:
+        nodes = np.array([r[2] for r in rows], np.int64)
+        roots = np.array([r[2] if r[3] is None else r[3] for r in rows], np.int64)
+        u, v = alike([np.frombuffer(r[4], np.uint64) for r in rows], least)
+        _, part = np.unique(roots, return_inverse=True)  # what hangs together already is one
+        low = joined(int(part.max()) + 1, part[u], part[v])
+        first = np.full(len(low), np.iinfo(np.int64).max)
+        np.minimum.at(first, part, roots)
+        top = first[low]
+        moved = np.flatnonzero(top != first)
+        return {"u": top[moved], "v": first[moved], "whole": [rows[0][1]] * len(moved)}
+
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if held and row[0] != held[0][0]:
+                if len(held) > 1:
+                    yield settle(held)
+                held = []
+            held.append(row)
+    if len(held) > 1:
+        yield settle(held)
+
+
+def _joined_sets(dealt: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links of the nodes in each deal (``deal, whole, node, root``)."""
+    rows = dealt.join(sets, "node").select("deal", "whole", "node", "root", "shingles").repartition("deal").sortWithinPartitions("deal", "node")
+    return checkpoint(map_batches(rows, lambda b: _compare_sets(b, least), "u bigint, v bigint, whole boolean"))
+
+
+def _first_parts(placed: DataFrame, pivots: int) -> DataFrame:
+    """Each node in its part, and a large group's first nodes in every part."""
+    own = placed.select("group", "node", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+    first = placed.where("parts > 1").withColumn("at", F.row_number().over(W.partitionBy("group").orderBy("node"))).where(F.col("at") <= pivots)
+    more = first.select("group", "node", "parts", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    every = own.unionByName(more).distinct()
+    return every.select(F.xxhash64("group", "part").alias("deal"), (F.col("parts") == 1).alias("whole"), "node", F.lit(None).cast("bigint").alias("root"))
+
+
+def _parts_apart(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Large groups that do not hang together: what is not of a group's most frequent root is held against all, part by part."""
+    now = placed.where("parts > 1").join(roots, "node", "left").select("group", "node", "n", "parts", F.coalesce("root", "node").alias("root"))
+    per = now.groupBy("group", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
+    mixed = now.join(per.where("roots > 1"), "group")
+    # Two parts meet, so each has half the size.
+    share = lambda m: F.ceil(2 * F.col("parts") * m / F.col("n")).cast("int")
+    many, few = share(F.col("most")), share(F.col("n") - F.col("most"))
+    main = F.col("root") == F.col("main")
+    mine = F.pmod(F.xxhash64("node"), F.when(main, many).otherwise(few)).cast("int")
+    met = F.when(main, F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct(mine.alias("a"), j.alias("b")))).otherwise(F.concat(
+        F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(j.alias("a"), mine.alias("b"))),
+        F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct((-1 - F.least(mine, j)).alias("a"), F.greatest(mine, j).alias("b")))))
+    return mixed.select("group", "node", "root", F.explode(met).alias("met")).select(F.xxhash64("group", "met").alias("deal"), F.lit(False).alias("whole"), "node", "root")
 
 
 def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, width: int = 4, radius: int = 55, least: float = 0.8,
                       bands: int = BANDS, rows: int = ROWS, bucket: int = BUCKET, side: int = SIDE) -> DataFrame:
     """``doc``, ``text_hash`` (xxhash64) and ``component`` of every row, by links of a Jaccard similarity of ``least`` or more.
 
-    ``component`` is the smallest document id reachable by such links; candidates are the pairs whose fingerprints are within
-    ``radius`` and whose sets meet in a band. Fingerprints and similarities are those of the distinct shingles.
+    ``component`` is the smallest document id reachable by such links. Candidates are the pairs whose fingerprints are within
+    ``radius`` and whose sets meet in a band; whatever hangs together by them is compared. Fingerprints and similarities are
+    those of the distinct shingles.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
 
@@ -444,41 +441,38 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         for b in batches:
             found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
             yield {"doc": b.column(0), "text_hash": b.column(2), "text_key": b.column(3), "digest": [_digest(x) for x in found], "fp": [fingerprint(x, width) for x in found],
-                   "keys": [band_hashes(x, bands, rows).view(np.int64) for x in found]}
+                   "keys": [band_hashes(x, bands, rows).view(np.int64) for x in found], "size": [len(x) for x in found]}
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             yield {"node": b.column(0), "shingles": [shingle_set(t, words).tobytes() for t in b.column(1).to_pylist()]}
 
     marked = checkpoint(map_batches(texts.select("doc", "text", F.xxhash64("text").alias("text_hash"), "text_key"), run,
-                                    "doc bigint, text_hash bigint, text_key binary, digest binary, fp array<bigint>, keys array<bigint>"))
-    low = marked.groupBy("digest").agg(F.min("doc").alias("low"), F.min("text_key").alias("text_key"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
-    classes = checkpoint(low.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "text_key", "fp", "keys"))
+                                    "doc bigint, text_hash bigint, text_key binary, digest binary, fp array<bigint>, keys array<bigint>, size bigint"))
+    low = marked.groupBy("digest").agg(F.min("doc").alias("low"), F.min("text_key").alias("text_key"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("size").alias("size"))
+    classes = checkpoint(low.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "text_key", "fp", "keys", "size"))
 
     shared = checkpoint(shared_keys(classes.select("node", "keys")))
-    ordered = lambda d: d.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
-    found = checkpoint(ordered(forest_links(shared, classes, radius, bucket)))
-    groups = connected(found, ())
+    groups = connected(candidate_links(shared, classes, radius, bucket), ())
     groups = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group"))).distinct()
-    # Parts of a large bucket may have links that no forest of a part shows.
-    alone = shared.where(F.col("n") > bucket).select("node").distinct().join(groups, "node", "left_anti").select("node", F.col("node").alias("group"))
-    groups = checkpoint(groups.unionByName(alone))
-    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    placed = checkpoint(groups.join(sizes, "group").select("node", "group", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / side)).alias("part")))
-    wanted = checkpoint(classes.join(placed, "node").select("text_key", "node"))
+    placed = checkpoint(groups.join(classes.select("node", "text_key", "size"), "node"))
+    sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.greatest(F.ceil(F.count(F.lit(1)) / side), F.ceil(F.sum("size") / HELD)).alias("parts"))
+    placed = checkpoint(placed.join(sizes, "group").select("node", "group", "text_key", "n", "parts"))
     # One row a text, of the texts that have a candidate; a class is known by one of its texts.
-    once = maybe_in(texts, F.col("text_key"), wanted).groupBy("text_key").agg(F.first("text").alias("text"))
-    sets = checkpoint(map_batches(once.join(wanted, "text_key").select("node", "text"), unfold, "node bigint, shingles binary"))
-
-    roots = checkpoint(connected(_holding(found, placed, sets, least), ()))
-    more = checkpoint(ordered(pairs_apart(shared, classes, roots, radius, bucket)).join(found, ["u", "v"], "left_anti"))
-    more = _holding(more, placed, sets, least)
-    if not more.isEmpty():  # what hangs together is one node by now
-        of = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
-        joined = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v"))
-        above = connected(ordered(joined), ()).select(F.col("node").alias("root"), F.col("root").alias("top"))
-        every = roots.unionByName(above.select(F.col("root").alias("node"), F.col("top").alias("root"))).join(above, "root", "left")
-        roots = checkpoint(every.select("node", F.coalesce("top", "root").alias("root")).distinct())
+    once = maybe_in(texts, F.col("text_key"), placed.select("text_key")).groupBy("text_key").agg(F.first("text").alias("text"))
+    sets = checkpoint(map_batches(once.join(placed, "text_key").select("node", "text"), unfold, "node bigint, shingles binary"))
+
+    links = _joined_sets(_first_parts(placed, max(1, side // 8)), sets, least)
+    roots = links.where("whole").select(F.col("v").alias("node"), F.col("u").alias("root"))
+    cut = links.where("NOT whole").select("u", "v")
+    if not placed.where("parts > 1").isEmpty():
+        large = checkpoint(connected(cut, ()))
+        more = _joined_sets(_parts_apart(placed, large), sets, least).select("u", "v")
+        if not more.isEmpty():  # links of roots
+            above = connected(more.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), ()).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            every = large.unionByName(above.select(F.col("root").alias("node"), F.col("top").alias("root"))).join(above, "root", "left")
+            large = every.select("node", F.coalesce("top", "root").alias("root")).distinct()
+        roots = roots.unionByName(large.select("node", "root"))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("digest", "component")
     return marked.join(named, "digest").select("doc", "text_hash", "component")
