@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.text import mask_numeric_noise, vocabulary_hits
 from ..session import checkpoint
 from .blinding import DENIED, denied_token
-from .skew import GROUP_LIMIT, mid_ranks, ordered, permutation_index, set_digest, text_number, top_k
+from .skew import GROUP_LIMIT, mid_ranks, ordered, permutation_index, set_digest, text_number
 from .stats import adjacent_equal, spearman
 from .summarise import attach
 
@@ -27,7 +27,6 @@ MAX_RHO, COLUMN_RHO = 0.5, 0.9
 LEAK_P, RISK_P = 0.01, 0.05
 N_PERM = 20_000
 RARE = 2
-PREFIX_VALUES = 16
 
 FINDING = "severity string, check string, column string, detail string"
 
@@ -157,27 +156,37 @@ def audit_row_order(rows: DataFrame, order: str, key: str) -> DataFrame:
     return s.where(F.abs("rho") >= MAX_RHO).select(*_finding("LEAK", "row_order", order, F.round("rho", 4)))
 
 
-def column_signatures(blinded: DataFrame, entity: str, limit: int = PREFIX_VALUES) -> DataFrame:
-    """``column, entity, signature``: the set of values an entity has in each column.
+def column_signatures(blinded: DataFrame, entity: str, limit: int = GROUP_LIMIT) -> DataFrame:
+    """``column, entity, signature, number``: the set of values an entity has in each column, as its place in the order of all sets.
 
-    Small sets are spelled out in order; larger ones keep their first values and an
-    order-free digest, so no entity's values are ever gathered into one list.
+    Sets are ordered as if each were spelled out, its values sorted and joined by a bar; equal sets have equal
+    places. No set is ever gathered: its values get numbers in order, then neighbours pair up and the pairs
+    get numbers in order, until one number a set is left, after as many rounds as the longest set has binary
+    digits. ``number`` is the value of a set that is one number.
     """
     cols = [c for c in blinded.columns if c != entity]
     cell = lambda c: F.struct(F.lit(c).alias("column"), F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias("v"))
-    each = blinded.select(F.col(entity).alias("entity"), F.inline(F.array(*[cell(c) for c in cols]))).distinct()
-    whole = set_digest(each, ["column", "entity"], F.col("v"), distinct=False)
-    first = top_k(each, ["column", "entity"], [F.col("v")], limit, "_r").groupBy("column", "entity").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "v"))), lambda s: s["v"]), "|").alias("p"))
-    sig = F.when(F.col("n_items") <= limit, F.col("p")).otherwise(F.concat_ws("|", F.col("p"), F.col("digest")))
-    return first.join(whole, ["column", "entity"]).select("column", "entity", sig.alias("signature"))
+    each = checkpoint(blinded.select(F.col(entity).alias("entity"), F.inline(F.array(*[cell(c) for c in cols]))).distinct())
+    one = ("sum", F.lit(1), "before")
+    each = checkpoint(ordered(each, ["column", "entity"], "v", {"at": one, "size": ("sum", F.lit(1), "all")}, limit=limit))
+    numbers = each.where("at = 0").select("column", "entity", F.when(F.col("size") == 1, F.col("v").try_cast("double")).alias("number"))
+    level = each.select("column", "entity", "at", F.when(F.col("at") + 1 < F.col("size"), F.concat("v", F.lit("|"))).otherwise(F.col("v")).alias("a"), F.lit(0).cast("bigint").alias("b"))
+    longest = each.agg(F.max("size")).first()[0] or 0
+    while True:
+        places = ordered(level.select("column", "a", "b").distinct(), ["column"], "a", {"place": one}, ties=["b"], limit=limit)
+        level = checkpoint(level.join(places, ["column", "a", "b"]).select("column", "entity", "at", (F.col("place") + 1).alias("place")))
+        if longest <= 1:
+            return attach(level.select("column", "entity", F.col("place").alias("signature")), numbers, ["column", "entity"])
+        half = lambda k: F.max(F.when(F.col("at") % 2 == k, F.col("place")))
+        level = level.groupBy("column", "entity", F.floor(F.col("at") / 2).alias("at")).agg(half(0).alias("a"), F.coalesce(half(1), F.lit(0).cast("bigint")).alias("b"))
+        longest = (longest + 1) // 2
 
 
 def column_statistics(blinded: DataFrame, codes: DataFrame, key: str, group: str, *, code: str = "code", limit: int = GROUP_LIMIT) -> DataFrame:
     """One row per column: cells, purity against the true groups, rank correlation with
     the id, and entities whose value almost nobody shares."""
     # Everything below reads the signatures several times, so they are computed once.
-    sig = checkpoint(column_signatures(blinded, code).join(
+    sig = checkpoint(column_signatures(blinded, code, limit).join(
         codes.select(F.col(code).alias("entity"), F.col(key).cast("double").alias("_id"), F.col(group).alias("_g")), "entity"))
     cells = sig.groupBy("column", "signature", "_g").agg(F.count(F.lit(1)).alias("c")).groupBy("column", "signature").agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("groups"))
@@ -185,13 +194,10 @@ def column_statistics(blinded: DataFrame, codes: DataFrame, key: str, group: str
         F.count(F.lit(1)).alias("n_cells"), F.sum("n").alias("n_entities"), (F.max("groups") == 1).alias("pure"),
         F.count_if(F.col("n") <= RARE).alias("n_rare"))
     ngroups = sig.select("column", "_g").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_groups"))
-    number = F.col("signature").try_cast("double")
-    kind = cells.groupBy("column").agg(F.bool_and(number.isNotNull()).alias("numeric"), F.count_distinct(number).alias("n_numbers"))
-    d = attach(sig, kind, ["column"])
-    d = d.withColumn("_v", F.when(F.col("numeric"), number).otherwise(text_number(F.col("signature")))).withColumn(
-        "_s", F.when(F.col("numeric"), "").otherwise(F.col("signature")))
-    ranks = mid_ranks(d, ["column"], "_v", ties=["_s"], limit=limit).select("column", "_v", "_s", F.col("mid_rank").alias("_rank"))
-    ranked = checkpoint(attach(d, ranks, ["column", "_v", "_s"]).select("column", "_id", "_rank"))
+    kind = sig.select("column", "number").distinct().groupBy("column").agg(F.bool_and(F.col("number").isNotNull()).alias("numeric"), F.count("number").alias("n_numbers"))
+    d = attach(sig, kind, ["column"]).withColumn("_v", F.when(F.col("numeric"), F.col("number")).otherwise(F.col("signature").cast("double")))
+    ranks = mid_ranks(d, ["column"], "_v", limit=limit).select("column", "_v", F.col("mid_rank").alias("_rank"))
+    ranked = checkpoint(attach(d, ranks, ["column", "_v"]).select("column", "_id", "_rank"))
     rho = spearman(ranked, "_id", "_rank", ["column"], limit=limit).select("column", "rho")
     out = attach(attach(attach(per, ngroups, ["column"]), kind, ["column"]), rho, ["column"])
     distinct = F.when(F.col("numeric"), F.col("n_numbers")).otherwise(F.col("n_cells"))

@@ -125,3 +125,21 @@ def test_gaps_in_the_audit_are_closed(codes, spark):
     assert {r.column for r in A.audit_terms(raw, []).collect() if r.check == "path"} == {"a", "b"}
     with pytest.raises(ValueError):
         A.order_statistics(codes, "tube_id", "code", "group", n_perm=50)
+
+
+def test_sets_are_ordered_as_if_spelled_out(spark):
+    """Sets that agree in their first sixteen values and more, sets within sets, and single numbers."""
+    import random
+
+    rng = random.Random(3)
+    base = [f"v{i:02d}" for i in range(20)]
+    sets = {"e1": base, "e2": base[:19], "e3": base[:19] + ["v20"], "e4": [*base, "v99"], "e5": base[1:], "e6": base, "e7": ["v0"], "e8": ["v00"], "e9": [""]}
+    sets |= {f"r{i}": rng.sample(base, rng.randrange(1, 9)) for i in range(25)}
+    rows = [(e, v, 7.5) for e, vs in sets.items() for v in [*vs, vs[0]]]
+    d = spark.createDataFrame(rows, "code string, a string, n double").repartition(5)
+    for limit in (4, 10**6):
+        found = {(r.column, r.entity): r for r in A.column_signatures(d, "code", limit).collect()}
+        spelled = {e: "|".join(sorted(set(vs))) for e, vs in sets.items()}
+        order = {s: i for i, s in enumerate(sorted(set(spelled.values())))}
+        assert {e: found["a", e].signature - 1 for e in sets} == {e: order[s] for e, s in spelled.items()}
+        assert {found["n", e].number for e in sets} == {7.5} and found["a", "e1"].number is None
