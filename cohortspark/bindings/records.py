@@ -11,7 +11,7 @@ from ..sources import records as R
 from ..sources import sinks as S
 from ..sources.regions import parse_regions
 from ..session import new_folder
-from ..sources.tiles import decode_tile_index
+from ..sources.tiles import decode_tile_index, read_tile_index
 from .registry import query, rnd
 from .shapes import SCANS, scans
 
@@ -91,6 +91,28 @@ def _inventory(t):
     return R.file_inventory(t.spark, t.folder, "*.parquet").select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "n_bytes", "sha256")
 
 
+def _written(t):
+    """A file a nation, in a folder of its key."""
+    folder = _folder(t, "names")
+    t.nation.select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(folder)
+    return folder, F.regexp_extract("path", r"n_nationkey=(\d+)", 1).cast("bigint").alias("n_nationkey")
+
+
+_WRITTEN = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CAST(strlen(n_name) + 1 AS BIGINT) AS n_bytes, sha256(n_name || chr(10)) AS sha256 FROM nation"
+
+
+@query("a07_written_files", _WRITTEN)
+def _written_files(t):
+    folder, key = _written(t)
+    return R.file_inventory(t.spark, folder, "*.txt").select(key, "n_bytes", "sha256")
+
+
+@query("a07_streamed_digests", _WRITTEN)
+def _streamed(t):
+    folder, key = _written(t)
+    return R.streamed_digests(R.file_inventory(t.spark, folder, "*.txt", digest=False), tasks=4).select(key, "n_bytes", "sha256")
+
+
 @query("a07_content_digests", "SELECT doc_id, sha256(text) AS digest, CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents")
 def _digests(t):
     return t.documents.select("doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("bigint").alias("n_bytes"))
@@ -148,6 +170,42 @@ def _tiles(t):
     return decode_tile_index(files).select("path", "problem", "col", "row", "channel", "level", "offset", "nbytes", "pixel_type")
 
 
+#: A container a supplier: a chunk record a line, behind it payload that nobody needs to read.
+PAYLOAD = 200_000
+
+
+@query("a10_ranged_reads", f"""WITH f AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT CAST(l_suppkey AS BIGINT) AS supplier, 104 + n * 36 + {PAYLOAD} AS file_bytes, CAST(l_partkey % 32 AS INTEGER) AS col, CAST(l_orderkey % 1000 AS INTEGER) AS row, CAST(l_linenumber % 3 AS INTEGER) AS channel,
+  CAST(CAST(l_quantity AS BIGINT) % 4 AS INTEGER) AS level, l_orderkey AS "offset", CAST(l_quantity AS INTEGER) AS nbytes, CAST(512 AS INTEGER) AS tile_x FROM lineitem JOIN f USING (l_suppkey)""")
+def _ranged(t):
+    import struct
+
+    folder = _folder(t, "containers")
+
+    def write(table):
+        import os
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+
+        n, key = table.num_rows, table["k"][0].as_py()
+        head = b"SIS\0" + bytes(4) + struct.pack("<II", 1, 4) + struct.pack("<QQQI", 64, 0, 104, n) + bytes(20)
+        block = b"ETS\0" + bytes(4) + struct.pack("<8i", 4, 1, 1, 2, 90, 512, 512, 1)
+        store, name = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store.create_dir(name, recursive=True)
+        with store.open_output_stream(os.path.join(name, f"frame-{key}.dat")) as out:
+            out.write(head + block + b"".join(struct.pack("<i4iQii", 0, *row, 0) for row in zip(*(table[c].to_pylist() for c in ("col", "row", "channel", "level", "at", "size")), strict=True)))
+            out.write(bytes(PAYLOAD))
+        return pa.table({"n": [n]})
+
+    c = F.col
+    lines = t.lineitem.select(c("l_suppkey").alias("k"), (c("l_partkey") % 32).alias("col"), (c("l_orderkey") % 1000).alias("row"), (c("l_linenumber") % 3).alias("channel"),
+                              (c("l_quantity").cast("bigint") % 4).alias("level"), c("l_orderkey").alias("at"), c("l_quantity").cast("int").alias("size"))
+    lines.groupBy("k").applyInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    d = read_tile_index(t.spark, folder, ".dat")
+    return d.select(F.regexp_extract("path", r"frame-(\d+)\.dat$", 1).cast("bigint").alias("supplier"), "file_bytes", "col", "row", "channel", "level", "offset", "nbytes", "tile_x")
+
+
 @query("a11_series_table", """SELECT o_orderkey, CASE i WHEN 0 THEN '01' ELSE '02' END AS section_label, round(o_totalprice + i, 6) + 0.0 AS stage_x_um, 128.5::DOUBLE AS exposure_DAPI_ms,
   CASE WHEN i = 1 THEN o_custkey::DOUBLE END AS exposure_FITC_ms, NULL::DOUBLE AS exposure_Cy3_ms FROM orders, (VALUES (0), (1)) v(i)""")
 def _series(t):

@@ -1,79 +1,147 @@
-"""Binary tile index: 64-byte header, 40-byte image block, fixed-size chunk records."""
+"""Binary tile index: 64-byte header, 40-byte image block, fixed-size chunk records.
+
+Of a container only the header, the image block and the chunk table are read, by their offsets; payloads, which are
+nearly all of it, are not touched by ``read_tile_index``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # Fixed values.
 PIXEL_TYPES = {1: "int8", 2: "uint8", 3: "int16", 4: "uint16", 5: "int32", 6: "uint32", 9: "float32", 10: "float64"}
 
 _INTS = ("pixel_type", "samples_per_tile", "compression", "tile_x", "tile_y", "col", "row", "channel", "level", "nbytes")
 TILE_SCHEMA = "path string, problem string, file_bytes bigint, offset bigint, " + ", ".join(f"{n} int" for n in _INTS)
+_SHAPE = pa.schema([("path", pa.string()), ("problem", pa.string()), ("file_bytes", pa.int64()), ("offset", pa.int64()), *((n, pa.int32()) for n in _INTS)])
+#: Chunk records read and sent at a time, and files whose tables one task reads.
+BATCH_ROWS, FILES_A_TASK = 50_000, 32
+
+Read = Callable[[int, int], bytes]
+
+
+def parse_index(read: Read, size: int, batch_rows: int = BATCH_ROWS) -> Iterator[tuple[str | None, np.ndarray | None, np.ndarray | None]]:
+    """``(problem, chunk records, fields of the image block)``, some records at a time; ``read(offset, n)`` gives bytes."""
+    head = read(0, min(size, 64))
+    if size < 64 or head[:4] != b"SIS\x00":
+        yield "bad magic", None, None
+        return
+    n_dim = int(np.frombuffer(head, "<u4", 1, 12)[0])
+    block, at = (int(v) for v in np.frombuffer(head, "<u8", 3, 16)[::2])
+    n = int(np.frombuffer(head, "<u4", 1, 40)[0])
+    if not 2 <= n_dim <= 8:
+        yield "implausible dimension count", None, None
+        return
+    image = read(block, 40) if block + 40 <= size else b""
+    if image[:4] != b"ETS\x00":
+        yield "image block missing", None, None
+        return
+    rec = np.dtype([("pad", "<i4"), ("at", "<i4", (n_dim,)), ("offset", "<u8"), ("nbytes", "<i4"), ("end", "<i4")])
+    if at + n * rec.itemsize > size:
+        yield "chunk table runs past the end of the file", None, None
+        return
+    kind = np.frombuffer(image, "<i4", 8, 8)
+    for i in range(0, n, batch_rows):
+        k = min(batch_rows, n - i)
+        yield None, np.frombuffer(read(at + i * rec.itemsize, k * rec.itemsize), rec, k), kind
+
+
+def index_rows(path: str, size: int, read: Read, batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """One row per chunk; a bad file is one problem row with NULL chunk cells."""
+    for problem, c, kind in parse_index(read, size, batch_rows):
+        k = 1 if c is None else len(c)
+        cells = {} if c is None else {
+            "offset": c["offset"].astype("int64"), "nbytes": c["nbytes"], "col": c["at"][:, 0], "row": c["at"][:, 1],
+            "channel": c["at"][:, 2] if c["at"].shape[1] >= 4 else np.zeros(k, "int32"), "level": c["at"][:, -1],
+            **{n: np.full(k, kind[i], "int32") for n, i in (("pixel_type", 0), ("samples_per_tile", 1), ("compression", 3), ("tile_x", 5), ("tile_y", 6))}}
+        cells |= {"path": [path] * k, "problem": [problem] * k, "file_bytes": [size] * k}
+        yield pa.RecordBatch.from_arrays([pa.array(cells[f.name], f.type) if f.name in cells else pa.nulls(k, f.type) for f in _SHAPE], schema=_SHAPE)
+
 
+def gathered(batches: Iterator[pa.RecordBatch], batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Small batches put together."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= batch_rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-def decode_tile_index(files: DataFrame, batch_rows: int = 50_000) -> DataFrame:
-    """One row per chunk of each ``(path, content)`` file; a bad file is one problem row.
 
-    Spark spreads the files over tasks. A task views each chunk table through one
-    structured type and sends rows out in batches, so memory is one file plus one batch.
+def decode_tile_index(files: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """The chunks of ``(path, content)`` rows, for containers that are in a table already.
+
+    Memory is one container plus one batch; files are better read by ``read_tile_index``.
     """
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        types = {"path": pa.string(), "problem": pa.string(), "file_bytes": pa.int64(), "offset": pa.int64(),
-                 **{n: pa.int32() for n in _INTS}}
-
-        def table(path, problem, size, cols, counts):
-            """Repeat per-file values over their chunks; problem files have NULL chunk cells."""
-            arrays = [pa.array(np.repeat(np.array(path, dtype=object), counts), types["path"]),
-                      pa.array(np.repeat(np.array(problem, dtype=object), counts), types["problem"]),
-                      pa.array(np.repeat(np.array(size, dtype="int64"), counts))]
-            bad = np.repeat(np.array([p is not None for p in problem]), counts)
-            for name in ("offset", *_INTS):
-                arrays.append(pa.array(np.concatenate(cols[name]), types[name], mask=bad))
-            return pa.RecordBatch.from_arrays(arrays, names=list(types))
-
-        def parse(data):
-            """Problem text, or the chunk records with the fields of the image block."""
-            size = len(data)
-            if size < 64 or data[:4] != b"SIS\x00":
-                return "bad magic", None, None
-            n_dim = int(np.frombuffer(data, "<u4", 1, 12)[0])
-            block, at = (int(v) for v in np.frombuffer(data, "<u8", 3, 16)[::2])
-            n = int(np.frombuffer(data, "<u4", 1, 40)[0])
-            if not 2 <= n_dim <= 8:
-                return "implausible dimension count", None, None
-            if block + 40 > size or data[block:block + 4] != b"ETS\x00":
-                return "image block missing", None, None
-            rec = np.dtype([("pad", "<i4"), ("at", "<i4", (n_dim,)), ("offset", "<u8"), ("nbytes", "<i4"), ("end", "<i4")])
-            if at + n * rec.itemsize > size:
-                return "chunk table runs past the end of the file", None, None
-            return None, np.frombuffer(data, rec, n, at), np.frombuffer(data, "<i4", 8, block + 8)
-
-        path, problem, size, counts, cols, held = [], [], [], [], {n: [] for n in ("offset", *_INTS)}, 0
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path"), batch.column("content")):
+            for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 data = content.as_buffer()
                 data = data.to_pybytes() if data is not None else b""
-                why, chunks, kind = parse(data)
-                pieces = [None] if why else [chunks[i:i + batch_rows] for i in range(0, len(chunks), batch_rows)]
-                for c in pieces:
-                    k = 1 if c is None else len(c)
-                    path.append(name.as_py()), problem.append(why), size.append(len(data)), counts.append(k)
-                    values = {n: np.zeros(1, "int64") for n in cols} if c is None else {
-                        "offset": c["offset"].astype("int64"), "nbytes": c["nbytes"], "col": c["at"][:, 0], "row": c["at"][:, 1],
-                        "channel": c["at"][:, 2] if c["at"].shape[1] >= 4 else np.zeros(k, "int32"), "level": c["at"][:, -1],
-                        **{n: np.full(k, kind[i], "int32") for n, i in
-                           (("pixel_type", 0), ("samples_per_tile", 1), ("compression", 3), ("tile_x", 5), ("tile_y", 6))}}
-                    for n, v in values.items():
-                        cols[n].append(v)
-                    held += k
-                    if held >= batch_rows:
-                        yield table(path, problem, size, cols, counts)
-                        path, problem, size, counts, cols, held = [], [], [], [], {n: [] for n in cols}, 0
-        if held:
-            yield table(path, problem, size, cols, counts)
-
-    return files.select("path", "content").mapInArrow(run, TILE_SCHEMA)
+                yield from index_rows(name.as_py(), len(data), lambda at, n, data=data: data[at : at + n], batch_rows)
+
+    return files.select("path", "content").mapInArrow(lambda batches: gathered(rows(batches), batch_rows), TILE_SCHEMA)
+
+
+class _Files(InputPartition):
+    def __init__(self, files: list[tuple[str, int]]):
+        super().__init__(None)
+        self.files = files
+
+
+class _Reader(DataSourceReader):
+    """Plans a partition for some files (names and sizes are all the driver sees) and reads their tables by ranges."""
+
+    def __init__(self, options: dict[str, str]):
+        self.path, self.ending, self.files = options["path"], options.get("ending", ""), int(options.get("files", FILES_A_TASK))
+
+    def partitions(self) -> list[InputPartition]:
+        import pyarrow.fs as pafs
+
+        store, folder = pafs.FileSystem.from_uri(_uri(self.path))
+        found = sorted((f.path, f.size) for f in store.get_file_info(pafs.FileSelector(folder, recursive=True)) if f.is_file and f.path.endswith(self.ending) and not f.base_name.startswith(("_", ".")))
+        return [_Files(found[i : i + self.files]) for i in range(0, len(found), self.files)] or [_Files([])]
+
+    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        store, _ = pafs.FileSystem.from_uri(_uri(self.path))
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for path, size in partition.files:
+                with store.open_input_file(path) as f:
+                    yield from index_rows(path, size, lambda at, n, f=f: f.read_at(n, at))
+
+        yield from gathered(rows())
+
+
+def _uri(path: str) -> str:
+    return f"file://{path}" if path.startswith("/") else path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+class TileIndexSource(DataSource):
+    """``spark.read.format("tile_index").load(folder)``; options ``ending`` of file names and ``files`` a task."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tile_index"
+
+    def schema(self) -> str:
+        return TILE_SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Reader(dict(self.options))
+
+
+def read_tile_index(spark: SparkSession, folder: str, ending: str = "", files: int = FILES_A_TASK) -> DataFrame:
+    """The chunks of all containers below a folder (as ``pyarrow.fs`` names it), from their headers and chunk tables alone."""
+    spark.dataSource.register(TileIndexSource)
+    return spark.read.format("tile_index").option("ending", ending).option("files", files).load(folder)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortspark.operators.matching import grid_fits
 from cohortspark.sources import records as R
 from cohortspark.sources import sinks as S
-from cohortspark.sources.tiles import decode_tile_index
+from cohortspark.sources.tiles import decode_tile_index, read_tile_index
 from cohortspark.streaming import arrivals as A
 
 
@@ -134,3 +134,32 @@ def test_blind_plan(spark, tmp_path):
     assert out.count() == len(rows) and "tube_id" not in out.columns and spark.read.parquet(str(tmp_path / "p" / "provenance")).count() == len(rows)
     with pytest.raises(ValueError):
         blind(d.withColumn("condition", F.lit("pending")), groups, "orchid-7-basalt-19", str(tmp_path / "p2"), str(tmp_path / "b2"))
+
+
+def test_ranged_reads_touch_headers_alone(spark, tmp_path):
+    from cohortspark.sources import tiles
+
+    for k in range(3):
+        with open(tmp_path / f"frame_{k}.ets", "wb") as f:
+            f.write(container([((i, k, i % 3, 0), 10**9 + i, 7) for i in range(200 + k)]))
+    with open(tmp_path / "huge.ets", "r+b" if (tmp_path / "huge.ets").exists() else "wb") as f:
+        f.write(container([((i, 9, 0, 1), i, 1) for i in range(1000)]))
+        f.truncate(3 << 30)  # sparse
+    (tmp_path / "short.ets").write_bytes(bytes(container([((0, 0, 0, 0), 1, 1)], cut=3)))
+    (tmp_path / "notes.txt").write_bytes(b"no container")
+    got = read_tile_index(spark, str(tmp_path), ".ets", files=2)
+    assert got.rdd.getNumPartitions() == 3
+    by_file = {r[0]: (r.n, r.problem) for r in got.groupBy(F.element_at(F.split("path", "/"), -1)).agg(F.count("*").alias("n"), F.max("problem").alias("problem")).collect()}
+    assert by_file == {"frame_0.ets": (200, None), "frame_1.ets": (201, None), "frame_2.ets": (202, None), "huge.ets": (1000, None), "short.ets": (1, "chunk table runs past the end of the file")}
+    r = got.where("row = 9 AND col = 500").first()
+    assert (r.file_bytes, r.offset, r.nbytes, r.level, r.tile_x) == (3 << 30, 500, 1, 1, 512)
+    seen = []
+    with open(tmp_path / "huge.ets", "rb") as f:
+        def read(at, n):
+            seen.append(n)
+            f.seek(at)
+            return f.read(n)
+
+        assert sum(b.num_rows for b in tiles.index_rows("x", 3 << 30, read, 300)) == 1000
+    assert sum(seen) < 50_000
+    assert read_tile_index(spark, str(tmp_path), ".nothing").count() == 0
