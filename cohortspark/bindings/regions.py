@@ -122,11 +122,14 @@ def _dice_empty(t):
     return R.dice(px.where("value > 0.3"), px.where("value > 0.35"), BY, t.embeddings.select("vec_id")).withColumn("dice", rnd(F.col("dice")))
 
 
-ANGLES = (-8.0, -4.0, 0.0, 4.0, 8.0)
-FIT = f"""{PAIR}, ro AS (SELECT DISTINCT pair, angle, CAST(floor(cos(radians(angle)) * (x - 3.5::DOUBLE) - sin(radians(angle)) * (y - 3.5::DOUBLE) + 3.5::DOUBLE + 0.5::DOUBLE) AS INTEGER) AS x,
-  CAST(floor(sin(radians(angle)) * (x - 3.5::DOUBLE) + cos(radians(angle)) * (y - 3.5::DOUBLE) + 3.5::DOUBLE + 0.5::DOUBLE) AS INTEGER) AS y FROM mv, (VALUES {', '.join(f'({a}::DOUBLE)' for a in ANGLES)}) v(angle)),
+#: The search of the registration: -4 to 4 degrees, any shift.
+ANGLES = tuple(k / 4 for k in range(-16, 17))
+_BACK = "cos(radians(angle)) * (x - 3.5::DOUBLE) + sin(radians(angle)) * (y - 3.5::DOUBLE)", "cos(radians(angle)) * (y - 3.5::DOUBLE) - sin(radians(angle)) * (x - 3.5::DOUBLE)"
+FIT = f"""{PAIR}, gr AS (SELECT angle, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, CAST(floor({_BACK[0]} + 3.5::DOUBLE + 0.5::DOUBLE) AS INTEGER) AS sx, CAST(floor({_BACK[1]} + 3.5::DOUBLE + 0.5::DOUBLE) AS INTEGER) AS sy
+  FROM range(-3, 11) a(x), range(-3, 11) b(y), (SELECT k / 4::DOUBLE AS angle FROM range(-16, 17) r(k))),
+ro AS (SELECT pair, angle, gr.x, gr.y FROM gr JOIN mv ON mv.x = sx AND mv.y = sy),
 nm AS (SELECT pair, angle, count(*) AS nm FROM ro GROUP BY 1, 2), nf AS (SELECT pair, count(*) AS nf FROM fx GROUP BY 1),
-ht AS (SELECT ro.pair, angle, dy, dx, count(*) AS k FROM ro, range(-2, 3) a(dy), range(-2, 3) b(dx), fx WHERE fx.pair = ro.pair AND fx.x = ro.x + dx AND fx.y = ro.y + dy GROUP BY ALL),
+ht AS (SELECT ro.pair, angle, fx.y - ro.y AS dy, fx.x - ro.x AS dx, count(*) AS k FROM ro JOIN fx ON fx.pair = ro.pair GROUP BY ALL),
 sc AS (SELECT *, round(2 * k / (nm + nf)::DOUBLE, 9) AS d FROM ht JOIN nm USING (pair, angle) JOIN nf USING (pair)),
 bs AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY d DESC, abs(angle) + abs(dy) + abs(dx), angle, dy, dx) AS rn FROM sc),
 b4 AS (SELECT pair, round(2 * count(*) FILTER (a AND b) / (count(*) FILTER (a) + count(*) FILTER (b))::DOUBLE, 9) AS d0 FROM (SELECT coalesce(fx.pair, mv.pair) AS pair, fx.pair IS NOT NULL AS a, mv.pair IS NOT NULL AS b FROM fx FULL JOIN mv ON fx.pair = mv.pair AND fx.x = mv.x AND fx.y = mv.y) GROUP BY 1),
@@ -134,7 +137,7 @@ ft AS (SELECT pair, angle AS angle_deg, CAST(dy AS INTEGER) AS dy, CAST(dx AS IN
 
 
 def _fit(t):
-    return R.rigid_fit(*_pair(t), ["pair"], ANGLES, 2, 3.5, 3.5)
+    return R.rigid_fit(*_pair(t), ["pair"], ANGLES, None, 3.5, 3.5)
 
 
 @query("j06_rigid_fit", f"WITH {FIT} SELECT pair, angle_deg + 0.0::DOUBLE AS angle_deg, dy, dx, round(dice_after, 6) AS dice_after, round(dice_before, 6) AS dice_before, accepted FROM ft")

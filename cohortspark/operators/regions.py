@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.text import canonical_name
 from ..session import checkpoint
+from .morphology import mask_runs
 from .summarise import attach
 
 # Fixed values.
@@ -163,26 +170,77 @@ def rotate(x: Column, y: Column, angle_deg: Column, cx: float, cy: float) -> tup
     return F.cos(t) * dx - F.sin(t) * dy + cx, F.sin(t) * dx + F.cos(t) * dy + cy
 
 
-def rigid_fit(fixed: DataFrame, moving: DataFrame, by: Sequence[str], angles: Sequence[float], shift: int, cx: float, cy: float) -> DataFrame:
+def turned(mask: np.ndarray, x0: int, y0: int, angle_deg: float, cx: float, cy: float) -> tuple[np.ndarray, int, int]:
+    """A mask (its first pixel at ``x0, y0``) rotated about a centre, and where the result begins.
+
+    Every pixel of the result looks up the one it comes from, so rotation tears no holes.
+    """
+    t = math.radians(angle_deg)
+    c, s = math.cos(t), math.sin(t)
+    h, w = mask.shape
+    corners = [(c * (x - cx) - s * (y - cy) + cx, s * (x - cx) + c * (y - cy) + cy) for x in (x0 - 1, x0 + w) for y in (y0 - 1, y0 + h)]
+    left, top = (math.floor(min(v)) for v in zip(*corners, strict=True))
+    right, bottom = (math.ceil(max(v)) for v in zip(*corners, strict=True))
+    x, y = np.meshgrid(np.arange(left, right + 1), np.arange(top, bottom + 1))
+    sx = np.floor(c * (x - cx) + s * (y - cy) + cx + 0.5).astype(np.int64) - x0
+    sy = np.floor(c * (y - cy) - s * (x - cx) + cy + 0.5).astype(np.int64) - y0
+    inside = (sx >= 0) & (sx < w) & (sy >= 0) & (sy < h)
+    out = np.zeros(x.shape, bool)
+    out[inside] = mask[sy[inside], sx[inside]]
+    return out, left, top
+
+
+def overlaps(fixed: np.ndarray, moving: np.ndarray) -> np.ndarray:
+    """Common pixels at every shift that lets the masks meet, by one correlation; row ``moving rows - 1`` is no shift down."""
+    shape = [a + b - 1 for a, b in zip(fixed.shape, moving.shape, strict=True)]
+    f = np.fft.rfft2(fixed.astype(float), shape) * np.fft.rfft2(moving[::-1, ::-1].astype(float), shape)
+    return np.rint(np.fft.irfft2(f, shape)).astype(np.int64)
+
+
+def rigid_fit(fixed: DataFrame, moving: DataFrame, by: Sequence[str], angles: Sequence[float], shift: int | None, cx: float, cy: float, angles_a_task: int = 8) -> DataFrame:
     """Angle and whole-pixel shift with the best Dice, and whether it beats no motion.
 
-    Every moving pixel is tried at each angle and bounded shift and meets fixed pixels by
-    position only: the counts are an exact cross-correlation. Fan-out is the search size.
+    At each angle the overlaps at all shifts come from one correlation, so the search covers the whole frame (or ``shift`` pixels,
+    if given) at the price of a few transforms. Masks travel as runs; a task holds one pair of masks and tries some angles.
     """
-    nf = fixed.groupBy(*by).agg(F.count(F.lit(1)).alias("_nf"))
-    m = moving.select(*by, "x", "y", F.explode(F.array(*[F.lit(float(a)) for a in angles])).alias("angle"))
-    rx, ry = rotate(F.col("x"), F.col("y"), F.col("angle"), cx, cy)
-    m = m.select(*by, "angle", F.floor(rx + 0.5).cast("int").alias("x"), F.floor(ry + 0.5).cast("int").alias("y")).distinct()
-    nm = m.groupBy(*by, "angle").agg(F.count(F.lit(1)).alias("_nm"))
-    step = F.sequence(F.lit(-shift), F.lit(shift))
-    s = m.withColumn("dy", F.explode(step)).withColumn("dx", F.explode(step))
-    s = s.select(*by, "angle", "dy", "dx", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"))
-    hit = s.join(fixed.select(*by, "x", "y"), [*by, "x", "y"]).groupBy(*by, "angle", "dy", "dx").agg(F.count(F.lit(1)).alias("_k"))
-    d = attach(attach(hit, nm, [*by, "angle"]), nf, by)
-    d = d.withColumn("d", F.round(2 * F.col("_k") / (F.col("_nm") + F.col("_nf")), 9))
+    keys = [*by, "_block"]
+    side = lambda d, k: mask_runs(d.select(*by, "x", "y").distinct(), by).select(*by, "y", "x0", "x1", F.lit(k).alias("_side"))
+    blocks = [[float(a) for a in angles[i : i + angles_a_task]] for i in range(0, len(angles), angles_a_task)]
+    runs = side(fixed, 0).unionByName(side(moving, 1)).withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(len(blocks))])))
+    fields = [runs.schema[c] for c in by]
+    shape = StructType([*fields, *(StructField(n, DoubleType() if n == "angle" else LongType()) for n in ("angle", "dy", "dx", "_k", "_nm", "_nf"))])
+    arrow, names = to_arrow_schema(shape), list(by)
+
+    def array(t: pa.Table) -> tuple[np.ndarray, int, int]:
+        y, x0, x1 = (t[c].to_numpy().astype(np.int64) for c in ("y", "x0", "x1"))
+        out = np.zeros((y.max() - y.min() + 1, x1.max() - x0.min() + 2), np.int8)
+        np.add.at(out, (y - y.min(), x0 - x0.min()), 1)
+        np.add.at(out, (y - y.min(), x1 + 1 - x0.min()), -1)
+        return out.cumsum(1, dtype=np.int8)[:, :-1].astype(bool), int(x0.min()), int(y.min())
+
+    def run(t: pa.Table) -> pa.Table:
+        f, m = (t.filter(pc.equal(t["_side"], k)) for k in (0, 1))
+        rows = []
+        if f.num_rows and m.num_rows:
+            (fix, fx, fy), (mov, mx, my) = array(f), array(m)
+            for angle in blocks[t["_block"][0].as_py()]:
+                new, left, top = turned(mov, mx, my, angle, cx, cy)
+                k = overlaps(fix, new)
+                dy, dx = (np.arange(n) - (size - 1) + at for n, size, at in ((k.shape[0], new.shape[0], fy - top), (k.shape[1], new.shape[1], fx - left)))
+                if shift is not None:
+                    k = np.where((np.abs(dy)[:, None] <= shift) & (np.abs(dx)[None, :] <= shift), k, 0)
+                at = np.argwhere((k == k.max()) & (k > 0))
+                if len(at):
+                    y, x = min(at.tolist(), key=lambda p: (abs(dy[p[0]]) + abs(dx[p[1]]), dy[p[0]], dx[p[1]]))
+                    rows.append((angle, int(dy[y]), int(dx[x]), int(k[y, x]), int(new.sum()), int(fix.sum())))
+        own = t.select(names).slice(0, 1)
+        return pa.Table.from_arrays([*(pa.concat_arrays([own[c].combine_chunks()] * len(rows)) if rows else pa.array([], own[c].type) for c in names),
+                                     *(pa.array(c) for c in (zip(*rows, strict=True) if rows else [[]] * 6))], names=arrow.names).cast(arrow)
+
+    d = runs.groupBy(*keys).applyInArrow(run, shape).withColumn("d", F.round(2 * F.col("_k") / (F.col("_nm") + F.col("_nf")), 9))
     # Ties go to the smallest motion, then to the smallest angle and shift.
     rank = F.struct(F.col("d"), (-(F.abs("angle") + F.abs("dy") + F.abs("dx"))).alias("z"), (-F.col("angle")).alias("a"), (-F.col("dy")).alias("v"), (-F.col("dx")).alias("u"))
-    best = d.groupBy(*by).agg(F.max(rank).alias("b")).select(*by, (F.lit(0.0) - F.col("b.a")).alias("angle_deg"), (-F.col("b.v")).alias("dy"), (-F.col("b.u")).alias("dx"), F.col("b.d").alias("dice_after"))
+    best = d.groupBy(*by).agg(F.max(rank).alias("b")).select(*by, (F.lit(0.0) - F.col("b.a")).alias("angle_deg"), (-F.col("b.v")).cast("int").alias("dy"), (-F.col("b.u")).cast("int").alias("dx"), F.col("b.d").alias("dice_after"))
     before = dice(fixed, moving, by).select(*by, F.round("dice", 9).alias("dice_before"))
     return attach(best, before, by).withColumn("accepted", F.col("dice_after") > F.coalesce("dice_before", F.lit(0.0)))
 

@@ -131,3 +131,30 @@ def test_union_of_crossing_polygons(spark):
                         odd ^= cross
                 inside |= odd
         assert got[k] == pytest.approx(inside.sum() / fine**2, rel=2e-3)
+
+
+def test_a_shift_of_half_a_frame_is_found(spark):
+    """A blob moved by half the frame and turned by 2.75 degrees comes back; a mask without a partner gives no row."""
+    side = 120
+    blob = {(x, y) for x in range(10, 55) for y in range(15, 45) if (x - 30) ** 2 / 400 + (y - 30) ** 2 / 150 < 1 or (x > 40 and y > 36)}
+    grid = np.zeros((side, side), bool)
+    for x, y in blob:
+        grid[y, x] = True
+    new, left, top = R.turned(grid, 0, 0, 2.75, 60, 60)
+    fixed = [(1, x + left - 7 + 60, y + top + 55) for y, x in np.argwhere(new).tolist()]
+    f = spark.createDataFrame([*fixed, (2, 0, 0)], "k int, x int, y int")
+    m = spark.createDataFrame([(1, x, y) for x, y in blob], "k int, x int, y int")
+    found = R.rigid_fit(f, m, ["k"], [a / 4 for a in range(-16, 17)], None, 60, 60).collect()
+    assert [(r.k, r.angle_deg, r.dx, r.dy, r.dice_after, r.accepted) for r in found] == [(1, 2.75, 53, 55, 1.0, True)]
+    near = R.rigid_fit(f, m, ["k"], [2.75], 54, 60, 60).collect()
+    assert near[0].dy == 54 and near[0].dice_after < 1
+
+
+def test_overlaps_count_every_shift():
+    r = np.random.default_rng(2)
+    a, b = r.random((6, 7)) < 0.5, r.random((4, 5)) < 0.5
+    got = R.overlaps(a, b)
+    for dy in range(-3, 6):
+        for dx in range(-4, 7):
+            want = sum(a[y + dy, x + dx] and b[y, x] for y in range(4) for x in range(5) if 0 <= y + dy < 6 and 0 <= x + dx < 7)
+            assert got[dy + 3, dx + 4] == want
