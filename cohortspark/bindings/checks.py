@@ -166,8 +166,9 @@ MANIFEST = """m AS (SELECT 'section' AS row_kind, l_orderkey AS tube_id, CASE WH
   CASE WHEN l_tax = 0.07::DOUBLE THEN 'count mismatch; not binding pixels' WHEN l_returnflag = 'R' THEN 'needs confirmation' ELSE '' END AS notes, l_returnflag = 'N' AS kept,
   CASE WHEN o_custkey % 10 = 0 THEN 'x' ELSE CAST(l_orderkey AS VARCHAR) END AS in_file, '/raw/' || l_orderkey AS path
   FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey),
-only_rec AS (SELECT o_orderkey AS tube_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)),
-prob AS (
+only_rec AS (SELECT o_orderkey AS tube_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))"""
+#: Every rule over a section table ``m`` and records without data ``only_rec``.
+PROBLEMS = """prob AS (
   SELECT 'label_format' AS rule, section_label AS key, 'not a zero-padded two-character label' AS message FROM m WHERE NOT regexp_matches(section_label, '^0[1-9]$') GROUP BY section_label
   UNION ALL SELECT 'pixel_size', tube_id || '/' || scan || '/' || section_label, 'pixel size out of tolerance' FROM m WHERE abs(px - 0.325::DOUBLE) > 0.001::DOUBLE
   UNION ALL SELECT 'section_count', tube_id || '/original', min(n_rec) || ' vs ' || min(n_idx) FROM m WHERE scan = 'original' GROUP BY tube_id HAVING min(n_rec) <> min(n_idx)
@@ -192,12 +193,12 @@ prob AS (
   UNION ALL SELECT 'duplicate_key', tube_id || '/' || scan || '/' || section_label, CAST(count(*) AS VARCHAR) FROM m GROUP BY tube_id, scan, section_label HAVING count(*) > 1)"""
 
 
-@query("d12_manifest_rules", f"WITH {MANIFEST} SELECT rule, 'ERROR' AS severity, key, message FROM prob")
+@query("d12_manifest_rules", f"WITH {MANIFEST}, {PROBLEMS} SELECT rule, 'ERROR' AS severity, key, message FROM prob")
 def _rules(t):
     return U.validate_manifest(_manifest(t), forbidden=[59])
 
 
-@query("f04_examples_per_rule", f"""WITH {MANIFEST} SELECT rule, 'ERROR' AS severity, key, message, CAST(place AS INTEGER) AS place FROM (
+@query("f04_examples_per_rule", f"""WITH {MANIFEST}, {PROBLEMS} SELECT rule, 'ERROR' AS severity, key, message, CAST(place AS INTEGER) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY rule ORDER BY key, message) AS place FROM prob) WHERE place <= 8""")
 def _examples(t):
     return U.examples(U.validate_manifest(_manifest(t), forbidden=[59]))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions.text import display_key
 from ..operators import conditions as C
 from ..operators import matching as M
+from ..operators.rules import validate_manifest
 from ..operators.summarise import attach
-from ..plans.manifest import build_manifest, section_conditions, slide_report
+from ..plans.manifest import build_manifest, finish_manifest, section_conditions, slide_report
+from .checks import PROBLEMS
 from .registry import query, rnd
-from .shapes import RECORD, SCANS, SECTIONS, SIDES, gap_sql, record, scans, sections, split_sql
+from .shapes import ARM, RECORD, SCANS, SECTIONS, SIDES, gap_sql, record, scans, sections, split_sql
 
 
 @query("slide_report", f"""WITH {SIDES},
@@ -256,7 +260,7 @@ def _monotone(t):
     return M.is_monotone(t.orders, ["o_custkey"], "o_orderkey", "o_totalprice", 3)
 
 
-@query("manifest_build", f"""WITH {MATCH}, {split_sql()}, {RECORD},
+BUILD = f"""{MATCH}, {split_sql()}, {RECORD},
 ob AS (SELECT l.slide AS tube_id, 'original' AS scan, section_label, section_label AS phys, CASE WHEN status = 'ok' THEN CASE WHEN x <= split_lo THEN 'near_label' ELSE 'far_label' END END AS box, status = 'ok' AS has_box FROM l JOIN spl USING (slide)),
 rb AS (SELECT m.slide AS tube_id, 'rescan' AS scan, m.section_label, CASE WHEN match_reason IS NOT NULL THEN m.section_label WHEN hit THEN ll ELSE 'new' || m.section_label END AS phys,
   CASE WHEN match_reason IS NOT NULL OR coalesce(spl.status, '') <> 'ok' THEN NULL WHEN hit THEN ob.box ELSE side END AS box FROM m LEFT JOIN spl USING (slide) LEFT JOIN ob ON ob.tube_id = m.slide AND ob.section_label = ll),
@@ -265,7 +269,10 @@ cd AS (SELECT al.*, CASE WHEN r.slide IS NULL OR needs_confirmation <> '' OR coa
   WHEN NOT has_box OR box IS NULL THEN 'unresolved' WHEN box = positive_box THEN 'positive' ELSE 'negative' END AS condition FROM al LEFT JOIN rec r ON r.slide = al.tube_id),
 man AS (SELECT tube_id, scan, section_label, phys AS physical_section_label, condition, condition <> 'unresolved' AS analysis_include, false AS scan_is_preferred FROM cd),
 {NOTES}, {_PREFER_TAIL},
-fl AS (SELECT tube_id, CASE WHEN bool_or(condition <> 'unresolved') THEN bool_or(condition = 'negative') END AS has_negative_control FROM cd GROUP BY 1)
+fl AS (SELECT tube_id, CASE WHEN bool_or(condition <> 'unresolved') THEN bool_or(condition = 'negative') END AS has_negative_control FROM cd GROUP BY 1)"""
+
+
+@query("manifest_build", f"""WITH {BUILD}
 SELECT 'section' AS row_kind, pref.*, box, has_negative_control FROM pref JOIN fl USING (tube_id) JOIN cd USING (tube_id, scan, section_label)
 UNION ALL SELECT 'record_only', slide, 'original', '', '', 'unresolved', false, true, false, NULL, NULL FROM rec WHERE slide NOT IN (SELECT slide FROM scn)""".replace("SELECT 'section' AS row_kind, pref.*, box", "SELECT 'section' AS row_kind, pref.*, cd.box"))
 def _build(t):
@@ -273,3 +280,43 @@ def _build(t):
     m = build_manifest(s.where("scan = 'original'"), s.where("scan = 'rescan'"), record(t).withColumnRenamed("slide", "tube_id"), _notes(t))
     return m.select("row_kind", "tube_id", "scan", "section_label", "physical_section_label", "condition", "analysis_include", "scan_is_preferred",
                     "use_for_measurement", "box", "has_negative_control")
+
+
+STANDARD = (20.0, 30.0, 40.0)
+
+
+def _finished(t):
+    """The section table from end to end: sections with sizes, exposures and files, records with groups and counts."""
+    k = F.col("tube_id")
+    s = scans(t).withColumnRenamed("slide", "tube_id").select(
+        "tube_id", "scan", "section_label", "x", F.lit(0.325).cast("double").alias("pixel_base"), F.col("qty").cast("bigint").alias("width_px"), F.lit(3).cast("bigint").alias("height_px"))
+    s = s.withColumns({
+        "pixel_size_um": F.col("pixel_base") + F.when(k % 11 == 0, 0.01).otherwise(0.0), "exposure_DAPI_ms": F.when((k % 7 == 0) & (F.col("scan") == "original"), 25.0).when(k % 70 == 1, 26.0).otherwise(20.0),
+        "exposure_FITC_ms": F.lit(30.0), "exposure_Cy3_ms": F.lit(40.0), "in_vsi_index": k % 13 != 0, "vsi_path": F.concat_ws("/", F.lit("/raw"), "scan", k.cast("string")),
+        "tube_id_in_file": F.when(k % 17 == 0, "x").otherwise(k.cast("string"))}).drop("pixel_base")
+    r = record(t).join(t.customer.select(F.col("c_custkey").alias("animal"), F.col("c_mktsegment").alias("group")), "animal", "left").withColumnRenamed("slide", "tube_id")
+    r = r.withColumn("n_sections_recorded", F.col("animal") % 5 + 1)
+    return finish_manifest(build_manifest(s.where("scan = 'original'"), s.where("scan = 'rescan'"), r, _notes(t)), ARM, STANDARD)
+
+
+FINISHED = f"""{BUILD},
+fin AS (SELECT 'section' AS row_kind, pref.tube_id, pref.scan, pref.section_label, pref.physical_section_label, pref.condition, coalesce(cd.box, '') AS box, has_negative_control, r.animal % 5 + 1 AS n_rec,
+  count(*) OVER (PARTITION BY pref.tube_id, pref.scan) AS n_idx, r.slide IS NOT NULL AS in_record, pref.tube_id % 13 <> 0 AS in_index,
+  NOT ((pref.tube_id % 7 = 0 AND pref.scan = 'original') OR pref.tube_id % 70 = 1) AS std, CASE WHEN pref.tube_id % 11 = 0 THEN 0.335 ELSE 0.325 END::DOUBLE AS px, coalesce(c_mktsegment, '') AS grp,
+  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'a' WHEN 'BUILDING' THEN 'a' WHEN 'FURNITURE' THEN 'b' WHEN 'MACHINERY' THEN 'b' ELSE '' END AS arm,
+  CASE WHEN r.slide IS NULL THEN 'no record' WHEN needs_confirmation <> '' THEN 'needs confirmation: ' || needs_confirmation WHEN coalesce(positive_box, '') NOT IN ('near_label', 'far_label', 'both') THEN 'positive box is ' || coalesce(positive_box, '')
+    WHEN positive_box <> 'both' AND NOT cd.has_box THEN 'no box could be derived' ELSE '' END AS notes,
+  use_for_measurement AS kept, CASE WHEN pref.tube_id % 17 = 0 THEN 'x' ELSE CAST(pref.tube_id AS VARCHAR) END AS in_file, '/raw/' || pref.scan || '/' || pref.tube_id AS path
+  FROM pref JOIN fl USING (tube_id) JOIN cd USING (tube_id, scan, section_label) LEFT JOIN rec r ON r.slide = pref.tube_id LEFT JOIN customer ON c_custkey = r.animal),
+only_rec AS (SELECT slide AS tube_id FROM rec WHERE slide NOT IN (SELECT slide FROM scn)), {re.sub(r"FROM m\b", "FROM fin", PROBLEMS)}"""
+
+
+@query("manifest_validate", f"WITH {FINISHED} SELECT rule, 'ERROR' AS severity, key, message FROM prob")
+def _validated(t):
+    return validate_manifest(_finished(t), forbidden=[59])
+
+
+@query("manifest_columns", f"""WITH {FINISHED} SELECT tube_id, scan, section_label, condition, arm, n_idx AS n_sections_on_slide, count(*) FILTER (condition = 'positive') OVER (PARTITION BY tube_id, scan) AS n_positive_sections_on_slide, std AS exposure_is_standard,
+  notes, kept AS use_for_measurement FROM fin""")
+def _columns(t):
+    return _finished(t).where("row_kind = 'section'").select("tube_id", "scan", "section_label", "condition", "arm", "n_sections_on_slide", "n_positive_sections_on_slide", "exposure_is_standard", "notes", "use_for_measurement")

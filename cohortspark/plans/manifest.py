@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import area_um2, within_tol
+from ..functions.text import map_lookup
 from ..operators.conditions import apply_patches, bookkeeping_rows, derive_condition, enrich, prefer
 from ..operators.matching import assign_sides, gap_split, nearest_match
 from ..operators.sets import union_scans
 from ..operators.summarise import attach, entity_flag, slide_summary
 from ..session import checkpoint
 
+#: The columns of the section table and their types, in order; those after ``warnings`` come from later passes.
+COLUMNS = {
+    "row_kind": "string", "tube_id": "bigint", "group": "string", "arm": "string", "scan": "string", "section_label": "string", "physical_section_label": "string", "series_name": "string",
+    "box": "string", "condition": "string", "positive_box": "string", "has_negative_control": "boolean", "n_positive_sections_on_slide": "bigint", "analysis_include": "boolean",
+    "slide_number_depth_index": "bigint", "n_sections_on_slide": "bigint", "n_sections_recorded": "bigint", "needs_confirmation": "string", "annotation": "string",
+    "stage_x_um": "double", "stage_y_um": "double", "box_gap_ratio": "double", "box_split_gap_mm": "double", "pixel_size_um": "double", "width_px": "bigint", "height_px": "bigint",
+    "area_px": "bigint", "area_um2": "double",
+    "exposure_DAPI_ms": "double", "exposure_FITC_ms": "double", "exposure_Cy3_ms": "double", "exposure_is_standard": "boolean", "acquisition_time": "string",
+    "in_slides_csv": "boolean", "in_vsi_index": "boolean", "payload_present": "boolean", "scan_is_preferred": "boolean", "stack_id": "bigint", "ets_path": "string", "ets_sha256": "string",
+    "vsi_path": "string", "vsi_sha256": "string", "tube_id_in_file": "string", "rescan_matched_section_label": "string", "rescan_match_offset_um": "double", "notes": "string", "warnings": "string",
+    "bench_note": "string", "bench_action": "string", "has_flagged_artefact": "boolean", "flagged_lower_quality": "boolean", "use_for_measurement": "boolean",
+}
+EXPOSURES = ("exposure_DAPI_ms", "exposure_FITC_ms", "exposure_Cy3_ms")
+
 
 def section_conditions(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
     """Condition and reason of every section, from stage geometry and the record.
@@ -64,3 +82,24 @@ def build_manifest(originals: DataFrame, rescans: DataFrame, record: DataFrame,
     rows = bookkeeping_rows(flagged, record, "tube_id").fillna(
         {"scan": "original", "section_label": "", "physical_section_label": "", "condition": "unresolved", "analysis_include": False, "scan_is_preferred": False})
     return prefer(checkpoint(apply_patches(rows, notes)))
+
+
+def finish_manifest(rows: DataFrame, arms: Mapping[str, str], standard: Sequence[float], tolerance: float = 1e-3) -> DataFrame:
+    """The rows of ``build_manifest`` with all ``COLUMNS``, as ``validate_manifest`` wants them.
+
+    What sections and record brought along is kept under its name (``x`` is the stage coordinate); counts a slide, areas, the arm of
+    the group and whether exposures are ``standard`` are worked out; the rest is NULL.
+    """
+    section = F.col("row_kind") == "section"
+    counts = rows.where(section).groupBy("tube_id", "scan").agg(F.count(F.lit(1)).alias("n_sections_on_slide"), F.count_if(F.col("condition") == "positive").alias("n_positive_sections_on_slide"))
+    d = attach(rows.drop(*(c for c in counts.columns if c not in ("tube_id", "scan"))), counts, ["tube_id", "scan"])
+    own = lambda c: F.col(c) if c in d.columns else F.lit(None).cast(COLUMNS.get(c, "string"))
+    known: dict[str, Column] = {
+        "arm": F.coalesce(map_lookup(own("group"), arms), F.lit("")), "stage_x_um": own("x"), "box_gap_ratio": own("gap_ratio"), "box_split_gap_mm": own("split_gap_mm"),
+        "area_px": own("width_px") * own("height_px"), "area_um2": area_um2(own("width_px"), own("height_px"), own("pixel_size_um")),
+        "exposure_is_standard": F.when(section & own(EXPOSURES[0]).isNotNull(), within_tol([own(c) for c in EXPOSURES], list(standard), tolerance)),
+        "in_slides_csv": F.coalesce(own("in_record"), F.lit(False)) | ~section, "in_vsi_index": F.coalesce(own("in_vsi_index"), section),
+        "rescan_matched_section_label": own("matched_label"), "notes": F.coalesce(own("reason"), F.lit("")), "warnings": F.coalesce(own("match_reason"), F.lit("")),
+        "n_sections_on_slide": F.coalesce("n_sections_on_slide", F.lit(0).cast("bigint")), "n_positive_sections_on_slide": F.coalesce("n_positive_sections_on_slide", F.lit(0).cast("bigint")),
+    }
+    return d.select(*[known.get(c, own(c)).cast(kind).alias(c) for c, kind in COLUMNS.items()])
