@@ -91,9 +91,14 @@ def _pooled(t):
     return C.pool_samples(s.where("vec_id % 2 = 0"), s.where("vec_id % 2 = 1").drop("label")).groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("i15_trained_classifier")
-def _forest(t):
+def _classified(t):
     s = _samples(t)
     train = C.pool_samples(s.where("vec_id % 2 = 0 AND class IS NOT NULL"), s.where("vec_id % 2 <> 0 AND class IS NOT NULL"))
     model = C.train_forest(train, FEATURES, "class", trees=50, depth=5)
-    return C.apply_forest(model, s).groupBy("class", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return C.apply_forest(model, s)
+
+
+@query("i15_trained_classifier")
+def _forest(t):
+    return _classified(t).groupBy("class", "prediction").agg(F.count(F.lit(1)).alias("n"))
+

@@ -324,3 +324,12 @@ FROM lab GROUP BY 1, 2 HAVING count(*) >= 2""")
 def _objects(t):
     d = M.objects(mask(t), frame(t), BY, 2).withColumn("label", (F.shiftright("root", 32) * 8 + F.col("root") % 2**32).cast("int"))
     return d.select("vec_id", "label", "n_px", rnd(F.col("cx")).alias("cx"), rnd(F.col("cy")).alias("cy"), "touches_edge", "in_size_summary")
+
+
+@query("l02_objects_by_region", _comp_sql("m", True).replace("{extra}", "") + """, ob AS (SELECT vec_id, label, count(*) * 9.0::DOUBLE AS a, floor(avg(x) + 0.5) AS cx, floor(avg(y) + 0.5) AS cy, bool_or(x IN (0, 7) OR y IN (0, 7)) AS edge FROM lab GROUP BY 1, 2)
+SELECT e.vec_id, CAST(side AS INTEGER) AS side, count(*) FILTER (a >= 20) AS n_min_20, count(*) FILTER (a >= 10) AS n_min_10, count(*) FILTER (a >= 50) AS n_min_50, round(avg(a) FILTER (a >= 20 AND NOT edge), 6) AS mean_um2
+FROM embeddings e CROSS JOIN range(2) s(side) LEFT JOIN ob ON ob.vec_id = e.vec_id AND floor(cx / 4) = side GROUP BY 1, 2""")
+def _objects_by_region(t):
+    side = pixels(t).select("vec_id", F.floor(F.col("x") / 4).cast("int").alias("side"), "x", "y")
+    d = M.count_objects(M.objects(mask(t), frame(t), BY), side, BY, 9.0, name="side")
+    return d.withColumn("mean_um2", rnd(F.col("mean_um2")))

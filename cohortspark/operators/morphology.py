@@ -22,6 +22,8 @@ from .summarise import attach
 
 #: Rows of a plane that are labelled in one place (three at least), and columns whose distances are swept in one.
 STRIP, COLUMNS = 256, 16
+# Least area of an object, and the two it is held against.
+MIN_OBJECT_UM2 = (20.0, 10.0, 50.0)
 
 
 def mask_runs(px: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -218,7 +220,7 @@ def tissue_area(mask: DataFrame, sections: DataFrame, by: Sequence[str], um_per_
 
 
 def objects(mask: DataFrame, frame: DataFrame, by: Sequence[str], min_px: int = 1) -> DataFrame:
-    """8-connected objects: size, centroid, whether they touch the frame edge."""
+    """8-connected objects: size, centroid, whether they touch the frame edge (their pixels still count as area, their size does not)."""
     lab = _frame(components(mask_runs(mask, by), by, 8), frame, by)
     n = F.col("x1") - F.col("x0") + 1
     edge = (F.col("x0") == 0) | (F.col("y") == 0) | (F.col("x1") == F.col("width") - 1) | (F.col("y") == F.col("height") - 1)
@@ -227,6 +229,19 @@ def objects(mask: DataFrame, frame: DataFrame, by: Sequence[str], min_px: int =
         F.bool_or(edge).alias("touches_edge")).where(F.col("n_px") >= min_px).withColumn("in_size_summary", ~F.col("touches_edge"))
 
 
+def count_objects(found: DataFrame, region: DataFrame, by: Sequence[str], pixel_um2: float, min_um2: Sequence[float] = MIN_OBJECT_UM2, name: str = "region") -> DataFrame:
+    """Objects (of ``objects``) a region, each where its centroid lies, at every least area; sizes are those of objects off the frame's edge.
+
+    ``region``: ``by, name, x, y``. Regions without an object count 0. Columns: ``by, name, n_min_<area>`` and, at the first area, ``mean_um2``.
+    """
+    at = found.select(*by, F.floor(F.col("cx") + 0.5).cast("int").alias("x"), F.floor(F.col("cy") + 0.5).cast("int").alias("y"), (F.col("n_px") * F.lit(float(pixel_um2))).alias("_area"), "in_size_summary")
+    met = at.join(region.select(*by, name, "x", "y").distinct(), [*by, "x", "y"])
+    g = met.groupBy(*by, name).agg(*[F.count_if(F.col("_area") >= a).alias(f"n_min_{a:g}") for a in min_um2],
+                                   F.avg(F.when(F.col("in_size_summary") & (F.col("_area") >= min_um2[0]), F.col("_area"))).alias("mean_um2"))
+    counts = [f"n_min_{a:g}" for a in min_um2]
+    return attach(region.select(*by, name).distinct(), g, [*by, name]).fillna(0, subset=counts)
+
+
 def nearest_distance(mask: DataFrame, px: DataFrame, by: Sequence[str], radius: float | None = None) -> DataFrame:
     """Exact distance in pixels to the nearest mask pixel, NULL beyond ``radius`` (if given) or without one.
 

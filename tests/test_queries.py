@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 from tools.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = ("i06", "i07", "i08", "i15", "l02", "h07", "h10", "blind_audit")
+SLOW = ("i15", "blind_audit")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 
