@@ -17,11 +17,16 @@ def _slot(key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 64 - MAP_BITS)
 
 
-def maybe_in(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """The ``rows`` whose key may be one of the first column of ``keys``."""
+def marked(rows: DataFrame, key: Column, keys: DataFrame, name: str = "_maybe") -> DataFrame:
+    """``rows`` with a flag: false where the key is surely none of the first column of ``keys``."""
     bit = lambda c: F.col(c).bitwiseAND(F.lit(63)).cast("int")
     slots = keys.select(_slot(F.col(keys.columns[0])).alias("_slot"))
     bits = slots.groupBy(F.shiftright("_slot", 6).alias("_row")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit("_slot"))).alias("_bits"))
-    placed = rows.withColumn("_slot", _slot(key)).withColumn("_row", F.shiftright("_slot", 6))
-    held = placed.join(F.broadcast(bits), "_row").where(F.call_function("shiftrightunsigned", F.col("_bits"), bit("_slot")).bitwiseAND(F.lit(1)) == 1)
-    return held.select(*rows.columns)
+    placed = rows.withColumn("_slot", _slot(key)).withColumn("_row", F.shiftright("_slot", 6)).join(F.broadcast(bits), "_row", "left")
+    flag = F.coalesce(F.call_function("shiftrightunsigned", F.col("_bits"), bit("_slot")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return placed.select(*rows.columns, flag.alias(name))
+
+
+def maybe_in(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose key may be one of the first column of ``keys``."""
+    return marked(rows, key, keys).where("_maybe").drop("_maybe")

@@ -17,7 +17,8 @@ they keep has it, its length.
 Defined cases: a null payload is empty. Rows whose id is null take part by their payload, sort
 below all ids and cannot be referred to. Rows that repeat an id and payload are all written;
 one of them is enough to be the response, and all rows with that id are. An empty table
-makes no archive. Columns beside the named ones are ignored.
+makes no archive. Very long payloads are handed to the archive in chunks, one row at a time. Columns beside the named ones are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,11 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint, new_folder
-from .arrow import map_batches
+from .arrow import map_batches, pieces
+from .bitmap import marked, maybe_in
 
 CHUNK_BYTES = 64 * 1024
 #: Archives end with the first record that fills them beyond this.
 ARCHIVE_BYTES = 256 * 1024 * 1024
+#: Bytes of payloads that are taken from a batch at a time, one row at least.
+HELD_BYTES = 1 << 22
 #: The profile of revisits in the WARC 1.1 standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "1970-01-01T00:00:00Z"
@@ -125,9 +129,9 @@ def _clean(value: str | None) -> str:
     return (value or "").replace("\r", " ").replace("\n", " ")
 
 
-def write_record(out: Member, row_id: int | None, url: str | None, text: str | None, refers_to: int | None, size: int) -> None:
-    """One response or revisit record; the payload is streamed twice, once for its length and digest and once to the file."""
-    n, digest = measure(text, size)
+def write_record(out: Member, row_id: int | None, url: str | None, text: str | None, refers_to: int | None, size: int, length: int | None = None, sha1: str | None = None) -> None:
+    """One response or revisit record; the payload is streamed twice, once for its length and digest and once to the file. A revisit has both given."""
+    n, digest = measure(text, size) if sha1 is None else (length, base64.b32encode(bytes.fromhex(sha1)).decode())
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(row_id)}", f"WARC-Date: {EPOCH}",
             f"WARC-Target-URI: {_clean(url)}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response"]
@@ -145,33 +149,46 @@ def write_record(out: Member, row_id: int | None, url: str | None, text: str | N
 
 
 def assign(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """``id, url, payload, refers_to``: which row every row with an equal payload revisits, if it revisits one."""
-    rows = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    key = (F.sha2("payload", 256), F.octet_length("payload"))
-    ids = rows.select("id", key[0].alias("sha"), key[1].alias("bytes")).where(F.col("bytes") >= least_bytes)
-    # Copies are counted before they meet; only payloads that occur twice come back to the rows.
-    top = ids.groupBy("sha", "bytes").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    keyed = ids.join(top, ["sha", "bytes"]).where(F.col("top").isNotNull()).select("id", F.col("sha").alias("_sha"), F.col("top"))
-    others = checkpoint(keyed.where("id IS NULL OR id <> top").select("_sha", F.coalesce("id", F.lit(-1)).alias("_id"), F.col("id").isNull().alias("_none"), "top").distinct())
-    same = (key[0] == F.col("_sha")) & (F.coalesce("id", F.lit(-1)) == F.col("_id")) & (F.col("id").isNull() == F.col("_none"))
-    return rows.join(others, same, "left").select("id", "url", "payload", F.col("top").alias("refers_to"))
+    """``id, url, payload, refers_to, length, digest``: which row every row with an equal payload revisits, if it revisits one.
+
+    Rows that revisit need no payload, so they come from digests alone. Of the others those whose payload stands once pass as
+    they are; of repeated payloads one copy each (and what a bitmap takes for one) is moved to be looked at.
+    """
+    payload = F.coalesce(F.col(payload_col), F.lit(""))
+    rows = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("_sha"), F.octet_length(payload).cast("bigint").alias("_bytes"))
+    ids = checkpoint(rows.select("id", "url", "_sha", "_bytes", F.sha1("payload").alias("_sha1")).where(F.col("_bytes") >= least_bytes))
+    # Copies are counted before they meet; a payload of rows without an id has no response to refer to.
+    top = checkpoint(ids.groupBy("_sha").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1 AND top IS NOT NULL").drop("n"))
+    again = ids.join(top, "_sha").where("id IS NULL OR id <> top").select("id", "url", F.lit(None).cast("string").alias("payload"), F.col("top").alias("refers_to"), F.col("_bytes").alias("length"), F.col("_sha1").alias("digest"))
+    pair = F.concat_ws("/", "_sha", "id")
+    d = marked(marked(rows.where(F.col("_bytes") >= least_bytes), F.col("_sha"), top.select("_sha"), "_twice"), pair, top.select(F.concat_ws("/", "_sha", "top")), "_first")
+    shape = lambda x: x.select("id", "url", "payload", F.lit(None).cast("bigint").alias("refers_to"), F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("string").alias("digest"))
+    # What the map of repeated payloads lets through is held against them; a miss in either map is sure.
+    looked = d.where("_twice AND _first").join(top.withColumnRenamed("top", "_top"), "_sha", "left").where("_top IS NULL OR id = _top")
+    wrong = marked(ids, F.col("_sha"), top.select("_sha"), "_twice").where("_twice").join(top, "_sha", "left_anti").select("_sha").distinct()
+    strays = maybe_in(d.where("_twice AND NOT _first"), F.col("_sha"), wrong).join(wrong, "_sha", "left_semi")
+    out = again.unionByName(shape(d.where("NOT _twice"))).unionByName(shape(looked)).unionByName(shape(strays))
+    if least_bytes:
+        out = out.unionByName(shape(rows.where(F.col("_bytes") < least_bytes)))
+    # As many streams of archives as the pages have partitions, or small tables would give an archive a branch.
+    return out.coalesce(max(1, pages.rdd.getNumPartitions()))
 
 
 def write_archives(records: DataFrame, folder: str, *, chunk_bytes: int = CHUNK_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Archives of ``id, url, payload, refers_to`` in ``folder``; returns their list, ``archive, records, bytes``, which is a checkpoint."""
+    """Archives of ``id, url, payload, refers_to, length, digest`` in ``folder``; returns their list, ``archive, records, bytes``, which is a checkpoint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         where, base = open_folder(folder)
         out, member, name, n = None, None, "", 0
         try:
-            for b in batches:
-                for i, url, text, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for b in (p for b in batches for p in pieces(b, "payload", HELD_BYTES)):
+                for i, url, text, refers, length, digest in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     if out is None:
                         where.create_dir(base, recursive=True)
                         name, n = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = where.open_output_stream(f"{base}/{name}", compression=None)
                         member = Member(out)
-                    write_record(member, i, url, text, refers, chunk_bytes)
+                    write_record(member, i, url, text, refers, chunk_bytes, length, digest)
                     n += 1
                     if member.size > archive_bytes:
                         out.close()
@@ -185,7 +202,7 @@ def write_archives(records: DataFrame, folder: str, *, chunk_bytes: int = CHUNK_
             if out is not None:
                 out.close()
 
-    shaped = records.select(F.col("id").cast("bigint"), "url", "payload", F.col("refers_to").cast("bigint"))
+    shaped = records.select(F.col("id").cast("bigint"), "url", "payload", F.col("refers_to").cast("bigint"), "length", "digest")
     return checkpoint(map_batches(shaped, run, "archive string, records bigint, bytes bigint"))
 
 
@@ -259,11 +276,11 @@ def read_records(stream, chunk_bytes: int = CHUNK_BYTES) -> Iterator[dict]:
             pass
 
 
-CHUNK_SCHEMA = "record string, kind string, refers_to string, chunk bigint, start bigint, data binary, sha1 string, last boolean, length bigint, digest string"
+CHUNK_SCHEMA = "record string, kind string, refers_to string, chunk bigint, start bigint, data binary, sha1 string, last boolean, length bigint, digest string, archive string, at bigint"
 
 
-def read_archives(archives: DataFrame, folder: str, *, chunk_bytes: int = CHUNK_BYTES, only_last: bool = False) -> DataFrame:
-    """The chunk table of the listed archives. ``only_last`` keeps each record's last chunk, after all of it was read and digested.
+def read_archives(archives: DataFrame, folder: str, *, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The chunk table of the listed archives: a row a chunk of each record, the ``at``-th of its archive.
 
     ``length`` and ``digest`` are what the record's headers say of the full payload.
     """
@@ -272,12 +289,11 @@ def read_archives(archives: DataFrame, folder: str, *, chunk_bytes: int = CHUNK_
         where, base = open_folder(folder)
         for b in batches:
             for name in b.column(0).to_pylist():
-                held, size = [], 0
+                held, size, at = [], 0, 0
                 with where.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for row in read_records(stream, chunk_bytes):
-                        if only_last and not row["last"]:
-                            continue
-                        held.append(row)
+                        held.append(row | {"archive": name, "at": at})
+                        at += row["last"]
                         size += len(row["data"]) + 200
                         if size > 16 * chunk_bytes:
                             yield {k: [x[k] for x in held] for k in held[0]}
@@ -299,10 +315,13 @@ def archive_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
 
 def record_table(archives: DataFrame, folder: str, **named) -> DataFrame:
     """One row a record: ``id, payload_bytes, payload_digest, record_type, refers_to``, as read back."""
-    last = read_archives(archives, folder, only_last=True, **named)
+    chunks = read_archives(archives, folder, **named)
+    size = F.octet_length("data").cast("bigint").alias("size")
+    # A record's chunks come from one task, so they meet before anything moves.
+    last = chunks.select("archive", "at", F.struct("chunk", "start", size, "sha1", "record", "kind", "refers_to", "length", "digest").alias("c")).groupBy("archive", "at").agg(F.max_by("c", "c.chunk").alias("c")).select("c.*")
     revisit = F.col("kind") == "revisit"
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]*)>$", 1), F.lit("")).cast("bigint")
     return last.select(number(F.col("record")).alias("id"),
-                       F.when(revisit, F.col("length")).otherwise(F.col("start") + F.octet_length("data")).alias("payload_bytes"),
+                       F.when(revisit, F.col("length")).otherwise(F.col("start") + F.col("size")).alias("payload_bytes"),
                        F.when(revisit, F.col("digest")).otherwise(F.col("sha1")).alias("payload_digest"),
                        F.col("kind").alias("record_type"), F.when(revisit, number(F.col("refers_to"))).alias("refers_to"))

@@ -79,3 +79,21 @@ def test_damage_is_seen(spark):
 def test_empty_table(spark):
     archives, folder = archive_pages(make(spark, []))
     assert archives.count() == 0 and got(record_table(archives, folder)) == []
+
+
+def test_long_payloads_and_clashing_names(spark):
+    rows = [(1, "long " * 400_000), (2, "long " * 400_000), (3, "short")]
+    df = spark.createDataFrame([(*r, "u", "x", 1, "y") for r in rows], "page_id bigint, html string, url string, refers_to string, id int, digest string")
+    archives, folder = archive_pages(df)
+    assert got(record_table(archives, folder)) == plain(rows)
+    assert read_archives(archives, folder).where("record = '<urn:page:2>'").count() == 31
+
+
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    """Maps so small that they take everything for a copy."""
+    from cohortspark.llm import bitmap
+
+    monkeypatch.setattr(bitmap, "MAP_BITS", 7)
+    rows = [(i, f"page {i % 150}") for i in range(400)]
+    archives, folder = archive_pages(make(spark, rows))
+    assert got(record_table(archives, folder)) == plain(rows)
