@@ -51,28 +51,45 @@ def parse_index(read: Read, size: int, batch_rows: int = BATCH_ROWS) -> Iterator
         yield None, np.frombuffer(read(at + i * rec.itemsize, k * rec.itemsize), rec, k), kind
 
 
-def index_rows(path: str, size: int, read: Read, batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """One row per chunk; a bad file is one problem row with NULL chunk cells."""
+Cells = tuple[int, dict[str, object]]
+
+
+def _cells(path: str, size: int, read: Read, batch_rows: int) -> Iterator[Cells]:
+    """How many rows, and their columns: an array, or a value that all rows have."""
     for problem, c, kind in parse_index(read, size, batch_rows):
-        k = 1 if c is None else len(c)
-        cells = {} if c is None else {
-            "offset": c["offset"].astype("int64"), "nbytes": c["nbytes"], "col": c["at"][:, 0], "row": c["at"][:, 1],
-            "channel": c["at"][:, 2] if c["at"].shape[1] >= 4 else np.zeros(k, "int32"), "level": c["at"][:, -1],
-            **{n: np.full(k, kind[i], "int32") for n, i in (("pixel_type", 0), ("samples_per_tile", 1), ("compression", 3), ("tile_x", 5), ("tile_y", 6))}}
-        cells |= {"path": [path] * k, "problem": [problem] * k, "file_bytes": [size] * k}
-        yield pa.RecordBatch.from_arrays([pa.array(cells[f.name], f.type) if f.name in cells else pa.nulls(k, f.type) for f in _SHAPE], schema=_SHAPE)
-
-
-def gathered(batches: Iterator[pa.RecordBatch], batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """Small batches put together."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        held.append(b)
-        if sum(x.num_rows for x in held) >= batch_rows:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held = []
+        own: dict[str, object] = {"path": path, "problem": problem, "file_bytes": size}
+        if c is not None:
+            own |= {"offset": c["offset"].astype("int64"), "nbytes": c["nbytes"], "col": c["at"][:, 0], "row": c["at"][:, 1],
+                    "channel": c["at"][:, 2] if c["at"].shape[1] >= 4 else 0, "level": c["at"][:, -1],
+                    **{n: int(kind[i]) for n, i in (("pixel_type", 0), ("samples_per_tile", 1), ("compression", 3), ("tile_x", 5), ("tile_y", 6))}}
+        yield 1 if c is None else len(c), own
+
+
+def gathered(cells: Iterator[Cells], batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``batch_rows``; a bad file is one row with NULL chunk cells."""
+
+    def batch(held: list[Cells]) -> pa.RecordBatch:
+        counts = np.array([k for k, _ in held])
+        bad = np.repeat([c["problem"] is not None for _, c in held], counts)
+        texts = [pa.array(np.repeat(np.array([c[n] for _, c in held], object), counts), pa.string()) for n in ("path", "problem")]
+        numbers = [np.concatenate([np.broadcast_to(np.asarray(c.get(f.name, 0)), k) for k, c in held]) for f in list(_SHAPE)[2:]]
+        return pa.RecordBatch.from_arrays([*texts, *(pa.array(v, f.type, mask=None if f.name == "file_bytes" else bad) for f, v in zip(list(_SHAPE)[2:], numbers, strict=True))], schema=_SHAPE)
+
+    held: list[Cells] = []
+    n = 0
+    for k, c in cells:
+        held.append((k, c))
+        n += k
+        if n >= batch_rows:
+            yield batch(held)
+            held, n = [], 0
     if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        yield batch(held)
+
+
+def index_rows(path: str, size: int, read: Read, batch_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """One row per chunk of a container; ``read(offset, n)`` gives bytes of it."""
+    return gathered(_cells(path, size, read, batch_rows), batch_rows)
 
 
 def decode_tile_index(files: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
@@ -81,12 +98,12 @@ def decode_tile_index(files: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFra
     Memory is one container plus one batch; files are better read by ``read_tile_index``.
     """
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Cells]:
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 data = content.as_buffer()
                 data = data.to_pybytes() if data is not None else b""
-                yield from index_rows(name.as_py(), len(data), lambda at, n, data=data: data[at : at + n], batch_rows)
+                yield from _cells(name.as_py(), len(data), lambda at, n, data=data: data[at : at + n], batch_rows)
 
     return files.select("path", "content").mapInArrow(lambda batches: gathered(rows(batches), batch_rows), TILE_SCHEMA)
 
@@ -115,10 +132,10 @@ class _Reader(DataSourceReader):
 
         store, _ = pafs.FileSystem.from_uri(_uri(self.path))
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[Cells]:
             for path, size in partition.files:
                 with store.open_input_file(path) as f:
-                    yield from index_rows(path, size, lambda at, n, f=f: f.read_at(n, at))
+                    yield from _cells(path, size, lambda at, n, f=f: f.read_at(n, at), BATCH_ROWS)
 
         yield from gathered(rows())
 
