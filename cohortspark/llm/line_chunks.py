@@ -21,6 +21,7 @@ way to them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,20 +37,25 @@ from .blocks import BLOCK_BYTES, block_rows, gather_blocks, with_lists
 LINES = 3
 FACTOR = 0x9E3779B97F4A7C15
 LAST = (1 << 63) - 1
+#: Signs that do not make a chunk worth a look.
+BLANK = bytes(range(33))
 
 RESULTS = ("n_lines", "n_removed", "clean_text")
 
 
-def marks(lines: list[bytes], least: int, digest_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """First lines of the marked pairs, and their hashes."""
-    if len(lines) < max(2, least):
+def marks(texts: list[list[bytes]], least: int, digest_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """First lines of the marked pairs, and their hashes; lines of all texts are numbered through."""
+    counts = [len(x) for x in texts]
+    n, w = sum(counts), max(1, least - 1)
+    if n <= w:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
+    doc = np.repeat(np.arange(len(texts)), counts)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(texts)), np.uint64, n)
     rolled = h[:-1] * np.uint64(FACTOR) + h[1:]
     rolled = ((rolled ^ (rolled >> np.uint64(31))) * np.uint64(FACTOR)) >> np.uint64(64 - digest_bits)
-    w = max(1, least - 1)
-    stretches = np.lib.stride_tricks.sliding_window_view(rolled, w)[:, ::-1]  # of equal ones the last
-    at = np.unique(np.arange(len(stretches)) + w - 1 - stretches.argmin(1))
+    first = np.flatnonzero(doc[:-w] == doc[w:])  # stretches of w pairs within a text
+    stretches = np.lib.stride_tricks.sliding_window_view(rolled, w)[first, ::-1]  # of equal ones the last
+    at = np.unique(first + w - 1 - stretches.argmin(1))
     return at, rolled[at].view(np.int64)
 
 
@@ -59,24 +65,33 @@ class BlockChunks:
     def __init__(self, texts: list[str | None], ids: list[int | None], least: int, digest_bits: int):
         self.lines = [None if t is None else t.encode("utf-8", "surrogatepass").split(b"\n") for t in texts]
         self.ids, self.least = [LAST if i is None else i for i in ids], least
-        self.marked = [marks(x or [], least, digest_bits) for x in self.lines]
+        self.at, self.hashes = marks([x or [] for x in self.lines], least, digest_bits)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the marked pairs, and how often each stands here."""
-        return np.unique(np.concatenate([h for _, h in self.marked] or [np.empty(0, np.int64)]), return_counts=True)
+        return np.unique(self.hashes, return_counts=True)
 
     def chunks(self, repeated: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         """(document, first line, bytes) of the chunks around marked pairs that are repeated."""
-        k = self.least
-        for d, (at, h) in enumerate(self.marked):
-            some = at[np.isin(h, repeated)]
-            if not len(some):
-                continue
-            lines = self.lines[d]
-            starts = np.unique((some[:, None] - np.arange(max(1, k - 1))[None, :]).ravel())
-            for a in starts[(starts >= 0) & (starts <= len(lines) - k)].tolist():
-                if max(chunk := b"\n".join(lines[a : a + k]), default=0) > 32:
-                    yield d, a, chunk
+        k, counts = self.least, np.array([len(x or ()) for x in self.lines])
+        doc, begin = np.repeat(np.arange(len(counts)), counts), np.cumsum(counts) - counts
+        some = self.at[np.isin(self.hashes, repeated)]
+        starts = np.unique((some[:, None] - np.arange(max(1, k - 1))[None, :]).ravel())
+        starts = starts[(starts >= 0) & (starts <= len(doc) - k)]
+        starts = starts[doc[starts] == doc[starts + k - 1]]
+        for d, a in zip(doc[starts].tolist(), (starts - begin[doc[starts]]).tolist(), strict=True):
+            if not (chunk := b"\n".join(self.lines[d][a : a + k])).translate(None, BLANK) == b"":
+                yield d, a, chunk
+
+
+def _firsts(chunks: list[tuple[int, int, bytes]], ids: list[int]) -> dict[bytes, tuple[int, int]]:
+    """Where each distinct chunk stands first."""
+    first: dict[bytes, tuple[int, int]] = {}
+    for d, a, chunk in chunks:
+        place = (ids[d], a)
+        if place < first.setdefault(chunk, place):
+            first[chunk] = place
+    return first
 
 
 def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES, block_bytes: int = BLOCK_BYTES, digest_bits: int = 64) -> DataFrame:
@@ -99,9 +114,7 @@ def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 if not asked:
                     continue
                 found = of(rows)
-                first: dict[bytes, tuple[int, int]] = {}
-                for d, a, chunk in found.chunks(np.array([x["pair"] for x in asked], np.int64)):
-                    first[chunk] = min(first.get(chunk, (LAST, LAST)), (found.ids[d], a))
+                first = _firsts(list(found.chunks(np.array([x["pair"] for x in asked], np.int64))), found.ids)
                 yield {"block": [block] * len(first), "id": [i for i, _ in first.values()], "start": [a for _, a in first.values()], "chunk": list(first)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -111,14 +124,12 @@ def remove_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 gone: list[set[int]] = [set() for _ in found.lines]
                 if asked:
                     every = list(found.chunks(np.array([x["pair"] for x in asked], np.int64)))
-                    first: dict[bytes, tuple[int, int]] = {}
-                    for d, a, chunk in every:
-                        first[chunk] = min(first.get(chunk, (LAST, LAST)), (found.ids[d], a))
+                    first = _firsts(every, found.ids)
                     elsewhere = {(x["id"], x["start"]) for x in before or ()}
                     for d, a, chunk in every:
                         if (found.ids[d], a) > first[chunk] or first[chunk] in elsewhere:
                             gone[d].update(range(a, a + lines))
-                kept = [None if x is None else b"\n".join(y for k, y in enumerate(x) if k not in g).decode("utf-8", "surrogatepass") for x, g in zip(found.lines, gone, strict=True)]
+                kept = [t if not g else b"\n".join(y for k, y in enumerate(x) if k not in g).decode("utf-8", "surrogatepass") for t, x, g in zip(rows.field(text_at).to_pylist(), found.lines, gone, strict=True)]
                 yield {c: rows.field(i) for i, c in enumerate(given)} | {"n_lines": [len(x or ()) for x in found.lines], "n_removed": [len(g) for g in gone], "clean_text": kept}
 
     pairs = checkpoint(map_batches(blocks.select("rows", "block"), ask, "block bigint, pair bigint, twice boolean"))

@@ -63,7 +63,7 @@ def test_defined_cases(make_docs):
 def test_marks_follow_the_content():
     rng = random.Random(4)
     lines = [f"line {rng.random()}".encode() for _ in range(300)]
-    cut = lambda x, k: {tuple(x[a : a + 2]) for a in marks(x, k)[0]}
+    cut = lambda x, k: {tuple(x[a : a + 2]) for a in marks([x], k)[0]}
     for k in (2, 3, 5, 9):
         whole, moved = cut(lines, k), cut(lines[:100] + [b"new"] + lines[100:], k)
         assert len(whole & moved) >= len(whole) - 3 and abs(len(whole) / 299 - 2 / k) < 0.15
