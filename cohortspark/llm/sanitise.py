@@ -289,9 +289,9 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             texts, more = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-            yield dict(zip(docs.columns, b.columns, strict=False)) | {"clean_text": [cleaned(t, a) for t, a in zip(texts, more, strict=True)]}
+            yield dict(zip(given, b.columns, strict=False)) | {"clean_text": [cleaned(t, a) for t, a in zip(texts, more, strict=True)]}
 
-    at = docs.columns.index(text_col)
+    given, at = docs.columns, docs.columns.index(text_col)
     return map_batches(every, run, StructType([*docs.schema.fields, StructField("clean_text", StringType())]))
 
 
