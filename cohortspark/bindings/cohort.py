@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import classify as C
 from ..operators import planes as P
 from ..operators import stats as S
+from ..session import checkpoint
 from .planes import pixels
 from .registry import query, rnd
 
@@ -92,7 +93,7 @@ def _pooled(t):
 
 
 def _classified(t):
-    s = _samples(t)
+    s = checkpoint(_samples(t))  # training and prediction read the features several times
     train = C.pool_samples(s.where("vec_id % 2 = 0 AND class IS NOT NULL"), s.where("vec_id % 2 <> 0 AND class IS NOT NULL"))
     model = C.train_forest(train, FEATURES, "class", trees=50, depth=5)
     return C.apply_forest(model, s)

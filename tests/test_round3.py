@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from cohortspark.bindings import cohort
+from cohortspark.bindings.registry import Tables
 from cohortspark.functions import text as X
 
 
@@ -9,3 +11,13 @@ def test_path_ids_follow_the_last_slash(spark):
     d = spark.createDataFrame([("/a/38",), ("/a/38/",), ("/38/a",), ("44",), ("",), (None,)], "p string")
     got = d.select(F.size(X.scan_path(F.col("p"), "29|[3-5][0-9]|60"))).collect()
     assert [r[0] for r in got][:5] == [1, 0, 0, 1, 0]
+
+
+def test_features_are_computed_once(spark, monkeypatch):
+    """Training and prediction read a table, not the kernels behind it."""
+    kept = []
+    monkeypatch.setattr(cohort, "checkpoint", lambda d: kept.append(d) or d.limit(0).unionByName(d.cache()), raising=False)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    t.embeddings = t.embeddings.where("vec_id < 40")
+    assert cohort._forest(t).agg(F.sum("n")).first()[0] == 40 * 64
+    assert len(kept) == 1
