@@ -6,13 +6,14 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import mask_numeric_noise, vocabulary_hits
 from ..session import checkpoint
 from .blinding import DENIED, denied_token
-from .skew import GROUP_LIMIT, mid_ranks, ordered, permutation_index, set_digest, text_number
+from .skew import GROUP_LIMIT, hash_key, mid_ranks, ordered, set_digest, text_number
 from .stats import adjacent_equal, spearman
 from .summarise import attach
 
@@ -107,6 +108,33 @@ def audit_terms(blinded: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
         paths.select(*_finding("LEAK", "path", F.col("column"), F.col("n"))))
 
 
+def _shuffled_orders(placed: DataFrame, n_perm: int, seed: str, limit: int) -> DataFrame:
+    """``rep, n, dot, n_adjacent`` of ``n_perm`` random orders of ``_id, _rid, _g``.
+
+    A replicate is cut into even ranges of its hashes, which are uniform, so rows are shuffled once and nothing has to be
+    sampled or written: places within a range come from one window, and what the ranges before add from one row a range.
+    Rows are ordered by 96 bits of their hash.
+    """
+    n = placed.count()
+    ranges, tasks = min(1 << 16, n * 8 // limit + 1), min(100_000, n * n_perm * 2 // limit + 1)
+    reps = placed.select("_id", "_rid", "_g").repartition(tasks, "_id").withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(n_perm))))
+    h = hash_key(F.concat_ws("-", F.col("rep").cast("string"), F.col("_id").cast("string")), seed=seed)
+    part = F.lit(0) if ranges == 1 else F.shiftright(F.conv(F.substring("_h", 1, 6), 16, 10).cast("bigint") * ranges, 24).cast("int")
+    dealt = reps.withColumn("_h", h).select("rep", part.alias("_part"), F.unhex(F.substring("_h", 1, 24)).alias("_u"), "_rid", "_g").repartition(tasks, "rep", "_part")
+    w = W.partitionBy("rep", "_part").orderBy("_u")
+    inside = dealt.select("rep", "_part", "_rid", "_g", (F.row_number().over(w) - 1).alias("_at"), F.lag("_g").over(w).alias("_prev"))
+    # Sums of products in two halves, which do not overflow.
+    term = F.col("_rid") * F.col("_at")
+    per = inside.groupBy("rep", "_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_rid").alias("_rids"), F.sum(F.shiftright(term, 32)).alias("_high"), F.sum(term % 2**32).alias("_low"),
+        F.count_if(F.col("_prev") == F.col("_g")).alias("_same"), F.max(F.when(F.col("_at") == 0, F.col("_g"))).alias("_first"), F.max(F.struct("_at", "_g"))["_g"].alias("_last"))
+    along = W.partitionBy("rep").orderBy("_part")
+    per = checkpoint(per).select("*", F.coalesce(F.sum("_n").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lag("_last").over(along).alias("_end"))
+    dec = lambda c: F.col(c).cast("decimal(38,0)")
+    dot = dec("_rids") * dec("_before") + dec("_high") * F.lit(2**32).cast("decimal(38,0)") + dec("_low")
+    return per.groupBy("rep").agg(F.sum("_n").alias("n"), F.sum(dot).alias("dot"), (F.sum("_same") + F.count_if(F.col("_end") == F.col("_first"))).alias("n_adjacent"))
+
+
 def order_statistics(codes: DataFrame, key: str, code: str, group: str, *, n_perm: int = N_PERM, seed: str = "audit", limit: int = GROUP_LIMIT) -> DataFrame:
     """Is the code order the id order, and does it keep groups together?
 
@@ -127,12 +155,8 @@ def order_statistics(codes: DataFrame, key: str, code: str, group: str, *, n_per
     centred = F.try_divide(F.col("dot").cast("double") - n * ((n - 1) / 2.0) * ((n - 1) / 2.0), norm)
     seen = placed.agg(F.count(F.lit(1)).alias("n"), F.sum(dec(F.col("_rid")) * dec(F.col("_rcode"))).alias("dot")).withColumn("rho", centred).withColumn("k", F.lit(1))
     adj = adjacent_equal(placed, "_rcode", "_g", limit=limit).select("n_adjacent").withColumn("k", F.lit(1))
-    reps = placed.select("_id", "_rid", "_g", F.explode(F.sequence(F.lit(1), F.lit(n_perm))).alias("rep"))
-    reps = reps.withColumn("_key", F.concat_ws("-", F.col("rep").cast("string"), F.col("_id").cast("string")))
-    shuffled = checkpoint(permutation_index(reps, "_key", seed=seed, by=["rep"], limit=limit))
-    rho0 = shuffled.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.sum(dec(F.col("_rid")) * dec(F.col("pos"))).alias("dot")).select("rep", centred.alias("rho_r"))
-    adj0 = adjacent_equal(shuffled, "pos", "_g", ["rep"], limit=limit).select("rep", F.col("n_adjacent").alias("adj_r"))
-    null = rho0.join(adj0, "rep").withColumn("k", F.lit(1)).join(seen, "k").join(adj, "k")
+    null = _shuffled_orders(placed, n_perm, seed, limit)
+    null = null.select("rep", centred.alias("rho_r"), F.col("n_adjacent").alias("adj_r")).withColumn("k", F.lit(1)).join(seen, "k").join(adj.select("n_adjacent", "k"), "k")
     p = lambda cond: (1 + F.count_if(cond)) / (n_perm + 1.0)
     return null.groupBy("n", "rho", "n_adjacent").agg(
         p(F.abs("rho_r") >= F.abs("rho") - 1e-12).alias("p_rho"), F.avg("adj_r").alias("adjacent_null_mean"),
