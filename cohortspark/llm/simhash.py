@@ -52,6 +52,8 @@ BUCKET = 4096
 LANES = 1 << 15
 #: Classes of a candidate group, and shingles, that are held in one place; shingles of a matrix.
 SIDE, HELD, COLUMNS = 512, 1 << 22, 1 << 13
+#: Elements of a group's sets that are brought together at a time.
+MET = 1 << 18
 #: Shingle hashes whose bits are counted, and that are hashed for minima, at a time.
 COUNTED, HASHED = 1 << 16, 1 << 12
 #: Bands of minimum hashes and rows of a band: pairs of similarity 0.8 meet with a chance of 0.9993.
@@ -342,7 +344,18 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements any two of the sets share."""
+    """How many elements any two of the (sorted) sets share; ranges of elements are looked at one after another."""
+    out, lengths = np.zeros((len(sets), len(sets)), np.float32), [len(x) for x in sets]
+    lots = max(1, sum(lengths) // MET)
+    edges = np.array([2**64 * k // lots for k in range(1, lots)], np.uint64)
+    cuts = [[0, *np.searchsorted(x, edges).tolist(), len(x)] for x in sets]
+    for k in range(lots):
+        _add_common(out, [x[c[k] : c[k + 1]] for x, c in zip(sets, cuts, strict=True)])
+    np.fill_diagonal(out, lengths)
+    return out
+
+
+def _add_common(out: np.ndarray, sets: list[np.ndarray]) -> None:
     n, lengths = len(sets), [len(x) for x in sets]
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     often = times > 1
@@ -351,14 +364,11 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     row, column = row[kept], place[column[kept]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.diag(lengths).astype(np.float32)
     for first in range(0, int(often.sum()), COLUMNS):
         a, b = np.searchsorted(column, (first, first + COLUMNS))
         x = np.zeros((n, min(COLUMNS, int(often.sum()) - first)), np.float32)
         x[row[a:b], column[a:b] - first] = 1
         out += x @ x.T
-    np.fill_diagonal(out, lengths)
-    return out
 
 
 def alike(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -386,7 +396,8 @@ def _compare_sets(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[d
 
     held: list[tuple] = []
     for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for i in range(b.num_rows):  # a row at a time: a batch of sets is large
+            row = tuple(c[i].as_py() for c in b.columns)
             if held and row[0] != held[0][0]:
                 if len(held) > 1:
                     yield settle(held)
