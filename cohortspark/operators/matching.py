@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .skew import GROUP_LIMIT, ordered, top_k
+from .skew import GROUP_LIMIT, ordered, rows_in_small_groups, together, top_k
 from .summarise import attach
 
 # Fixed values.
@@ -52,24 +53,29 @@ def gap_split(
     """
     g = widest_gaps(df, by, x, limit=limit)
     ratio = F.try_divide(F.col("split_gap"), F.col("other_gap"))
+    status = split_status(shapes, min_ratio)
+    return g.select(
+        *by, "n", "n_low", "n_high", "split_lo", "split_hi",
+        (F.col("split_gap") / 1000).alias("split_gap_mm"), (F.col("other_gap") / 1000).alias("within_gap_mm"),
+        ratio.alias("gap_ratio"), status.alias("status"),
+        ((status == "ok") & F.coalesce(ratio < marginal, F.lit(False))).alias("marginal"),
+    )
+
+
+def split_status(shapes: Sequence[tuple[int, int]] | None = SHAPES, min_ratio: float = MIN_RATIO) -> Column:
+    """Verdict on ``n, n_low, n_high, split_gap, other_gap``."""
     good_shape = F.lit(True)
     if shapes is not None:
         good_shape = F.lit(False)
         for lo, hi in shapes:
             good_shape = good_shape | ((F.col("n_low") == lo) & (F.col("n_high") == hi))
-    status = (
+    return (
         F.when(F.col("n") < 3, "too_few")
         .when(F.col("split_gap").isNull(), "ambiguous")
         .when(~good_shape, "bad_shape")
-        .when(ratio < min_ratio, "ambiguous")
+        .when(F.try_divide(F.col("split_gap"), F.col("other_gap")) < min_ratio, "ambiguous")
         .otherwise("ok")
     )
-    return g.select(
-        *by, "n", "n_low", "n_high", "split_lo", "split_hi",
-        (F.col("split_gap") / 1000).alias("split_gap_mm"), (F.col("other_gap") / 1000).alias("within_gap_mm"),
-        ratio.alias("gap_ratio"), status.alias("status"),
-        ((status == "ok") & F.coalesce(ratio < marginal, F.lit(False))).alias("marginal"),
-    )
 
 
 def assign_sides(df: DataFrame, splits: DataFrame, by: Sequence[str], x: str) -> DataFrame:
@@ -96,6 +102,59 @@ def place_by_gap(points: DataFrame, reference: DataFrame, by: Sequence[str], x:
     return d.withColumn("side", side).drop("split_lo", "split_hi", "split_gap", "other_gap")
 
 
+def matched_within(d: DataFrame, by: Sequence[str], label: str, fraction: float = MATCH_FRACTION) -> DataFrame:
+    """The work of ``nearest_match`` on groups that lie whole in their tasks (``skew.together``), by windows alone.
+
+    ``d`` has ``_l`` and ``_r`` (a left, a right row; rows that are neither pass), ``_x`` and ``_ll``, the label of left rows. Adds
+    ``n, n_low, n_high, split_lo, split_hi, split_gap, other_gap`` of the group's left rows (``n`` is 0 without any), and for right rows
+    ``_best, _left_label, _off, _hit, _side, _status, _reason``.
+    """
+    c, back, ahead = F.col, W.unboundedPreceding, W.unboundedFollowing
+    # All windows want one order: group, place, left rows first.
+    here, along = W.partitionBy(*by, "_x").orderBy(F.desc("_l")), W.partitionBy(*by).orderBy("_x", F.desc("_l"))
+    spot, group, before = here.rowsBetween(back, ahead), along.rowsBetween(back, ahead), along.rowsBetween(back, -1)
+    lefts = lambda v: F.when(c("_l"), v)
+    d = d.withColumns({
+        "_spot": F.struct(F.min(lefts(c("_ll"))).over(spot).alias("label"), F.count(lefts(c("_l"))).over(spot).alias("n"), F.row_number().over(here).alias("at")),
+        "_pv": F.last(lefts(c("_x")), ignorenulls=True).over(before), "n_low": F.count(lefts(c("_l"))).over(before)})
+    # A place of several left rows counts once, at its first row.
+    d = d.withColumns({"_gap": F.when(c("_l") & (c("_spot.at") == 1), c("_x") - c("_pv")), "_point": F.when(c("_l") & c("_x").isNotNull(), F.struct(c("_x").alias("x"), c("_spot.label").alias("label")))})
+    names = ", ".join(f"`{k}`" for k in by)
+    wide = F.when(c("_gap").isNotNull(), F.struct(c("_gap").alias("gap"), (-c("_x")).alias("first"), c("_x").alias("hi"), c("_pv").alias("lo"), c("n_low").alias("low")))
+    d = d.withColumns({
+        "_dn": F.last("_point", ignorenulls=True).over(along.rowsBetween(back, 0)),
+        "_up": F.expr(f"lead(_point) IGNORE NULLS OVER (PARTITION BY {names} ORDER BY _x, _l DESC)"),
+        "n": F.count(lefts(c("_l"))).over(group), "_most": F.max(lefts(c("_spot.n"))).over(group), "_least": F.min("_gap").over(group), "_wide": F.max(wide).over(group)})
+    d = d.withColumn("other_gap", F.max(F.when(c("_gap").isNotNull() & (c("_x") != c("_wide.hi")), c("_gap"))).over(group))
+    best = F.when(c("_dn").isNull() | (c("_up.x") - c("_x") < c("_x") - c("_dn.x")), c("_up")).otherwise(c("_dn"))
+    d = d.withColumns({"n_low": F.coalesce(c("_wide.low"), F.lit(0)), "split_lo": c("_wide.lo"), "split_hi": c("_wide.hi"), "split_gap": c("_wide.gap"), "_best": F.when(c("_r"), best)}).drop("_dn", "_up", "_wide", "_pv", "_gap", "_point", "_spot")
+    off = F.abs(c("_best.x") - c("_x"))
+    spacing = F.when(c("_most") > 1, F.lit(0.0)).otherwise(c("_least"))
+    d = d.withColumns({
+        "n_high": c("n") - c("n_low"), "_left_label": c("_best.label"), "_off": off, "_hit": F.coalesce(c("_r") & (c("n") >= 2) & (off <= fraction * spacing), F.lit(False)),
+        "_side": side_of_gap(c("_x"), c("split_lo"), c("split_hi"), c("split_gap"), c("other_gap"))}).drop("_most", "_least")
+    claims = W.partitionBy(*by, "_left_label")
+    d = d.withColumn("_k", F.count(F.when(c("_hit"), 1)).over(claims))
+    whole = W.partitionBy(*by).orderBy("_left_label").rowsBetween(back, ahead)
+    d = d.withColumns({"_clash": F.max(F.when(c("_hit"), c("_k") > 1)).over(whole), "_lost": F.max(F.when(c("_r"), ~c("_hit") & c("_side").isNull())).over(whole)})
+    reason = (
+        F.when(c("n") < 2, "fewer than two originals")
+        .when(c("_lost"), "a section is beyond the tolerance and on no clear side")
+        .when(F.coalesce("_clash", F.lit(False)), "two sections claim one original")
+    )
+    d = d.withColumn("_reason", F.when(c("_r"), reason)).drop("_k", "_clash", "_lost")
+    return d.withColumn("_status", F.when(c("_r"), F.when(c("_reason").isNotNull(), "void").when(c("_hit"), "matched").otherwise("new")))
+
+
+def match_columns(label: str) -> dict[str, Column]:
+    """What ``nearest_match`` says of a row of ``matched_within``."""
+    status = F.col("_status")
+    return {
+        "matched_label": F.when(status == "matched", F.col("_left_label")).when(status == "new", F.concat(F.lit("new"), F.col(label))),
+        "match_offset": F.when(status == "matched", F.col("_off")).when(status == "new", F.lit(0.0)),
+        "side": F.when(status == "new", F.col("_side")), "match_status": status, "match_reason": F.col("_reason")}
+
+
 def nearest_match(
     left: DataFrame, right: DataFrame, by: Sequence[str], x: str, label: str, *,
     fraction: float = MATCH_FRACTION, limit: int = GROUP_LIMIT,
@@ -105,8 +164,17 @@ def nearest_match(
     The tolerance is ``fraction`` of the smallest spacing on the left. A right row beyond
     it may be a new one, placed by the widest gap (``new``). One row that is neither, or
     two that claim the same left row, void the whole group. Columns: ``by, label, x,
-    matched_label, match_offset, side, match_status, match_reason``.
+    matched_label, match_offset, side, match_status, match_reason``. Groups are counted first: where none has more than
+    ``limit`` rows, rows are shuffled once.
     """
+    rows = rows_in_small_groups([left, right], by, limit)
+    if rows is not None:
+        double = F.col(x).cast("double").alias("_x")
+        d = left.select(*by, double, F.lit(True).alias("_l"), F.lit(False).alias("_r"), F.col(label).alias("_ll")).unionByName(
+            right.select(*by, double, F.lit(False).alias("_l"), F.lit(True).alias("_r"), F.col(label).alias("_own")), allowMissingColumns=True)
+        d = matched_within(together(d, by, rows), by, "_own", fraction).where("_r")
+        said = match_columns("_own")
+        return d.select(*by, F.col("_own").alias(label), F.col("_x").alias(x), *[said[n].alias(n) for n in ("matched_label", "match_offset", "side", "match_status", "match_reason")])
     lpts = left.groupBy(*by, F.col(x).cast("double").alias("_x")).agg(
         F.count(F.lit(1)).alias("_c"), F.min(label).alias("_left_label"))
     rpts = right.select(*by, F.col(x).cast("double").alias("_x")).distinct()

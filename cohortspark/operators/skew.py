@@ -19,6 +19,8 @@ from ..session import checkpoint
 
 #: Rows of one group that a single task may sort.
 GROUP_LIMIT = 2_000_000
+#: Rows of a task that holds whole groups, on average.
+ROWS_A_TASK = 250_000
 #: Cells of a large group at most, and sampled rows a cell.
 MOST_CELLS, SAMPLED = 1 << 14, 16
 #: Share of ranks to both sides of a percentile that is looked at exactly, and the size of the sketch that brackets it.
@@ -43,6 +45,21 @@ def large_groups(df: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
 
 
+def rows_in_small_groups(frames: Sequence[DataFrame], by: Sequence[str], limit: int) -> int | None:
+    """How many rows the frames have; None if a group has more than ``limit`` in all of them."""
+    keys = frames[0].select(*by)
+    for f in frames[1:]:
+        keys = keys.unionAll(f.select(*by))
+    sizes = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    return None if (sizes.most or 0) > limit else sizes.rows or 0
+
+
+def together(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """``df`` dealt by ``by`` into tasks of bounded size, for groups known to be small: windows and groupings that begin with ``by`` shuffle no more."""
+    tasks = max(rows // ROWS_A_TASK, min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000)) + 1
+    return df.repartition(tasks, *[F.col(c) for c in by])
+
+
 def cells(df: DataFrame, by: Sequence[str], order: Sequence[str], limit: int, ranges: int = MOST_CELLS) -> DataFrame:
     """``df`` with ``_cell``, NULL outside large groups; cells of a group are ordered as its rows are by ``order``.
 
