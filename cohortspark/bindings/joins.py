@@ -211,7 +211,7 @@ PREFER = f"{MANIFEST}, {NOTES}, {_PREFER_TAIL}"
 
 @query("e02_preferred_row", f"WITH {PREFER} SELECT * FROM pref")
 def _prefer(t):
-    return C.prefer(C.apply_patches(_manifest(t), _notes(t))).select(
+    return C.patch_and_prefer(_manifest(t), _notes(t)).select(
         "tube_id", "scan", "section_label", "physical_section_label", "condition", "analysis_include",
         "scan_is_preferred", "use_for_measurement")
 

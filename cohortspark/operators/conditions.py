@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import is_flag, join_notes
+from .skew import GROUP_LIMIT, rows_in_small_groups, together
 from .summarise import attach
 
 
@@ -64,6 +66,65 @@ def attach_codes(df: DataFrame, codes: DataFrame, key: str) -> tuple[DataFrame,
     return df.join(codes, key), missing
 
 
+def notes_as_rows(notes: DataFrame) -> DataFrame:
+    """Notes under the keys of the sections, to be dealt out with them: ``_note`` is NULL for a section."""
+    blank = F.lit("")
+    return notes.select("tube_id", F.coalesce(F.trim("scan"), blank).alias("scan"), F.coalesce(F.trim("section_label"), blank).alias("section_label"),
+                        F.struct("ord", "action", "note").alias("_note"))
+
+
+def patched_within(d: DataFrame) -> DataFrame:
+    """The work of ``apply_patches`` on tubes that lie whole in their tasks (``skew.together``): sections and ``notes_as_rows`` in one table."""
+    c, blank = F.col, F.lit("")
+    here, scan, tube = (W.partitionBy("tube_id", "scan", "section_label"), W.partitionBy("tube_id", "scan").orderBy("section_label"), W.partitionBy("tube_id").orderBy("scan", "section_label"))
+    scan, tube = (w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing) for w in (scan, tube))
+    label = W.partitionBy("tube_id", "section_label")
+    pin = c("_note.action") == "prefer_scan"
+    plain, any_scan, any_label = ~pin, c("scan") == blank, c("section_label") == blank
+    # A section hears what was said at its point and at those with wildcards; a pinned scan speaks to the whole tube, and acts on its scan.
+    heard = {"a": (here, plain, plain), "b": (scan, plain & any_label, (plain & any_label) | pin), "c": (tube, (plain & any_scan & any_label) | pin, any_scan & ((plain & any_label) | pin)),
+             "d": (label, plain & any_scan, plain & any_scan)}
+    flags = sum((F.when(c("_note.action") == a, 1 << i).otherwise(0) for i, a in enumerate(("flag_artefact", "flag_quality", "exclude_section"))), F.lit(0))
+    for k, (w, says, acts) in heard.items():
+        d = d.withColumns({f"_s{k}": F.max(F.when(says, F.struct("_note.ord", "_note.note"))).over(w), f"_a{k}": F.max(F.when(acts, F.struct("_note.ord", "_note.action"))).over(w),
+                           f"_f{k}": F.bit_or(F.when(acts, flags)).over(w), **({"_pin": F.max(F.when(pin, F.struct("_note.ord", "scan"))).over(w)} if k == "c" else {})})
+    said, done = F.greatest(*[c(f"_s{k}") for k in heard]), F.greatest(*[c(f"_a{k}") for k in heard])
+    bits = F.lit(0)
+    for k in heard:
+        bits = bits.bitwiseOR(F.coalesce(f"_f{k}", F.lit(0)))
+    return d.where(c("_note").isNull()).withColumns({
+        "bench_note": F.coalesce(said["note"], blank), "bench_action": F.coalesce(done["action"], blank),
+        "has_flagged_artefact": bits.bitwiseAND(1) != 0, "flagged_lower_quality": bits.bitwiseAND(2) != 0,
+        "analysis_include": c("analysis_include") & (bits.bitwiseAND(4) == 0),
+        "scan_is_preferred": F.when(c("_pin").isNotNull(), c("scan") == c("_pin.scan")).otherwise(c("scan_is_preferred")),
+    }).drop("_note", "_pin", *[f"_{x}{k}" for x in "saf" for k in heard])
+
+
+def preferred_within(d: DataFrame) -> DataFrame:
+    """The work of ``prefer`` on tubes that lie whole in their tasks."""
+    usable = F.col("condition").isin("positive", "negative") & F.coalesce("analysis_include", F.lit(False))
+    pins = F.min(F.when(F.col("bench_action") == "prefer_scan", F.struct("scan", "section_label"))).over(W.partitionBy("tube_id"))
+    d = d.withColumn("_pin", pins["scan"])
+    d = d.withColumn("_rank", _rank(usable))
+    return d.withColumn("_best", F.min("_rank").over(W.partitionBy("tube_id", "physical_section_label"))).withColumn(
+        "scan_is_preferred", F.col("_rank") == F.col("_best")).withColumn("use_for_measurement", F.col("scan_is_preferred") & usable).drop("_pin", "_rank", "_best")
+
+
+def patch_and_prefer(df: DataFrame, notes: DataFrame, *, limit: int = GROUP_LIMIT) -> DataFrame:
+    """``prefer(apply_patches(df, notes))``. Where no tube has more than ``limit`` sections and notes, they are shuffled once."""
+    rows = rows_in_small_groups([df, notes], ["tube_id"], limit)
+    if rows is None:
+        return prefer(apply_patches(df, notes))
+    return preferred_within(patched_within(together(df.unionByName(notes_as_rows(notes), allowMissingColumns=True), ["tube_id"], rows)))
+
+
+def _rank(usable) -> Column:
+    return F.struct(
+        F.when(F.coalesce(F.col("scan") == F.col("_pin"), F.lit(False)), 0)
+        .when(usable & (F.col("scan") == "rescan"), 1).when(usable, 2).otherwise(3).alias("p"),
+        F.col("scan").alias("s"), F.col("section_label").alias("l"))
+
+
 def apply_patches(df: DataFrame, notes: DataFrame) -> DataFrame:
     """Overlay bench notes; a blank scan or label matches any, later notes win.
 
@@ -112,10 +173,7 @@ def prefer(df: DataFrame, entity: str = "tube_id", section: str = "physical_sect
     usable = F.col("condition").isin("positive", "negative") & F.coalesce("analysis_include", F.lit(False))
     pins = df.where(F.col("bench_action") == "prefer_scan").groupBy(entity).agg(
         F.min_by("scan", F.struct("scan", "section_label")).alias("_pin"))
-    d = attach(df, pins, [entity]).withColumn("_rank", F.struct(
-        F.when(F.coalesce(F.col("scan") == F.col("_pin"), F.lit(False)), 0)
-        .when(usable & (F.col("scan") == "rescan"), 1).when(usable, 2).otherwise(3).alias("p"),
-        F.col("scan").alias("s"), F.col("section_label").alias("l")))
+    d = attach(df, pins, [entity]).withColumn("_rank", _rank(usable))
     best = d.groupBy(entity, section).agg(F.min("_rank").alias("_best"))
     d = attach(d, best, [entity, section])
     return d.withColumn("scan_is_preferred", F.col("_rank") == F.col("_best")).withColumn(

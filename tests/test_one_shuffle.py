@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
+from cohortspark.operators import conditions as C
 from cohortspark.operators import matching as M
 
 
@@ -23,8 +26,26 @@ def points(spark, seed):
     return spark.createDataFrame(rows, "tube_id bigint, section_label string, x double")
 
 
+def notes(spark):
+    r = random.Random(3)
+    acts = ("exclude_section", "flag_artefact", "flag_quality", "prefer_section", "prefer_scan")
+    rows = [(i, r.choice([None, *range(1, 60)]), r.choice(["", " ", None, "original", "rescan"]), r.choice(["", None, "01", "02", "03"]), r.choice(acts), f"note {i}") for i in range(120)]
+    return spark.createDataFrame(rows, "ord bigint, tube_id bigint, scan string, section_label string, action string, note string")
+
+
 def test_nearest_match(spark):
     left, right = points(spark, 1), points(spark, 2)
     got = M.nearest_match(left, right, ["tube_id"], "x", "section_label")
     assert exchanges(got) <= 1
     assert same(got, M.nearest_match(left, right, ["tube_id"], "x", "section_label", limit=1))
+
+
+def test_patch_and_prefer(spark):
+    one, two = points(spark, 1).withColumn("scan", F.lit("original")), points(spark, 2).withColumn("scan", F.lit("rescan"))
+    n = F.coalesce("tube_id", F.lit(0)) + F.col("section_label").cast("int")
+    d = one.unionByName(two).withColumns({
+        "physical_section_label": F.col("section_label"), "condition": F.when(n % 3 == 0, "unresolved").when(n % 3 == 1, "negative").otherwise("positive"),
+        "analysis_include": n % 4 != 0, "scan_is_preferred": F.col("scan") == "rescan"})
+    got = C.patch_and_prefer(d, notes(spark))
+    assert exchanges(got) <= 1
+    assert same(got, C.patch_and_prefer(d, notes(spark), limit=1))
