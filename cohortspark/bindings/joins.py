@@ -11,7 +11,7 @@ from ..operators import conditions as C
 from ..operators import matching as M
 from ..operators.rules import validate_manifest
 from ..operators.summarise import attach
-from ..plans.manifest import build_manifest, finish_manifest, section_conditions, slide_report
+from ..plans.manifest import build_manifest, section_conditions, section_table, slide_report
 from .checks import PROBLEMS
 from .registry import query, rnd
 from .shapes import ARM, RECORD, SCANS, SECTIONS, SIDES, gap_sql, record, scans, sections, split_sql
@@ -296,7 +296,7 @@ def _finished(t):
         "tube_id_in_file": F.when(k % 17 == 0, "x").otherwise(k.cast("string"))}).drop("pixel_base")
     r = record(t).join(t.customer.select(F.col("c_custkey").alias("animal"), F.col("c_mktsegment").alias("group")), "animal", "left").withColumnRenamed("slide", "tube_id")
     r = r.withColumn("n_sections_recorded", F.col("animal") % 5 + 1)
-    return finish_manifest(build_manifest(s.where("scan = 'original'"), s.where("scan = 'rescan'"), r, _notes(t)), ARM, STANDARD)
+    return section_table(s.where("scan = 'original'"), s.where("scan = 'rescan'"), r, _notes(t), ARM, STANDARD)
 
 
 FINISHED = f"""{BUILD},

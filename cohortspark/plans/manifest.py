@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import area_um2, within_tol
 from ..functions.text import map_lookup
-from ..operators.conditions import apply_patches, bookkeeping_rows, derive_condition, enrich, prefer
-from ..operators.matching import assign_sides, gap_split, nearest_match
+from ..operators.conditions import apply_patches, bookkeeping_rows, derive_condition, enrich, notes_as_rows, patched_within, prefer, preferred_within
+from ..operators.matching import assign_sides, gap_split, match_columns, matched_within, nearest_match, split_status
 from ..operators.sets import union_scans
+from ..operators.skew import GROUP_LIMIT, rows_in_small_groups, together
 from ..operators.summarise import attach, entity_flag, slide_summary
 from ..session import checkpoint
 
@@ -51,15 +53,71 @@ def slide_report(sections: DataFrame, record: DataFrame, **split) -> DataFrame:
     return attach(slides, flags, ["animal"])
 
 
-def build_manifest(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, **split) -> DataFrame:
+def _within(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, rows: int, split: Mapping) -> DataFrame:
+    """``build_manifest`` for tubes that each fit a task: all four inputs are dealt by tube once, the rest is windows."""
+    c, no = F.col, F.lit(False)
+    both = lambda d, left: d.withColumns({"_l": F.lit(left), "_r": F.lit(not left), "_x": c("x").cast("double"), "_ll": c("section_label") if left else F.lit(None), "scan": F.lit("original" if left else "rescan")})
+    extra = [n for n in record.columns if n != "tube_id"]
+    d = both(originals, True).unionByName(both(rescans, False), allowMissingColumns=True)
+    d = d.unionByName(record.select("tube_id", F.struct(*extra).alias("_record")), allowMissingColumns=True).unionByName(notes_as_rows(notes), allowMissingColumns=True)
+    d = together(d.withColumns({"_l": F.coalesce("_l", no), "_r": F.coalesce("_r", no)}), ["tube_id"], rows)
+    d = matched_within(d, ["tube_id"], "section_label")
+
+    section, tube = c("_l") | c("_r"), W.partitionBy("tube_id")
+    said = match_columns("section_label")
+    status = F.when(c("n") > 0, split_status(**{k: v for k, v in split.items() if k in ("shapes", "min_ratio")}))
+    d = d.withColumns({
+        "split_status": F.when(section, status), "gap_ratio": F.when(section, F.try_divide(c("split_gap"), c("other_gap"))), "in_record": F.first(c("_record"), ignorenulls=True).over(tube),
+        "_sections": F.max(section).over(tube), **{k: F.when(c("_r"), v) for k, v in said.items()}})
+    ok, side_at = c("split_status") == "ok", lambda x: F.when(x <= c("split_lo"), "near_label").otherwise("far_label")
+    d = d.withColumn("box", F.when(ok, F.when(c("_l"), side_at(c("_x"))).when(c("match_status") == "matched", side_at(c("_best.x"))).when(c("match_status") == "new", c("side"))))
+    d = d.withColumns({
+        "slide_has_box": F.when(c("_l"), ok).when(c("_r"), F.max(c("_r") & c("box").isNotNull()).over(tube)), "physical_section_label": F.when(c("_r"), F.coalesce("matched_label", "section_label")).when(c("_l"), c("section_label")),
+        # A section has its tube's record; a record without sections is a row of its own.
+        **{k: F.when(section, c("in_record")[k]).otherwise(c("_record")[k]) for k in extra}, "in_record": F.when(section, c("in_record").isNotNull()),
+        "row_kind": F.when(section, "section").when(c("_record").isNotNull(), "record_only")})
+    d = d.where(section | c("_note").isNotNull() | (c("_record").isNotNull() & (c("tube_id").isNull() | ~c("_sections"))))
+    d = derive_condition(d)
+    resolved = section & (c("condition") != "unresolved")
+    flag = F.when(F.max(resolved).over(tube), F.max(section & (c("condition") == "negative")).over(tube))
+    d = d.withColumns({"has_negative_control": F.when(section & c("tube_id").isNotNull(), flag), "condition": F.when(section, c("condition")).otherwise("unresolved"), "reason": F.when(section, c("reason"))})
+    only = c("row_kind") == "record_only"
+    d = d.withColumns({
+        "scan": F.when(only, "original").otherwise(c("scan")), "section_label": F.when(only, "").otherwise(c("section_label")), "physical_section_label": F.when(only, "").otherwise(c("physical_section_label")),
+        "analysis_include": section & (c("condition") != "unresolved"), "scan_is_preferred": c("_r")})
+    d = d.drop("_l", "_r", "_x", "_ll", "_record", "_sections", "_best", "_left_label", "_off", "_hit", "_side", "_status", "_reason", "side", "n", "n_low", "n_high", "split_lo", "split_hi", "split_gap", "other_gap")
+    return preferred_within(patched_within(d))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Sections of a slide and positive ones among them, on tubes that lie whole in their tasks."""
+    section, slide = F.col("row_kind") == "section", W.partitionBy("tube_id", "scan")
+    return rows.withColumns({"n_sections_on_slide": F.sum(section.cast("bigint")).over(slide), "n_positive_sections_on_slide": F.sum((section & (F.col("condition") == "positive")).cast("bigint")).over(slide)})
+
+
+def section_table(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, arms: Mapping[str, str], standard: Sequence[float], tolerance: float = 1e-3, *, limit: int = GROUP_LIMIT, **split) -> DataFrame:
+    """``finish_manifest`` of ``build_manifest``; the counts a slide take no further shuffle where tubes are small."""
+    rows = rows_in_small_groups([originals, rescans, record, notes], ["tube_id"], limit)
+    if rows is None:
+        return finish_manifest(_spread(originals, rescans, record, notes, **split), arms, standard, tolerance)
+    return _finished(_counted(_within(originals, rescans, record, notes, rows, split)), arms, standard, tolerance)
+
+
+def build_manifest(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, *, limit: int = GROUP_LIMIT, **split) -> DataFrame:
     """One row per section per scan, plus one per record without data.
 
     ``originals`` and ``rescans``: ``tube_id, section_label, x`` and any other columns;
     ``record``: ``tube_id, positive_box, needs_confirmation``; ``notes`` as in
     ``apply_patches``. A rescan takes its box from the original it matches, or from its
     side of the gap when it is new. Write the result before checking it: the rules read
-    it several times.
+    it several times. Tubes are counted first: where none has more than ``limit`` rows, all inputs are shuffled once.
     """
+    rows = rows_in_small_groups([originals, rescans, record, notes], ["tube_id"], limit)
+    return _spread(originals, rescans, record, notes, **split) if rows is None else _within(originals, rescans, record, notes, rows, split)
+
+
+def _spread(originals: DataFrame, rescans: DataFrame, record: DataFrame, notes: DataFrame, **split) -> DataFrame:
+    """``build_manifest`` by joins that a huge tube does not hold up."""
     slide = ["tube_id"]
     # Each stage is read several times by the next one, so stages are written once.
     splits = checkpoint(gap_split(originals, slide, "x", **split))
@@ -90,9 +148,12 @@ def finish_manifest(rows: DataFrame, arms: Mapping[str, str], standard: Sequence
     What sections and record brought along is kept under its name (``x`` is the stage coordinate); counts a slide, areas, the arm of
     the group and whether exposures are ``standard`` are worked out; the rest is NULL.
     """
+    counts = rows.where(F.col("row_kind") == "section").groupBy("tube_id", "scan").agg(F.count(F.lit(1)).alias("n_sections_on_slide"), F.count_if(F.col("condition") == "positive").alias("n_positive_sections_on_slide"))
+    return _finished(attach(rows.drop(*(c for c in counts.columns if c not in ("tube_id", "scan"))), counts, ["tube_id", "scan"]), arms, standard, tolerance)
+
+
+def _finished(d: DataFrame, arms: Mapping[str, str], standard: Sequence[float], tolerance: float) -> DataFrame:
     section = F.col("row_kind") == "section"
-    counts = rows.where(section).groupBy("tube_id", "scan").agg(F.count(F.lit(1)).alias("n_sections_on_slide"), F.count_if(F.col("condition") == "positive").alias("n_positive_sections_on_slide"))
-    d = attach(rows.drop(*(c for c in counts.columns if c not in ("tube_id", "scan"))), counts, ["tube_id", "scan"])
     own = lambda c: F.col(c) if c in d.columns else F.lit(None).cast(COLUMNS.get(c, "string"))
     known: dict[str, Column] = {
         "arm": F.coalesce(map_lookup(own("group"), arms), F.lit("")), "stage_x_um": own("x"), "box_gap_ratio": own("gap_ratio"), "box_split_gap_mm": own("split_gap_mm"),

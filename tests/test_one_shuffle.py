@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.operators import conditions as C
 from cohortspark.operators import matching as M
+from cohortspark.plans import manifest as P
 
 
 def exchanges(df) -> int:
@@ -49,3 +50,15 @@ def test_patch_and_prefer(spark):
     got = C.patch_and_prefer(d, notes(spark))
     assert exchanges(got) <= 1
     assert same(got, C.patch_and_prefer(d, notes(spark), limit=1))
+
+
+def test_manifest(spark):
+    r = random.Random(5)
+    boxes = ["near_label", "far_label", "both", None]
+    record = spark.createDataFrame([(t, r.choice(boxes), r.choice(["", "", None, "check"]), f"g{t % 3}") for t in range(1, 80) if t % 7], "tube_id bigint, positive_box string, needs_confirmation string, group string")
+    first, again = points(spark, 1).withColumn("width_px", F.lit(3).cast("bigint")), points(spark, 2)
+    got = P.build_manifest(first, again, record, notes(spark))
+    assert exchanges(got) <= 1
+    assert same(got, P.build_manifest(first, again, record, notes(spark), limit=1))
+    table = [P.section_table(first, again, record, notes(spark), {"g1": "a"}, (1.0, 2.0, 3.0), limit=limit) for limit in (1000, 1)]
+    assert exchanges(table[0]) <= 1 and same(*table)
