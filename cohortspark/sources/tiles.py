@@ -92,20 +92,100 @@ def index_rows(path: str, size: int, read: Read, batch_rows: int = BATCH_ROWS) -
     return gathered(_cells(path, size, read, batch_rows), batch_rows)
 
 
+def _small_cells(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Problems, numbers of chunks, and the chunks' columns of many containers in one buffer, read column by column.
+
+    The checks are those of ``parse_index``, in its order. Chunks come container by container; a bad container has one row.
+    """
+
+    def take(at: np.ndarray, kind: str, count: int = 1) -> np.ndarray:
+        width = np.dtype(kind).itemsize * count
+        return buf[at[:, None] + np.arange(width)].view(kind)
+
+    k = len(starts)
+    problem = np.full(k, None, object)
+    left = np.ones(k, bool)
+
+    def refuse(where: np.ndarray, bad: np.ndarray, text: str) -> np.ndarray:
+        problem[where[bad]] = text
+        left[where[bad]] = False
+        return where[~bad]
+
+    live = refuse(np.arange(k), sizes < 64, "bad magic")
+    live = refuse(live, take(starts[live], "<u4")[:, 0] != int.from_bytes(b"SIS\0", "little"), "bad magic")
+    dims = np.zeros(k, "int64")
+    dims[live] = take(starts[live] + 12, "<u4")[:, 0]
+    live = refuse(live, (dims[live] < 2) | (dims[live] > 8), "implausible dimension count")
+    block, at, n = np.zeros(k, "uint64"), np.zeros(k, "uint64"), np.zeros(k, "int64")
+    block[live], at[live], n[live] = take(starts[live] + 16, "<u8")[:, 0], take(starts[live] + 32, "<u8")[:, 0], take(starts[live] + 40, "<u4")[:, 0]
+    live = refuse(live, (sizes[live] < 40) | (block[live] > np.maximum(sizes[live] - 40, 0).astype("uint64")), "image block missing")
+    live = refuse(live, take(starts[live] + block[live].astype("int64"), "<u4")[:, 0] != int.from_bytes(b"ETS\0", "little"), "image block missing")
+    width = 20 + 4 * dims
+    room = sizes[live] - n[live] * width[live]
+    live = refuse(live, (room < 0) | (at[live] > np.maximum(room, 0).astype("uint64")), "chunk table runs past the end of the file")
+
+    counts = np.where(left, n, 1)
+    total = int(counts.sum())
+    first = np.cumsum(counts) - counts
+    out = {f: np.zeros(total, "int64" if f == "offset" else "int32") for f in ("offset", *_INTS)}
+    image = np.zeros((k, 8), "int32")
+    image[live] = take(starts[live] + block[live].astype("int64") + 8, "<i4", 8)
+    for d in np.unique(dims[live]):
+        some = live[(dims[live] == d) & (n[live] > 0)]
+        if not len(some):
+            continue
+        own = np.repeat(some, n[some])
+        step = np.arange(len(own)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+        rec = starts[own] + at[own].astype("int64") + step * width[own]
+        to = first[own] + step
+        places = take(rec + 4, "<i4", int(d))
+        out["col"][to], out["row"][to], out["level"][to] = places[:, 0], places[:, 1], places[:, -1]
+        if d >= 4:
+            out["channel"][to] = places[:, 2]
+        out["offset"][to] = take(rec + 4 + 4 * int(d), "<u8")[:, 0].astype("int64")
+        out["nbytes"][to] = take(rec + 12 + 4 * int(d), "<i4")[:, 0]
+        for f, i in (("pixel_type", 0), ("samples_per_tile", 1), ("compression", 3), ("tile_x", 5), ("tile_y", 6)):
+            out[f][to] = image[own, i]
+    return problem, counts, out
+
+
+#: Bytes of containers of a table that are decoded together, and the largest that is; larger ones are decoded alone.
+BYTES_AT_ONCE, LARGEST_TOGETHER = 4 << 20, 1 << 20
+
+
 def decode_tile_index(files: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The chunks of ``(path, content)`` rows, for containers that are in a table already.
 
-    Memory is one container plus one batch; files are better read by ``read_tile_index``.
+    Small containers are decoded many at a time, column by column. Memory is one container plus one batch; files are better read by ``read_tile_index``.
     """
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Cells]:
-        for batch in batches:
-            for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                data = content.as_buffer()
-                data = data.to_pybytes() if data is not None else b""
-                yield from _cells(name.as_py(), len(data), lambda at, n, data=data: data[at : at + n], batch_rows)
+    def together(paths: pa.Array, buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        problem, counts, columns = _small_cells(buf, starts, sizes)
+        own = np.repeat(np.arange(len(counts)), counts)
+        bad = np.array([p is not None for p in problem], bool)[own]
+        texts = [paths.take(pa.array(own)).cast(pa.string()), pa.array(problem, pa.string()).take(pa.array(own)), pa.array(sizes[own], pa.int64())]
+        return pa.RecordBatch.from_arrays([*texts, *(pa.array(columns[f.name], f.type, mask=bad) for f in list(_SHAPE)[3:])], schema=_SHAPE)
 
-    return files.select("path", "content").mapInArrow(lambda batches: gathered(rows(batches), batch_rows), TILE_SCHEMA)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content = batch.column("content").cast(pa.large_binary())
+            ends = np.frombuffer(content.buffers()[1], "<i8")[content.offset : content.offset + len(content) + 1]
+            data = content.buffers()[2]
+            buf = np.frombuffer(data, "u1") if data is not None else np.zeros(0, "u1")
+            starts, sizes = ends[:-1], np.where(np.asarray(content.is_null().to_numpy(zero_copy_only=False)), 0, np.diff(ends))
+            i = 0
+            while i < len(content):
+                if sizes[i] > LARGEST_TOGETHER:
+                    read = lambda at, n, i=i: buf[starts[i] + at : starts[i] + at + n].tobytes()
+                    yield from index_rows(batch.column("path")[i].as_py(), int(sizes[i]), read, batch_rows)
+                    i += 1
+                    continue
+                fits = (np.cumsum(sizes[i:]) <= BYTES_AT_ONCE) & (sizes[i:] <= LARGEST_TOGETHER)
+                j = i + max(1, int(np.argmin(fits)) if not fits.all() else len(fits))
+                yield together(batch.column("path").slice(i, j - i), buf, starts[i:j], sizes[i:j])
+                i = j
+
+    return files.select("path", "content").mapInArrow(rows, TILE_SCHEMA)
 
 
 class _Files(InputPartition):
