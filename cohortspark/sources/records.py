@@ -103,14 +103,22 @@ def series_table(slides: DataFrame, keys: Sequence[str], series: str = "series",
                     *[F.try_element_at(F.col("s")["exposure_ms"], F.lit(c)).alias(f"exposure_{c}_ms") for c in channels])
 
 
-def file_inventory(spark: SparkSession, path: str, pattern: str = "*", digest: bool = True) -> DataFrame:
+#: Bytes of a file whose content may stand in a row.
+WHOLE_FILE = 64 << 20
+
+
+def file_inventory(spark: SparkSession, path: str, pattern: str = "*", digest: bool = True, whole_file: int = WHOLE_FILE) -> DataFrame:
     """One row per file. Without the digest the file content is never read.
 
-    A file is one row, so files beyond 2 GB need ``streamed_digests``.
+    Files of at most ``whole_file`` bytes are read by Spark, a file a row; larger ones are streamed in blocks (``streamed_digests``). A SHA-256
+    runs through a file from its first byte to its last, so one task reads each file.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
-    base = files.select("path", F.col("length").alias("n_bytes"), *(["content"] if digest else []))
-    return base.select("path", "n_bytes", F.sha2("content", 256).alias("sha256")) if digest else base
+    base = files.select("path", F.col("length").alias("n_bytes"))
+    if not digest:
+        return base
+    small = files.where(F.col("length") <= whole_file).select("path", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+    return small.unionByName(streamed_digests(base.where(F.col("n_bytes") > whole_file)))
 
 
 def streamed_digests(files: DataFrame, path: str = "path", chunk_bytes: int = 8 << 20, tasks: int = 64) -> DataFrame:
@@ -124,7 +132,9 @@ def streamed_digests(files: DataFrame, path: str = "path", chunk_bytes: int = 8
         for pdf in batches:
             out = []
             for uri in pdf[path]:
-                fs, name = pafs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+                # Spark's names of local files are not escaped, as those of a URI would be.
+                local = uri.startswith("file:/")
+                fs, name = (pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")) if local else pafs.FileSystem.from_uri(uri)
                 h = hashlib.sha256()
                 with fs.open_input_stream(name) as stream:
                     while block := stream.read(chunk_bytes):
