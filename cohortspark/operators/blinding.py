@@ -8,10 +8,11 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import is_flag, truthy
-from .skew import GROUP_LIMIT, hash_key, hash_number, ordered, permutation_index
+from .skew import GROUP_LIMIT, hash_key, hash_number, ordered, permutation_index, rows_in_small_groups, together
 from .summarise import attach, modal_tuple
 
 # Fixed values.
@@ -139,11 +140,20 @@ def replicate_index(df: DataFrame, keys: Sequence[str], name: str = "replicate",
     written out again in chunks."""
     rest = [c for c in df.columns if c not in keys]
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rest]) if rest else F.lit("")
+    rows = rows_in_small_groups([df], keys, limit) if keys else None
+    if rows is not None:
+        df = together(df, keys, rows)
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_h", F.sha2(text, 256))
     copies = copies.withColumn("_u", hash_number(F.col("_h")))
-    ranked = ordered(copies, keys, "_u", {"_before": ("sum", F.col("_copies"), "before")}, ties=["_h", *rest], limit=limit)
     chunk = 10_000
-    starts = ranked.withColumn("_start", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk)))).repartition("_h", "_start")
+    if rows is not None:
+        # Groups lie whole in their tasks and are small: nothing more is shuffled, and copies are written out where they are.
+        before = W.partitionBy(*keys).orderBy("_u", "_h", *rest).rowsBetween(W.unboundedPreceding, -1)
+        ranked = copies.withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+    else:
+        ranked = ordered(copies, keys, "_u", {"_before": ("sum", F.col("_copies"), "before")}, ties=["_h", *rest], limit=limit)
+    starts = ranked.withColumn("_start", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk))))
+    starts = starts.repartition("_h", "_start") if rows is None else starts
     each = starts.withColumn("_i", F.explode(F.sequence(F.col("_start"), F.least(F.col("_start") + chunk, F.col("_copies")) - 1)))
     return each.select(*df.columns, (F.col("_before") + F.col("_i") + 1).cast("bigint").alias(name))
 
