@@ -102,10 +102,13 @@ def audit_terms(blinded: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     if not text:
         return out
     each = blinded.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in text])))
-    terms = each.select("column", F.explode(vocabulary_hits(F.col("v"), vocabulary)).alias("term")).distinct()
-    paths = each.where(F.col("v").rlike(PATH_LIKE)).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    return out.unionByName(terms.select(*_finding("LEAK", "term", F.col("column"), F.col("term")))).unionByName(
-        paths.select(*_finding("LEAK", "path", F.col("column"), F.col("n"))))
+    # A value is searched once, however many rows have it.
+    values = each.where(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    said = lambda check, term: F.struct(F.lit(check).alias("check"), term.cast("string").alias("term"))
+    path = F.when(F.col("v").rlike(PATH_LIKE), said("path", F.lit(None)))
+    found = F.concat(F.transform(vocabulary_hits(F.col("v"), vocabulary), lambda t: said("term", t)), F.filter(F.array(path), lambda p: p.isNotNull()))
+    hits = values.select("column", "n", F.inline(found)).groupBy("column", "check", "term").agg(F.sum("n").alias("n"))
+    return out.unionByName(hits.select(*_finding("LEAK", F.col("check"), F.col("column"), F.coalesce("term", F.col("n").cast("string")))))
 
 
 def _shuffled_orders(placed: DataFrame, n_perm: int, seed: str, limit: int) -> DataFrame:
