@@ -2,11 +2,13 @@
 
 Rows lie in buckets by a hash of their key, addressed by linear hashing: with level L and split pointer
 s there are 2 ** L + s buckets, and those before s (and their images) use one more bit of the
-hash. So the table grows bucket by bucket, a split moves the rows of one bucket only, and a batch reads and writes no
+hash. So the table grows bucket by bucket, a split moves the rows of one bucket only, and a batch adds rows to no
 bucket that none of its keys falls into.
 
-Each batch writes its new rows, and the rows of buckets that split or have gathered too many folders, as
-``_batch=<n>/_bucket=<b>``, then a state below ``_state``: which folders make up each bucket, and totals. The digest limbs of
+Each batch writes its new rows, and the rows of buckets that split or have gathered too many parts, sorted by bucket into
+``_batch=<n>/_shelf=<s>``. A shelf holds as many neighbouring buckets as have ``SHELF`` rows, so folders follow the rows and not the
+buckets, whose names never pass through the driver. Then it writes a state below ``_state``: the parts that make up each bucket (its rows of
+one batch), and totals. What is left of a shelf is written anew once three quarters of its rows are in no part any more. The digest limbs of
 the keys add up, so the fingerprint follows from the state before and the new keys, without reading the inventory.
 A state counts once its totals are there; a batch that is run again starts from the state before it and replaces its own
 folders. Folders no state refers to any more are removed one batch later; until then only ``Inventory.read`` tells
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 from ..operators.skew import digest_limbs, digest_of_limbs
 from ..session import checkpoint, children, exists, remove
 
-#: Rows of a bucket on average, above which the table gets another bucket, and folders of a bucket before they are made one.
+#: Rows of a bucket on average, above which the table gets another bucket, and parts of a bucket before they are made one.
 LOAD, MOST_FOLDERS = 1_000_000, 8
+#: Rows of a shelf on average, unless one bucket has more; buckets that a reading names to Parquet.
+SHELF, NAMED = 250_000, 200
 LIMBS = ("l0", "l1", "l2", "l3")
-PARTS = "bucket bigint, batch bigint, n bigint"
+PARTS = "bucket bigint, batch bigint, n bigint, written bigint"
 TOTALS = "seq bigint, source string, batch_id bigint, level int, split bigint, n_rows bigint, n_buckets bigint, folders_read bigint, l0 decimal(38,0), l1 decimal(38,0), l2 decimal(38,0), l3 decimal(38,0)"
 
 
@@ -66,8 +70,11 @@ class Inventory:
     def _state(self, seq: int) -> str:
         return f"{self.folder}/_state/{seq}"
 
-    def _data(self, batch: int, bucket: int) -> str:
-        return f"{self.folder}/_batch={batch}/_bucket={bucket}"
+    def _data(self, batch: int, shelf: int) -> str:
+        return f"{self.folder}/_batch={batch}/_shelf={shelf}"
+
+    def _shelf(self, bucket: str) -> Column:
+        return F.floor(F.col(bucket) / max(1, SHELF // self.load)).cast("bigint")
 
     def states(self) -> list[int]:
         """Numbers of the states that count; old ones are removed, so there are few."""
@@ -80,10 +87,22 @@ class Inventory:
         return self.spark.read.schema(PARTS).parquet(f"{self._state(seq)}/parts")
 
     def _rows(self, parts: DataFrame, schema) -> tuple[DataFrame, int]:
-        """The rows in the folders of ``parts``, of which there are as many as a batch touches."""
-        paths = [self._data(r.batch, r.bucket) for r in parts.select("batch", "bucket").collect()]
-        read = self.spark.read.schema(schema)
-        return (read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)), len(paths)
+        """The rows of ``parts`` and how many parts there are; only shelves come to the driver."""
+        shelves = parts.groupBy("batch", self._shelf("bucket").alias("shelf")).agg(F.count(F.lit(1)).alias("n"), (F.sum("n") == F.max("written")).alias("whole")).collect()
+        empty, found = self.spark.createDataFrame([], schema), sum(r.n for r in shelves)
+        if not shelves:
+            return empty, 0
+        read = self.spark.read.schema(f"{self._ddl(empty)}, _bucket bigint, _seq bigint").parquet(*(self._data(r.batch, r.shelf) for r in shelves))
+        if found <= NAMED:
+            read = read.where(F.col("_bucket").isin(*{r.bucket for r in parts.select("bucket").collect()}))
+        if not all(r.whole for r in shelves):
+            live = parts.select(F.col("bucket").alias("_bucket"), F.col("batch").alias("_seq"))
+            read = read.join(live, ["_bucket", "_seq"], "left_semi")
+        return read.select(*empty.columns), found
+
+    @staticmethod
+    def _ddl(rows: DataFrame) -> str:
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def fold(self, rows: DataFrame, source: str = "", batch_id: int | None = None) -> None:
         """Add the rows whose key is new; of unlike rows of one key that with the least digest of its content stays.
@@ -112,17 +131,23 @@ class Inventory:
         n_rows = added.n + (known.n_rows if known else 0)
         new = Layout.of(max(old.buckets, -(-n_rows // self.load)))
 
-        # Buckets that split, and those the batch adds to that have many folders, are written anew.
+        # Buckets that split, those the batch adds to that have many parts, and what is left of a shelf that is mostly given up are written anew.
         b = F.col("bucket")
         moves = parts.where(new.modulus(b) != old.modulus(b)) if new != old else parts.limit(0)
         full = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= self.most_folders).join(touched, "bucket", "left_semi")
         moves = checkpoint(moves.unionByName(parts.join(full, "bucket", "left_semi")).distinct())
+        shelved = lambda d: d.withColumn("shelf", self._shelf("bucket"))
+        left = shelved(parts.join(moves, ["bucket", "batch"], "left_anti"))
+        thin = left.groupBy("batch", "shelf").agg(F.sum("n").alias("n"), F.max("written").alias("written")).where("4 * n < written")
+        moves = checkpoint(moves.unionByName(left.join(thin, ["batch", "shelf"], "left_semi").select(*moves.columns)))
         moved, more = self._rows(moves, rows.schema)
-        placed = fresh.unionByName(moved).withColumn("_bucket", new.address(key))
         data = f"{self.folder}/_batch={seq}"
-        placed.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(data)
-        counts = placed.groupBy(F.col("_bucket").alias("bucket")).agg(F.count(F.lit(1)).alias("n")).select("bucket", F.lit(seq).cast("bigint").alias("batch"), "n")
-        stay = parts.join(moves, ["bucket", "batch"], "left_anti").select("bucket", "batch", "n")
+        placed = fresh.unionByName(moved).withColumns({"_bucket": new.address(key), "_seq": F.lit(seq).cast("bigint")}).withColumn("_shelf", self._shelf("_bucket"))
+        placed.repartition("_shelf").sortWithinPartitions("_shelf", "_bucket").write.mode("overwrite").partitionBy("_shelf").parquet(data)
+        counts = spark.read.schema("_bucket bigint, _seq bigint").parquet(data).groupBy(F.col("_bucket").alias("bucket"), F.col("_seq").alias("batch")).agg(F.count(F.lit(1)).alias("n"))
+        counts = shelved(checkpoint(counts))
+        counts = counts.join(counts.groupBy("shelf").agg(F.sum("n").alias("written")), "shelf").select(*moves.columns)
+        stay = parts.join(moves, ["bucket", "batch"], "left_anti").select(*moves.columns)
         stay.unionByName(counts).coalesce(1).write.mode("overwrite").parquet(f"{self._state(seq)}/parts")
         sums = [(getattr(added, c) or Decimal(0)) + (getattr(known, c) if known else Decimal(0)) for c in LIMBS]
         row = (seq, source, batch_id, new.level, new.split, n_rows, new.buckets, folders_read + more, *sums)
@@ -134,10 +159,11 @@ class Inventory:
         if len(states) < 2:
             return
         last = states[-1]
+        shelves = lambda seq: self.parts(seq).select("batch", self._shelf("bucket").alias("shelf")).distinct()
         for old in states[:-1]:
-            gone = self.parts(old).join(self.parts(last), ["bucket", "batch"], "left_anti").join(self.parts(last + 1), ["bucket", "batch"], "left_anti")
-            for r in gone.select("batch", "bucket").collect():  # what one batch has moved
-                remove(self.spark, self._data(r.batch, r.bucket))
+            gone = shelves(old).join(shelves(last), ["batch", "shelf"], "left_anti").join(shelves(last + 1), ["batch", "shelf"], "left_anti")
+            for r in gone.collect():  # what one batch has moved
+                remove(self.spark, self._data(r.batch, r.shelf))
             remove(self.spark, self._state(old))
 
     def read(self, schema) -> DataFrame:

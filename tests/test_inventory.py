@@ -81,3 +81,11 @@ def test_empty_batches(spark, tmp_path):
     inv.fold(rows(spark, [1]))
     inv.fold(rows(spark, []))
     assert held(inv) == [(1, "a")]
+
+
+def test_folders_follow_the_rows_and_not_the_buckets(spark, tmp_path):
+    inv = Inventory(spark, str(tmp_path / "inv"), "id", load=5, most_folders=3)
+    inv.fold(rows(spark, range(300)))
+    inv.fold(rows(spark, range(200, 500)))
+    assert last(inv).n_buckets == 100 and len(list((tmp_path / "inv").glob("_batch=*/_*=*"))) <= 2
+    assert [i for i, _ in held(inv)] == sorted(range(500), key=lambda i: str((i, "a")))
