@@ -31,7 +31,7 @@ LOAD, MOST_FOLDERS = 1_000_000, 8
 #: Rows of a shelf on average, unless one bucket has more; buckets that a reading names to Parquet.
 SHELF, NAMED = 250_000, 200
 LIMBS = ("l0", "l1", "l2", "l3")
-PARTS = "bucket bigint, batch bigint, n bigint, written bigint"
+PARTS = "bucket bigint, batch bigint, n bigint, shelf bigint, written bigint"
 TOTALS = "seq bigint, source string, batch_id bigint, level int, split bigint, n_rows bigint, n_buckets bigint, folders_read bigint, l0 decimal(38,0), l1 decimal(38,0), l2 decimal(38,0), l3 decimal(38,0)"
 
 
@@ -88,7 +88,7 @@ class Inventory:
 
     def _rows(self, parts: DataFrame, schema) -> tuple[DataFrame, int]:
         """The rows of ``parts`` and how many parts there are; only shelves come to the driver."""
-        shelves = parts.groupBy("batch", self._shelf("bucket").alias("shelf")).agg(F.count(F.lit(1)).alias("n"), (F.sum("n") == F.max("written")).alias("whole")).collect()
+        shelves = parts.groupBy("batch", "shelf").agg(F.count(F.lit(1)).alias("n"), (F.sum("n") == F.max("written")).alias("whole")).collect()
         empty, found = self.spark.createDataFrame([], schema), sum(r.n for r in shelves)
         if not shelves:
             return empty, 0
@@ -136,8 +136,7 @@ class Inventory:
         moves = parts.where(new.modulus(b) != old.modulus(b)) if new != old else parts.limit(0)
         full = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= self.most_folders).join(touched, "bucket", "left_semi")
         moves = checkpoint(moves.unionByName(parts.join(full, "bucket", "left_semi")).distinct())
-        shelved = lambda d: d.withColumn("shelf", self._shelf("bucket"))
-        left = shelved(parts.join(moves, ["bucket", "batch"], "left_anti"))
+        left = parts.join(moves, ["bucket", "batch"], "left_anti")
         thin = left.groupBy("batch", "shelf").agg(F.sum("n").alias("n"), F.max("written").alias("written")).where("4 * n < written")
         moves = checkpoint(moves.unionByName(left.join(thin, ["batch", "shelf"], "left_semi").select(*moves.columns)))
         moved, more = self._rows(moves, rows.schema)
@@ -145,7 +144,7 @@ class Inventory:
         placed = fresh.unionByName(moved).withColumns({"_bucket": new.address(key), "_seq": F.lit(seq).cast("bigint")}).withColumn("_shelf", self._shelf("_bucket"))
         placed.repartition("_shelf").sortWithinPartitions("_shelf", "_bucket").write.mode("overwrite").partitionBy("_shelf").parquet(data)
         counts = spark.read.schema("_bucket bigint, _seq bigint").parquet(data).groupBy(F.col("_bucket").alias("bucket"), F.col("_seq").alias("batch")).agg(F.count(F.lit(1)).alias("n"))
-        counts = shelved(checkpoint(counts))
+        counts = checkpoint(counts.withColumn("shelf", self._shelf("bucket")))
         counts = counts.join(counts.groupBy("shelf").agg(F.sum("n").alias("written")), "shelf").select(*moves.columns)
         stay = parts.join(moves, ["bucket", "batch"], "left_anti").select(*moves.columns)
         stay.unionByName(counts).coalesce(1).write.mode("overwrite").parquet(f"{self._state(seq)}/parts")
@@ -159,7 +158,7 @@ class Inventory:
         if len(states) < 2:
             return
         last = states[-1]
-        shelves = lambda seq: self.parts(seq).select("batch", self._shelf("bucket").alias("shelf")).distinct()
+        shelves = lambda seq: self.parts(seq).select("batch", "shelf").distinct()
         for old in states[:-1]:
             gone = shelves(old).join(shelves(last), ["batch", "shelf"], "left_anti").join(shelves(last + 1), ["batch", "shelf"], "left_anti")
             for r in gone.collect():  # what one batch has moved
