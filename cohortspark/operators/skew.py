@@ -280,9 +280,19 @@ def hash_number(h: Column) -> Column:
 
 def permutation_index(df: DataFrame, key: str, *, seed: str, by: Sequence[str] = (), name: str = "pos",
                       limit: int = GROUP_LIMIT) -> DataFrame:
-    """0-based place of each distinct ``key`` in the seeded random order."""
+    """0-based place of each distinct ``key`` in the seeded random order.
+
+    Hashes are uniform, so a group with more rows than a task should hold is cut into even ranges of them, without a sample.
+    """
+    keys, most = list(by) or ["_all"], min(limit, ROWS_A_TASK)
     d = df.withColumn("_h", hash_key(F.col(key), seed=seed)).withColumn("_u", hash_number(F.col("_h")))
-    return ordered(d, by, "_u", {name: ("sum", F.lit(1), "before")}, ties=["_h"], limit=limit).drop("_h", "_u")
+    d = d if by else d.withColumn("_all", F.lit(0))
+    sizes = checkpoint(large_groups(d, keys, most))
+    large = not sizes.isEmpty()
+    if large:
+        cell = F.floor(F.col("_u") * F.ceil(2 * F.col("_n") / most) / 2**52).cast("int")
+        d = checkpoint(d.join(_named(sizes, keys, "_n"), _same(keys), "left").select(*d.columns, cell.alias("_cell")))
+    return _running(d, keys, ["_u", "_h"], {name: ("sum", F.lit(1), "before")}, large).select(*df.columns, name)
 
 
 def set_digest(df: DataFrame, by: Sequence[str], text: Column, name: str = "digest", *, distinct: bool = True) -> DataFrame:

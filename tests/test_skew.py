@@ -75,6 +75,17 @@ def test_permutation_is_bijective_and_independent_of_limits(spark):
     assert a != c
 
 
+def test_random_orders_are_cut_where_a_task_would_hold_them_whole(spark, monkeypatch):
+    ids = spark.range(500).withColumn("k", F.when(F.col("id") < 450, "a"))
+    place = lambda by: permutation_index(ids, "id", seed="s", by=by)
+    whole = {by: {r.id: r.pos for r in place(by).collect()} for by in ((), ("k",))}
+    monkeypatch.setattr("cohortspark.operators.skew.ROWS_A_TASK", 100)
+    for by, want in whole.items():
+        got = place(by)
+        assert "_cell" in got._jdf.queryExecution().analyzed().toString()
+        assert {r.id: r.pos for r in got.collect()} == want
+
+
 def test_set_digest_ignores_order_and_sees_changes(spark):
     a = spark.range(100).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("v"))
     b = a.orderBy(F.desc("v")).unionByName(a)
