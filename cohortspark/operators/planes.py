@@ -54,13 +54,16 @@ def otsu_of_counts(counts: DataFrame, by: Sequence[str], *, clip: float = CLIP,
     h = c.groupBy(*by, "_low", "_span", F.coalesce(b, F.lit(0)).alias("_b")).agg(F.sum("_c").alias("_c"))
     w = W.partitionBy(*by)
     up = w.orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    h = h.withColumn("_m", F.col("_low") + (F.col("_b") + 0.5) * F.col("_span") / bins)
-    h = h.select("*", F.sum("_c").over(up).alias("_w1"), F.sum(F.col("_c") * F.col("_m")).over(up).alias("_s1"),
-                 F.sum("_c").over(w).alias("_n"), F.sum(F.col("_c") * F.col("_m")).over(w).alias("_s"))
+    # Sums of bin numbers are whole, so equal variances are equal whatever the order of the sums, and the lower bin is taken.
+    h = h.select("*", (F.col("_low") + (F.col("_b") + 0.5) * F.col("_span") / bins).alias("_m"),
+                 F.sum("_c").over(up).alias("_w1"), F.sum(F.col("_c") * F.col("_b")).over(up).alias("_s1"),
+                 F.sum("_c").over(w).alias("_n"), F.sum(F.col("_c") * F.col("_b")).over(w).alias("_s"))
     w2 = F.col("_n") - F.col("_w1")
-    gap = F.col("_s1") / F.col("_w1") - F.try_divide(F.col("_s") - F.col("_s1"), w2)
+    whole = lambda x: F.col(x).cast("decimal(19,0)")
+    gap = (whole("_s1") * whole("_n") - whole("_s") * whole("_w1")).cast("double")
+    var = F.try_divide(gap * gap, F.col("_w1").cast("double") * w2)
     best = h.groupBy(*by).agg(
-        F.max(F.when(w2 > 0, F.struct((F.col("_w1").cast("double") * w2 * gap * gap).alias("var"), (-F.col("_b")).alias("b"), F.col("_m").alias("m")))).alias("_best"),
+        F.max(F.when(w2 > 0, F.struct(var.alias("var"), (-F.col("_b")).alias("b"), F.col("_m").alias("m")))).alias("_best"),
         F.min("_low").alias("_low"))
     return best.select(*by, F.coalesce(F.col("_best")["m"], F.col("_low")).alias("threshold"))
 

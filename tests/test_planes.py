@@ -125,6 +125,14 @@ def test_otsu_equals_reference_definition(spark):
         assert got[i] == pytest.approx(otsu(p.ravel()))
 
 
+def test_otsu_takes_the_lower_of_two_bins_with_equal_variance(spark):
+    """Values in bins 0, 127, 128 and 255: cutting the first or the last off gives the same variance."""
+    lows = [(0.38, 0.8), (0.19, 0.7), (-0.55, 1.3), (0.57, 0.6), (-0.4, 1.4), (0.24, 2.0), (0.9, 1.0), (0.25, 2.0)]
+    rows = [(i, v) for i, (low, span) in enumerate(lows) for v in (low, low + 127.5 / 256 * span, low + 128.5 / 256 * span, low + span) for _ in range(300)]
+    got = {r.s: r.threshold for r in P.otsu(spark.createDataFrame(rows, "s int, value double"), BY, "value").collect()}
+    assert got == {i: pytest.approx(low + span / 512) for i, (low, span) in enumerate(lows)}
+
+
 def test_marker_index_is_exposure_free(spark):
     n, rows = 40, []
     g = np.random.default_rng(4)
