@@ -138,7 +138,7 @@ def _status(t):
 def _manifest(t):
     """A section table that breaks every rule somewhere."""
     arm = F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "diet").when(F.col("c_mktsegment") == "FURNITURE", "ip").otherwise("")
-    d = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    d = t.lineitem.join(t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     label = F.when(F.col("l_quantity") == 50, F.col("l_linenumber").cast("string")).otherwise(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"))
     flag = F.col("l_returnflag")
     rows = d.select(

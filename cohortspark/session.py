@@ -61,12 +61,14 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checkpoint(df: DataFrame, folder: str | None = None) -> DataFrame:
+def checkpoint(df: DataFrame, folder: str | None = None, rows_a_file: int = 0) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back.
 
     The rows are computed once, survive the loss of executors, and come back with file
-    sizes that later joins can plan with.
+    sizes that later joins can plan with. Tasks read files by their bytes, so many more rows of a table
+    that compresses well; with ``rows_a_file`` a file has no more, and as Spark counts 4 MB for opening
+    one, a task reads 32 of them at most.
     """
     folder = folder or new_folder(df.sparkSession, "table")
-    df.write.parquet(folder)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
