@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from ..functions.text import canonical_name
 from ..session import checkpoint
 from .morphology import mask_runs
+from .skew import large_groups, rows_in_small_groups, together
 from .summarise import attach
 
 # Fixed values.
@@ -24,6 +25,10 @@ NAMES = {"tissue": "Tissue", "tisssue": "Tissue", "hippocampus": "Hippocampus",
          "isocortes": "Isocortex", "cortex": "Isocortex"}
 MIN_REGION_MM2 = 0.5
 OUTLINE_MM2 = 10.0
+#: Pixels of a pair of masks that is registered together with others, and cells of their transforms at a time.
+PIXELS, CELLS = 1 << 16, 1 << 19
+#: What the registration finds of a pair at an angle: the shift, pixels in common, pixels of both masks, and the Dice at rest.
+FOUND = ("angle", "dy", "dx", "_k", "_nm", "_nf", "_rest")
 
 
 def ring_area(ring: Column) -> Column:
@@ -171,13 +176,13 @@ def rotate(x: Column, y: Column, angle_deg: Column, cx: float, cy: float) -> tup
 
 
 def turned(mask: np.ndarray, x0: int, y0: int, angle_deg: float, cx: float, cy: float) -> tuple[np.ndarray, int, int]:
-    """A mask (its first pixel at ``x0, y0``) rotated about a centre, and where the result begins.
+    """A mask (its first pixel at ``x0, y0``) rotated about a centre, and where the result begins. More axes before the last two are more masks.
 
     Every pixel of the result looks up the one it comes from, so rotation tears no holes.
     """
     t = math.radians(angle_deg)
     c, s = math.cos(t), math.sin(t)
-    h, w = mask.shape
+    h, w = mask.shape[-2:]
     corners = [(c * (x - cx) - s * (y - cy) + cx, s * (x - cx) + c * (y - cy) + cy) for x in (x0 - 1, x0 + w) for y in (y0 - 1, y0 + h)]
     left, top = (math.floor(min(v)) for v in zip(*corners, strict=True))
     right, bottom = (math.ceil(max(v)) for v in zip(*corners, strict=True))
@@ -185,64 +190,139 @@ def turned(mask: np.ndarray, x0: int, y0: int, angle_deg: float, cx: float, cy:
     sx = np.floor(c * (x - cx) + s * (y - cy) + cx + 0.5).astype(np.int64) - x0
     sy = np.floor(c * (y - cy) - s * (x - cx) + cy + 0.5).astype(np.int64) - y0
     inside = (sx >= 0) & (sx < w) & (sy >= 0) & (sy < h)
-    out = np.zeros(x.shape, bool)
-    out[inside] = mask[sy[inside], sx[inside]]
+    out = np.zeros((*mask.shape[:-2], *x.shape), bool)
+    out[..., inside] = mask[..., sy[inside], sx[inside]]
     return out, left, top
 
 
 def overlaps(fixed: np.ndarray, moving: np.ndarray) -> np.ndarray:
     """Common pixels at every shift that lets the masks meet, by one correlation; row ``moving rows - 1`` is no shift down."""
-    shape = [a + b - 1 for a, b in zip(fixed.shape, moving.shape, strict=True)]
-    f = np.fft.rfft2(fixed.astype(float), shape) * np.fft.rfft2(moving[::-1, ::-1].astype(float), shape)
+    shape = [a + b - 1 for a, b in zip(fixed.shape[-2:], moving.shape[-2:], strict=True)]
+    f = np.fft.rfft2(fixed.astype(float), shape) * np.fft.rfft2(moving[..., ::-1, ::-1].astype(float), shape)
     return np.rint(np.fft.irfft2(f, shape)).astype(np.int64)
 
 
-def rigid_fit(fixed: DataFrame, moving: DataFrame, by: Sequence[str], angles: Sequence[float], shift: int | None, cx: float, cy: float, angles_a_task: int = 8) -> DataFrame:
+def _search(fix: np.ndarray, fx: int, fy: int, mov: np.ndarray, mx: int, my: int, angles: Sequence[float], shift: int | None, cx: float, cy: float) -> list[np.ndarray]:
+    """The best shift at each angle, ties to the smallest motion: the pair's number and then ``FOUND``, for pairs of masks (pair, row, column) in common frames."""
+    (fh, fw), (mh, mw) = fix.shape[1:], mov.shape[1:]
+    x0, y0, x1, y1 = max(fx, mx), max(fy, my), min(fx + fw, mx + mw), min(fy + fh, my + mh)
+    both = np.zeros(len(fix), np.int64)
+    if x0 < x1 and y0 < y1:
+        both = (fix[:, y0 - fy : y1 - fy, x0 - fx : x1 - fx] & mov[:, y0 - my : y1 - my, x0 - mx : x1 - mx]).sum((1, 2))
+    n_fix = fix.sum((1, 2))
+    rest, found = 2 * both / (n_fix + mov.sum((1, 2))), []
+    for angle in angles:
+        new, left, top = turned(mov, mx, my, angle, cx, cy)
+        k = overlaps(fix, new)
+        dy, dx = (np.arange(n) - (size - 1) + at for n, size, at in ((k.shape[1], new.shape[1], fy - top), (k.shape[2], new.shape[2], fx - left)))
+        if shift is not None:
+            k = np.where((np.abs(dy)[:, None] <= shift) & (np.abs(dx)[None, :] <= shift), k, 0)
+        most = k.max((1, 2))
+        pair, y, x = np.nonzero(k == np.where(most > 0, most, -1)[:, None, None])
+        y, x = dy[y], dx[x]
+        order = np.lexsort((x, y, np.abs(y) + np.abs(x), pair))
+        first = order[np.flatnonzero(np.diff(pair[order], prepend=-1))]
+        own = pair[first]
+        found.append((own, np.full(len(own), angle), y[first], x[first], most[own], new.sum((1, 2))[own], n_fix[own], rest[own]))
+    return [np.concatenate(v) for v in zip(*found, strict=True)]
+
+
+def _together(t: pa.Table, by: Sequence[str], search: Callable[..., list[np.ndarray]]) -> tuple[pa.Table, list[np.ndarray]]:
+    """Keys of the pairs in a table of pixels, and what ``search`` finds of them, those in like frames at once."""
+    pair = np.zeros(t.num_rows, np.int64)
+    for c in by:
+        codes = t[c].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+        pair = np.unique(pair * (codes.max() + 1) + codes, return_inverse=True)[1]
+    first = np.unique(pair, return_index=True)[1]
+    side, x, y = (t[c].to_numpy().astype(np.int64) for c in ("_side", "x", "y"))
+    order = np.argsort(pair * 2 + side, kind="stable")
+    pair, side, x, y = (v[order] for v in (pair, side, x, y))
+    at = np.flatnonzero(np.diff(pair * 2 + side, prepend=-1))
+    x0, x1, y0, y1 = (f.reduceat(v, at) for v in (x, y) for f in (np.minimum, np.maximum))
+    # Small frames begin and end at multiples of a power of two no less than their sides, so there are few kinds of them.
+    size = np.maximum(np.maximum(x1 - x0, y1 - y0) + 1, 8)
+    g = np.where(size <= 64, 1 << np.ceil(np.log2(size)).astype(np.int64), 1)
+    left, top = x0 // g * g, y0 // g * g
+    frames = np.zeros((len(first), 2, 4), np.int64)
+    frames[pair[at], side[at]] = np.stack([left, top, (x1 // g + 1) * g - left, (y1 // g + 1) * g - top], 1)
+    kinds, kind = np.unique(frames.reshape(len(first), 8), axis=0, return_inverse=True)
+    kind, found = kind.reshape(-1), []
+    order = np.argsort(kind[pair], kind="stable")
+    pair, side, x, y = (v[order] for v in (pair, side, x, y))
+    ends = np.searchsorted(kind[pair], np.arange(len(kinds) + 1))
+    for i, (fx, fy, fw, fh, mx, my, mw, mh) in enumerate(kinds.tolist()):
+        if not fw or not mw:
+            continue
+        members = np.flatnonzero(kind == i)
+        step = max(1, CELLS // ((fw + 2 * mw) * (fh + 2 * mh)))
+        p, s, px, py = (v[ends[i] : ends[i + 1]] for v in (pair, side, x, y))
+        for j in range(0, len(members), step):
+            some = members[j : j + step]
+            here = slice(*np.searchsorted(p, (some[0], some[-1] + 1)))
+            masks = np.zeros((len(some), fh, fw), bool), np.zeros((len(some), mh, mw), bool)
+            for k, (mask, l, u) in enumerate(zip(masks, (fx, mx), (fy, my), strict=True)):
+                m = s[here] == k
+                mask[np.searchsorted(some, p[here][m]), py[here][m] - u, px[here][m] - l] = True
+            own, *values = search(masks[0], fx, fy, masks[1], mx, my)
+            found.append((some[own], *values))
+    return t.select(list(by)).take(pa.array(first)), [np.concatenate(v) for v in zip(*found, strict=True)]
+
+
+def rigid_fit(fixed: DataFrame, moving: DataFrame, by: Sequence[str], angles: Sequence[float], shift: int | None, cx: float, cy: float, angles_a_task: int = 8, pixels: int = PIXELS) -> DataFrame:
     """Angle and whole-pixel shift with the best Dice, and whether it beats no motion.
 
     At each angle the overlaps at all shifts come from one correlation, so the search covers the whole frame (or ``shift`` pixels,
-    if given) at the price of a few transforms. Masks travel as runs; a task holds one pair of masks and tries some angles.
+    if given) at the price of a few transforms. Pairs of up to ``pixels`` pixels are dealt once, and a task takes those in
+    like frames together. Larger masks travel as runs; there a task holds one pair and tries some angles.
     """
-    keys = [*by, "_block"]
-    side = lambda d, k: mask_runs(d.select(*by, "x", "y").distinct(), by).select(*by, "y", "x0", "x1", F.lit(k).alias("_side"))
-    blocks = [[float(a) for a in angles[i : i + angles_a_task]] for i in range(0, len(angles), angles_a_task)]
-    runs = side(fixed, 0).unionByName(side(moving, 1)).withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(len(blocks))])))
-    fields = [runs.schema[c] for c in by]
-    shape = StructType([*fields, *(StructField(n, DoubleType() if n == "angle" else LongType()) for n in ("angle", "dy", "dx", "_k", "_nm", "_nf"))])
-    arrow, names = to_arrow_schema(shape), list(by)
+    side = lambda d, k: d.select(*by, "x", "y", F.lit(k).alias("_side"))
+    px = side(fixed, 0).unionByName(side(moving, 1))
+    shape = StructType([*(px.schema[c] for c in by), *(StructField(n, DoubleType() if n in ("angle", "_rest") else LongType()) for n in FOUND)])
+    arrow, turns, names = to_arrow_schema(shape), [float(a) for a in angles], list(by)
+
+    def rows(keys: pa.Table, own: np.ndarray, values: Sequence[np.ndarray]) -> pa.Table:
+        return pa.Table.from_arrays([*keys.take(pa.array(own)).columns, *(pa.array(v) for v in values)], names=arrow.names).cast(arrow)
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if batches and turns:
+            keys, found = _together(pa.Table.from_batches(batches), names, lambda *masks: _search(*masks, turns, shift, cx, cy))
+            if found:
+                own, *values = found
+                d, most = 2 * values[3] / (values[4] + values[5]), np.zeros(keys.num_rows)
+                np.maximum.at(most, own, d)
+                last = d > most[own] - 1e-8  # what may be the best once it is rounded
+                yield from rows(keys, own[last], [v[last] for v in values]).to_batches()
 
     def array(t: pa.Table) -> tuple[np.ndarray, int, int]:
         y, x0, x1 = (t[c].to_numpy().astype(np.int64) for c in ("y", "x0", "x1"))
         out = np.zeros((y.max() - y.min() + 1, x1.max() - x0.min() + 2), np.int8)
         np.add.at(out, (y - y.min(), x0 - x0.min()), 1)
         np.add.at(out, (y - y.min(), x1 + 1 - x0.min()), -1)
-        return out.cumsum(1, dtype=np.int8)[:, :-1].astype(bool), int(x0.min()), int(y.min())
-
-    def run(t: pa.Table) -> pa.Table:
-        f, m = (t.filter(pc.equal(t["_side"], k)) for k in (0, 1))
-        rows = []
-        if f.num_rows and m.num_rows:
-            (fix, fx, fy), (mov, mx, my) = array(f), array(m)
-            for angle in blocks[t["_block"][0].as_py()]:
-                new, left, top = turned(mov, mx, my, angle, cx, cy)
-                k = overlaps(fix, new)
-                dy, dx = (np.arange(n) - (size - 1) + at for n, size, at in ((k.shape[0], new.shape[0], fy - top), (k.shape[1], new.shape[1], fx - left)))
-                if shift is not None:
-                    k = np.where((np.abs(dy)[:, None] <= shift) & (np.abs(dx)[None, :] <= shift), k, 0)
-                at = np.argwhere((k == k.max()) & (k > 0))
-                if len(at):
-                    y, x = min(at.tolist(), key=lambda p: (abs(dy[p[0]]) + abs(dx[p[1]]), dy[p[0]], dx[p[1]]))
-                    rows.append((angle, int(dy[y]), int(dx[x]), int(k[y, x]), int(new.sum()), int(fix.sum())))
-        own = t.select(names).slice(0, 1)
-        return pa.Table.from_arrays([*(pa.concat_arrays([own[c].combine_chunks()] * len(rows)) if rows else pa.array([], own[c].type) for c in names),
-                                     *(pa.array(c) for c in (zip(*rows, strict=True) if rows else [[]] * 6))], names=arrow.names).cast(arrow)
-
-    d = runs.groupBy(*keys).applyInArrow(run, shape).withColumn("d", F.round(2 * F.col("_k") / (F.col("_nm") + F.col("_nf")), 9))
+        return out.cumsum(1, dtype=np.int8)[None, :, :-1].astype(bool), int(x0.min()), int(y.min())
+
+    def one(t: pa.Table) -> pa.Table:
+        sides = [t.filter(pc.equal(t["_side"], k)) for k in (0, 1)]
+        if not all(f.num_rows for f in sides):
+            return arrow.empty_table()
+        own, *values = _search(*array(sides[0]), *array(sides[1]), blocks[t["_block"][0].as_py()], shift, cx, cy)
+        return rows(t.select(names), own, values)
+
+    n = rows_in_small_groups([px], by, pixels)
+    if n is not None:
+        d = together(px, by, n).mapInArrow(several, shape)
+    else:
+        large = checkpoint(large_groups(px, by, pixels).select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(by)]))
+        rest = px.join(large, _equal(by, "_g"), "left_anti")
+        blocks = [turns[i : i + angles_a_task] for i in range(0, len(turns), angles_a_task)]
+        runs = mask_runs(px.join(large, _equal(by, "_g"), "left_semi").distinct(), [*by, "_side"]).withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(len(blocks))])))
+        d = together(rest, by, rest.count()).mapInArrow(several, shape).unionByName(runs.groupBy(*by, "_block").applyInArrow(one, shape))
+    d = d.withColumn("d", F.round(2 * F.col("_k") / (F.col("_nm") + F.col("_nf")), 9))
     # Ties go to the smallest motion, then to the smallest angle and shift.
-    rank = F.struct(F.col("d"), (-(F.abs("angle") + F.abs("dy") + F.abs("dx"))).alias("z"), (-F.col("angle")).alias("a"), (-F.col("dy")).alias("v"), (-F.col("dx")).alias("u"))
-    best = d.groupBy(*by).agg(F.max(rank).alias("b")).select(*by, (F.lit(0.0) - F.col("b.a")).alias("angle_deg"), (-F.col("b.v")).cast("int").alias("dy"), (-F.col("b.u")).cast("int").alias("dx"), F.col("b.d").alias("dice_after"))
-    before = dice(fixed, moving, by).select(*by, F.round("dice", 9).alias("dice_before"))
-    return attach(best, before, by).withColumn("accepted", F.col("dice_after") > F.coalesce("dice_before", F.lit(0.0)))
+    rank = F.struct(F.col("d"), (-(F.abs("angle") + F.abs("dy") + F.abs("dx"))).alias("z"), (-F.col("angle")).alias("a"), (-F.col("dy")).alias("v"), (-F.col("dx")).alias("u"), F.round("_rest", 9).alias("rest"))
+    best = d.groupBy(*by).agg(F.max(rank).alias("b")).select(*by, (F.lit(0.0) - F.col("b.a")).alias("angle_deg"), (-F.col("b.v")).cast("int").alias("dy"), (-F.col("b.u")).cast("int").alias("dx"),
+                                                            F.col("b.d").alias("dice_after"), F.col("b.rest").alias("dice_before"))
+    return best.withColumn("accepted", F.col("dice_after") > F.col("dice_before"))
 
 
 def inverse_transform(points: DataFrame, fit: DataFrame, by: Sequence[str], cx: float, cy: float) -> DataFrame:
